@@ -1,12 +1,9 @@
-"""Tail probabilities of the F and chi-square distributions for small result tables."""
+"""Tail probabilities of the F and chi-square distributions, for one test result at a time."""
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, functions as F
-
 TINY = 1e-300
 STEPS = 500
 
@@ -77,21 +74,12 @@ def _known(*values) -> bool:
     return all(v is not None and not math.isnan(v) for v in values)
 
 
-def f_tail_column(f: Column, d1: Column, d2: Column) -> Column:
-    @F.pandas_udf("double")
-    def tail(fs: pd.Series, d1s: pd.Series, d2s: pd.Series) -> pd.Series:
-        return pd.Series(
-            [f_tail(*t) if _known(*t) and t[1] > 0 and t[2] > 0 else None for t in zip(fs, d1s, d2s)], dtype="float64"
-        )
-
-    return tail(f.cast("double"), d1.cast("double"), d2.cast("double"))
-
+def f_p_value(f: float | None, d1: float | None, d2: float | None) -> float | None:
+    return f_tail(f, d1, d2) if _known(f, d1, d2) and d1 > 0 and d2 > 0 else None
 
-def chi2_tail_column(x: Column, dof: Column) -> Column:
-    @F.pandas_udf("double")
-    def tail(xs: pd.Series, dofs: pd.Series) -> pd.Series:
-        return pd.Series(
-            [chi2_tail(*t) if _known(*t) and t[1] > 0 else None for t in zip(xs, dofs)], dtype="float64"
-        )
 
-    return tail(x.cast("double"), dof.cast("double"))
+def chi2_p_value(x: float | None, dof: float | None) -> float | None:
+    """A table without freedom shows no association: p is 1."""
+    if not _known(x, dof):
+        return None
+    return chi2_tail(x, dof) if dof > 0 else 1.0

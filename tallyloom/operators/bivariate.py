@@ -1,20 +1,20 @@
 """Statistics of two columns: correlation, regression, group comparison and association.
 
-Rows with a missing cell in either column are left out.  Each test is one row; its p-value comes
-from the tail helper on that row.
+Rows with a missing cell in either column are left out.  A test is one aggregate over the pairs; its
+single result row comes to the driver for the p-value and goes back as a one-row frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from tallyloom.functions.columns import col, number, require, rows_from_aggregate
 from tallyloom.functions.running import average_ranks, grouped_quantiles
-from tallyloom.functions.stats import divide
-from tallyloom.functions.tails import chi2_tail_column, f_tail_column
+from tallyloom.functions.stats import correlation, divide
+from tallyloom.functions.tails import chi2_p_value, f_p_value
 
 # Significance level and the lower edges of the effect bands.
 ALPHA = 0.05
@@ -28,34 +28,41 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(col(a), col(b)).dropna()
 
 
-def _banded(size: Column, bands, suffix: Column | str = "") -> Column:
-    tail = F.lit(suffix) if isinstance(suffix, str) else suffix
-    out = F.lit("weak")
-    for edge, name in reversed(bands):
-        out = F.when(size > edge, F.concat(F.lit(name), tail)).otherwise(out)
-    return out
+def _band(size: float, bands) -> str:
+    return next((name for edge, name in bands if size > edge), "weak")
 
 
-def _signed_band(r: Column) -> Column:
+def _signed_band(r: float) -> str:
     """Bands are closed on the positive side and open on the negative side."""
-    out = F.lit("weak")
-    for edge, name in reversed(CORRELATION_BANDS):
-        out = F.when(r < -edge, f"{name} negative").when(r >= edge, f"{name} positive").otherwise(out)
-    return out
+    for edge, name in CORRELATION_BANDS:
+        if r >= edge:
+            return f"{name} positive"
+        if r < -edge:
+            return f"{name} negative"
+    return "weak"
 
 
-def _with_r_test(one: DataFrame, band: Column) -> DataFrame:
-    """Add t², p and the effect band to a row holding n and r."""
+def _finished(one: DataFrame, p_value: Callable[[Row], float | None], band: Callable[[Row], str]) -> DataFrame:
+    """The row of a test with its p-value and, if significant, its effect band."""
+    row = one.first()
+    p = p_value(row)
+    effect = "not significant" if p is None or not p < ALPHA else band(row)
+    schema = T.StructType([*one.schema.fields, T.StructField("p_value", T.DoubleType()), T.StructField("effect", T.StringType())])
+    return one.sparkSession.createDataFrame([(*row, p, effect)], schema)
+
+
+def _r_test(one: DataFrame, band: Callable[[float], str]) -> DataFrame:
+    """Test a row holding n and r: t² follows F(1, n − 2)."""
     freedom = F.col("n") - 2
     t2 = F.when(F.abs("r") >= 1.0, F.lit(float("inf"))).otherwise(
         divide(F.col("r") * F.col("r") * freedom, 1 - F.col("r") * F.col("r")))
-    tested = one.withColumn("t_squared", t2).withColumn("p_value", f_tail_column(F.col("t_squared"), F.lit(1.0), freedom))
-    return tested.withColumn("effect", F.when(F.col("p_value") < ALPHA, band).otherwise("not significant"))
+    return _finished(
+        one.withColumn("t_squared", t2), lambda row: f_p_value(row["t_squared"], 1, row["n"] - 2), lambda row: band(row["r"]))
 
 
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
-    one = _pairs(df, a, b).agg(F.count(F.lit(1)).alias("n"), F.corr(number(a), number(b)).alias("r"))
-    return _with_r_test(one, _signed_band(F.col("r")))
+    one = _pairs(df, a, b).agg(F.count(F.lit(1)).alias("n"), correlation(number(a), number(b)).alias("r"))
+    return _r_test(one, _signed_band)
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -78,7 +85,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
         F.sum(w).alias("n"), F.sum(w * F.col("_da") * F.col("_db")).alias("_ab"),
         F.sum(w * F.col("_da") * F.col("_da")).alias("_aa"), F.sum(w * F.col("_db") * F.col("_db")).alias("_bb"),
     ).select("n", divide(F.col("_ab"), F.sqrt("_aa") * F.sqrt("_bb")).alias("r"))
-    return _with_r_test(one, _signed_band(F.col("r")))
+    return _r_test(one, _signed_band)
 
 
 def regression_line(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -124,8 +131,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     require(df, *columns)
     cells = [
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.corr(*[F.when(col(a).isNotNull() & col(b).isNotNull(), number(c)) for c in (a, b)]).alias("r")
-                 ).alias(f"s{i}")
+                 correlation(number(a), number(b)).alias("r")).alias(f"s{i}")
         for i, (a, b) in enumerate(combinations(columns, 2))
     ]
     upper = rows_from_aggregate(df.agg(*cells), [f"s{i}" for i in range(len(cells))])
@@ -151,8 +157,8 @@ def point_biserial(df: DataFrame, num: str, cat: str) -> DataFrame:
     pairs = _pairs(df, num, cat)
     top = pairs.agg(F.max(col(cat))).scalar()
     coded = pairs.withColumn("_code", (col(cat) == top).cast("double"))
-    one = coded.agg(F.count(F.lit(1)).alias("n"), F.corr(F.col("_code"), number(num)).alias("r"))
-    return _with_r_test(one, _banded(F.abs("r"), CORRELATION_BANDS))
+    one = coded.agg(F.count(F.lit(1)).alias("n"), correlation(F.col("_code"), number(num)).alias("r"))
+    return _r_test(one, lambda r: _band(abs(r), CORRELATION_BANDS))
 
 
 def anova(df: DataFrame, num: str, cat: str) -> DataFrame:
@@ -168,10 +174,9 @@ def anova(df: DataFrame, num: str, cat: str) -> DataFrame:
     between, within = F.col("groups") - 1, F.col("n") - F.col("groups")
     f = divide(divide(F.col("ss_between"), between), divide(F.col("ss_within"), within))
     tested = one.select(
-        "n", between.alias("df_between"), within.alias("df_within"), "ss_between", "ss_within", f.alias("f")
-    ).withColumn("p_value", f_tail_column(F.col("f"), F.col("df_between"), F.col("df_within")))
-    band = _banded(F.col("f"), ANOVA_BANDS)
-    return tested.withColumn("effect", F.when(F.col("p_value") < ALPHA, band).otherwise("not significant"))
+        "n", between.alias("df_between"), within.alias("df_within"), "ss_between", "ss_within", f.alias("f"))
+    return _finished(
+        tested, lambda row: f_p_value(row["f"], row["df_between"], row["df_within"]), lambda row: _band(row["f"], ANOVA_BANDS))
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -235,12 +240,11 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     smaller = F.least(F.col("rows"), F.col("columns")) - 1
     tested = (
         one.withColumn("dof", dof).withColumn("chi2", statistic)
-        .withColumn("p_value", F.when(F.col("dof") == 0, 1.0).otherwise(chi2_tail_column(F.col("chi2"), F.col("dof"))))
         .withColumn("cramers_v", F.sqrt(divide(F.col("chi2"), n * smaller)))
+        .select("n", "rows", "columns", "dof", "chi2", "cramers_v")
     )
-    band = _banded(F.col("cramers_v"), ASSOCIATION_BANDS)
-    return tested.withColumn("effect", F.when(F.col("p_value") < ALPHA, band).otherwise("not significant")).select(
-        "n", "rows", "columns", "dof", "chi2", "p_value", "cramers_v", "effect")
+    return _finished(
+        tested, lambda row: chi2_p_value(row["chi2"], row["dof"]), lambda row: _band(row["cramers_v"], ASSOCIATION_BANDS))
 
 
 def is_categorical(df: DataFrame, column: str) -> bool:

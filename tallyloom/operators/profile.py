@@ -19,7 +19,7 @@ from tallyloom.functions.columns import (
 )
 from tallyloom.functions.running import grouped_quantiles
 from tallyloom.functions.selection import exact_quantiles
-from tallyloom.functions.stats import divide, missing, percent, sample_kurtosis, sample_skewness
+from tallyloom.functions.stats import correlation, divide, missing, percent, sample_kurtosis, sample_skewness
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -321,11 +321,11 @@ def nullity_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
     columns = list(columns or df.columns)
     gap = {c: col(c).isNull().cast("double") for c in columns}
     cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.corr(gap[a], gap[b]).alias("r")).alias(f"s{i}")
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), correlation(gap[a], gap[b]).alias("r")).alias(f"s{i}")
         for i, (a, b) in enumerate(combinations(columns, 2))
     ]
     rows = rows_from_aggregate(df.agg(*cells), [f"s{i}" for i in range(len(cells))])
-    return rows.filter(F.col("r").isNotNull() & ~F.isnan("r"))
+    return rows.filter(F.col("r").isNotNull())
 
 
 # profile ------------------------------------------------------------------------------------------------------------
