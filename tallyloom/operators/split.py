@@ -31,14 +31,14 @@ def _largest_remainder(sizes: Mapping[tuple, int], total: int) -> dict[tuple, in
     return quota
 
 
-def _class_sizes(df: DataFrame, label: str) -> dict[tuple, int]:
+def class_sizes(df: DataFrame, label: str) -> dict[tuple, int]:
     rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"{label!r} has more than {MAX_CLASSES} values; it is not a class label")
     return {(r[0],): r["n"] for r in rows}
 
 
-def _per_class(label: str, values: Mapping[tuple, object]) -> Column:
+def per_class(label: str, values: Mapping[tuple, object]) -> Column:
     """A literal per class, chosen by the label of the row."""
     out = F.lit(None)
     for (cls,), value in values.items():
@@ -59,11 +59,11 @@ def with_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, strat
     hashed = df.select(*([col(stratify)] if stratify else []), place.alias("_h"))
     by = [stratify] if stratify else []
     if stratify:
-        sizes = _class_sizes(df, stratify)
+        sizes = class_sizes(df, stratify)
         quota = _largest_remainder(sizes, math.ceil(test_size * sum(sizes.values())))
         found = select_ranks(hashed, "_h", by, lambda k, n: [quota[k] - 1] if quota[k] else [], [test_size])
         cuts = {k: F.lit(at[quota[k] - 1]) for k, (_, at) in found.items() if quota[k]}
-        cut = _per_class(stratify, cuts)
+        cut = per_class(stratify, cuts)
     else:
         found = select_ranks(hashed, "_h", by, lambda _, n: [math.ceil(test_size * n) - 1], [test_size])
         cut = F.lit(next(iter(found[()][1].values())) if found else None)
@@ -103,7 +103,7 @@ def with_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, stratify: str
     require(df, *keys, *([stratify] if stratify else []))
     by = [stratify] if stratify else []
     if stratify:
-        _class_sizes(df, stratify)
+        class_sizes(df, stratify)
     place = stable_hash(keys, seed)
     hashed = df.select(*[col(b) for b in by], place.alias("_h"))
     near = [(i + 1) / folds for i in range(folds - 1)]
@@ -114,7 +114,7 @@ def with_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, stratify: str
         return reduce(lambda a, b: a + b, steps, F.lit(0))
 
     numbers = {k: number_of(n, at) for k, (n, at) in found.items()}
-    fold = _per_class(stratify, numbers) if stratify else (numbers[()] if numbers else F.lit(None))
+    fold = per_class(stratify, numbers) if stratify else (numbers[()] if numbers else F.lit(None))
     return df.withColumn(name, fold.cast("int"))
 
 
