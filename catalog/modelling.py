@@ -1 +1,212 @@
-"""placeholder"""
+"""Model fitting, search, importances, learning curves and the whole workflow."""
+
+from __future__ import annotations
+
+
+
+from pyspark.sql import functions as F
+
+from catalog.preparing import ROUTED, dirty, labelled, routed_frame
+from catalog.registry import query, table
+from tallyloom.operators import importance, learning, metrics, models, search
+from tallyloom.operators.prepare import Preprocessor
+from tallyloom.plans import evaluation, workflow
+from tallyloom.plans.cleaning import admissions_plan
+from tallyloom.session import scratch_path
+from tallyloom.sources import sinks
+
+
+def rounded(df, *columns, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def _prices(spark, sf):
+    """Price from quantity: one feature, so SQL has the same line."""
+    return table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+
+
+@query("linear_regression", sql="""
+SELECT round(regr_slope(l_extendedprice, l_quantity), 5) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem
+""")
+def linear_regression(spark, sf):
+    rows = _prices(spark, sf).withColumn(models.LABEL, F.col("l_extendedprice"))
+    fitted = models.fit_model(models.linear_regression(), {}, rows, ["l_quantity"], rows.count()).stages[-1]
+    return spark.createDataFrame([(round(float(fitted.coefficients[0]), 5), round(float(fitted.intercept), 4))], "slope double, intercept double")
+
+
+@query("non_negative_regression", sql="""
+SELECT 'l_quantity' AS feature, round(regr_slope(l_extendedprice, l_quantity), 5) AS weight FROM lineitem
+UNION ALL SELECT 'negative', CAST(0 AS DOUBLE)
+""")
+def non_negative_regression(spark, sf):
+    """A feature whose weight would be negative gets none, which leaves the line on the other one."""
+    rows = _prices(spark, sf).withColumns({models.LABEL: F.col("l_extendedprice"), "negative": -F.col("l_quantity")})
+    fitted = models.fit_model(models.linear_regression(), {"positive": True}, rows, ["l_quantity", "negative"], 0).stages[-1]
+    weights = [round(float(w), 5) for w in fitted.coefficients]
+    return spark.createDataFrame(list(zip(["l_quantity", "negative"], weights)), "feature string, weight double")
+
+
+def _admissions(spark, sf):
+    """Prepared readmission rows and their feature names."""
+    rows = routed_frame(spark, sf).dropDuplicates(["id"])
+    fitted = Preprocessor(ROUTED, keep=["id", "risk_category"]).fit(rows)
+    return fitted.transform(rows), fitted.feature_names
+
+
+def _fit_classifier(candidate, params):
+    def run(spark, sf):
+        rows, features = _admissions(spark, sf)
+        rows = models.with_code(rows, "risk_category", [0, 1])
+        model = models.fit_model(candidate, params, rows, features, rows.count())
+        out = models.scored(model, rows, ["id"])
+        return out.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+    return run
+
+
+query("random_forest_classifier")(_fit_classifier(models.random_forest(), {"n_estimators": 10, "max_depth": 5}))
+query("logistic_regression")(_fit_classifier(models.logistic_regression(), {"C": 1.0}))
+
+
+@query("random_forest_regressor")
+def random_forest_regressor(spark, sf):
+    rows = _prices(spark, sf).withColumn(models.LABEL, F.col("l_extendedprice"))
+    model = models.fit_model(models.random_forest_regressor(), {"n_estimators": 5, "max_depth": 4}, rows, ["l_quantity", "l_tax"], 0)
+    return metrics.regression_metrics(models.scored(model, rows, ["id"]), models.LABEL, "prediction", with_median=False)
+
+
+def _search(kind):
+    def run(spark, sf):
+        rows, features = _admissions(spark, sf)
+        candidates = [models.logistic_regression(20)]
+        trained, _ = search.train_all(candidates, rows, "risk_category", features, "id", metric="f1", search_type=kind, folds=3, n_iter=2)
+        return search.training_report(spark, trained).drop("seconds", "size_kb")
+
+    return run
+
+
+query("grid_search")(_search("grid"))
+query("random_search")(_search("random"))
+
+
+@query("train_regression_candidates")
+def train_regression_candidates(spark, sf):
+    trained, _ = search.train_all(
+        [models.linear_regression()], _prices(spark, sf), "l_extendedprice", ["l_quantity", "l_tax"], "id", task="regression",
+        metric="r2", folds=3)
+    return search.training_report(spark, trained).drop("seconds", "size_kb")
+
+
+@query("search_with_resampling")
+def search_with_resampling(spark, sf):
+    rows = labelled(spark, sf)
+    trained, _ = search.train_all([models.logistic_regression(20)], rows, "quality", ["x", "y", "z"], "doc_id", metric="f1",
+                                  folds=2, resampling="SMOTE", parallelism=1)
+    return search.training_report(spark, trained).drop("seconds", "size_kb")
+
+
+@query("save_model")
+def save_model(spark, sf):
+    """Store a model, read it back, and count the rows both predict alike."""
+    from pyspark.ml import PipelineModel
+
+    rows = _prices(spark, sf).withColumn(models.LABEL, F.col("l_extendedprice"))
+    model = models.fit_model(models.linear_regression(), {}, rows, ["l_quantity", "l_tax"], 0)
+    path = scratch_path(spark, "model")
+    size = sinks.save_model(spark, model, path)
+    again = PipelineModel.load(path).transform(rows).select("id", F.col("prediction").alias("again"))
+    both = model.transform(rows).select("id", "prediction").join(again, "id")
+    return both.agg(F.count_if(F.col("prediction") == F.col("again")).alias("equal"), F.count(F.lit(1)).alias("rows")).withColumn(
+        "has_size", F.lit(size > 0))
+
+
+@query("coefficient_importance")
+def coefficient_importance(spark, sf):
+    rows, features = _admissions(spark, sf)
+    model = models.fit_model(models.logistic_regression(20), {}, models.with_code(rows, "risk_category", [0, 1]), features, rows.count())
+    return importance.model_importances(spark, model, features, "LogisticRegression")
+
+
+@query("tree_importance")
+def tree_importance(spark, sf):
+    rows, features = _admissions(spark, sf)
+    model = models.fit_model(models.random_forest(), {"n_estimators": 10, "max_depth": 4},
+                             models.with_code(rows, "risk_category", [0, 1]), features, 0)
+    return importance.model_importances(spark, model, features, "RandomForest")
+
+
+@query("write_importances")
+def write_importances(spark, sf):
+    path = scratch_path(spark, "importances")
+    sinks.write_importances(tree_importance(spark, sf), path)
+    return spark.read.option("header", True).schema("model string, feature string, importance double").csv(path)
+
+
+_WEIGHTS = {"l_quantity": 2.0, "l_discount": 100.0, "l_tax": -50.0}
+_SCORE = " + ".join(f"{w} * {{{c}}}" for c, w in _WEIGHTS.items())
+_REPEATS = 3
+
+
+def _permuted(feature):
+    cells = {c: f"{'d' if c == feature else 'a'}.{c}" for c in _WEIGHTS}
+    return f"""SELECT '{feature}' AS feature, rep, 1 - sum((a.y - ({_SCORE.format(**cells)})) ^ 2) / (var_pop(a.y) * count(*)) AS score
+FROM p a JOIN w ON a.bucket = w.bucket AND a.i = w.i JOIN p d ON d.bucket = w.bucket AND d.i = w.want GROUP BY rep"""
+
+
+@query("permutation_importance", sql=f"""
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity, l_discount, l_tax, 2 * l_quantity + 90 * l_discount - 10 * l_tax + l_linenumber AS y FROM lineitem),
+b AS (SELECT *, ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42:bucket'), 1, 13))::BIGINT % 4 AS bucket,
+             ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 13))::BIGINT AS h FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h) - 1 AS i, count(*) OVER (PARTITION BY bucket) AS size FROM b),
+w AS (SELECT bucket, i, rep, (i + 1 + ('0x' || substr(md5(bucket || ':' || rep || ':42'), 1, 13))::BIGINT % (size - 1)) % size AS want
+      FROM p, range({_REPEATS}) t(rep)),
+base AS (SELECT 1 - sum((y - ({_SCORE.format(**{c: c for c in _WEIGHTS})})) ^ 2) / (var_pop(y) * count(*)) AS s FROM r),
+t AS ({" UNION ALL ".join(_permuted(c) for c in _WEIGHTS)})
+SELECT feature, round(avg(s - score), 6) AS importance, round(stddev_pop(s - score), 6) AS deviation FROM t, base GROUP BY feature
+""")
+def permutation_importance(spark, sf):
+    """A fixed linear score in place of a model, so that SQL can shuffle the same way."""
+    label = 2 * F.col("l_quantity") + 90 * F.col("l_discount") - 10 * F.col("l_tax") + F.col("l_linenumber")
+    rows = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), *_WEIGHTS, label.alias(models.LABEL))
+
+    def predict(df):
+        return df.withColumn("prediction", sum((w * F.col(c) for c, w in _WEIGHTS.items()), F.lit(0.0)))
+
+    out = importance.permutation_importance(
+        rows, predict, lambda df, by: search.score_table(df, "r2", by), list(_WEIGHTS), "id", repeats=_REPEATS, buckets=4)
+    return rounded(out, "importance", "deviation")
+
+
+@query("permutation_importance_of_model")
+def permutation_importance_of_model(spark, sf):
+    rows, features = _admissions(spark, sf)
+    rows = models.with_code(rows, "risk_category", [0, 1])
+    model = models.fit_model(models.logistic_regression(20), {}, rows, features, rows.count())
+    return importance.permutation_importance(
+        rows, model.transform, lambda df, by: search.score_table(df, "accuracy", by), features, "id", repeats=2)
+
+
+@query("learning_curve")
+def learning_curve(spark, sf):
+    rows, features = _admissions(spark, sf)
+    return learning.learning_curve(models.logistic_regression(10), {}, rows, "risk_category", features, "id", sizes=(0.25, 0.5, 1.0), folds=3)
+
+
+@query("evaluate_models")
+def evaluate_models(spark, sf):
+    """Two classifiers, trained and judged on train and test rows."""
+    raw = dirty(spark, sf).withColumn("id", F.col("unnamed_0")).dropDuplicates(["id"])
+    settings = workflow.Settings("risk_category", "id", metric="f1", folds=2, stratify=True)
+    forest = models.Candidate("RandomForest", "classification", models.random_forest().build, {"n_estimators": [10], "max_depth": [4]})
+    done = workflow.run(raw, settings, [models.logistic_regression(20), forest], admissions_plan(), Preprocessor(ROUTED))
+    return rounded(done.metrics, "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
+
+
+@query("evaluate_regressors")
+def evaluate_regressors(spark, sf):
+    rows = _prices(spark, sf).drop("l_discount")
+    settings = workflow.Settings("l_extendedprice", "id", task="regression", metric="r2", folds=2)
+    done = workflow.run(rows, settings, [models.linear_regression()])
+    return evaluation.summary(done.metrics, "regression")
