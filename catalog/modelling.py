@@ -12,7 +12,7 @@ from tallyloom.operators import importance, learning, metrics, models, search
 from tallyloom.operators.prepare import Preprocessor
 from tallyloom.plans import evaluation, workflow
 from tallyloom.plans.cleaning import admissions_plan
-from tallyloom.session import scratch_path
+from tallyloom.session import checkpointed, scratch_path
 from tallyloom.sources import sinks
 
 
@@ -20,10 +20,14 @@ def rounded(df, *columns, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def item_id():
+    """Order and line number repeat in this table; with part and supplier they do not."""
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def _prices(spark, sf):
     """Price from quantity: one feature, so SQL has the same line."""
-    return table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    return table(spark, sf, "lineitem").select(item_id().alias("id"), "l_quantity", "l_discount", "l_tax", "l_extendedprice")
 
 
 @query("linear_regression", sql="""
@@ -48,10 +52,10 @@ def non_negative_regression(spark, sf):
 
 
 def _admissions(spark, sf):
-    """Prepared readmission rows and their feature names."""
+    """Prepared readmission rows, written once because a fit reads them many times, and their feature names."""
     rows = routed_frame(spark, sf).dropDuplicates(["id"])
     fitted = Preprocessor(ROUTED, keep=["id", "risk_category"]).fit(rows)
-    return fitted.transform(rows), fitted.feature_names
+    return checkpointed(fitted.transform(rows)), fitted.feature_names
 
 
 def _fit_classifier(candidate, params):
@@ -155,9 +159,9 @@ FROM p a JOIN w ON a.bucket = w.bucket AND a.i = w.i JOIN p d ON d.bucket = w.bu
 
 
 @query("permutation_importance", sql=f"""
-WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity, l_discount, l_tax, 2 * l_quantity + 90 * l_discount - 10 * l_tax + l_linenumber AS y FROM lineitem),
-b AS (SELECT *, ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42:bucket'), 1, 13))::BIGINT % 4 AS bucket,
-             ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 13))::BIGINT AS h FROM r),
+WITH r AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_quantity, l_discount, l_tax, 2 * l_quantity + 90 * l_discount - 10 * l_tax + l_linenumber AS y FROM lineitem),
+b AS (SELECT *, ('0x' || substr(md5(id || ':42:bucket'), 1, 13))::BIGINT % 16 AS bucket,
+             ('0x' || substr(md5(id || ':42'), 1, 13))::BIGINT AS h FROM r),
 p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h) - 1 AS i, count(*) OVER (PARTITION BY bucket) AS size FROM b),
 w AS (SELECT bucket, i, rep, (i + 1 + ('0x' || substr(md5(bucket || ':' || rep || ':42'), 1, 13))::BIGINT % (size - 1)) % size AS want
       FROM p, range({_REPEATS}) t(rep)),
@@ -169,13 +173,13 @@ def permutation_importance(spark, sf):
     """A fixed linear score in place of a model, so that SQL can shuffle the same way."""
     label = 2 * F.col("l_quantity") + 90 * F.col("l_discount") - 10 * F.col("l_tax") + F.col("l_linenumber")
     rows = table(spark, sf, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), *_WEIGHTS, label.alias(models.LABEL))
+        item_id().alias("id"), *_WEIGHTS, label.alias(models.LABEL))
 
     def predict(df):
         return df.withColumn("prediction", sum((w * F.col(c) for c, w in _WEIGHTS.items()), F.lit(0.0)))
 
     out = importance.permutation_importance(
-        rows, predict, lambda df, by: search.score_table(df, "r2", by), list(_WEIGHTS), "id", repeats=_REPEATS, buckets=4)
+        rows, predict, lambda df, by: search.score_table(df, "r2", by), list(_WEIGHTS), "id", repeats=_REPEATS, buckets=16)
     return rounded(out, "importance", "deviation")
 
 

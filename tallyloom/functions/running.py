@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.columns import col
+from tallyloom.functions.selection import TooManyGroups, exact_quantiles
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -94,8 +95,24 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
     )
 
 
+def quantiles_by(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by…, n, q): exact interpolated quantiles per group as an array, plus the group's row count.
+
+    Few groups are narrowed down in a couple of scans that shuffle no rows; their result is a small
+    table.  Many groups go through running totals over value counts, which stay in Spark.
+    """
+    try:
+        found = exact_quantiles(df, [value], probs, by=by, with_counts=True)
+    except TooManyGroups:
+        return grouped_quantiles(df, value, probs, by)
+    schema = T.StructType([df.schema[b] for b in by] + [
+        T.StructField("n", T.LongType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
+    rows = [(*key[:-1], n, q) for key, (n, q) in found.items()]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """Exact interpolated quantiles per group as an array column `q`, plus the group's row count `n`.
+    """`quantiles_by` for any number of groups.
 
     Works on value counts, so neither a large group nor a repeated value meets in one task.
     """

@@ -22,6 +22,10 @@ KEEP_ROWS = 200_000
 MAX_GROUPS = 20_000
 
 
+class TooManyGroups(ValueError):
+    """The groups do not fit on the driver."""
+
+
 @dataclass
 class _Target:
     group: tuple
@@ -68,7 +72,7 @@ def select_ranks(long: DataFrame, value: str, by: Sequence[str], wanted: Callabl
         .limit(MAX_GROUPS + 1).collect()
     )
     if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; use grouped_quantiles, which keeps them in Spark")
+        raise TooManyGroups(f"more than {MAX_GROUPS} groups; use grouped_quantiles, which keeps them in Spark")
 
     sizes: dict[tuple, int] = {}
     spans: dict[tuple, tuple] = {}
@@ -154,8 +158,11 @@ def _finish(spark, long, by, by_types, value_type, targets: list[_Target], spans
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    keep_rows: int = KEEP_ROWS) -> dict:
-    """Linear-interpolated quantiles as driver values: {column: [q…]} or {(group…, column): [q…]}."""
+                    keep_rows: int = KEEP_ROWS, with_counts: bool = False) -> dict:
+    """Linear-interpolated quantiles as driver values: {column: [q…]} or {(group…, column): [q…]}.
+
+    `with_counts` gives (row count, [q…]) instead.
+    """
     if not columns:
         return {}
     long = unpivot(df, columns, keep=by, name="_column", value="_value")
@@ -171,8 +178,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             position = p * (n - 1)
             lo, hi = at[math.floor(position)], at[math.ceil(position)]
             row.append(lo + (hi - lo) * (position - math.floor(position)))
-        out[key if by else key[-1]] = row
+        out[key if by else key[-1]] = (n, row) if with_counts else row
     for c in columns:
         if not by:
-            out.setdefault(c, [None] * len(probs))
+            out.setdefault(c, (0, [None] * len(probs)) if with_counts else [None] * len(probs))
     return out

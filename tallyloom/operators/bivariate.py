@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from tallyloom.functions.columns import col, number, require, rows_from_aggregate
-from tallyloom.functions.running import average_ranks, grouped_quantiles
+from tallyloom.functions.running import average_ranks, quantiles_by
 from tallyloom.functions.stats import correlation, divide
 from tallyloom.functions.tails import chi2_p_value, f_p_value
 
@@ -148,7 +148,7 @@ def numeric_by_category(df: DataFrame, num: str, cat: str) -> DataFrame:
     pairs = _pairs(df, num, cat)
     stats = pairs.groupBy(col(cat)).agg(
         F.count(F.lit(1)).alias("n"), F.avg(number(num)).alias("mean"), F.stddev_samp(number(num)).alias("std"))
-    medians = grouped_quantiles(pairs, num, (0.5,), [cat]).select(col(cat).alias("_cat"), F.col("q")[0].alias("median"))
+    medians = quantiles_by(pairs, num, (0.5,), [cat]).select(col(cat).alias("_cat"), F.col("q")[0].alias("median"))
     return stats.join(medians, col(cat) == F.col("_cat")).select(col(cat), "n", "mean", "median", "std")
 
 

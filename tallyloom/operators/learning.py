@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyloom.functions.columns import col, stable_hash
 from tallyloom.functions.selection import select_ranks
 from tallyloom.operators.models import LABEL, Candidate, classes_of, fit_model, scored, with_code
-from tallyloom.operators.search import FOLD, check_metric, score_of
+from tallyloom.operators.search import FOLD, check_metric, score_table
 from tallyloom.operators.split import class_sizes, with_folds
 
 # Ten sizes from a tenth to all of the training rows.
@@ -44,10 +44,11 @@ def learning_curve(candidate: Candidate, params: Mapping, df: DataFrame, label:
             fold, size = job
             n, at = found[(fold,)]
             take = max(int(size * n), 1)
-            train = folded.filter((F.col(FOLD) != fold) & (F.col("_place") <= F.lit(at[take - 1])))
-            model = fit_model(candidate, params, train, features, take, seed)
-            valid = folded.filter(F.col(FOLD) == fold)
-            return size, take, score_of(scored(model, train, []), metric), score_of(scored(model, valid, []), metric)
+            part = F.when(F.col(FOLD) == fold, "valid").when(F.col("_place") <= F.lit(at[take - 1]), "train")
+            used = folded.withColumn("_part", part).filter("_part IS NOT NULL")
+            model = fit_model(candidate, params, used.filter("_part = 'train'"), features, take, seed)
+            scores = {r["_part"]: r["score"] for r in score_table(scored(model, used, ["_part"]), metric, ["_part"]).collect()}
+            return size, take, scores.get("train"), scores.get("valid")
 
         jobs = [(fold, size) for size in sizes for fold in range(folds)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -12,7 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.columns import col, number
-from tallyloom.functions.running import grouped_quantiles
+from tallyloom.functions.running import quantiles_by
+from tallyloom.functions.selection import exact_quantiles
 from tallyloom.functions.stats import divide, divide_or_zero
 
 # Fixed value: the smallest denominator of a percentage error, double machine epsilon.
@@ -49,12 +50,11 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[
     )
     if not with_median:
         return scores
-    errors = rows.select(*[col(b) for b in by], F.abs(e).alias("_abs"), F.lit(0).alias("_all"))
-    keys = by or ["_all"]
-    medians = grouped_quantiles(errors, "_abs", (0.5,), keys).select(
-        *[col(b).alias(f"_m_{b}") for b in keys], F.col("q")[0].alias("median_ae"))
+    errors = rows.select(*[col(b) for b in by], F.abs(e).alias("_abs"))
     if not by:
-        return scores.withColumn("median_ae", medians.agg(F.max("median_ae")).scalar())
+        return scores.withColumn("median_ae", F.lit(exact_quantiles(errors, ["_abs"], (0.5,))["_abs"][0]).cast("double"))
+    medians = quantiles_by(errors, "_abs", (0.5,), by).select(
+        *[col(b).alias(f"_m_{b}") for b in by], F.col("q")[0].alias("median_ae"))
     return scores.join(medians, _same_group(by, "_m_")).drop(*[f"_m_{b}" for b in by])
 
 

@@ -12,13 +12,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder as SparseEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tallyloom.functions.columns import col, missing_names, number, require, unpivot
+from tallyloom.functions.columns import col, number, require, unpivot
 from tallyloom.functions.selection import exact_quantiles
 from tallyloom.operators.kmodes import KModesImputer
 
-WIDTH_LIMIT = 1000
+WIDTH_LIMIT = 500
 
 
 @dataclass(frozen=True)
@@ -131,7 +131,8 @@ class Preprocessor:
 
     def fit(self, df: DataFrame) -> FittedPreprocessor:
         numbers, texts = self._route(df)
-        fitted = _fit_numbers(df, numbers) + _fit_texts(df, texts)
+        stats = _column_stats(df, list(numbers), list(texts))
+        fitted = _fit_numbers(df, numbers, stats) + _fit_texts(df, texts, stats)
         rest = [c for c in df.columns if c not in numbers and c not in texts]
         return FittedPreprocessor(fitted, rest)
 
@@ -167,22 +168,25 @@ class FittedPreprocessor:
         return df.select(*outputs, *[col(c) for c in self.rest if c in df.columns])
 
 
-def _fit_numbers(df: DataFrame, specs: Mapping[str, Numeric]) -> list[FittedColumn]:
-    if not specs:
-        return []
-    cells = [
-        F.struct(
-            F.count(F.lit(1)).alias("rows"), F.count(col(c)).alias("n"), F.avg(number(c)).alias("mean"),
-            F.var_pop(number(c)).alias("var"), F.min(number(c)).alias("min"), F.max(number(c)).alias("max"),
-        ).alias(f"s{i}")
-        for i, c in enumerate(specs)
-    ]
-    stats = df.agg(*cells).first()
+def _column_stats(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> dict:
+    """Moments of the numbers and the gap counts of all columns, from one aggregate."""
+    cells = {c: F.struct(
+        F.count(F.lit(1)).alias("rows"), F.count(col(c)).alias("n"), F.avg(number(c)).alias("mean"),
+        F.var_pop(number(c)).alias("var"), F.min(number(c)).alias("min"), F.max(number(c)).alias("max"),
+    ) for c in numbers}
+    cells |= {c: F.struct(F.count(F.lit(1)).alias("rows"), F.count(col(c)).alias("n")) for c in texts}
+    if not cells:
+        return {}
+    row = df.agg(*[cell.alias(f"s{i}") for i, cell in enumerate(cells.values())]).first()
+    return {c: row[f"s{i}"] for i, c in enumerate(cells)}
+
+
+def _fit_numbers(df: DataFrame, specs: Mapping[str, Numeric], stats: Mapping) -> list[FittedColumn]:
     medians = exact_quantiles(df, [c for c, s in specs.items() if isinstance(s.imputer, Median)], (0.5,))
     modes = _modes(df, [c for c, s in specs.items() if isinstance(s.imputer, MostFrequent)])
     out = []
-    for i, (name, spec) in enumerate(specs.items()):
-        s = stats[f"s{i}"]
+    for name, spec in specs.items():
+        s = stats[name]
         fill = _number_fill(name, spec.imputer, s, medians, modes)
         imputed = F.coalesce(number(name), F.lit(fill).cast("double"))
         out.append(FittedColumn(name, imputed, {name: _scaled(imputed, spec.scaler, s, fill)}))
@@ -221,10 +225,6 @@ def _scaled(value: Column, scaler, s, fill: float | None) -> Column:
     raise TypeError(f"unknown scaler {scaler!r}")
 
 
-def _text_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return unpivot(df, columns, as_type="string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value per numeric column, the smallest on ties."""
     if not columns:
@@ -235,29 +235,33 @@ def _modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     return {c: found.get(c) for c in columns}
 
 
-def _fit_texts(df: DataFrame, specs: Mapping[str, Categorical]) -> list[FittedColumn]:
+def _frequent_texts(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list[str]]:
+    """Up to `limit` values per column, most frequent first and equal ones in order.
+
+    The rank is cut at the limit in every task before its shuffle, so a column of unbounded width
+    brings no more than `limit` values anywhere.
+    """
+    counts = unpivot(df, columns, as_type="string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    ranked = counts.withColumn("place", place).filter(F.col("place") <= limit).select("column", "value", "place")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in sorted(ranked.collect(), key=lambda r: r["place"]):
+        found[r["column"]].append(r["value"])
+    return found
+
+
+def _fit_texts(df: DataFrame, specs: Mapping[str, Categorical], stats: Mapping) -> list[FittedColumn]:
     if not specs:
         return []
-    names = list(specs)
     width = {c: getattr(s.encoder, "width", WIDTH_LIMIT) for c, s in specs.items()}
-    widest = max(width.values())
-    counts = _text_counts(df, names)
-    # only columns below the width limit bring their categories to the driver
-    per_column = counts.groupBy("column").agg(
-        F.min_by("value", F.struct((-F.col("n")).alias("n"), "value")).alias("top"), F.count(F.lit(1)).alias("values"))
-    summary = {r["column"]: r for r in per_column.collect()}
-    narrow = [c for c in names if c in summary and summary[c]["values"] <= widest]
-    categories: dict[str, list[str]] = {c: [] for c in names}
-    if narrow:
-        for r in counts.filter(F.col("column").isin(narrow)).select("column", "value").collect():
-            categories[r["column"]].append(r["value"])
-    gaps = missing_names(df, names)
+    found = _frequent_texts(df, list(specs), max(width.values()) + 1)
     out = []
     for name, spec in specs.items():
-        top = summary[name]["top"] if name in summary else None
+        top = found[name][0] if found[name] else None
+        has_gaps = stats[name]["n"] < stats[name]["rows"]
         imputed, fill_values = _text_fill(df, name, spec.imputer, top)
-        seen = sorted(_categories_after(spec.imputer, set(categories[name]), fill_values, name in gaps))
-        wide = name in summary and summary[name]["values"] > width[name]
+        seen = sorted(_categories_after(spec.imputer, set(found[name]), fill_values, has_gaps))
+        wide = len(found[name]) > width[name]
         out.append(_encoded(df, name, spec.encoder, imputed, seen, wide))
     return out
 

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from tallyloom.functions.columns import (
     col, flat_columns, number, numeric_columns, require, rows_from_aggregate, stable_hash, text_columns, unpivot,
 )
-from tallyloom.functions.running import grouped_quantiles
+from tallyloom.functions.running import quantiles_by
 from tallyloom.functions.selection import exact_quantiles
-from tallyloom.functions.stats import correlation, divide, missing, percent, sample_kurtosis, sample_skewness
+from tallyloom.functions.stats import divide, missing, percent, sample_kurtosis, sample_skewness
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -211,7 +211,7 @@ def box_statistics(df: DataFrame, column: str, by: str | None = None) -> DataFra
         rows = df.select(number(column).alias("_v"), F.array(*[F.lit(q) for q in (low, mid, high)]).alias("q"))
         keys: list[Column] = []
     else:
-        quartiles = grouped_quantiles(df.filter(col(by).isNotNull()), column, QUARTILES, [by])
+        quartiles = quantiles_by(df.filter(col(by).isNotNull()), column, QUARTILES, [by])
         counted = df.filter(col(by).isNotNull()).select(col(by), number(column).alias("_v"))
         rows = counted.join(quartiles.withColumnRenamed(by, "_by"), col(by) == F.col("_by")).drop("_by")
         keys = [col(by)]
@@ -314,18 +314,24 @@ def missing_by_range(df: DataFrame, key: str, bins: int = 50) -> DataFrame:
 
 
 def nullity_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of the missing indicators of all column pairs, from one aggregate.
+    """Pearson correlation of the missing indicators of all column pairs.
 
+    One aggregate counts gaps and common gaps, from which the correlation of two indicators follows.
     Pairs with a column that is never or always missing are left out.
     """
     columns = list(columns or df.columns)
-    gap = {c: col(c).isNull().cast("double") for c in columns}
-    cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), correlation(gap[a], gap[b]).alias("r")).alias(f"s{i}")
-        for i, (a, b) in enumerate(combinations(columns, 2))
-    ]
-    rows = rows_from_aggregate(df.agg(*cells), [f"s{i}" for i in range(len(cells))])
-    return rows.filter(F.col("r").isNotNull())
+    gap = {c: col(c).isNull() for c in columns}
+    together = list(combinations(range(len(columns)), 2))
+    counts = df.agg(
+        F.count(F.lit(1)).cast("double").alias("n"), *[F.count_if(gap[c]).cast("double").alias(f"g{i}") for i, c in enumerate(columns)],
+        *[F.count_if(gap[columns[i]] & gap[columns[j]]).cast("double").alias(f"g{i}_{j}") for i, j in together])
+    n = F.col("n")
+    cells = []
+    for i, j in together:
+        a, b = F.col(f"g{i}"), F.col(f"g{j}")
+        r = divide(n * F.col(f"g{i}_{j}") - a * b, F.sqrt(a * (n - a)) * F.sqrt(b * (n - b)))
+        cells.append(F.struct(F.lit(columns[i]).alias("column_a"), F.lit(columns[j]).alias("column_b"), r.alias("r")))
+    return counts.select(F.inline(F.array(*cells))).filter(F.col("r").isNotNull())
 
 
 # profile ------------------------------------------------------------------------------------------------------------
@@ -333,7 +339,7 @@ def nullity_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
 def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
     """One row per column: type, missing, distinct, and for numbers the moments and quartiles.
 
-    All columns share one aggregate; the most frequent text value comes from one long frequency table.
+    All columns share one aggregate; distinct and most frequent texts come from one long frequency table.
     """
     columns = flat_columns(df)
     numbers, texts = numeric_columns(df), text_columns(df)
@@ -352,15 +358,19 @@ def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
             stats[name] = F.lit(q).cast("double")
         cells.append(F.struct(
             F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"),
-            F.count(F.lit(1)).alias("rows"), missing(col(c)).alias("missing"), count(col(c)).alias("distinct"),
+            F.count(F.lit(1)).alias("rows"), missing(col(c)).alias("missing"),
+            (F.lit(None).cast("long") if c in texts else count(col(c))).alias("distinct"),
             *[e.alias(n) for n, e in stats.items()],
         ).alias(f"s{i}"))
     rows = rows_from_aggregate(df.agg(*cells), [f"s{i}" for i in range(len(columns))])
     rows = rows.withColumn("pct_missing", percent(F.col("missing"), F.col("rows")))
     if not texts:
         return rows.withColumns({"top": F.lit(None).cast("string"), "top_count": F.lit(None).cast("long")})
-    frequent = most_frequent(df, texts).select(F.col("column").alias("_c"), "top", "top_count")
-    return rows.join(F.broadcast(frequent), F.col("column") == F.col("_c"), "left").drop("_c")
+    frequent = most_frequent(df, texts).select(F.col("column").alias("_c"), "top", "top_count", "values")
+    joined = rows.join(F.broadcast(frequent), F.col("column") == F.col("_c"), "left")
+    is_text = F.col("column").isin(texts)
+    return joined.withColumn(
+        "distinct", F.when(is_text, F.coalesce("values", F.lit(0))).otherwise(F.col("distinct"))).drop("_c", "values")
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -55,7 +55,7 @@ def score_table(rows: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFra
     if column in ("roc_auc", "pr_auc"):
         table = _areas(rows, column, by)
     elif METRICS[metric][0] == "classification":
-        table = metrics.classification_metrics(rows, LABEL, "prediction", by)
+        table = metrics.classification_metrics(rows, LABEL, "prediction", by, positive=1.0)  # codes of two classes: 0, 1
     else:
         table = metrics.regression_metrics(rows, LABEL, "prediction", by, with_median=column == "median_ae")
     return table.select(*[col(b) for b in by], (sign * F.col(column)).alias("score"))
