@@ -1,9 +1,10 @@
 """Exact order statistics by repeated narrowing, for statistics that end up as literals.
 
-Every round is one column-pruned scan that moves only sketches or counts.  The
-bracket around a wanted rank shrinks by a factor of a hundred or more per
-round until what is inside is small enough to bring to the driver; the counts
-below the bracket prove that the rank is inside, whatever the sketch promised.
+Every round is one column-pruned scan that moves only sketches or counts.  Around each wanted rank
+there is a bracket of values; brackets of a group are merged into disjoint intervals, so a row
+belongs to one interval or to one of the gaps between them.  A round shrinks the intervals a
+hundredfold or more, until what is inside is small enough to bring to the driver.  The counts of
+the gaps prove that a rank lies where it was looked for, whatever the sketch promised.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyloom.functions.columns import col, unpivot
 
@@ -20,6 +21,7 @@ ACCURACY = 10_000
 GRID = 512
 KEEP_ROWS = 200_000
 MAX_GROUPS = 20_000
+UNROLLED = 16
 
 
 class TooManyGroups(ValueError):
@@ -28,7 +30,8 @@ class TooManyGroups(ValueError):
 
 @dataclass
 class _Target:
-    group: tuple
+    """A wanted rank of a group, the bracket it should lie in, and about how many rows that holds."""
+
     rank: int
     low: float
     high: float
@@ -36,125 +39,171 @@ class _Target:
     answer: float | None = None
 
 
-def _brackets(spark, targets: list[_Target], by_types: list[T.DataType], value_type: T.DataType) -> DataFrame:
-    schema = T.StructType(
-        [T.StructField(f"_g{i}", t) for i, t in enumerate(by_types)]
-        + [T.StructField("_t", T.LongType()), T.StructField("_low", value_type), T.StructField("_high", value_type)]
-    )
-    rows = [(*t.group, i, t.low, t.high) for i, t in enumerate(targets)]
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def _inside(long: DataFrame, by: Sequence[str], brackets: DataFrame) -> DataFrame:
-    match = F.col("_v") <= F.col("_high")
-    for i, b in enumerate(by):
-        match = match & col(b).eqNullSafe(F.col(f"_g{i}"))
-    return long.join(brackets, match).withColumn("_below", F.col("_v") < F.col("_low"))
+@dataclass
+class _Group:
+    size: int
+    low: float
+    high: float
+    targets: list[_Target]
+
+    def open(self) -> list[_Target]:
+        return [t for t in self.targets if t.answer is None]
+
+    def intervals(self) -> list[tuple[float, float]]:
+        """Disjoint, ascending intervals that cover the brackets of the open targets."""
+        merged: list[list[float]] = []
+        for t in sorted(self.open(), key=lambda t: (t.low, t.high)):
+            if merged and t.low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], t.high)
+            else:
+                merged.append([t.low, t.high])
+        return [tuple(m) for m in merged]
+
+
+def _placed(long: DataFrame, by: Sequence[str], groups: dict[tuple, _Group]) -> DataFrame:
+    """Rows of groups with open targets, with `_i`, the first interval not below the row, and `_in`."""
+    spans = {key: g.intervals() for key, g in groups.items() if g.open()}
+    value_type = T.ArrayType(long.schema["_v"].dataType)
+    if by:
+        schema = T.StructType([T.StructField(f"_g{i}", long.schema[b].dataType) for i, b in enumerate(by)] + [
+            T.StructField("_lows", value_type), T.StructField("_highs", value_type)])
+        rows = [(*key, [low for low, _ in s], [high for _, high in s]) for key, s in spans.items()]
+        # at most MAX_GROUPS rows of a few values each
+        table = F.broadcast(long.sparkSession.createDataFrame(rows, schema))
+        match = col(by[0]).eqNullSafe(F.col("_g0"))
+        for i, b in enumerate(by[1:], start=1):
+            match = match & col(b).eqNullSafe(F.col(f"_g{i}"))
+        rows = long.join(table, match)
+    else:
+        (only,) = spans.values()
+        rows = long.withColumns({
+            "_lows": F.array(*[F.lit(low) for low, _ in only]).cast(value_type),
+            "_highs": F.array(*[F.lit(high) for _, high in only]).cast(value_type),
+        })
+    most = max(len(s) for s in spans.values())
+    place: Column
+    if most <= UNROLLED:
+        place = F.lit(0)
+        for i in range(most):
+            place = place + F.coalesce((F.get("_highs", F.lit(i)) < F.col("_v")).cast("int"), F.lit(0))
+    else:
+        place = F.size(F.filter("_highs", lambda h: h < F.col("_v")))
+    rows = rows.withColumn("_i", place)
+    return rows.withColumn("_in", F.coalesce(F.get("_lows", F.col("_i")) <= F.col("_v"), F.lit(False)))
 
 
 def select_ranks(long: DataFrame, value: str, by: Sequence[str], wanted: Callable[[tuple, int], Sequence[int]],
                  near: Sequence[float], keep_rows: int = KEEP_ROWS) -> dict[tuple, tuple[int, dict[int, float]]]:
     """Per group: its row count and the values at the wanted zero-based ranks.
 
-    `near` holds the approximate quantiles the ranks will fall on; a rank far from
-    all of them is still found, with more rounds.  `by` must have few groups.
+    `near` holds the approximate quantiles the ranks will fall on; a rank far from all of them is
+    still found, with more rounds.  `by` must have few groups.
     """
-    spark = long.sparkSession
-    exact_type = long.schema[value].dataType
-    by_types = [long.schema[b].dataType for b in by]
+    by = list(by)
     long = long.select(*[col(b) for b in by], col(value).alias("_v")).filter("_v IS NOT NULL")
+    groups = _first_round(long, by, wanted, near)
+    while True:
+        still = [g for g in groups.values() if g.open()]
+        if not still:
+            break
+        targets = [t for g in still for t in g.open()]
+        if any(t.rows > keep_rows / len(targets) and t.low < t.high for t in targets):
+            _narrow(long, by, groups)
+        else:
+            _finish(long, by, groups)
+    return {key: (g.size, {t.rank: t.answer for t in g.targets}) for key, g in groups.items()}
+
+
+def _first_round(long: DataFrame, by: list[str], wanted, near: Sequence[float]) -> dict[tuple, _Group]:
     slack = 2.0 / ACCURACY
-    probs = sorted({0.0, 1.0, *[min(max(p + s, 0.0), 1.0) for p in near for s in (-slack, slack)]})
-    groups = (
+    probs = sorted({min(max(p + s, 0.0), 1.0) for p in near for s in (-slack, slack)}) or [0.5]
+    rows = (
         long.groupBy(*[col(b) for b in by])
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
              F.percentile_approx("_v", probs, ACCURACY).alias("_q"))
         .limit(MAX_GROUPS + 1).collect()
     )
-    if len(groups) > MAX_GROUPS:
+    if len(rows) > MAX_GROUPS:
         raise TooManyGroups(f"more than {MAX_GROUPS} groups; use grouped_quantiles, which keeps them in Spark")
-
-    sizes: dict[tuple, int] = {}
-    spans: dict[tuple, tuple] = {}
-    targets: list[_Target] = []
-    for row in groups:
-        key = tuple(row[b] for b in by)
+    groups = {}
+    for row in rows:
         n = row["_n"]
         if n == 0:
             continue
-        sizes[key], spans[key] = n, (row["_min"], row["_max"])
+        key = tuple(row[b] for b in by)
+        group = _Group(n, row["_min"], row["_max"], [])
         for rank in sorted(set(wanted(key, n))):
             at = rank / max(n - 1, 1)
-            lower = [q for p, q in zip(probs, row["_q"]) if p <= at - slack / 2 and p > 0.0]
-            upper = [q for p, q in zip(probs, row["_q"]) if p >= at + slack / 2 and p < 1.0]
-            low, high = max(lower, default=row["_min"]), min(upper, default=row["_max"])
-            share = [p for p in probs if p <= at - slack / 2][-1:] or [0.0]
-            over = [p for p in probs if p >= at + slack / 2][:1] or [1.0]
-            targets.append(_Target(key, rank, low, high, n * (over[0] - share[0] + 2 * slack)))
-
-    open_targets = [t for t in targets if t.answer is None]
-    while open_targets:
-        wide = [t for t in open_targets if t.rows > keep_rows / len(open_targets) and t.low < t.high]
-        if wide:
-            _narrow(spark, long, by, by_types, exact_type, wide, spans)
-        else:
-            _finish(spark, long, by, by_types, exact_type, open_targets, spans, sizes)
-        open_targets = [t for t in targets if t.answer is None]
-
-    found: dict[tuple, tuple[int, dict[int, float]]] = {key: (n, {}) for key, n in sizes.items()}
-    for t in targets:
-        found[t.group][1][t.rank] = t.answer
-    return found
+            below = [(p, q) for p, q in zip(probs, row["_q"]) if 0.0 < p <= at - slack / 2]
+            above = [(p, q) for p, q in zip(probs, row["_q"]) if 1.0 > p >= at + slack / 2]
+            p0, low = below[-1] if below else (0.0, group.low)
+            p1, high = above[0] if above else (1.0, group.high)
+            group.targets.append(_Target(rank, low, high, n * (p1 - p0 + 2 * slack)))
+        groups[key] = group
+    return groups
+
+
+def _collect(counted: DataFrame, by: list[str]) -> dict[tuple, dict[int, list]]:
+    """Collected rows by group and interval number."""
+    out: dict[tuple, dict[int, list]] = {}
+    for r in counted.collect():
+        out.setdefault(tuple(r[b] for b in by), {}).setdefault(r["_i"], []).append(r)
+    return out
 
 
-def _narrow(spark, long, by, by_types, value_type, targets: list[_Target], spans) -> None:
+def _narrow(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None:
+    """Replace each bracket by the part of its interval around the rank."""
     grid = [i / GRID for i in range(1, GRID)]
-    seen = {
-        r["_t"]: r
-        for r in _inside(long, by, _brackets(spark, targets, by_types, value_type))
-        .groupBy("_t")
-        .agg(F.sum(F.col("_below").cast("long")).alias("below"), F.sum((~F.col("_below")).cast("long")).alias("rows"),
-             F.percentile_approx(F.when(~F.col("_below"), F.col("_v")), grid, ACCURACY).alias("q"))
-        .collect()
-    }
-    for i, t in enumerate(targets):
-        row = seen.get(i)
-        if row is None or not row["below"] <= t.rank < row["below"] + row["rows"]:
-            t.low, t.high = spans[t.group]
+    edge = 2.0 / ACCURACY
+    inside = F.when(F.col("_in"), F.col("_v"))
+    seen = _collect(
+        _placed(long, by, groups).groupBy(*[col(b) for b in by], "_i").agg(
+            F.count_if("_in").alias("rows"), F.count_if(~F.col("_in")).alias("gap"),
+            F.percentile_approx(inside, grid, ACCURACY).alias("q")), by)
+    for key, group in groups.items():
+        if not group.open():
             continue
-        at = (t.rank - row["below"]) / row["rows"]
-        edge = 2.0 / ACCURACY
-        low = max((q for p, q in zip(grid, row["q"]) if p < at - edge), default=t.low)
-        high = min((q for p, q in zip(grid, row["q"]) if p > at + edge), default=t.high)
-        if (low, high) == (t.low, t.high):
-            t.rows = 0.0  # cannot shrink: few distinct values, which the last step counts
-        else:
-            t.low, t.high, t.rows = low, high, row["rows"] * (1.0 / GRID + 2 * edge) * 2
-
-
-def _finish(spark, long, by, by_types, value_type, targets: list[_Target], spans, sizes) -> None:
-    counted = (
-        _inside(long, by, _brackets(spark, targets, by_types, value_type))
-        .groupBy("_t", "_below", F.when(~F.col("_below"), F.col("_v")).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    below: dict[int, int] = {}
-    values: dict[int, list[tuple[float, int]]] = {}
-    for r in counted.collect():
-        if r["_below"]:
-            below[r["_t"]] = r["c"]
-        else:
-            values.setdefault(r["_t"], []).append((r["_v"], r["c"]))
-    for i, t in enumerate(targets):
-        position = below.get(i, 0)
-        if t.rank >= position:
-            for v, c in sorted(values.get(i, [])):
+        intervals, position = group.intervals(), 0
+        spans = []
+        for i, (low, high) in enumerate(intervals):
+            row = next(iter(seen.get(key, {}).get(i, [])), None)
+            position += row["gap"] if row else 0
+            rows = row["rows"] if row else 0
+            spans.append((position, rows, low, high, row["q"] if row else None))
+            position += rows
+        for t in group.open():
+            span = next((s for s in spans if s[0] <= t.rank < s[0] + s[1]), None)
+            if span is None:  # the sketch missed: look in the whole group
+                t.low, t.high, t.rows = group.low, group.high, float(group.size)
+                continue
+            first, rows, low, high, quantiles = span
+            at = (t.rank - first) / rows
+            new_low = max((q for p, q in zip(grid, quantiles) if p < at - edge), default=low)
+            new_high = min((q for p, q in zip(grid, quantiles) if p > at + edge), default=high)
+            if (new_low, new_high) == (t.low, t.high):
+                t.rows = 0.0  # cannot shrink: few distinct values, which the last round counts
+            else:
+                t.low, t.high, t.rows = new_low, new_high, rows * (1.0 / GRID + 2 * edge) * 2
+
+
+def _finish(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None:
+    """Count the values inside the intervals and walk to the ranks."""
+    value = F.when(F.col("_in"), F.col("_v")).alias("_value")
+    seen = _collect(
+        _placed(long, by, groups).groupBy(*[col(b) for b in by], "_i", value).agg(F.count(F.lit(1)).alias("c")), by)
+    for key, group in groups.items():
+        pending = sorted(group.open(), key=lambda t: t.rank)
+        position = 0
+        for _, rows in sorted(seen.get(key, {}).items()):
+            position += sum(r["c"] for r in rows if r["_value"] is None)
+            for v, c in sorted((r["_value"], r["c"]) for r in rows if r["_value"] is not None):
+                for t in pending:
+                    if position <= t.rank < position + c:
+                        t.answer = v
                 position += c
-                if t.rank < position:
-                    t.answer = v
-                    break
-        if t.answer is None:  # the sketch missed: start over from the full span of the group
-            (t.low, t.high), t.rows = spans[t.group], float(sizes[t.group])
+        for t in pending:
+            if t.answer is None:  # the sketch missed: look in the whole group
+                t.low, t.high, t.rows = group.low, group.high, float(group.size)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
@@ -165,12 +214,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     if not columns:
         return {}
-    long = unpivot(df, columns, keep=by, name="_column", value="_value")
 
     def wanted(_, n):
         return [r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
-    found = select_ranks(long, "_value", [*by, "_column"], wanted, list(probs), keep_rows)
+    if len(columns) == 1 and not by:
+        only = df.select(col(columns[0]).cast("double").alias("_value"))
+        found = {(columns[0],): v for v in select_ranks(only, "_value", [], wanted, list(probs), keep_rows).values()}
+    else:
+        long = unpivot(df, columns, keep=by, name="_column", value="_value")
+        found = select_ranks(long, "_value", [*by, "_column"], wanted, list(probs), keep_rows)
     out = {}
     for key, (n, at) in found.items():
         row = []

@@ -38,11 +38,11 @@ def shuffled(df: DataFrame, features: Sequence[str], key: str, repeats: int, see
     bucket = F.pmod(stable_hash([key], f"{seed}:bucket"), F.lit(buckets)).alias("_bucket")
     inside = Window.partitionBy("_bucket").orderBy("_h")
     rows = df.withColumn("_h", stable_hash([key], seed)).withColumn("_bucket", bucket)
-    placed = rows.withColumns({"_at": F.row_number().over(inside) - 1}).drop("_h")
-    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    size = F.count(F.lit(1)).over(Window.partitionBy("_bucket")).cast("int")
+    placed = rows.withColumns({"_at": F.row_number().over(inside) - 1, "_size": size}).drop("_h")
     donors = placed.select(F.col("_bucket").alias("_b"), F.col("_at").alias("_from"),
                            *[number(f).alias(f"_d{i}") for i, f in enumerate(features)])
-    asked = placed.join(F.broadcast(sizes), "_bucket").withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    asked = placed.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     shift = 1 + F.pmod(stable_hash(["_bucket", "repeat"], seed), F.greatest(F.col("_size") - 1, F.lit(1)))
     asked = asked.withColumn("_want", F.pmod(F.col("_at") + shift, F.col("_size")).cast("int"))
     paired = asked.join(donors, (F.col("_bucket") == F.col("_b")) & (F.col("_want") == F.col("_from")))

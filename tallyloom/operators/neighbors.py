@@ -21,7 +21,7 @@ from tallyloom.functions.columns import col, missing_names, number, require
 from tallyloom.session import checkpointed
 
 CELL_POINTS = 2048
-MAX_CELLS = 16_384
+MAX_CELLS = 8192
 SAMPLE_PER_CELL = 32
 QUERIES_PER_TASK = 4096
 BLOCK = 512
@@ -65,7 +65,7 @@ def _plan_layout(points: DataFrame, cell_points: int) -> _Layout:
         span = 2**31
         edge = min(span, math.ceil(span * min(1.0, 1.5 * wanted / total)))
         picked = points.filter(F.pmod(F.xxhash64("vector"), F.lit(span)) < edge)
-        for r in picked.select("group", "pattern", "vector").limit(4 * wanted).collect():
+        for r in picked.select("group", "pattern", "vector").limit(2 * wanted).collect():
             sampled.setdefault((r["group"], r["pattern"]), []).append(r["vector"])
     trees, first = {}, 0
     for space, d in depth.items():

@@ -311,5 +311,5 @@ def _fit_sparse(df: DataFrame, name: str, imputed: Column):
     helper = f"_imputed_{name}"
     indexer = StringIndexer(inputCol=helper, outputCol=f"_index_{name}", stringOrderType="alphabetAsc",
                             handleInvalid="keep")
-    encoder = SparseEncoder(inputCol=f"_index_{name}", outputCol=f"{name}_vec", dropLast=True, handleInvalid="keep")
+    encoder = SparseEncoder(inputCol=f"_index_{name}", outputCol=f"{name}_vec", dropLast=True)
     return Pipeline(stages=[indexer, encoder]).fit(df.withColumn(helper, imputed))
