@@ -26,12 +26,6 @@ def _mismatches(names: Sequence[str], mode: Sequence[str]) -> Column:
     return total
 
 
-def nearest(names: Sequence[str], modes: Sequence[Sequence[str]]) -> Column:
-    """Index of the mode with the fewest mismatches, the first of equals."""
-    away = F.array(*[_mismatches(names, m) for m in modes])
-    return (F.array_position(away, F.array_min(away)) - 1).cast("int")
-
-
 @dataclass(frozen=True)
 class KModes:
     """init="Cao" starts from dense, distant combinations; "Huang" draws from the value frequencies."""

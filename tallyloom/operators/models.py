@@ -16,10 +16,11 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasFitIntercept, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.columns import col
 from tallyloom.operators.iterative import products
+from tallyloom.operators.split import per_class
 
 FEATURES = "features"
 LABEL = "label"
@@ -195,10 +196,8 @@ def check_task(task: str, candidates: Sequence[Candidate]) -> None:
 
 def with_code(df: DataFrame, label: str, classes: Sequence) -> DataFrame:
     """Add the label as Spark ML expects it: the position of the class in sorted order."""
-    code: Column = F.lit(None).cast("double")
-    for i, cls in enumerate(classes):
-        code = F.when(col(label) == F.lit(cls), float(i)).otherwise(code)
-    return df.withColumn(LABEL, code)
+    codes = {(cls,): float(i) for i, cls in enumerate(classes)}
+    return df.withColumn(LABEL, per_class(df, label, codes, "double"))
 
 
 def classes_of(df: DataFrame, label: str, limit: int = 1000) -> list:

@@ -45,9 +45,9 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     ranks = select_ranks(base.select(col(label), place.alias("_h")), "_h", [label],
                          lambda cls, n: [extra[cls] - 1] if extra[cls] else [],
                          sorted({extra[c] / sizes[c] for c in short}))
-    cut = per_class(label, {cls: F.lit(at[extra[cls] - 1]) for cls, (_, at) in ranks.items() if extra[cls]})
-    whole = per_class(label, {cls: F.lit(need // sizes[cls]) for cls, need in short.items()})
-    copies = whole.cast("long") + F.coalesce((place <= cut.cast("bigint")).cast("long"), F.lit(0))
+    cut = per_class(df, label, {cls: at[extra[cls] - 1] for cls, (_, at) in ranks.items() if extra[cls]}, "bigint")
+    whole = per_class(df, label, {cls: need // sizes[cls] for cls, need in short.items()}, "bigint")
+    copies = whole + F.coalesce((place <= cut).cast("long"), F.lit(0))
 
     found = nearest_rows(base, base, features, key, point(features), k, group=label, cell_points=cell_points)
     near = attach_neighbours(base, found, features, label).withColumn("_near", others("neighbours", key, k)).drop("neighbours")

@@ -38,11 +38,16 @@ def class_sizes(df: DataFrame, label: str) -> dict[tuple, int]:
     return {(r[0],): r["n"] for r in rows}
 
 
-def per_class(label: str, values: Mapping[tuple, object]) -> Column:
-    """A literal per class, chosen by the label of the row."""
-    out = F.lit(None)
-    for (cls,), value in values.items():
-        out = F.when(col(label).eqNullSafe(F.lit(cls)), value).otherwise(out)
+def per_class(df: DataFrame, label: str, values: Mapping[tuple, object], kind: str) -> Column:
+    """A literal of type `kind` per class, looked up by the label of the row; NULL for a class without one."""
+    key_type = df.schema[label].dataType
+    known = {cls: v for (cls,), v in values.items() if cls is not None}
+    out = F.lit(None).cast(kind)
+    if known:
+        pairs = [x for cls, v in known.items() for x in (F.lit(cls).cast(key_type), F.lit(v).cast(kind))]
+        out = F.try_element_at(F.create_map(*pairs), col(label))
+    if (None,) in values:
+        out = F.when(col(label).isNull(), F.lit(values[(None,)]).cast(kind)).otherwise(out)
     return out
 
 
@@ -62,8 +67,7 @@ def with_split(df: DataFrame, keys: Sequence[str], test_size: float = 0.2, strat
         sizes = class_sizes(df, stratify)
         quota = _largest_remainder(sizes, math.ceil(test_size * sum(sizes.values())))
         found = select_ranks(hashed, "_h", by, lambda k, n: [quota[k] - 1] if quota[k] else [], [test_size])
-        cuts = {k: F.lit(at[quota[k] - 1]) for k, (_, at) in found.items() if quota[k]}
-        cut = per_class(stratify, cuts)
+        cut = per_class(df, stratify, {k: at[quota[k] - 1] for k, (_, at) in found.items() if quota[k]}, "bigint")
     else:
         found = select_ranks(hashed, "_h", by, lambda _, n: [math.ceil(test_size * n) - 1], [test_size])
         cut = F.lit(next(iter(found[()][1].values())) if found else None)
@@ -91,8 +95,7 @@ def join_target(features: DataFrame, target: DataFrame, keys: Sequence[str]) ->
 def _fold_ends(n: int, folds: int) -> list[int]:
     """Zero-based rank of the last row of every fold but the last; sizes differ by one at most."""
     sizes = [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
-    ends = [sum(sizes[: i + 1]) - 1 for i in range(folds - 1)]
-    return [e for e in ends if e >= 0]
+    return [sum(sizes[: i + 1]) - 1 for i in range(folds - 1)]
 
 
 def with_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, stratify: str | None = None, seed: int = 42,
@@ -102,20 +105,19 @@ def with_folds(df: DataFrame, keys: Sequence[str], folds: int = 5, stratify: str
         raise ValueError("at least two folds are needed")
     require(df, *keys, *([stratify] if stratify else []))
     by = [stratify] if stratify else []
-    if stratify:
-        class_sizes(df, stratify)
     place = stable_hash(keys, seed)
     hashed = df.select(*[col(b) for b in by], place.alias("_h"))
     near = [(i + 1) / folds for i in range(folds - 1)]
     found = select_ranks(hashed, "_h", by, lambda _, n: _fold_ends(n, folds), near)
 
-    def number_of(n: int, at: Mapping[int, int]) -> Column:
-        steps = [(place > at[end]).cast("int") for end in _fold_ends(n, folds)]
-        return reduce(lambda a, b: a + b, steps, F.lit(0))
-
-    numbers = {k: number_of(n, at) for k, (n, at) in found.items()}
-    fold = per_class(stratify, numbers) if stratify else (numbers[()] if numbers else F.lit(None))
-    return df.withColumn(name, fold.cast("int"))
+    ends = {k: [at[e] for e in _fold_ends(n, folds)] for k, (n, at) in found.items()}
+    if stratify:
+        cuts = per_class(df, stratify, ends, "array<bigint>")
+    else:
+        cuts = F.lit(ends[()]).cast("array<bigint>") if ends else F.lit(None).cast("array<bigint>")
+    number = reduce(lambda a, b: a + b, [
+        F.coalesce((place > F.get(F.col("_cuts"), F.lit(i))).cast("int"), F.lit(0)) for i in range(folds - 1)])
+    return df.withColumn("_cuts", cuts).withColumn(name, number).drop("_cuts")
 
 
 def by_hash_share(df: DataFrame, keys: Sequence[str], test_size: float, seed: int = 42) -> DataFrame:
