@@ -117,7 +117,8 @@ def best_threshold(spark, sf):
 WITH long AS (SELECT split AS class, score, hit FROM ({BINARY})), {_CUMULATED},
 f AS (SELECT class, score, tp / (tp + fp) AS pr, tp / p AS re FROM c), o AS (SELECT *, 2 * pr * re / (pr + re + 1e-8) AS f1 FROM f),
 r AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY f1 DESC, score) AS rn FROM o WHERE pr >= 0.4999 AND re >= 0.2)
-SELECT class AS split, score AS threshold, round(f1, 6) AS f1, round(pr, 6) AS "precision", round(re, 6) AS recall FROM r WHERE rn = 1
+SELECT k.class AS split, coalesce(score, 0.5) AS threshold, round(coalesce(f1, 0), 6) AS f1, round(pr, 6) AS "precision", round(re, 6) AS recall
+FROM (SELECT DISTINCT class FROM long) k LEFT JOIN r ON r.class = k.class AND rn = 1
 """)
 def best_threshold_with_floor(spark, sf):
     out = curves.best_threshold(binary_scores(spark, sf), "hit", "score", ["split"], minimum_precision=0.4999, minimum_recall=0.2)

@@ -21,8 +21,9 @@ def rounded(df, *columns, digits=6):
 
 
 def item_id():
-    """Order and line number repeat in this table; with part and supplier they do not."""
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    """Order and line number repeat in this table; with part, supplier and price in cents they do not."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
 def _prices(spark, sf):
@@ -40,11 +41,11 @@ def linear_regression(spark, sf):
 
 
 @query("non_negative_regression", sql="""
-SELECT 'l_quantity' AS feature, round(regr_slope(l_extendedprice, l_quantity), 5) AS weight FROM lineitem
-UNION ALL SELECT 'negative', CAST(0 AS DOUBLE)
+SELECT 'l_quantity' AS feature, round(greatest(regr_slope(l_extendedprice, l_quantity), 0), 5) AS weight FROM lineitem
+UNION ALL SELECT 'negative', round(greatest(-regr_slope(l_extendedprice, l_quantity), 0), 5) FROM lineitem
 """)
 def non_negative_regression(spark, sf):
-    """A feature whose weight would be negative gets none, which leaves the line on the other one."""
+    """Of a feature and its negative only the one with the positive weight is used, and it carries the line."""
     rows = _prices(spark, sf).withColumns({models.LABEL: F.col("l_extendedprice"), "negative": -F.col("l_quantity")})
     fitted = models.fit_model(models.linear_regression(), {"positive": True}, rows, ["l_quantity", "negative"], 0).stages[-1]
     weights = [round(float(w), 5) for w in fitted.coefficients]
@@ -159,7 +160,7 @@ FROM p a JOIN w ON a.bucket = w.bucket AND a.i = w.i JOIN p d ON d.bucket = w.bu
 
 
 @query("permutation_importance", sql=f"""
-WITH r AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_quantity, l_discount, l_tax, 2 * l_quantity + 90 * l_discount - 10 * l_tax + l_linenumber AS y FROM lineitem),
+WITH r AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) AS id, l_quantity, l_discount, l_tax, 2 * l_quantity + 90 * l_discount - 10 * l_tax + l_linenumber AS y FROM lineitem),
 b AS (SELECT *, ('0x' || substr(md5(id || ':42:bucket'), 1, 13))::BIGINT % 16 AS bucket,
              ('0x' || substr(md5(id || ':42'), 1, 13))::BIGINT AS h FROM r),
 p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h) - 1 AS i, count(*) OVER (PARTITION BY bucket) AS size FROM b),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.operators.compare import compare_dataframes
@@ -15,6 +14,7 @@ from tallyloom.operators.search import Trained, train_all
 from tallyloom.operators.split import SPLIT, with_split
 from tallyloom.plans.cleaning import CleaningPlan
 from tallyloom.plans.evaluation import evaluate
+from tallyloom.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -50,12 +50,14 @@ class Outcome:
 
 def run(raw: DataFrame, settings: Settings, candidates: Sequence[Candidate], plan: CleaningPlan | None = None,
         preprocessor: Preprocessor | None = None) -> Outcome:
-    """The raw table's names are resolved by the plan: `key` and `target` are names after cleaning."""
+    """The raw table's names are resolved by the plan: `key` and `target` are names after cleaning.
+
+    The cleaned rows are written once: the split, the fits and the comparison all read them.
+    """
     s = settings
-    cleaned = plan.clean_all(raw) if plan else raw
+    cleaned = checkpointed(plan.clean_all(raw) if plan else raw)
     comparison = compare_dataframes(raw, cleaned)
     marked = with_split(cleaned, [s.key], s.test_size, s.target if s.stratify else None, s.seed)
-    marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
     chosen = preprocessor or Preprocessor()
     chosen = Preprocessor(chosen.custom, chosen.numeric, chosen.categorical, [*chosen.keep, s.key, s.target, SPLIT])
     fitted = chosen.fit(marked.filter(F.col(SPLIT) == "train"))
@@ -67,5 +69,4 @@ def run(raw: DataFrame, settings: Settings, candidates: Sequence[Candidate], pla
     results = None
     if trained:
         results = evaluate(trained, prepared, s.target, s.key, s.task, s.minimum_precision, s.minimum_recall)
-    marked.unpersist()
     return Outcome(cleaned, comparison, fitted, prepared, trained, errors, results)

@@ -1,4 +1,4 @@
-"""Run queries against DuckDB: python -m tests.oracle [name…] [--sf 0.01] [--quiet]"""
+"""Run queries against DuckDB: python -m tests.oracle [name…] [--sf 0.01] [--threads 1]"""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import decimal
 import math
 import time
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 
@@ -66,12 +67,29 @@ def check(spark, con, name, function, sql, sf_dir):
     rows = frame.collect()
     seconds = time.time() - started
     if sql is None:
-        return seconds, len(rows), None
+        return seconds, len(rows), None if rows else "no rows"
     result = con.execute(sql)
     wanted = canonical([d[0] for d in result.description], result.fetchall())
     return seconds, len(rows), difference(canonical(frame.columns, [tuple(r) for r in rows]), wanted)
 
 
+def check_all(spark, sf_dir, queries, oracles, threads, report=lambda *_: None):
+    """{name: difference or None}, several queries at a time; a failing query's difference is its traceback."""
+    con = connect(sf_dir)
+
+    def one(item):
+        name, function = item
+        try:
+            seconds, rows, bad = check(spark, con.cursor(), name, function, oracles.get(name), sf_dir)
+        except Exception:
+            seconds, rows, bad = 0.0, 0, traceback.format_exc(limit=-4)[:3000]
+        report(name, "sql" if name in oracles else "rows", seconds, rows, bad)
+        return name, bad
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return dict(pool.map(one, queries.items()))
+
+
 def main():
     from __spark_entry__ import oracle_sql, queries
     from tallyloom.session import local_session
@@ -79,23 +97,17 @@ def main():
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--threads", type=int, default=1)
     args = parser.parse_args()
-    sf_dir = f"/root/testdata/sf{args.sf}"
     spark = local_session()
     spark.sparkContext.setLogLevel("OFF")
-    con = connect(sf_dir)
     todo = {n: f for n, f in queries().items() if not args.names or any(n.startswith(a) for a in args.names)}
-    failed = []
-    for name, function in todo.items():
-        sql = oracle_sql().get(name)
-        try:
-            seconds, rows, bad = check(spark, con, name, function, sql, sf_dir)
-        except Exception:
-            seconds, rows, bad = 0.0, 0, traceback.format_exc(limit=-4)[:3000]
-        kind = "rows" if sql is None else "sql"
+
+    def report(name, kind, seconds, rows, bad):
         print(f"{'FAIL' if bad else 'ok  '} {kind:4} {seconds:6.2f}s {rows:7d} {name}" + (f"\n   {bad}" if bad else ""), flush=True)
-        if bad:
-            failed.append(name)
+
+    found = check_all(spark, f"/root/testdata/sf{args.sf}", todo, oracle_sql(), args.threads, report)
+    failed = [n for n, bad in found.items() if bad]
     print(f"{len(todo) - len(failed)}/{len(todo)} passed; failed: {failed}")
 
 

@@ -1,13 +1,13 @@
-"""Every query with SQL gives the rows DuckDB gives; the others run and have a stable schema."""
+"""Every query with SQL gives the rows DuckDB gives; the others give rows."""
 
 from __future__ import annotations
 
 import pytest
 
 from catalog import ORACLES, QUERIES
-from tests.oracle import check, connect
+from tests.oracle import check_all
 
-# Fits of several models: covered at a larger scale by `python -m tests.oracle`.
+# Searches and fits of several models: covered by test_models and by `python -m tests.oracle`.
 SLOW = {
     "evaluate_models", "grid_search", "random_search", "learning_curve", "search_with_resampling", "permutation_importance_of_model",
     "train_regression_candidates", "write_importances", "random_forest_classifier",
@@ -15,21 +15,14 @@ SLOW = {
 
 
 @pytest.fixture(scope="module")
-def con(sf_dir):
-    return connect(sf_dir)
+def differences(spark, sf_dir):
+    """All queries once, several at a time."""
+    return check_all(spark, sf_dir, {n: f for n, f in QUERIES.items() if n not in SLOW}, ORACLES, threads=6)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_matches_sql(spark, con, sf_dir, name):
-    _, _, bad = check(spark, con, name, QUERIES[name], ORACLES[name], sf_dir)
-    assert bad is None, bad
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
-def test_runs(spark, sf_dir, name):
-    first, second = QUERIES[name](spark, sf_dir), QUERIES[name](spark, sf_dir)
-    assert first.count() > 0
-    assert first.schema == second.schema
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+def test_query(differences, name):
+    assert differences[name] is None, differences[name]
 
 
 def test_every_oracle_has_its_query():
