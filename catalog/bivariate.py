@@ -172,11 +172,10 @@ def chi_square_two_by_two(spark, sf):
     return rounded(rounded(out, "chi2", digits=5), "cramers_v")
 
 
-@query("chi_square_with_empty_cells", sql=DIRTY + "," + _chi_square("medication_adherence", "length_of_stay", "dirty", "unnamed_0 % 3 = length(gender) % 3"))
+@query("chi_square_with_empty_cells", sql="WITH " + _chi_square("conv_id", "turn", "conversations"))
 def chi_square_with_empty_cells(spark, sf):
-    """Adherence is bound to the key, so this selection leaves cells without rows."""
-    rows = dirty(spark, sf).filter("unnamed_0 % 3 = length(gender) % 3")
-    out = bivariate.chi_square(rows, "medication_adherence", "length_of_stay").drop("p_value", "effect")
+    """Short conversations have no late turns, so many cells are empty."""
+    out = bivariate.chi_square(table(spark, sf, "conversations"), "conv_id", "turn").drop("p_value", "effect")
     return rounded(rounded(out, "chi2", digits=5), "cramers_v")
 
 

@@ -209,23 +209,40 @@ def clean_then_summarise(spark, sf):
         "risk_category", "n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "std")])
 
 
-_REPORT = [
-    (3, "drop_missing_values", "", "rows_dropped", "TRUE", "risk_category IS NULL"),
-    (4, "map_values", "risk_category", "values_changed", "risk_category IS NOT NULL", "TRUE"),
-    (5, "drop_missing_values", "", "rows_dropped", "risk_category IS NOT NULL", "age IS NULL"),
-    (6, "remove_out_of_range", "", "rows_dropped", "risk_category IS NOT NULL AND age IS NOT NULL", "NOT age BETWEEN 0 AND 105"),
-    (7, "drop_missing_values", "", "rows_dropped", "risk_category IS NOT NULL AND age BETWEEN 0 AND 105", "gender IS NULL"),
-    (8, "drop_missing_values", "", "rows_dropped", "risk_category IS NOT NULL AND age BETWEEN 0 AND 105 AND gender IS NOT NULL",
-     "comorbidities IS NULL"),
-]
+def _report_rows():
+    """(step, name, column, metric, rows alive before the step, rows it hits) for the whole plan."""
+    alive = ["TRUE"]
+    rows = []
+
+    def drop(step, name, hit):
+        rows.append((step, name, "", "rows_dropped", " AND ".join(alive), hit))
+        alive.append(f"NOT ({hit})")
+
+    def change(step, name, column, hit):
+        rows.append((step, name, column, "values_changed", " AND ".join(alive), hit))
+
+    drop(3, "drop_missing_values", "risk_category IS NULL")
+    change(4, "map_values", "risk_category", "TRUE")
+    drop(5, "drop_missing_values", "age IS NULL")
+    drop(6, "remove_out_of_range", "age NOT BETWEEN 0 AND 105")
+    drop(7, "drop_missing_values", "gender IS NULL")
+    drop(8, "drop_missing_values", "comorbidities IS NULL")
+    drop(9, "remove_out_of_range", "comorbidities NOT BETWEEN 0 AND 20")
+    drop(10, "drop_missing_values", "length_of_stay IS NULL")
+    change(11, "replace_character", "length_of_stay", "contains(length_of_stay, ' days')")
+    drop(13, "drop_missing_values", "medication_adherence IS NULL")
+    change(14, "map_values", "medication_adherence", "medication_adherence IN ('Lo', 'Mediu', 'Hig')")
+    drop(15, "drop_missing_values", "number_of_previous_admissions IS NULL")
+    drop(16, "remove_out_of_range", "number_of_previous_admissions NOT BETWEEN 0 AND 15")
+    return rows
 
 
 @query("step_change_report", sql=DIRTY + "\nUNION ALL ".join(
     f"SELECT {no} AS step_no, '{step}' AS step, '{column}' AS \"column\", '{metric}' AS metric, "
     f"CAST(count(*) FILTER (WHERE {alive} AND ({hit})) AS BIGINT) AS value FROM dirty"
-    for no, step, column, metric, alive, hit in _REPORT))
+    for no, step, column, metric, alive, hit in _report_rows()))
 def step_change_report(spark, sf):
-    return admissions_plan().report(raw_admissions(spark, sf)).filter("step_no <= 8")
+    return admissions_plan().report(raw_admissions(spark, sf))
 
 
 @query("step_report_with_duplicates", sql=DIRTY + """

@@ -85,74 +85,80 @@ def folds_stratified(spark, sf):
 
 # imputers, scalers, encoders ----------------------------------------------------------------------------------------
 
-_TRAIN = "unnamed_0 % 5 <> 0"
+def _marked(source, key):
+    """SQL that marks the train rows of a table: all but the first fifth in hash order of the key."""
+    place = f"('0x' || {_HASH.format(key=key, seed=42)})::BIGINT"
+    return f""",
+placed AS (SELECT *, {place} AS h FROM {source}),
+cut AS (SELECT h FROM (SELECT h, row_number() OVER (ORDER BY h) AS i, count(*) OVER () AS n FROM placed) WHERE i = ceil(0.2 * n)),
+marked AS (SELECT *, h > (SELECT h FROM cut) AS is_train FROM placed)"""
 
 
-def _train(rows):
-    return rows.filter(_TRAIN)
+MARKED = DIRTY + _marked("dirty", "unnamed_0") + "\n"
 
 
-def _fitted(spark, sf, columns, custom, **settings):
-    """Fit on one part of the rows, apply to all of them."""
+def _fit_on_train(rows, key, custom):
+    """Fit on the train part of a split, apply to all rows."""
+    train = split.with_split(rows, [key], 0.2).filter("split = 'train'").drop("split")
+    return Preprocessor(custom, keep=[key]).fit(train)
+
+
+def _fitted(spark, sf, columns, custom):
     rows = dirty(spark, sf).select("unnamed_0", *columns)
-    return Preprocessor(custom, keep=["unnamed_0"], **settings).fit(_train(rows)).transform(rows)
+    return _fit_on_train(rows, "unnamed_0", custom).transform(rows)
 
 
 PLAIN = NoScale()
 
 
-@query("impute_mean_and_median", sql=DIRTY + f"""
-SELECT unnamed_0, round(coalesce(age, (SELECT avg(age) FROM dirty WHERE {_TRAIN})), 6) AS age,
-       coalesce(comorbidities, (SELECT quantile_cont(comorbidities, 0.5) FROM dirty WHERE {_TRAIN})) AS comorbidities FROM dirty
+@query("impute_mean_and_median", sql=MARKED + f"""
+SELECT unnamed_0, round(coalesce(age, (SELECT avg(age) FROM marked WHERE is_train)), 6) AS age,
+       coalesce(comorbidities, (SELECT quantile_cont(comorbidities, 0.5) FROM marked WHERE is_train)) AS comorbidities FROM marked
 """)
 def impute_mean_and_median(spark, sf):
     out = _fitted(spark, sf, ["age", "comorbidities"], {"age": Numeric(Mean(), PLAIN), "comorbidities": Numeric(Median(), PLAIN)})
     return rounded(out, "age")
 
 
-@query("impute_most_frequent", sql=DIRTY + f"""
-SELECT unnamed_0, coalesce(gender, (SELECT gender FROM dirty WHERE {_TRAIN} AND gender IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS gender,
-       coalesce(number_of_previous_admissions, (SELECT number_of_previous_admissions FROM dirty
-         WHERE {_TRAIN} AND number_of_previous_admissions IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS number_of_previous_admissions
-FROM dirty
+@query("impute_most_frequent", sql=MARKED + f"""
+SELECT unnamed_0, coalesce(gender, (SELECT gender FROM marked WHERE is_train AND gender IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS gender,
+       coalesce(number_of_previous_admissions, (SELECT number_of_previous_admissions FROM marked
+         WHERE is_train AND number_of_previous_admissions IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS number_of_previous_admissions
+FROM marked
 """)
 def impute_most_frequent(spark, sf):
     return _fitted(spark, sf, ["gender", "number_of_previous_admissions"], {
         "gender": Categorical(MostFrequent(), None), "number_of_previous_admissions": Numeric(MostFrequent(), PLAIN)})
 
 
-@query("impute_constant", sql=DIRTY + "SELECT unnamed_0, coalesce(gender, 'missing') AS gender, coalesce(age, 0) AS age FROM dirty")
+@query("impute_constant", sql=MARKED + "SELECT unnamed_0, coalesce(gender, 'missing') AS gender, coalesce(age, 0) AS age FROM marked")
 def impute_constant(spark, sf):
     return _fitted(spark, sf, ["gender", "age"], {"gender": Categorical(Constant("missing"), None), "age": Numeric(Constant(0), PLAIN)})
 
 
-@query("scale_standard", sql=DIRTY + f""",
-f AS (SELECT avg(age) AS a, quantile_cont(comorbidities, 0.5) AS m FROM dirty WHERE {_TRAIN}),
+@query("scale_standard", sql=MARKED + f""", f AS (SELECT avg(age) AS a, quantile_cont(comorbidities, 0.5) AS m FROM marked WHERE is_train),
 t AS (SELECT avg(coalesce(age, a)) AS am, stddev_pop(coalesce(age, a)) AS asd, avg(coalesce(comorbidities, m)) AS cm,
-             stddev_pop(coalesce(comorbidities, m)) AS csd FROM dirty, f WHERE {_TRAIN})
+             stddev_pop(coalesce(comorbidities, m)) AS csd FROM marked, f WHERE is_train)
 SELECT unnamed_0, round((coalesce(age, a) - am) / asd, 6) AS age, round((coalesce(comorbidities, m) - cm) / csd, 6) AS comorbidities
-FROM dirty, f, t
+FROM marked, f, t
 """)
 def scale_standard(spark, sf):
     out = _fitted(spark, sf, ["age", "comorbidities"], {"comorbidities": Numeric(Median(), StandardScale())})
     return rounded(out, "age", "comorbidities")
 
 
-@query("scale_min_max", sql=DIRTY + f""",
-f AS (SELECT avg(age) AS a, min(age) AS lo, max(age) AS hi FROM dirty WHERE {_TRAIN})
-SELECT unnamed_0, round((coalesce(age, a) - lo) / (hi - lo), 6) AS age FROM dirty, f
+@query("scale_min_max", sql=MARKED + f""", f AS (SELECT avg(age) AS a, min(age) AS lo, max(age) AS hi FROM marked WHERE is_train)
+SELECT unnamed_0, round((coalesce(age, a) - lo) / (hi - lo), 6) AS age FROM marked, f
 """)
 def scale_min_max(spark, sf):
     return rounded(_fitted(spark, sf, ["age"], {"age": Numeric(Mean(), MinMaxScale())}), "age")
 
 
-# "Lo" falls on no row the encoder is fitted on, so it has no column and its rows are all zeros.
-_ADHERENCE = ["Hig", "High", "Low", "Mediu", "Medium"]
+_ADHERENCE = ["Hig", "High", "Lo", "Low", "Mediu", "Medium"]
 
 
-@query("encode_one_hot", sql=DIRTY + f""",
-f AS (SELECT medication_adherence AS m FROM dirty WHERE {_TRAIN} AND medication_adherence IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
-SELECT unnamed_0, {", ".join(f"CAST(coalesce(medication_adherence, m) = '{v}' AS DOUBLE) AS medication_adherence_{v}" for v in _ADHERENCE)} FROM dirty, f
+@query("encode_one_hot", sql=MARKED + f""", f AS (SELECT medication_adherence AS m FROM marked WHERE is_train AND medication_adherence IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT unnamed_0, {", ".join(f"CAST(coalesce(medication_adherence, m) = '{v}' AS DOUBLE) AS medication_adherence_{v}" for v in _ADHERENCE)} FROM marked, f
 """)
 def encode_one_hot(spark, sf):
     return _fitted(spark, sf, ["medication_adherence"], {})
@@ -191,17 +197,17 @@ def encode_ordinal(spark, sf):
     return Preprocessor({"p_type": Categorical(MostFrequent(), Ordinal())}, keep=["p_partkey"]).fit(rows).transform(rows)
 
 
-_ROUTED = CLEANED + """,
+_ROUTED = CLEANED + _marked("cleaned", "id") + """,
 t AS (SELECT avg(age) AS am, stddev_pop(age) AS asd, min(length_of_stay) AS lo, max(length_of_stay) AS hi,
              avg(comorbidities) AS cm, stddev_pop(comorbidities) AS csd, avg(number_of_previous_admissions) AS nm,
-             stddev_pop(number_of_previous_admissions) AS nsd FROM cleaned WHERE id % 5 <> 0)
+             stddev_pop(number_of_previous_admissions) AS nsd FROM marked WHERE is_train)
 SELECT id, round((CAST(length_of_stay AS DOUBLE) - lo) / (hi - lo), 6) AS length_of_stay, round((age - am) / asd, 6) AS age,
        round((comorbidities - cm) / csd, 6) AS comorbidities, round((number_of_previous_admissions - nm) / nsd, 6) AS number_of_previous_admissions,
        CAST(CASE medication_adherence WHEN 'High' THEN 0 WHEN 'Low' THEN 1 ELSE 2 END AS DOUBLE) AS medication_adherence,
        CAST(gender = 'Female' AS DOUBLE) AS "gender_Female", CAST(gender = 'Male' AS DOUBLE) AS "gender_Male",
        CAST(smoking_status = ' no' AS DOUBLE) AS "smoking_status_ no", CAST(smoking_status = 'No' AS DOUBLE) AS "smoking_status_No",
        CAST(smoking_status = 'Yes' AS DOUBLE) AS "smoking_status_Yes", risk_category
-FROM cleaned, t
+FROM marked, t
 """
 
 
@@ -217,7 +223,7 @@ ROUTED = {"length_of_stay": Numeric(Mean(), MinMaxScale()), "medication_adherenc
 def preprocess_routed(spark, sf):
     """Custom treatment for two columns, defaults for the rest, key and label passed through."""
     rows = routed_frame(spark, sf)
-    out = Preprocessor(ROUTED, keep=["id"]).fit(rows.filter("id % 5 <> 0")).transform(rows)
+    out = _fit_on_train(rows, "id", ROUTED).transform(rows)
     return rounded(out, "length_of_stay", "age", "comorbidities", "number_of_previous_admissions")
 
 
@@ -225,7 +231,7 @@ def preprocess_routed(spark, sf):
 def preprocess_stream(spark, sf):
     """The fitted transform applied to a stream of the same rows."""
     rows = routed_frame(spark, sf)
-    fitted = Preprocessor(ROUTED, keep=["id"]).fit(rows.filter("id % 5 <> 0"))
+    fitted = _fit_on_train(rows, "id", ROUTED)
     out = drain(rows, fitted.transform)
     return rounded(out, "length_of_stay", "age", "comorbidities", "number_of_previous_admissions")
 
