@@ -53,10 +53,10 @@ def non_negative_regression(spark, sf):
 
 
 def _admissions(spark, sf):
-    """Prepared readmission rows, written once because a fit reads them many times, and their feature names."""
-    rows = routed_frame(spark, sf).dropDuplicates(["id"])
+    """Prepared readmission rows and their feature names; the clean rows are written once, as every fit reads them."""
+    rows = checkpointed(routed_frame(spark, sf).dropDuplicates(["id"]))
     fitted = Preprocessor(ROUTED, keep=["id", "risk_category"]).fit(rows)
-    return checkpointed(fitted.transform(rows)), fitted.feature_names
+    return fitted.transform(rows), fitted.feature_names
 
 
 def _fit_classifier(candidate, params):
