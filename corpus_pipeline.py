@@ -6,27 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import exact_dedup, packing
+from tallyloom.llm import exact_dedup, mixing, near_dedup, packing, quality
 from tallyloom.llm.queries import TOKENIZER
 from tallyloom.session import scratch_path
 
 
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier accepts."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.deduplicated(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.deduplicated(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources more often, until the sources' weights are met."""
+    return mixing.mixed_documents(docs, entropy=0.9, repetitions=4.0)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(docs, TOKENIZER, capacity=2048, end_id=0)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", accept_quality),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix_sources),
     ("packing", pack),
 ]
 
-# The quality classifier, the sketches and the tokenizer are beyond SQL: tests/llm compares run() with brute force.
+# The classifier, the sketches and the tokenizer are beyond SQL: tests/llm compares run() with brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, packing
+from tallyloom.llm import (
+    exact_dedup, hamming_search, mixing, near_dedup, packing, quality, secrets, token_scan, toxicity, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: <|endoftext|> of that vocabulary.
+END_OF_TEXT = 49407
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"), url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
 
 
 def _query(name: str, sql: str | None = None):
@@ -45,3 +56,48 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0)
+
+
+@_query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query("op1_secret_scan")
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    counts = [secrets.of_kind(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"))
+
+
+@_query("op2_url_filter")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query("op4_source_mixing")
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.draws(_table(spark, sf_dir, "documents"), entropy=0.9, repetitions=4.0)
+
+
+@_query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_scan.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
+
+
+@_query("op10_hamming_top_k")
+def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return hamming_search.search(vectors, vectors.filter("vec_id % 20 = 0"), k=10, bits=64, segments=4)

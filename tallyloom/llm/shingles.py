@@ -84,7 +84,7 @@ def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
             out.append(part[keep])
         elif b > a:
             whole = (hashes[a:b] * factors[: b - a]).sum(dtype=np.uint64)
-            out.append(mixed(np.array([whole + np.uint64((b - a) * _STEP & _MASK)], dtype=np.uint64)))
+            out.append(mixed(np.array([int(whole) + (b - a) * _STEP & _MASK], dtype=np.uint64)))
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
