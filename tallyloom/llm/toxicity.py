@@ -1,12 +1,13 @@
 """Toxicity of documents: a learned lexicon, misspellings by Levenshtein automata, and scores of context windows.
 
-1. Lexicon. Words and stems that stand in many different contexts of toxic documents and hardly in others. Contexts (the
-   word before) are counted, not documents: copies of one toxic text must not turn all its words into terms.
+1. Lexicon. The words and stems whose presence in toxic and other documents differs most (by a likelihood ratio), one
+   for each family of words with a common beginning. A document counts with one context of a term, the word before it,
+   and equal contexts count once: copies of one toxic text must not turn all its words into terms.
 2. Matching. All words of a text run through the automaton of the lexicon (`lexicon.Matcher`); a term of five or more
-   letters may be misspelled by one edit. Words that clean training documents use are not taken for misspellings.
+   letters may be misspelled by one edit. How much a misspelling of a term means is learned like the term itself.
 3. Context. A hit inside quotation marks, or after a word that reports speech or names the word as a word, counts less;
    a hit whose window holds further hits or addresses a reader counts more. A window's score joins those of its hits.
-4. A logistic regression on the window scores of the training documents gives the score of a document.
+4. A logistic regression on window scores and the density of hits gives the score of a document.
 
 Words of the texts are the only input of a score.
 """
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,10 +29,13 @@ from tallyloom.llm.tables import columns_of, ordered, whole
 
 #: Labelled rows that the lexicon and the regression are fitted on at most, and terms kept at most.
 MAX_ROWS, MAX_TERMS = 20_000, 400
-#: Different contexts of toxic documents that a term needs, and the part of its contexts that must be toxic.
-CONTEXTS, PRECISION = 12, 0.95
+#: Contexts in toxic documents that a term needs, the likelihood ratio (beyond what 10**6 candidates give by chance), and
+#: the probabilities under which a candidate is no term, and a misspelling is ignored.
+SUPPORT, RATIO, LEAST, IGNORED = 4, 30.0, 0.4, 0.35
 STEM = 4
 WINDOW = 8
+#: Features of a text.
+WIDTH = 6
 
 # Words that report speech or mention a word, and words that address someone.
 REPORTING = frozenset("said says say called calls wrote writes quoted quotes quoting word term phrase insult slur dit mot sagte nannte wort dijo palabra".split())
@@ -49,85 +52,99 @@ def words_of(chunk: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """terms: weight by term and whether it is a stem; clean: words near a term that clean documents use."""
+    """terms: (probability that a document with it is toxic, the same for a misspelling, whether it is a stem)."""
 
-    terms: dict[str, tuple[float, bool]]
-    clean: frozenset[str]
+    terms: dict[str, tuple[float, float, bool]]
 
 
-def _weight(toxic: int, other: int) -> float:
-    return (toxic + 0.5) / (toxic + other + 1.0)
+def _ratio(toxic: int, other: int, all_toxic: int, all_other: int) -> float:
+    """The likelihood ratio statistic of a term's presence by label; 0 if it is not more frequent in toxic documents."""
 
+    def part(n: float, expected: float) -> float:
+        return n * math.log(n / expected) if n > 0 else 0.0
 
-def learn_terms(counts: pd.DataFrame) -> dict[str, tuple[float, bool]]:
-    """Terms of (term, stem, toxic, other), where the last two count contexts.
+    rate = (toxic + other) / (all_toxic + all_other)
+    if toxic <= rate * all_toxic:
+        return 0.0
+    return 2 * sum(
+        part(n, rate * m) + part(m - n, (1 - rate) * m) for n, m in ((min(toxic, all_toxic), all_toxic), (min(other, all_other), all_other)))
 
-    A stem stands for its words when no one of them explains it: a word is taken before its stem, and the shortest stem
-    before longer ones.
-    """
-    words, stems = {}, {}
-    for term, stem, toxic, other in counts.itertuples(index=False):
-        (stems if stem else words)[term] = (int(toxic), int(other))
-    good = lambda c: c[0] >= CONTEXTS and c[0] >= PRECISION * (c[0] + c[1])
+
+def learn_terms(counts: pd.DataFrame, all_toxic: int, all_other: int) -> dict[str, tuple[float, bool]]:
+    """Terms of (term, stem, toxic, other), where the last two count contexts: the strongest, and none that begins with
+    another or the other way round. Of equal ones a word comes before a stem, and a longer stem before a shorter."""
+    rows = [(_ratio(a, b, all_toxic, all_other), t, bool(s), a, b) for t, s, a, b in counts.itertuples(index=False)]
+    rows = sorted((r for r in rows if r[0] >= RATIO and r[3] >= max(SUPPORT, LEAST * (r[3] + r[4]))), key=lambda r: (-r[0], r[2], -len(r[1]), r[1]))
     terms: dict[str, tuple[float, bool]] = {}
-    for term, c in sorted(words.items()):
-        if good(c) and len(term) >= STEM:
-            terms[term] = (_weight(*c), False)
-    for stem, c in sorted(stems.items(), key=lambda x: (len(x[0]), x[0])):
-        if not good(c) or any(stem.startswith(t) for t, (_, is_stem) in terms.items() if is_stem):
-            continue
-        own = sum(words.get(t, (0, 0))[0] for t, (_, is_stem) in terms.items() if not is_stem and t.startswith(stem))
-        if own < 0.9 * c[0]:
-            terms[stem] = (_weight(*c), True)
-    covered = [t for t, (_, is_stem) in terms.items() if is_stem]
-    terms = {t: x for t, x in terms.items() if x[1] or not any(t.startswith(s) for s in covered)}
-    best = sorted(terms, key=lambda t: (-(stems if terms[t][1] else words)[t][0], t))[:MAX_TERMS]
-    return {t: terms[t] for t in best}
+    for _, term, stem, toxic, other in rows:
+        if len(terms) == MAX_TERMS:
+            break
+        if not any(term.startswith(t) or t.startswith(term) for t in terms):
+            terms[term] = ((toxic + 0.5) / (toxic + other + 1.0), stem)
+    return terms
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """(term, stem, context, toxic) of the training rows (text, label), one for each different context of a row."""
+    """(term, stem, context, toxic) of the training rows (text, label): one context of each term of a row, each once."""
 
     def make(batches):
         for batch in batches:
             out = set()
             for text, label in zip(batch["text"], batch["label"]):
+                contexts: dict[tuple[str, bool], str] = {}
                 before = ""
                 for chunk in text.split():
                     for word in words_of(chunk):
-                        out.add((word, False, before, label))
-                        for n in range(STEM, min(8, len(word) + 1)):
-                            out.add((word[:n], True, before, label))
+                        for key in [(word, False), *((word[:n], True) for n in range(STEM, min(8, len(word) + 1)))]:
+                            if len(key[0]) >= STEM and contexts.get(key, "\uffff") > before:
+                                contexts[key] = before
                         before = word
+                out.update((t, stem, c, label) for (t, stem), c in contexts.items())
             yield pd.DataFrame(list(out), columns=["term", "stem", "context", "toxic"])
 
     return rows.mapInPandas(make, "term string, stem boolean, context string, toxic int").distinct()
 
 
-def matcher(terms: dict[str, tuple[float, bool]]) -> Matcher:
-    return Matcher({t: (1 if len(t) >= 5 else 0, stem) for t, (_, stem) in terms.items()})
+def matcher(terms: dict[str, tuple]) -> Matcher:
+    return Matcher({t: (1 if len(t) >= 5 else 0, x[-1]) for t, x in terms.items()})
+
+
+def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[str, tuple[int, int]]:
+    """(toxic, other): how many different misspellings of each term are in training documents of either label."""
+
+    def find(batches):
+        own = matcher(terms)
+        for batch in batches:
+            out = set()
+            for text, label in zip(batch["text"], batch["label"]):
+                for word in {w for chunk in set(text.split()) for w in words_of(chunk)}:
+                    if (m := own.match(word)) and m[1] > 0:
+                        out.add((m[0], word, label))
+            yield pd.DataFrame(list(out), columns=["term", "word", "toxic"])
+
+    found = rows.mapInPandas(find, "term string, word string, toxic int").distinct().groupBy("term")
+    found = found.agg(F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
+    return {r["term"]: (r["toxic"], r["other"]) for r in found.collect()}
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """From training rows (text, label)."""
     toxic = F.col("toxic") > 0
+    n = rows.agg(F.count_if(F.col("label") > 0).alias("toxic"), F.count_if(F.col("label") == 0).alias("other")).first()
+    if not n["toxic"] or not n["other"]:
+        return Lexicon({})
     counted = _candidates(rows).groupBy("term", "stem").agg(
         F.count_if(toxic).alias("toxic"), F.count_if(~toxic).alias("other"))
-    usable = counted.filter((F.col("toxic") >= CONTEXTS) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("other"))))
-    # for stems, the most frequent candidates of the bounded sample
-    terms = learn_terms(usable.orderBy(F.desc("toxic"), "term", "stem").limit(20 * MAX_TERMS).toPandas())
-    if not terms:
-        return Lexicon({}, frozenset())
-
-    def near(batches):
-        own = matcher(terms)
-        for batch in batches:
-            seen = {w for text in batch["text"] for chunk in set(text.split()) for w in words_of(chunk)}
-            found = [w for w in seen if (m := own.match(w)) and m[1] > 0]
-            yield pd.DataFrame({"word": found}, dtype=object)
-
-    clean = rows.filter("label = 0").select("text").mapInPandas(near, "word string").groupBy("word").agg(F.count("*").alias("n"))
-    return Lexicon(terms, frozenset(r["word"] for r in clean.orderBy(F.desc("n"), "word").limit(50 * MAX_TERMS).collect()))
+    lift = F.col("toxic") / n["toxic"] - F.col("other") / n["other"]
+    # of the bounded sample's terms, those that can be among the strongest
+    top = counted.filter(F.col("toxic") >= SUPPORT).orderBy(F.desc(lift), "term", "stem").limit(20 * MAX_TERMS).toPandas()
+    terms = learn_terms(top, n["toxic"], n["other"])
+    seen = _misspelled(rows, terms) if terms else {}
+    out = {}
+    for term, (p, stem) in terms.items():
+        a, b = seen.get(term, (0, 0))
+        out[term] = (p, p * (a + 1.0) / (a + b + 2.0), stem)
+    return Lexicon(out)
 
 
 class Reader:
@@ -139,17 +156,19 @@ class Reader:
         self.hits: dict[str, float] = {}
 
     def _judge(self, chunk: str) -> float:
-        """How surely a piece of text is a term: its weight, halved for a misspelling."""
+        """The probability of the strongest term in a piece of text; 0 without one."""
         best = 0.0
         for word in words_of(chunk):
             if found := self.matcher.match(word):
-                term, edits = found
-                if edits == 0 or word not in self.lexicon.clean:
-                    best = max(best, self.lexicon.terms[term][0] * (0.5 if edits else 1.0))
+                right, misspelled, _ = self.lexicon.terms[found[0]]
+                p = misspelled if found[1] else right
+                if not found[1] or p >= IGNORED:
+                    best = max(best, p)
         return best
 
     def features(self, text: str) -> tuple[float, ...]:
-        """(highest window score, joined score of all hits, log of the hits); zeros for a text without hits."""
+        """Highest window score, joined score of all hits, log of their sum, their density, log of the words, whether
+        there are hits; zeros but for the words in a text without hits."""
         if len(self.known) > self.remembered:
             self.known, self.hits = set(), {}
         chunks = text.split()
@@ -158,8 +177,9 @@ class Reader:
             if score := self._judge(chunk):
                 self.hits[chunk] = score
         self.known |= own
+        length = math.log1p(len(chunks))
         if self.hits.keys().isdisjoint(own):
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0, 0.0, 0.0, length, 0.0
         at = [(i, self.hits[c]) for i, c in enumerate(chunks) if c in self.hits]
         quoted = self._quoted(chunks, at)
         scores = []
@@ -177,7 +197,9 @@ class Reader:
             while at[first][0] < i - WINDOW:
                 first += 1
             best = max(best, 1 - math.prod(1 - min(0.99, s) for s in scores[first : k + 1][-16:]))
-        return best, 1 - math.prod(1 - 0.5 * s for s in scores[:200]), math.log1p(sum(scores))
+        total = sum(scores)
+        joined = 1 - math.prod(1 - 0.5 * s for s in scores) if len(scores) < 200 else 1.0
+        return best, joined, math.log1p(total), math.log1p(100 * total / len(chunks)), length, 1.0
 
     @staticmethod
     def _quoted(chunks: list[str], at: list[tuple[int, float]]) -> list[bool]:
@@ -198,12 +220,12 @@ _readers: dict[int, tuple[Lexicon, Reader]] = {}
 
 
 def _features(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
-    key = hash((tuple(sorted(lexicon.terms.items())), lexicon.clean))
+    key = hash(tuple(sorted(lexicon.terms.items())))
     if key not in _readers:
         _readers.clear()
         _readers[key] = (lexicon, Reader(lexicon))
     reader = _readers[key][1]
-    return np.array([reader.features(t) for t in texts], dtype=float).reshape(-1, 3)
+    return np.array([reader.features(t) for t in texts], dtype=float).reshape(-1, WIDTH)
 
 
 @dataclass(frozen=True)
@@ -235,7 +257,7 @@ def train(rows: DataFrame) -> Model:
         got = some.select(make("text").alias("x"), "label").toPandas()
     finally:
         some.unpersist()
-    x = np.array(got["x"].tolist(), dtype=float).reshape(-1, 3)
+    x = np.array(got["x"].tolist(), dtype=float).reshape(-1, WIDTH)
     return Model(lexicon, fit(x, got["label"].to_numpy(dtype=float), ridge=1e-4))
 
 
