@@ -12,7 +12,7 @@ import re
 
 import numpy as np
 
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
 _GAPS = re.compile(r"[ \t-\r]+")
 _ODD_GAPS = "\x1c\x1d\x1e\x1f"  # white space to str.split(), characters to the tokenizer
@@ -22,11 +22,11 @@ _MARK = "<|endoftext|>"
 class WordTokenizer:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    `literal` reads the names of special tokens in a text as ordinary text. At most `remembered` words and parts are
-    kept; a fuller memory is dropped between blocks, which changes the time and not the ids.
+    `literal` reads the names of special tokens in a text as ordinary text. About so many words and parts are kept; a
+    fuller memory is dropped between blocks, which changes the time and not the ids. Parts are dearer to encode again.
     """
 
-    def __init__(self, path: str, literal: bool = False, remembered: int = 400_000):
+    def __init__(self, path: str, literal: bool = False, most_words: int = 300_000, most_parts: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,7 +36,7 @@ class WordTokenizer:
         self.marked = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = literal
         self.mark = self.marked.token_to_id(_MARK)
-        self.remembered = remembered
+        self.most_words, self.most_parts = most_words, most_parts
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -68,8 +68,10 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        if len(self.words) + len(self.parts) > self.remembered:
-            self.words, self.parts = {}, {}
+        if len(self.words) > self.most_words:
+            self.words = {}
+        if len(self.parts) > self.most_parts:
+            self.parts = {}
         out = []
         for text in texts:
             odd = any(c in text for c in _ODD_GAPS)
