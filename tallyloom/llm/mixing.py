@@ -24,7 +24,7 @@ from tallyloom.llm.tables import checkpointed, columns_of, ordered, stored, whol
 #: Documents in a block, about.
 BLOCK_DOCS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
-_POINTS, _PASSES = 17, 8
+_POINTS, _PASSES = 17, 6
 
 
 @dataclass(frozen=True)

@@ -58,7 +58,29 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0)
 
 
-@_query("op3_minhash_near_dedup")
+@_query("op3_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id, r.component_id = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)
+""")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -97,7 +119,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_scan.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
 
 
-@_query("op10_hamming_top_k")
+@_query("op10_hamming_top_k", """
+WITH c AS (SELECT vec_id, list_transform(embedding, x -> x > 0) AS code FROM embeddings),
+d AS (
+  SELECT q.vec_id, v.vec_id AS neighbor_id,
+         CAST(len(list_filter(range(1, 65), i -> q.code[i] <> v.code[i])) AS INTEGER) AS distance
+  FROM c q JOIN c v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM d)
+SELECT vec_id, rank, neighbor_id, distance FROM r WHERE rank <= 10
+""")
 def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return hamming_search.search(vectors, vectors.filter("vec_id % 20 = 0"), k=10, bits=64, segments=4)
