@@ -167,6 +167,15 @@ def map_values_from_table(spark, sf):
         rows, "c_nationkey", nation, "n_nationkey", "n_name", new_col="nation", default="elsewhere").drop("c_nationkey")
 
 
+@query("map_values_large", sql="""
+SELECT c_custkey, CASE WHEN c_custkey % 1500 BETWEEN 1 AND 1400 THEN CAST(c_custkey % 1500 AS INT) * 2 ELSE NULL END AS label FROM customer
+""")
+def map_values_large(spark, sf):
+    """Texts mapped to numbers by a map of 1,400 entries; labels it lacks are not numbers and become NULL."""
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("label "), F.col("c_custkey") % 1500).alias("label"))
+    return clean.map_values(rows, {"label": {f"label {i}": 2 * i for i in range(1, 1401)}})
+
+
 @query("unmapped_values", sql=DIRTY + """
 SELECT DISTINCT medication_adherence FROM dirty WHERE medication_adherence NOT IN ('Lo', 'Mediu', 'Hig')
 """)

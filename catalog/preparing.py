@@ -180,11 +180,11 @@ WITH c AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS i FROM (S
 SELECT p_partkey, CAST(i AS INT) AS place, CAST(1 AS DOUBLE) AS weight FROM part JOIN c USING (p_brand)
 """)
 def encode_wide_column(spark, sf):
-    """More categories than the width allows: one sparse vector, read back as (place, weight)."""
+    """A column of many categories as one sparse vector, read back as (place, weight)."""
     from pyspark.ml.functions import vector_to_array
 
     rows = table(spark, sf, "part").select("p_partkey", "p_brand")
-    spec = {"p_brand": Categorical(MostFrequent(), OneHot(width=10))}
+    spec = {"p_brand": Categorical(MostFrequent(), OneHot(sparse=True))}
     encoded = Preprocessor(spec, keep=["p_partkey"]).fit(rows).transform(rows)
     return encoded.select("p_partkey", F.posexplode(vector_to_array("p_brand_vec")).alias("place", "weight")).filter("weight <> 0")
 
@@ -197,6 +197,31 @@ def encode_ordinal(spark, sf):
     return Preprocessor({"p_type": Categorical(MostFrequent(), Ordinal())}, keep=["p_partkey"]).fit(rows).transform(rows)
 
 
+@query("encode_ordinal_wide", sql="""
+SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS DOUBLE) AS c_name FROM customer
+""")
+def encode_ordinal_wide(spark, sf):
+    """A category of its own for every row."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return Preprocessor({"c_name": Categorical(MostFrequent(), Ordinal())}, keep=["c_custkey"]).fit(rows).transform(rows)
+
+
+@query("workflow_features", sql="""
+WITH names AS (
+  SELECT 1 AS part, 'o_totalprice' AS feature
+  UNION ALL SELECT DISTINCT 2, 'o_orderpriority_' || o_orderpriority FROM orders
+  UNION ALL SELECT 3, 'year' UNION ALL SELECT 4, 'open')
+SELECT CAST(row_number() OVER (ORDER BY part, feature) - 1 AS INT) AS place, feature FROM names
+""")
+def workflow_features(spark, sf):
+    """What models are given: treated columns, then the integer and boolean columns that pass through."""
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority",
+        F.year("o_orderdate").alias("year"), (F.col("o_orderstatus") == "O").alias("open"))
+    names = Preprocessor(keep=["o_orderkey"]).fit(rows).feature_names
+    return spark.createDataFrame(list(enumerate(names)), "place int, feature string")
+
+
 _ROUTED = CLEANED + _marked("cleaned", "id") + """,
 t AS (SELECT avg(age) AS am, stddev_pop(age) AS asd, min(length_of_stay) AS lo, max(length_of_stay) AS hi,
              avg(comorbidities) AS cm, stddev_pop(comorbidities) AS csd, avg(number_of_previous_admissions) AS nm,

@@ -3,7 +3,8 @@
 Every round is one column-pruned scan that moves only sketches or counts.  Around each wanted rank
 there is a bracket of values; brackets of a group are merged into disjoint intervals, so a row
 belongs to one interval or to one of the gaps between them.  A round shrinks the intervals a
-hundredfold or more, until what is inside is small enough to bring to the driver.  The counts of
+hundredfold or more, until what is inside is small enough to bring to the driver; an interval between two
+heavy values, which a sketch can't split, gives up its ends and goes on inside.  The counts of
 the gaps prove that a rank lies where it was looked for, whatever the sketch promised.
 """
 
@@ -156,9 +157,12 @@ def _narrow(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None
     grid = [i / GRID for i in range(1, GRID)]
     edge = 2.0 / ACCURACY
     inside = F.when(F.col("_in"), F.col("_v"))
+    low, high = F.get("_lows", F.col("_i")), F.get("_highs", F.col("_i"))
     seen = _collect(
         _placed(long, by, groups).groupBy(*[col(b) for b in by], "_i").agg(
             F.count_if("_in").alias("rows"), F.count_if(~F.col("_in")).alias("gap"),
+            F.count_if(inside == low).alias("at_low"), F.count_if(inside == high).alias("at_high"),
+            F.min(F.when(inside > low, inside)).alias("next_low"), F.max(F.when(inside < high, inside)).alias("next_high"),
             F.percentile_approx(inside, grid, ACCURACY).alias("q")), by)
     for key, group in groups.items():
         if not group.open():
@@ -169,21 +173,26 @@ def _narrow(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None
             row = next(iter(seen.get(key, {}).get(i, [])), None)
             position += row["gap"] if row else 0
             rows = row["rows"] if row else 0
-            spans.append((position, rows, low, high, row["q"] if row else None))
+            spans.append((position, rows, low, high, row))
             position += rows
         for t in group.open():
             span = next((s for s in spans if s[0] <= t.rank < s[0] + s[1]), None)
             if span is None:  # the sketch missed: look in the whole group
                 t.low, t.high, t.rows = group.low, group.high, float(group.size)
                 continue
-            first, rows, low, high, quantiles = span
+            first, rows, low, high, row = span
             at = (t.rank - first) / rows
-            new_low = max((q for p, q in zip(grid, quantiles) if p < at - edge), default=low)
-            new_high = min((q for p, q in zip(grid, quantiles) if p > at + edge), default=high)
-            if (new_low, new_high) == (t.low, t.high):
-                t.rows = 0.0  # cannot shrink: few distinct values, which the last round counts
-            else:
+            new_low = max((q for p, q in zip(grid, row["q"]) if p < at - edge), default=low)
+            new_high = min((q for p, q in zip(grid, row["q"]) if p > at + edge), default=high)
+            if (new_low, new_high) != (low, high):
                 t.low, t.high, t.rows = new_low, new_high, rows * (1.0 / GRID + 2 * edge) * 2
+            elif t.rank < first + row["at_low"]:
+                t.answer = low
+            elif t.rank >= first + rows - row["at_high"]:
+                t.answer = high
+            else:  # heavy values at both ends: what lies between them is known exactly, and smaller
+                t.low, t.high = row["next_low"], row["next_high"]
+                t.rows = float(rows - row["at_low"] - row["at_high"])
 
 
 def _finish(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None:

@@ -5,7 +5,11 @@ from __future__ import annotations
 import math
 
 TINY = 1e-300
-STEPS = 500
+
+
+def _steps(size: float) -> int:
+    """Terms that are enough for parameters of this size: both expansions need some multiple of its root."""
+    return 1000 + int(100 * math.sqrt(size))
 
 
 def _lentz(first: float, terms) -> float:
@@ -17,8 +21,8 @@ def _lentz(first: float, terms) -> float:
         c = (b + a / c) or TINY
         value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError("the continued fraction did not converge")
 
 
 def beta_inc(a: float, b: float, x: float) -> float:
@@ -32,7 +36,7 @@ def beta_inc(a: float, b: float, x: float) -> float:
     log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
 
     def terms():
-        for step in range(1, STEPS):
+        for step in range(1, _steps(a + b)):
             m, odd = divmod(step, 2)
             if odd:
                 yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
@@ -49,13 +53,13 @@ def gamma_upper(a: float, x: float) -> float:
     front = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1.0:
         term = total = 1.0 / a
-        for k in range(1, STEPS * 4):
+        for k in range(1, _steps(a)):
             term *= x / (a + k)
             total += term
             if term < total * 1e-16:
-                break
-        return 1.0 - front * total
-    return front / _lentz(x + 1.0 - a, ((-k * (k - a), x + 2.0 * k + 1.0 - a) for k in range(1, STEPS)))
+                return 1.0 - front * total
+        raise ArithmeticError("the series did not converge")
+    return front / _lentz(x + 1.0 - a, ((-k * (k - a), x + 2.0 * k + 1.0 - a) for k in range(1, _steps(x))))
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:

@@ -146,17 +146,21 @@ def get_absolute_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # categories and text ------------------------------------------------------------------------------------------------
 
 def _mapped(df: DataFrame, column: str, mapping: Mapping, default) -> Column:
-    source = col(column)
     pairs = chain.from_iterable((F.lit(k).cast(type_of(df, column)), F.lit(v)) for k, v in mapping.items())
-    new = F.try_element_at(F.create_map(*pairs), source)
-    rest = F.lit(default) if default is not None else source
     values = list(mapping.values()) + ([default] if default is not None else [])
-    if all(isinstance(v, str) for v in values):
-        return F.coalesce(new, rest.cast("string"))
-    if default is None and isinstance(type_of(df, column), T.StringType):
+    texts = all(isinstance(v, str) for v in values)
+    new = F.try_element_at(F.create_map(*pairs), col(column))
+    return _with_rest(df, column, new, "string" if texts else _value_type(mapping), default)
+
+
+def _with_rest(df: DataFrame, column: str, new: Column, kind: str, default) -> Column:
+    """Mapped values, and for what is not mapped the default or the old value, in the type of the map's values."""
+    if default is not None:
+        return F.coalesce(new, F.lit(default).cast("string") if kind == "string" else F.lit(default))
+    if kind != "string" and isinstance(type_of(df, column), T.StringType):
         # labels became numbers: what was not mapped stays only if it is a number itself
-        return F.coalesce(new, source.try_cast(_value_type(mapping)))
-    return F.coalesce(new, rest)
+        return F.coalesce(new, col(column).try_cast(kind))
+    return F.coalesce(new, col(column).cast("string") if kind == "string" else col(column))
 
 
 def _value_type(mapping: Mapping) -> str:
@@ -180,33 +184,62 @@ def map_values(df: DataFrame, mapping_dict: Mapping[str, Mapping], new_col: str
                default=None) -> DataFrame:
     """Replace values by a map; what is not in it becomes the default, or stays without one.
 
-    Maps up to MAP_LIMIT entries become a literal map inside the projection, larger ones a join.
-    A text column whose labels map to numbers becomes numeric; labels without a number are NULL.
+    Maps up to MAP_LIMIT entries become a literal map inside the projection, larger ones a join; both give the same
+    rows and types. A text column whose labels map to numbers becomes numeric; labels without a number are NULL.
     """
-    large = {c: m for c, m in mapping_dict.items() if len(m) > MAP_LIMIT and c in df.columns}
-    out = map_values_step({c: m for c, m in mapping_dict.items() if c not in large}, new_col, default)(df)
-    for column, mapping in large.items():
-        table = df.sparkSession.createDataFrame(list(mapping.items()), ["_from", "_to"])
+    chosen = {c: m for c, m in mapping_dict.items() if m and c in df.columns}
+    large = {c: m for c, m in chosen.items() if len(m) > MAP_LIMIT}
+    if not large:
+        return map_values_step(chosen, new_col, default)(df)
+    out = df
+    for column, mapping in chosen.items():  # with `new_col`, the last column's values stay, as in one projection
+        if column not in large:
+            out = map_values_step({column: mapping}, new_col, default)(out)
+            continue
+        texts = all(isinstance(v, str) for v in [*mapping.values(), *([default] if default is not None else [])])
+        kind = "string" if texts else _value_type(mapping)
+        schema = T.StructType([T.StructField("_from", type_of(df, column)), T.StructField("_to", T.StringType())])
+        rows = [(_as_type(k, type_of(df, column)), _as_text(v)) for k, v in mapping.items()]
+        table = df.sparkSession.createDataFrame(rows, schema).withColumn("_to", F.col("_to").cast(kind))
         out = map_from_table(out, column, table, "_from", "_to", new_col, default)
     return out
 
 
+def _as_type(value, kind: T.DataType):
+    if value is None or isinstance(kind, T.StringType):
+        return None if value is None else _as_text(value)
+    return float(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
+def _as_text(value) -> str | None:
+    if value is None or isinstance(value, str):
+        return value
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
 def map_from_table(df: DataFrame, column: str, mapping: DataFrame, from_col: str, to_col: str,
                    new_col: str | None = None, default=None) -> DataFrame:
-    """Value map held in a table.  No join hint: Spark broadcasts it when its size allows."""
+    """Value map held in a table, by the rules of `map_values`; `from_col` must be unique, and raises if it is not.
+
+    No join hint: Spark broadcasts the table when its size allows. The check runs with the job, not before it.
+    """
     require(df, column)
-    table = mapping.select(col(from_col).alias("_from"), col(to_col).alias("_to"))
-    rest = F.lit(default) if default is not None else col(column)
-    value = F.coalesce(F.col("_to"), rest)
+    one = F.when(F.count(F.lit(1)) == 1, F.first(col(to_col))).otherwise(
+        F.raise_error(F.concat(F.lit("mapped twice: "), col(from_col).cast("string"))).cast(type_of(mapping, to_col)))
+    table = mapping.groupBy(col(from_col).alias("_from")).agg(one.alias("_to"))
+    kind = "string" if isinstance(type_of(mapping, to_col), T.StringType) else type_of(mapping, to_col).simpleString()
     joined = df.join(table, col(column) == F.col("_from"), "left")
-    return joined.withColumn(new_col or column, value).drop("_from", "_to")
+    return joined.withColumn(new_col or column, _with_rest(df, column, F.col("_to"), kind, default)).drop("_from", "_to")
 
 
 def unmapped_values(df: DataFrame, column: str, mapping: Mapping) -> DataFrame:
-    """Distinct values of a column that a map does not cover."""
+    """Distinct values of a column that a map does not cover, compared in the column's type."""
     require(df, column)
-    known = col(column).cast("string").isin([str(k) for k in mapping])
-    return df.select(col(column)).filter(col(column).isNotNull() & ~known).distinct()
+    kind = type_of(df, column)
+    rows = [(_as_type(k, kind),) for k in mapping if k is not None]
+    known = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("_known", kind)]))
+    values = df.select(col(column)).filter(col(column).isNotNull()).distinct()
+    return values.join(known, col(column) == F.col("_known"), "left_anti")
 
 
 def _text_only(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -18,8 +18,6 @@ from tallyloom.functions.columns import col, number, require, unpivot
 from tallyloom.functions.selection import exact_quantiles
 from tallyloom.operators.kmodes import KModesImputer
 
-WIDTH_LIMIT = 500
-
 
 @dataclass(frozen=True)
 class Mean:
@@ -62,10 +60,10 @@ class NoScale:
 class OneHot:
     """One 0/1 column per category seen at fit; an unseen one gives zeros.
 
-    Beyond `width` categories the column becomes one sparse vector instead.
+    With `sparse` the column becomes one vector `<name>_vec` instead, which suits columns of very many categories.
     """
 
-    width: int = WIDTH_LIMIT
+    sparse: bool = False
 
 
 @dataclass(frozen=True)
@@ -93,10 +91,12 @@ class Categorical:
 
 @dataclass
 class FittedColumn:
+    """A treated column: its outputs, and the Spark ML stage that some of them need first."""
+
     name: str
     imputed: Column
     outputs: dict[str, Column] = field(default_factory=dict)
-    sparse: object | None = None
+    stage: object | None = None
 
 
 def detect_types(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -134,7 +134,8 @@ class Preprocessor:
         stats = _column_stats(df, list(numbers), list(texts))
         fitted = _fit_numbers(df, numbers, stats) + _fit_texts(df, texts, stats)
         rest = [c for c in df.columns if c not in numbers and c not in texts]
-        return FittedPreprocessor(fitted, rest)
+        passed = [c for c in rest if c not in self.keep and isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))]
+        return FittedPreprocessor(fitted, rest, passed)
 
     def transform(self, df: DataFrame) -> DataFrame:
         raise ValueError("not fitted: call fit and transform with what it returns")
@@ -144,27 +145,29 @@ class Preprocessor:
 
 
 class FittedPreprocessor:
-    def __init__(self, columns: list[FittedColumn], rest: list[str]):
-        self.columns, self.rest = columns, rest
+    """`rest` are the columns that pass through; those of them in `passed`, numbers and booleans, are features too."""
+
+    def __init__(self, columns: list[FittedColumn], rest: list[str], passed: list[str]):
+        self.columns, self.rest, self.passed = columns, rest, passed
+
+    @property
+    def treated_names(self) -> list[str]:
+        return [name for c in self.columns for name in c.outputs]
 
     @property
     def feature_names(self) -> list[str]:
-        return [name for c in self.columns for name in (c.outputs or {f"{c.name}_vec": None})]
+        return [*self.treated_names, *self.passed]
 
     @property
     def output_names(self) -> list[str]:
-        return [*self.feature_names, *self.rest]
+        return [*self.treated_names, *self.rest]
 
     def transform(self, df: DataFrame) -> DataFrame:
         require(df, *[c.name for c in self.columns])
-        sparse = [c for c in self.columns if c.sparse is not None]
-        for c in sparse:
-            df = c.sparse.transform(df.withColumn(f"_imputed_{c.name}", c.imputed))
-        outputs = [
-            expression.alias(name)
-            for c in self.columns
-            for name, expression in (c.outputs or {f"{c.name}_vec": col(f"{c.name}_vec")}).items()
-        ]
+        for c in self.columns:
+            if c.stage is not None:
+                df = c.stage.transform(df.withColumn(f"_imputed_{c.name}", c.imputed))
+        outputs = [expression.alias(name) for c in self.columns for name, expression in c.outputs.items()]
         return df.select(*outputs, *[col(c) for c in self.rest if c in df.columns])
 
 
@@ -235,34 +238,34 @@ def _modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     return {c: found.get(c) for c in columns}
 
 
-def _frequent_texts(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, list[str]]:
-    """Up to `limit` values per column, most frequent first and equal ones in order.
-
-    The rank is cut at the limit in every task before its shuffle, so a column of unbounded width
-    brings no more than `limit` values anywhere.
-    """
+def _most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """The most frequent text of each column, the smallest of equal ones; the maximum is taken before any shuffle."""
+    if not columns:
+        return {}
     counts = unpivot(df, columns, as_type="string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
-    ranked = counts.withColumn("place", place).filter(F.col("place") <= limit).select("column", "value", "place")
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in sorted(ranked.collect(), key=lambda r: r["place"]):
-        found[r["column"]].append(r["value"])
+    best = counts.groupBy("column").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), "value")).alias("top"))
+    found = {r["column"]: r["top"] for r in best.collect()}
+    return {c: found.get(c) for c in columns}
+
+
+def _categories(df: DataFrame, columns: Sequence[str]) -> dict[str, set[str]]:
+    """All texts of each column: they become names of output columns, so the driver has to know them."""
+    found: dict[str, set[str]] = {c: set() for c in columns}
+    if columns:
+        for r in unpivot(df, columns, as_type="string").select("column", "value").distinct().collect():
+            found[r["column"]].add(r["value"])
     return found
 
 
 def _fit_texts(df: DataFrame, specs: Mapping[str, Categorical], stats: Mapping) -> list[FittedColumn]:
-    if not specs:
-        return []
-    width = {c: getattr(s.encoder, "width", WIDTH_LIMIT) for c, s in specs.items()}
-    found = _frequent_texts(df, list(specs), max(width.values()) + 1)
+    tops = _most_frequent(df, [c for c, s in specs.items() if isinstance(s.imputer, MostFrequent)])
+    named = _categories(df, [c for c, s in specs.items() if isinstance(s.encoder, OneHot) and not s.encoder.sparse])
     out = []
     for name, spec in specs.items():
-        top = found[name][0] if found[name] else None
         has_gaps = stats[name]["n"] < stats[name]["rows"]
-        imputed, fill_values = _text_fill(df, name, spec.imputer, top)
-        seen = sorted(_categories_after(spec.imputer, set(found[name]), fill_values, has_gaps))
-        wide = len(found[name]) > width[name]
-        out.append(_encoded(df, name, spec.encoder, imputed, seen, wide))
+        imputed, fill_values = _text_fill(df, name, spec.imputer, tops.get(name))
+        seen = sorted(_categories_after(spec.imputer, named[name], fill_values, has_gaps)) if name in named else []
+        out.append(_encoded(df, name, spec.encoder, imputed, seen))
     return out
 
 
@@ -285,31 +288,24 @@ def _text_fill(df: DataFrame, name: str, imputer, top: str | None) -> tuple[Colu
     raise TypeError(f"unknown imputer for {name!r}: {imputer!r}")
 
 
-def _encoded(df: DataFrame, name: str, encoder, imputed: Column, seen: list[str], wide: bool) -> FittedColumn:
+def _encoded(df: DataFrame, name: str, encoder, imputed: Column, seen: list[str]) -> FittedColumn:
     if encoder is None:
         return FittedColumn(name, imputed, {name: imputed})
-    if isinstance(encoder, OneHot):
-        if wide:
-            return FittedColumn(name, imputed, {}, _fit_sparse(df, name, imputed))
+    if isinstance(encoder, OneHot) and not encoder.sparse:
         return FittedColumn(name, imputed, {
             f"{name}_{value}": F.coalesce((imputed == value).cast("double"), F.lit(0.0)) for value in seen
         })
+    if not isinstance(encoder, (OneHot, Ordinal)):
+        raise TypeError(f"unknown encoder for {name!r}: {encoder!r}")
+    from pyspark.ml import PipelineModel
+
+    helper, place = f"_imputed_{name}", f"_index_{name}"
+    indexer = StringIndexer(inputCol=helper, outputCol=place, stringOrderType="alphabetAsc", handleInvalid="keep")
+    filled = df.withColumn(helper, imputed)
+    fitted = indexer.fit(filled)
     if isinstance(encoder, Ordinal):
-        place = F.lit(encoder.unknown).cast("double")
-        if wide:
-            raise ValueError(f"column {name!r} has too many categories for literal codes")
-        if seen:
-            table = F.create_map(*[x for i, v in enumerate(seen) for x in (F.lit(v), F.lit(float(i)))])
-            place = F.coalesce(F.try_element_at(table, imputed), place)
-        return FittedColumn(name, imputed, {name: place})
-    raise TypeError(f"unknown encoder for {name!r}: {encoder!r}")
-
-
-def _fit_sparse(df: DataFrame, name: str, imputed: Column):
-    from pyspark.ml import Pipeline
-
-    helper = f"_imputed_{name}"
-    indexer = StringIndexer(inputCol=helper, outputCol=f"_index_{name}", stringOrderType="alphabetAsc",
-                            handleInvalid="keep")
-    encoder = SparseEncoder(inputCol=f"_index_{name}", outputCol=f"{name}_vec", dropLast=True)
-    return Pipeline(stages=[indexer, encoder]).fit(df.withColumn(helper, imputed))
+        code = F.when(col(place) < len(fitted.labels), col(place)).otherwise(F.lit(encoder.unknown).cast("double"))
+        return FittedColumn(name, imputed, {name: code}, fitted)
+    vectors = SparseEncoder(inputCol=place, outputCol=f"{name}_vec", dropLast=True)
+    vectors = vectors.fit(fitted.transform(filled.select(helper)))
+    return FittedColumn(name, imputed, {f"{name}_vec": col(f"{name}_vec")}, PipelineModel([fitted, vectors]))

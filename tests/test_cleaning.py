@@ -84,6 +84,32 @@ def test_large_map_becomes_a_join(spark, monkeypatch):
     assert values(clean.unmapped_values(df, "v", {"a": "1"}), "v") == ["b", "q"]
 
 
+@pytest.mark.parametrize("mapping, default", [
+    ({"a": 1, "b": 2}, None), ({"a": 1, "b": 2.5}, None), ({"a": True}, None), ({"a": "x"}, None), ({"a": 1}, 7), ({"a": "x"}, "y")])
+def test_map_size_changes_nothing(spark, monkeypatch, mapping, default):
+    df = spark.createDataFrame([("a",), ("b",), ("q",), ("12",), (None,)], "v string")
+    small = clean.map_values(df, {"v": mapping}, default=default)
+    monkeypatch.setattr(clean, "MAP_LIMIT", 0)
+    large = clean.map_values(df, {"v": mapping}, default=default)
+    assert small.dtypes == large.dtypes and values(small, "v") == values(large, "v")
+
+
+def test_map_of_numbers_of_any_size(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0)], "i long, x double")
+    small = clean.map_values(df, {"i": {1: 10}, "x": {1: 5.5}})
+    monkeypatch.setattr(clean, "MAP_LIMIT", 0)
+    large = clean.map_values(df, {"i": {1: 10}, "x": {1: 5.5}})
+    assert small.orderBy("x").collect() == large.orderBy("x").collect()
+    assert values(clean.unmapped_values(df, "x", {1: 0, 2.0: 0}), "x") == [3.0]
+
+
+def test_table_that_maps_a_value_twice_raises(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    twice = spark.createDataFrame([("a", "1"), ("a", "2")], "k string, w string")
+    with pytest.raises(Exception, match="mapped twice"):
+        clean.map_from_table(df, "v", twice, "k", "w").collect()
+
+
 def test_literal_replacement(spark):
     df = spark.createDataFrame([("a.b",), ("axb",)], "t string")
     assert values(clean.replace_character(df, ".", "-", ["t"]), "t") == ["a-b", "axb"]

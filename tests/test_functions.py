@@ -36,6 +36,16 @@ def test_chi2_tail(x, dof, p):
     assert tails.chi2_tail(x, dof) == pytest.approx(p, abs=1e-6)
 
 
+@pytest.mark.parametrize("dof", [10**6, 10**7, 10**8])
+def test_tails_converge_at_many_degrees_of_freedom(dof):
+    """By the normal form of Wilson and Hilferty, on both sides of the middle."""
+    for z in (-2.0, 0.0, 2.0):
+        x = dof * (1 - 2 / (9 * dof) + z * math.sqrt(2 / (9 * dof))) ** 3
+        assert tails.chi2_tail(x, dof) == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=1e-5)
+    assert tails.f_tail(1.0, dof, dof) == pytest.approx(0.5, abs=1e-6)
+    assert tails.f_tail(1.0, dof, 100 * dof) == pytest.approx(0.5, abs=1e-3)
+
+
 def test_p_values_of_degenerate_tests():
     assert tails.f_p_value(None, 1, 3) is None
     assert tails.f_p_value(1.0, 1, 0) is None
@@ -113,3 +123,24 @@ def test_running_totals(spark, descending, buckets):
 def test_average_ranks(spark):
     ranks = {r["v"]: r["avg_rank"] for r in average_ranks(_numbers(spark, [1, 1, 2, 5, 5, 5, None]), "v").collect()}
     assert ranks == {1.0: 1.5, 2.0: 3.0, 5.0: 5.0}
+
+
+def test_heavy_values_around_a_thin_tail_are_not_collected(spark, monkeypatch):
+    """Half of the rows hold 0, half 1, and the wanted ranks lie in the few different values between."""
+    from tallyloom.functions import selection
+
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") < 3000, 0.1 + F.col("id") / 10_000).when(F.col("id") % 2 == 0, 0.0).otherwise(1.0).alias("v"))
+    seen = []
+    collect = selection._collect
+    monkeypatch.setattr(selection, "_collect", lambda counted, by: seen.append(0) or _counted(collect(counted, by), seen))
+    values = np.sort(np.array([r["v"] for r in rows.collect()]))
+    wanted = [98_000, 98_499, 98_500, 99_000, 100_000, 101_400, 101_499, 101_500, 150_000]
+    found = select_ranks(rows, "v", [], lambda *_: wanted, [0.5], keep_rows=500)
+    assert found[()][1] == {r: values[r] for r in wanted}
+    assert max(seen) <= 600
+
+
+def _counted(found, seen):
+    seen[-1] = sum(len(rows) for group in found.values() for rows in group.values())
+    return found

@@ -64,14 +64,29 @@ def test_mode_ties_take_the_smallest(spark):
     assert (row["x"], row["c"]) == (3.0, "a")
 
 
-def test_wide_category_becomes_sparse_and_unseen_is_zero(spark):
+def test_sparse_on_request_and_unseen_is_zero(spark):
     df = spark.createDataFrame([(i, f"v{i:02d}") for i in range(6)], "id long, c string")
-    fitted = Preprocessor({"c": Categorical(MostFrequent(), OneHot(width=3))}, keep=["id"]).fit(df)
+    fitted = Preprocessor({"c": Categorical(MostFrequent(), OneHot(sparse=True))}, keep=["id"]).fit(df)
     out = fitted.transform(df.union(spark.createDataFrame([(99, "new")], df.schema)))
     vectors = {r["id"]: r["c_vec"].toArray().tolist() for r in out.collect()}
     assert vectors[2] == [0, 0, 1, 0, 0, 0] and vectors[99] == [0] * 6
 
 
+def test_many_categories_need_no_limit(spark):
+    df = spark.createDataFrame([(i, f"v{i:04d}") for i in range(700)], "id long, c string")
+    codes = Preprocessor({"c": Categorical(MostFrequent(), Ordinal(unknown=-1.0))}, keep=["id"]).fit(df)
+    got = {r["id"]: r["c"] for r in codes.transform(df.union(spark.createDataFrame([(9999, "new")], df.schema))).collect()}
+    assert got == {**{i: float(i) for i in range(700)}, 9999: -1.0}
+    assert len(Preprocessor(keep=["id"]).fit(df).feature_names) == 700
+
+
+def test_numbers_and_booleans_that_pass_through_are_features(spark):
+    df = spark.createDataFrame([(1, 2, True, 1.0, None)], "id long, n int, b boolean, x double, d date")
+    fitted = Preprocessor(keep=["id"]).fit(df)
+    assert fitted.feature_names == ["x", "n", "b"] and fitted.output_names == ["x", "id", "n", "b", "d"]
+    assert fitted.transform(df).columns == fitted.output_names
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     values = [float(v) for v in [0, 1, 2, 3, 4, 5, 6, 7, 8, 100]]
