@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import functions as F
 
 from catalog.preparing import ROUTED, dirty, labelled, routed_frame
@@ -81,12 +79,19 @@ def random_forest_regressor(spark, sf):
     return metrics.regression_metrics(models.scored(model, rows, ["id"]), models.LABEL, "prediction", with_median=False)
 
 
+def _report(spark, trained, errors):
+    if errors:
+        raise RuntimeError(f"training failed: {errors}")
+    return search.training_report(spark, trained).drop("seconds", "size_kb", "error")
+
+
 def _search(kind):
     def run(spark, sf):
         rows, features = _admissions(spark, sf)
-        candidates = [models.logistic_regression(20)]
-        trained, _ = search.train_all(candidates, rows, "risk_category", features, "id", metric="f1", search_type=kind, folds=3, n_iter=2)
-        return search.training_report(spark, trained).drop("seconds", "size_kb")
+        grid = {"C": [0.01, 1.0]}
+        candidates = [models.Candidate("LogisticRegression", "classification", models.logistic_regression(20).build, grid, grid)]
+        return _report(spark, *search.train_all(
+            candidates, rows, "risk_category", features, "id", metric="f1", search_type=kind, folds=3, n_iter=2))
 
     return run
 
@@ -97,18 +102,34 @@ query("random_search")(_search("random"))
 
 @query("train_regression_candidates")
 def train_regression_candidates(spark, sf):
-    trained, _ = search.train_all(
+    return _report(spark, *search.train_all(
         [models.linear_regression()], _prices(spark, sf), "l_extendedprice", ["l_quantity", "l_tax"], "id", task="regression",
-        metric="r2", folds=3)
-    return search.training_report(spark, trained).drop("seconds", "size_kb")
+        metric="r2", folds=3))
+
+
+def _cannot_fit(params, rows, seed):
+    raise ValueError("this candidate cannot be fitted")
+
+
+@query("training_report_with_failure", sql="""
+SELECT 'Broken' AS model, TRUE AS failed, CAST(0 AS BIGINT) AS choices UNION ALL SELECT 'LinearRegression', FALSE, 4
+""")
+def training_report_with_failure(spark, sf):
+    """A candidate that fails keeps its row, and does not stop the others."""
+    broken = models.Candidate("Broken", "regression", _cannot_fit, {}, {})
+    trained, errors = search.train_all(
+        [broken, models.linear_regression()], _prices(spark, sf), "l_extendedprice", ["l_quantity", "l_tax"], "id",
+        task="regression", metric="r2", folds=2)
+    report = search.training_report(spark, trained, errors)
+    return report.groupBy("model", F.col("error").isNotNull().alias("failed")).agg(F.count("params").alias("choices"))
 
 
 @query("search_with_resampling")
 def search_with_resampling(spark, sf):
     rows = labelled(spark, sf)
-    trained, _ = search.train_all([models.logistic_regression(20)], rows, "quality", ["x", "y", "z"], "doc_id", metric="f1",
-                                  folds=2, resampling="SMOTE", parallelism=1)
-    return search.training_report(spark, trained).drop("seconds", "size_kb")
+    return _report(spark, *search.train_all(
+        [models.logistic_regression(20)], rows, "quality", ["x", "y", "z"], "doc_id", metric="f1", folds=2, resampling="SMOTE",
+        parallelism=1))
 
 
 @query("save_model")
@@ -126,6 +147,40 @@ def save_model(spark, sf):
         "has_size", F.lit(size > 0))
 
 
+@query("coefficient_importance_of_one", sql="""
+SELECT 'LinearRegression' AS model, 'l_quantity' AS feature, round(abs(regr_slope(l_extendedprice, l_quantity)), 4) AS importance FROM lineitem
+""")
+def coefficient_importance_of_one(spark, sf):
+    """The weight of a model's only feature is the slope of the line."""
+    rows = _prices(spark, sf).withColumn(models.LABEL, F.col("l_extendedprice"))
+    model = models.fit_model(models.linear_regression(), {}, rows, ["l_quantity"], 0)
+    return rounded(importance.model_importances(spark, model, ["l_quantity"], "LinearRegression"), "importance", digits=4)
+
+
+@query("logistic_regression_balance", sql="""
+SELECT CAST(0 AS DOUBLE) AS gap, count(*) AS n FROM lineitem
+""")
+def logistic_regression_balance(spark, sf):
+    """The intercept is not penalised: the mean probability is the share of the label."""
+    rows = _prices(spark, sf).withColumn(models.LABEL, (F.col("l_tax") > 0.04).cast("double"))
+    model = models.fit_model(models.logistic_regression(), {"C": 1.0}, rows, ["l_quantity", "l_extendedprice"], rows.count())
+    out = models.scored(model, rows, [])
+    gap = F.avg(F.col("probability")[1]) - F.avg(models.LABEL)
+    return out.agg(F.abs(F.round(gap, 4)).alias("gap"), F.count(F.lit(1)).alias("n"))
+
+
+@query("permutation_importance_of_a_constant", sql="""
+SELECT 'steady' AS feature, CAST(0 AS DOUBLE) AS importance, CAST(0 AS DOUBLE) AS deviation, count(*) > 0 AS read FROM lineitem
+""")
+def permutation_importance_of_a_constant(spark, sf):
+    """Shuffling a feature that is the same everywhere changes nothing."""
+    rows = _prices(spark, sf).withColumns({"steady": F.lit(1.0), models.LABEL: F.col("l_extendedprice")})
+    model = models.fit_model(models.linear_regression(), {}, rows, ["l_quantity", "steady"], 0)
+    out = importance.permutation_importance(
+        rows, model.transform, lambda df, by: search.score_table(df, "r2", by), ["l_quantity", "steady"], "id", repeats=2)
+    return rounded(out.filter("feature = 'steady'"), "importance", "deviation").withColumn("read", F.lit(True))
+
+
 @query("coefficient_importance")
 def coefficient_importance(spark, sf):
     rows, features = _admissions(spark, sf)

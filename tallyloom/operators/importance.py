@@ -28,6 +28,16 @@ def model_importances(spark, model, features: Sequence[str], name: str = "model"
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
+def importances(spark, model, rows: DataFrame, features: Sequence[str], key: str, name: str,
+                score: Callable[[DataFrame, list[str]], DataFrame], repeats: int = 10, seed: int = 42) -> DataFrame:
+    """(model, feature, importance) from the model where it has weights or gains, else by permutation on `rows`."""
+    core = model.stages[-1] if hasattr(model, "stages") else model
+    if any(hasattr(core, x) for x in ("coefficientMatrix", "coefficients", "featureImportances")):
+        return model_importances(spark, model, features, name)
+    found = permutation_importance(rows, model.transform, score, features, key, repeats, seed)
+    return found.select(F.lit(name).alias("model"), "feature", "importance")
+
+
 def shuffled(df: DataFrame, features: Sequence[str], key: str, repeats: int, seed: int, buckets: int) -> DataFrame:
     """(rows, repeat, feature, features…): every row once per repeat and feature, that feature taken from another row.
 

@@ -80,11 +80,12 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[st
 
 
 def classification_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = (),
-                           positive=None) -> DataFrame:
+                           positive=None, averaged: bool = False) -> DataFrame:
     """Accuracy, precision, recall and F1 per group.
 
     With two labels in the truth the scores are those of `positive` (the larger label by default),
     else unweighted means over all labels true or predicted.  A zero denominator scores 0.
+    `averaged` gives means in any case: a part of a table with more labels may hold two of them.
     """
     counts = confusion_counts(df, label, prediction, by)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
@@ -111,7 +112,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, by: Seque
             scored = scored.join(tops, _same_group(by, "_t_"))
         else:
             scored = scored.withColumn("_top", tops.agg(F.max("_top")).scalar())
-    binary = F.count_if(F.col("actual") > 0) == 2
+    binary = F.lit(False) if averaged else F.count_if(F.col("actual") > 0) == 2
     one = F.col("class") == chosen
     return scored.groupBy(*keys).agg(
         F.sum("actual").alias("n"), divide(F.sum("tp"), F.sum("actual")).alias("accuracy"),

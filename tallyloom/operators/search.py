@@ -7,6 +7,7 @@ they share are persisted once.
 from __future__ import annotations
 
 import logging
+import math
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -49,13 +50,14 @@ def check_metric(metric: str, task: str) -> None:
         raise ValueError(f"metric {metric!r} does not fit a {task} task")
 
 
-def score_table(rows: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by…, score) of a scored table; larger is better."""
+def score_table(rows: DataFrame, metric: str, by: Sequence[str] = (), classes: int = 2) -> DataFrame:
+    """(by…, score) of a scored table; larger is better. `classes` counts the labels of the whole table."""
     _, column, sign = METRICS[metric]
     if column in ("roc_auc", "pr_auc"):
         table = _areas(rows, column, by)
     elif METRICS[metric][0] == "classification":
-        table = metrics.classification_metrics(rows, LABEL, "prediction", by, positive=1.0)  # codes of two classes: 0, 1
+        positive = 1.0 if classes == 2 else None  # codes of two classes: 0, 1
+        table = metrics.classification_metrics(rows, LABEL, "prediction", by, positive, averaged=classes > 2)
     else:
         table = metrics.regression_metrics(rows, LABEL, "prediction", by, with_median=column == "median_ae")
     return table.select(*[col(b) for b in by], (sign * F.col(column)).alias("score"))
@@ -69,8 +71,8 @@ def _areas(rows: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
     return curves.curve_areas(long, "hit", "score", [*by, "class"]).groupBy(*[col(b) for b in by]).agg(F.avg(column).alias(column))
 
 
-def score_of(rows: DataFrame, metric: str) -> float | None:
-    return score_table(rows, metric).first()["score"]
+def score_of(rows: DataFrame, metric: str, classes: int = 2) -> float | None:
+    return score_table(rows, metric, classes=classes).first()["score"]
 
 
 @dataclass
@@ -80,8 +82,7 @@ class Trial:
 
     @property
     def mean(self) -> float:
-        known = [s for s in self.scores if s is not None]
-        return sum(known) / len(known) if known else float("-inf")
+        return sum(self.scores) / len(self.scores)
 
 
 @dataclass
@@ -115,8 +116,12 @@ def _train_rows(df: DataFrame, features: Sequence[str], key: str, sampler: Calla
 
 
 def search(candidate: Candidate, trials: Sequence[Mapping], folded: DataFrame, features: Sequence[str], key: str,
-           folds: int, metric: str, sampler: Callable | None = None, seed: int = 42, parallelism: int = 4) -> list[Trial]:
-    """Score every parameter choice on every fold.  `folded` has the label and the fold number."""
+           folds: int, metric: str, sampler: Callable | None = None, seed: int = 42, parallelism: int = 4,
+           classes: int = 2) -> list[Trial]:
+    """Score every parameter choice on every fold.  `folded` has the label and the fold number.
+
+    A fold that gives no score is an error: means over different folds can't be compared.
+    """
     sizes = {r[FOLD]: r["n"] for r in folded.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
 
@@ -129,7 +134,10 @@ def search(candidate: Candidate, trials: Sequence[Mapping], folded: DataFrame, f
         try:
             for params in trials:
                 model = fit_model(candidate, params, train, features, total - sizes.get(fold, 0), seed)
-                out.append(score_of(scored(model, valid, []), metric))
+                score = score_of(scored(model, valid, []), metric, classes)
+                if score is None or math.isnan(score):
+                    raise ValueError(f"fold {fold} gives no {metric} for {dict(params)}")
+                out.append(score)
         finally:
             if sampler is not None:
                 train.unpersist()
@@ -152,8 +160,10 @@ def train_all(candidates: Sequence[Candidate], df: DataFrame, label: str, featur
     sampler = choose_sampler(resampling) if task == "classification" else None
     root = model_dir or scratch_path(spark, "models")
     rows = df.select(col(key), col(label), *[col(f) for f in features if f not in (key, label)])
+    labels: list = []
     if task == "classification":
-        rows = with_code(rows, label, classes_of(rows, label))
+        labels = classes_of(rows, label)
+        rows = with_code(rows, label, labels)
         rows = rows.drop(label) if label != LABEL else rows
         folded = with_folds(rows, [key], folds, stratify=LABEL, seed=seed, name=FOLD)
     else:
@@ -167,7 +177,7 @@ def train_all(candidates: Sequence[Candidate], df: DataFrame, label: str, featur
             started = time.time()
             try:
                 trials = search(candidate, choose_trials(candidate, search_type, n_iter, seed), folded, features, key, folds,
-                                metric, sampler, seed, parallelism)
+                                metric, sampler, seed, parallelism, max(2, len(labels)))
                 best = max(trials, key=lambda t: t.mean)
                 final = _train_rows(folded.drop(FOLD), features, key, sampler, seed)
                 model = fit_model(candidate, best.params, final, features, count, seed)
@@ -181,11 +191,15 @@ def train_all(candidates: Sequence[Candidate], df: DataFrame, label: str, featur
     return trained, errors
 
 
-def training_report(spark, trained: Sequence[Trained]) -> DataFrame:
-    """One row per model and parameter choice: mean score, whether it was best, fit time and size."""
+def training_report(spark, trained: Sequence[Trained], errors: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per model and parameter choice: mean score, whether it was best, fit time and size.
+
+    A candidate that failed has one row with its error and nothing else.
+    """
     rows = [
-        (t.name, str(trial.params), float(trial.mean), trial.params == t.best_params, float(t.seconds), float(t.size_kb))
+        (t.name, str(trial.params), float(trial.mean), trial.params == t.best_params, float(t.seconds), float(t.size_kb), None)
         for t in trained for trial in t.trials
     ]
+    rows += [(name, None, None, None, None, None, error) for name, error in (errors or {}).items()]
     return spark.createDataFrame(
-        rows, "model string, params string, cv_score double, is_best boolean, seconds double, size_kb double")
+        rows, "model string, params string, cv_score double, is_best boolean, seconds double, size_kb double, error string")

@@ -9,6 +9,7 @@ from tests.oracle import check_all
 
 # Searches and fits of several models: covered by test_models and by `python -m tests.oracle`.
 SLOW = {
+    "training_report_with_failure",
     "evaluate_models", "grid_search", "random_search", "learning_curve", "search_with_resampling", "permutation_importance_of_model",
     "train_regression_candidates", "write_importances", "random_forest_classifier",
 }
