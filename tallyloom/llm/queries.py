@@ -61,11 +61,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_minhash_near_dedup", r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 common AS (
@@ -85,7 +85,78 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-@_query("op1_secret_scan")
+@_query("op1_secret_scan", r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p(kind, pattern) AS (VALUES
+  (0, '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'AKIA[A-Z0-9]{16,}'), (2, '[0-9a-f]{24,}'), (3, '[A-Za-z0-9+/_=-]{16,}')),
+h AS (SELECT doc_id, kind, pattern, regexp_extract_all(text, pattern) AS hits, string_split_regex(text, pattern) AS gaps FROM t, p),
+u AS (SELECT doc_id, kind, pattern, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM h WHERE len(hits) > 0),
+s AS (
+  SELECT doc_id, kind, pattern, hits[i] AS hit,
+         CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM u),
+found AS (SELECT doc_id, kind, hit, a, a + length(hit) AS z FROM s WHERE kind > 0 OR length(regexp_extract(hit, pattern, 2)) >= 6),
+base AS (SELECT doc_id, kind, a, z FROM found WHERE kind < 3),
+runs AS (
+  SELECT f.doc_id, f.a, f.z, f.hit, CASE
+    WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-fA-F]') THEN 'hex'
+    WHEN regexp_matches(hit, '^[A-Z2-7]+=*$') AND regexp_matches(hit, '[2-7]') AND regexp_matches(hit, '[A-Z]') THEN 'base32'
+    WHEN regexp_matches(hit, '^([0-9a-z]+|[0-9A-Z]+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-zA-Z]') THEN 'base36'
+    WHEN regexp_matches(hit, '^[A-Za-z0-9+/_-]+=*$') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]')
+         AND (regexp_matches(hit, '[0-9]') OR regexp_matches(hit, '[a-z][A-Z]')) THEN 'base64' END AS encoding
+  FROM found f WHERE kind = 3
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = f.doc_id AND b.a < f.z AND f.a < b.z)),
+cand AS (
+  SELECT doc_id, a, z, encoding, CASE encoding WHEN 'hex' THEN '0123456789abcdef' WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+    WHEN 'base36' THEN '0123456789abcdefghijklmnopqrstuvwxyz' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS alphabet,
+    rtrim(translate(CASE WHEN encoding IN ('hex', 'base36') THEN lower(hit) ELSE hit END, '-_=', '+/ ')) AS token,
+    CASE WHEN z - a >= 96 THEN 4 WHEN z - a >= 48 THEN 3 WHEN z - a >= 32 THEN 2 WHEN z - a >= 24 THEN 1 ELSE 0 END AS band
+  FROM runs WHERE encoding IS NOT NULL),
+c AS (SELECT *, CAST(length(alphabet) AS DOUBLE) AS k, CAST(length(token) AS DOUBLE) AS n FROM cand),
+ch AS (
+  SELECT doc_id, a, k, n, i, substr(token, i, 1) AS c, CAST(instr(alphabet, substr(token, i, 1)) AS DOUBLE) AS x
+  FROM (SELECT *, unnest(range(1, length(token) + 1)) AS i FROM c)),
+sq AS (SELECT doc_id, a, sum(m * m) AS squares FROM (SELECT doc_id, a, c, CAST(count(*) AS DOUBLE) AS m FROM ch GROUP BY doc_id, a, c) GROUP BY doc_id, a),
+nb AS (
+  SELECT *, CASE WHEN x > k / 2 THEN 1.0 ELSE 0.0 END AS up, avg(x) OVER (PARTITION BY doc_id, a) AS mean,
+         lag(x) OVER (PARTITION BY doc_id, a ORDER BY i) AS px FROM ch),
+st AS (
+  SELECT doc_id, a, any_value(k) AS k, any_value(n) AS n, sum(up) AS ones,
+         sum(CASE WHEN px IS NOT NULL THEN abs(up - CASE WHEN px > k / 2 THEN 1.0 ELSE 0.0 END) ELSE 0 END) AS turns,
+         sum((x - mean) * (x - mean)) AS square, sum(CASE WHEN px IS NOT NULL THEN (x - mean) * (px - mean) ELSE 0 END) AS product
+  FROM nb GROUP BY doc_id, a),
+zs AS (
+  SELECT doc_id, a, (cbrt(greatest(k / n * squares - n, 0) / (k - 1)) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1))) AS z1,
+         abs(turns - 2 * ones * (n - ones) / n) / sqrt(greatest(2 * ones * (n - ones) / n * (2 * ones * (n - ones) / n - 1) / (n - 1), 1e-9)) AS z2,
+         abs(product / greatest(square, 1e-9)) * sqrt(n) AS z3
+  FROM st JOIN sq USING (doc_id, a)),
+cl AS (SELECT doc_id, a, greatest(least(z1, 12), -12) AS z1, greatest(least(z2, 12), -12) AS z2, greatest(least(z3, 12), -12) AS z3 FROM zs),
+pv AS (
+  SELECT doc_id, a, least(1.0, 3 * least(1 / (1 + exp(1.5976 * z1 + 0.07056 * z1 * z1 * z1)),
+    2 / (1 + exp(1.5976 * z2 + 0.07056 * z2 * z2 * z2)), 2 / (1 + exp(1.5976 * z3 + 0.07056 * z3 * z3 * z3)))) AS p FROM cl),
+tested AS (SELECT c.doc_id, c.a, c.z, c.encoding, c.band, pv.p FROM c JOIN pv USING (doc_id, a)),
+bins AS (SELECT encoding, band, CAST(least(floor(p * 20), 19) AS INTEGER) AS bin, count(*) AS m FROM tested GROUP BY ALL),
+tot AS (
+  SELECT encoding, band, sum(m) AS m, least(1.0, coalesce(sum(m) FILTER (WHERE bin >= 4), 0) / 0.8 / sum(m)) * sum(m) AS random
+  FROM bins GROUP BY encoding, band),
+above AS (
+  SELECT g.encoding, g.band, g.random, e.cut, coalesce((SELECT sum(m) FROM bins b WHERE b.encoding = g.encoding AND b.band = g.band AND b.bin >= e.cut), 0) AS over
+  FROM tot g, range(0, 20) e(cut)),
+cuts AS (SELECT encoding, band, min(cut) / 20.0 AS cut FROM above
+  WHERE over > 0 AND 1 - least(1.0, random * (1 - cut / 20.0) / over) <= 0.1 GROUP BY encoding, band),
+spans AS (
+  SELECT doc_id, kind, a, z FROM base
+  UNION ALL SELECT doc_id, 3, a, z FROM tested JOIN cuts USING (encoding, band) WHERE p >= cut),
+txt AS (SELECT *, (['assign', 'access', 'hex', 'random'])[kind + 1] || ':' || a || ':' || z AS one FROM spans),
+agg AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(one, ',' ORDER BY a, kind, z) FILTER (WHERE kind < 3) AS b, string_agg(one, ',' ORDER BY a, kind, z) AS spans
+  FROM txt GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN agg USING (doc_id)
+""")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
     counts = [secrets.of_kind(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.BASE]
@@ -120,10 +191,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("op10_hamming_top_k", """
-WITH c AS (SELECT vec_id, list_transform(embedding, x -> x > 0) AS code FROM embeddings),
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings),
 d AS (
   SELECT q.vec_id, v.vec_id AS neighbor_id,
-         CAST(len(list_filter(range(1, 65), i -> q.code[i] <> v.code[i])) AS INTEGER) AS distance
+         CAST(len(list_filter(range(1, 65), lambda i: q.code[i] <> v.code[i])) AS INTEGER) AS distance
   FROM c q JOIN c v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
 r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM d)
