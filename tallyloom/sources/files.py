@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
@@ -117,6 +118,10 @@ def _json_columns(spark: SparkSession, path: str, schema: T.StructType | str | N
     return nan_to_null(wide.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]))
 
 
+#: Tasks that read the ends of Feather files.
+FOOTER_TASKS = 256
+
+
 class _Batches(InputPartition):
     def __init__(self, path: str, first: int, last: int):
         self.path, self.first, self.last = path, first, last
@@ -131,14 +136,12 @@ def _open_feather(path: str):
 
 
 class _FeatherReader(DataSourceReader):
-    def __init__(self, paths: list[str], columns: list[str] | None, batches_per_task: int):
-        self.paths, self.columns, self.step = paths, columns, batches_per_task
+    def __init__(self, counts: dict[str, int], columns: list[str] | None, batches_per_task: int):
+        self.counts, self.columns, self.step = counts, columns, batches_per_task
 
     def partitions(self):
-        out = []
-        for path in self.paths:
-            n = _open_feather(path).num_record_batches
-            out += [_Batches(path, i, min(i + self.step, n)) for i in range(0, n, self.step)]
+        out = [
+            _Batches(path, i, min(i + self.step, n)) for path, n in self.counts.items() for i in range(0, n, self.step)]
         return out or [_Batches("", 0, 0)]
 
     def read(self, partition):
@@ -157,27 +160,42 @@ class FeatherSource(DataSource):
     def name(cls):
         return "feather"
 
-    def _paths(self) -> list[str]:
-        return self.options["paths"].split("\n")
-
     def _columns(self) -> list[str] | None:
         named = self.options.get("columns")
         return named.split("\n") if named else None
 
     def schema(self):
-        from pyspark.sql.pandas.types import from_arrow_schema
-
-        found = from_arrow_schema(_open_feather(self._paths()[0]).schema)
+        found = T.StructType.fromJson(json.loads(self.options["fields"]))
         wanted = self._columns()
         return T.StructType([found[c] for c in wanted]) if wanted else found
 
     def reader(self, schema):
-        return _FeatherReader(self._paths(), self._columns(), int(self.options.get("batchesPerTask", "1")))
+        counts = json.loads(self.options["counts"])
+        return _FeatherReader(counts, self._columns(), int(self.options.get("batchesPerTask", "1")))
+
+
+def _footers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, int], str]:
+    """Record batches of each file, and the schema of all, read from the files' ends by a Spark job."""
+    def read(frames):
+        import pandas as pd
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for frame in frames:
+            found = [(p, _open_feather(p)) for p in frame["path"]]
+            yield pd.DataFrame(
+                [(p, f.num_record_batches, from_arrow_schema(f.schema).json()) for p, f in found], columns=["path", "n", "fields"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), FOOTER_TASKS))
+    rows = sorted(listed.mapInPandas(read, "path string, n long, fields string").collect())
+    odd = next((r for r in rows if r["fields"] != rows[0]["fields"]), None)
+    if odd is not None:
+        raise ValueError(f"{odd['path']} has another schema than {rows[0]['path']}")
+    return {r["path"]: r["n"] for r in rows}, rows[0]["fields"]
 
 
 def load_feather(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  batches_per_task: int = 1) -> DataFrame:
-    """Read a Feather file or a folder of them (extension .feather or .arrow)."""
+    """Read a Feather file or a folder of them (extension .feather or .arrow), which must have one schema."""
     from pyarrow import fs
 
     ensure_exists(spark, path)
@@ -194,7 +212,8 @@ def load_feather(spark: SparkSession, path: str, columns: Sequence[str] | None =
     if not files:
         raise FileNotFoundError(f"no Feather file below {path}")
     spark.dataSource.register(FeatherSource)
-    reader = spark.read.format("feather").option("paths", "\n".join(prefix + f for f in files))
+    counts, fields = _footers(spark, [prefix + f for f in files])
+    reader = spark.read.format("feather").options(counts=json.dumps(counts), fields=fields)
     if columns:
         reader = reader.option("columns", "\n".join(columns))
     return nan_to_null(reader.option("batchesPerTask", str(batches_per_task)).load())

@@ -32,6 +32,16 @@ def test_feather_is_read_in_batches_by_several_tasks(spark, tmp_path):
     assert files.load_feather(spark, str(tmp_path / "a.feather"), columns=["k"]).columns == ["k"]
 
 
+def test_feather_files_need_one_schema(spark, tmp_path):
+    import pyarrow as pa
+
+    for name, table in (("a", pa.table({"k": [1]})), ("b", pa.table({"k": ["x"]}))):
+        with pa.OSFile(str(tmp_path / f"{name}.feather"), "wb") as sink, pa.ipc.new_file(sink, table.schema) as writer:
+            writer.write_table(table)
+    with pytest.raises(ValueError, match="another schema"):
+        files.load_feather(spark, str(tmp_path))
+
+
 def test_json_forms(spark, tmp_path):
     (tmp_path / "r.json").write_text('[{"a": 1, "b": "x"}, {"a": 2, "b": null}]')
     (tmp_path / "l.json").write_text('{"a": 1, "b": "x"}\n{"a": 2, "b": null}\n')
