@@ -8,6 +8,8 @@ from catalog.registry import (
     BINARY, MULTICLASS, REGRESSION, binary_scores, multiclass_scores, query, regression_scores, table,
 )
 from tallyloom.operators import curves, metrics, profile
+from tallyloom.operators.models import LABEL
+from tallyloom.plans import evaluation
 
 CLASS_SCORES = {"A": "score_a", "N": "score_n", "R": "score_r"}
 
@@ -247,3 +249,49 @@ FROM range(30) g(i) CROSS JOIN s LEFT JOIN c ON c.bin = g.i
 def residual_histogram(spark, sf):
     rows = metrics.residual_diagnostics(regression_scores(spark, sf), "actual", "predicted")
     return rounded(profile.histogram(rows, "residual"), "lower", "upper", digits=4)
+
+
+def _scored_classes(spark, sf):
+    """The three-class table as evaluation has it: labels and predictions are places of sorted classes."""
+    code = F.create_map(*[x for i, c in enumerate("ANR") for x in (F.lit(c), F.lit(float(i)))])
+    return multiclass_scores(spark, sf).select(
+        F.lit("fixed").alias("model"), "split", code[F.col("label")].alias(LABEL), code[F.col("prediction")].alias("prediction"),
+        F.array("score_a", "score_n", "score_r").alias("probability"))
+
+
+_CODED = f"""s AS (
+  SELECT 'fixed' AS model, split, CAST(instr('ANR', label) - 1 AS DOUBLE) AS label, CAST(instr('ANR', prediction) - 1 AS DOUBLE) AS prediction,
+         score_a, score_n, score_r FROM ({MULTICLASS}))"""
+
+
+@query("evaluation_confusion", sql=f"""
+WITH {_CODED}, l AS (SELECT DISTINCT split, label AS c FROM s UNION SELECT DISTINCT split, prediction FROM s)
+SELECT 'fixed' AS model, a.split, a.c AS label, b.c AS prediction,
+       CAST((SELECT count(*) FROM s WHERE s.split = a.split AND s.label = a.c AND s.prediction = b.c) AS BIGINT) AS n
+FROM l a JOIN l b ON a.split = b.split
+""")
+def evaluation_confusion(spark, sf):
+    return evaluation.classification_tables(_scored_classes(spark, sf), 3)["confusion"]
+
+
+@query("evaluation_calibration", sql=f"""
+WITH {_CODED}, long AS (
+  SELECT model, split, c AS class, score, CAST(label = c AS INT) AS hit FROM (
+    SELECT model, split, label, 0 AS c, score_a AS score FROM s UNION ALL SELECT model, split, label, 1, score_n FROM s
+    UNION ALL SELECT model, split, label, 2, score_r FROM s))
+SELECT model, split, class, {_BIN} AS bin, CAST(count(*) AS BIGINT) AS n, round(avg(score), 6) AS mean_score, round(avg(hit), 6) AS hit_rate
+FROM long GROUP BY 1, 2, 3, 4
+""")
+def evaluation_calibration(spark, sf):
+    return rounded(evaluation.classification_tables(_scored_classes(spark, sf), 3)["calibration"], "mean_score", "hit_rate")
+
+
+@query("evaluation_residual_bins", sql=f"""
+WITH r AS (SELECT split, actual - predicted AS v FROM ({REGRESSION})), e AS (SELECT min(v) AS lo, max(v) AS hi FROM r)
+SELECT 'fixed' AS model, split, least(CAST(floor((v - lo) / ((hi - lo) / 30)) AS BIGINT), 29) AS bin, CAST(count(*) AS BIGINT) AS n
+FROM r, e GROUP BY 2, 3
+""")
+def evaluation_residual_bins(spark, sf):
+    rows = regression_scores(spark, sf).select(
+        F.lit("fixed").alias("model"), "split", F.col("actual").alias(LABEL), F.col("predicted").alias("prediction"))
+    return evaluation.regression_tables(rows)["residual_bins"]

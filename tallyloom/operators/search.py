@@ -126,6 +126,8 @@ def search(candidate: Candidate, trials: Sequence[Mapping], folded: DataFrame, f
     total = sum(sizes.values())
 
     def fold_scores(fold: int) -> list[float]:
+        if not sizes.get(fold):
+            raise ValueError(f"fold {fold} has no rows and gives no {metric}")
         train = _train_rows(folded.filter(F.col(FOLD) != fold).drop(FOLD), features, key, sampler, seed)
         valid = folded.filter(F.col(FOLD) == fold)
         if sampler is not None:

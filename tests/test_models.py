@@ -196,3 +196,38 @@ def test_workflow(labelled):
     assert evaluation.summary(done.metrics).count() == 1
     weights = importance.model_importances(labelled.sparkSession, done.trained[0].model, done.preprocessor.feature_names)
     assert weights.first()["feature"] == "a"
+
+
+def test_report_of_all_tables(labelled, tmp_path):
+    settings = workflow.Settings("y", "id", folds=2, stratify=True)
+    done = workflow.run(labelled.drop("z"), settings, [models.logistic_regression(10)], preprocessor=Preprocessor())
+    found = evaluation.report(
+        done.trained, done.prepared, "y", "id", done.preprocessor.feature_names, summary_path=str(tmp_path / "summary"))
+    assert set(found.tables) == {"metrics", "roc_curve", "pr_curve", "areas", "calibration", "confusion", "importances", "summary"}
+    assert found.tables["confusion"].agg(F.sum("n")).first()[0] == 300
+    assert {r["feature"] for r in found.tables["importances"].collect()} == set(done.preprocessor.feature_names)
+    assert set(found.seconds) == {"LogisticRegression"} and list((tmp_path / "summary").glob("part-*"))
+
+
+def test_importances_fall_back_to_permutation(labelled):
+    class Twice:
+        def transform(self, df):
+            return df.withColumn("prediction", 2 * F.col("a"))
+
+    rows = labelled.withColumn(models.LABEL, 2 * F.col("a"))
+    out = importance.importances(
+        labelled.sparkSession, Twice(), rows, ["a", "b"], "id", "twice", lambda df, by: search.score_table(df, "r2", by), 2)
+    got = {r["feature"]: r["importance"] for r in out.collect()}
+    assert got["b"] == pytest.approx(0.0) and got["a"] > 0.5
+
+
+def test_parts_with_two_of_three_labels_are_averaged(spark):
+    rows = spark.createDataFrame([(0.0, 0.0), (2.0, 2.0), (2.0, 0.0)], f"{models.LABEL} double, prediction double")
+    assert search.score_of(rows, "recall", classes=3) == pytest.approx(0.75)
+
+
+def test_fold_without_a_score_is_an_error(labelled):
+    rows = labelled.withColumn(models.LABEL, F.col("z"))
+    folded = rows.withColumn(search.FOLD, (F.col("id") % 2).cast("int"))  # the third fold has no rows
+    with pytest.raises(ValueError, match="fold 2 has no rows and gives no r2"):
+        search.search(models.linear_regression(), [{}], folded, ["a"], "id", 3, "r2")
