@@ -107,7 +107,7 @@ def separators(files: DataFrame, end_id: int, size: int = RANGE) -> DataFrame:
 def _carried(ranges: DataFrame, span: int) -> DataFrame:
     """With (ended, last): separators before each range of a file, and the place of the last of them (-1: none)."""
     own = ranges.select(
-        "file", "range", F.size("ends").alias("n"), F.element_at("ends", -1).alias("end"),
+        "file", "range", F.size("ends").alias("n"), F.try_element_at("ends", F.lit(-1)).alias("end"),
         F.floor(F.col("range") / span).alias("span"))
 
     def before(w) -> tuple[Column, Column]:
@@ -137,7 +137,7 @@ def document_lengths(files: DataFrame, end_id: int, size: int = RANGE, span: int
     closed = each.select(
         "file", (F.col("ended") + F.col("k")).alias("place"), (F.col("x.previous") + 1).alias("start"),
         (F.col("x.end") - F.col("x.previous") - 1).alias("n_tokens"), F.lit(True).alias("closed"))
-    totals = found.groupBy("file").agg(F.max("ids").alias("ids"), F.sum(F.size("ends")).alias("n"), F.max(F.element_at("ends", -1)).alias("end"))
+    totals = found.groupBy("file").agg(F.max("ids").alias("ids"), F.sum(F.size("ends")).alias("n"), F.max(F.try_element_at("ends", F.lit(-1))).alias("end"))
     start = F.coalesce("end", F.lit(-1)) + 1
     rest = totals.filter(F.col("ids") > start).select(
         "file", F.col("n").cast("long").alias("place"), start.alias("start"), (F.col("ids") - start).alias("n_tokens"), F.lit(False).alias("closed"))
