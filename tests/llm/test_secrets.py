@@ -49,7 +49,7 @@ def test_random_strings_are_found_and_words_are_not(spark):
     rows += [(1000 + i, t) for i, t in enumerate(plain)]
     got = scanned(spark, rows)
     assert sum(got[d] == w for d, w in want.items()) >= 285
-    assert all(got[1000 + i] == "" for i in range(len(plain)))
+    assert all("random" not in got[1000 + i] for i in range(len(plain)))
 
 
 def test_random_strings_that_meet_a_base_span_are_not_added(spark):
