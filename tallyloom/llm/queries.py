@@ -187,7 +187,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_scan.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT)
+    return token_scan.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER, END_OF_TEXT, id_bytes=2)
 
 
 @_query("op10_hamming_top_k", """

@@ -1,6 +1,7 @@
 """Token counts of documents by a separator scan over flat, unindexed token files.
 
-A token file is nothing but little-endian unsigned 32-bit ids, with the end-of-document id after each document. Files
+A token file is nothing but little-endian unsigned ids of 4 bytes (or of 2, for vocabularies of up to 65,536), with the
+end-of-document id after each document. Files
 are cut into byte ranges; a task reads one range, compares all its ids with the separator at once, and returns where the
 separators are. Documents cross the borders of ranges, so a prefix scan over the ranges of each file (within spans of
 ranges, then over the spans) carries two numbers forward: how many documents have ended, and where the last one did.
@@ -33,7 +34,7 @@ def _store(uri: str):
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", id_bytes: int = 4,
 ) -> DataFrame:
     """Writes one flat file for each partition of the documents; (file, bytes, place, id) in the order of the files.
 
@@ -42,10 +43,12 @@ def write_token_files(
     """
     rows = columns_of(docs, id=id_col, text=text_col).select("id", whole("text").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end, kept = np.array([end_id], dtype="<u4").tobytes(), f"<u{id_bytes}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path, literal=True)
+        if encoder.marked.get_vocab_size() > 1 << 8 * id_bytes:
+            raise ValueError(f"ids of {id_bytes} bytes are too short for the vocabulary")
         name = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.bin"
         keys: list = []
         size, out = 0, None
@@ -53,6 +56,7 @@ def write_token_files(
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
                 data = b"".join(x + end for x in encoder.encode(part.column(1).to_pylist()))
+                data = np.frombuffer(data, dtype="<u4").astype(kept, copy=False).tobytes()
                 if out is None:
                     store, place = _store(name)
                     store.create_dir(place.rsplit("/", 1)[0], recursive=True)
@@ -79,14 +83,14 @@ def files_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
 
 
-def _ranges(files: DataFrame, size: int) -> DataFrame:
-    ids = F.floor(F.col("bytes") / 4)
+def _ranges(files: DataFrame, size: int, id_bytes: int) -> DataFrame:
+    ids = F.floor(F.col("bytes") / id_bytes)
     last = F.ceil(ids / size) - 1
     cut = files.filter(ids > 0).select("file", ids.cast("long").alias("ids"), F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("range"))
     return cut.repartition(F.col("file"), F.col("range"))
 
 
-def separators(files: DataFrame, end_id: int, size: int = RANGE) -> DataFrame:
+def separators(files: DataFrame, end_id: int, size: int = RANGE, id_bytes: int = 4) -> DataFrame:
     """(file, ids, range, ends): the places of the separators in each range of `size` ids of (file, bytes)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,14 +98,14 @@ def separators(files: DataFrame, end_id: int, size: int = RANGE) -> DataFrame:
             for name, ids, number in zip(*[c.to_pylist() for c in batch.columns]):
                 store, place = _store(name)
                 with store.open_input_file(place) as source:
-                    source.seek(4 * number * size)
-                    found = np.frombuffer(source.read(4 * min(size, ids - number * size)), dtype="<u4")
+                    source.seek(id_bytes * number * size)
+                    found = np.frombuffer(source.read(id_bytes * min(size, ids - number * size)), dtype=f"<u{id_bytes}")
                 ends = np.flatnonzero(found == end_id) + number * size
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name]), pa.array([ids]), pa.array([number]), pa.array([ends], pa.list_(pa.int64()))],
                     ["file", "ids", "range", "ends"])
 
-    return _ranges(files, size).mapInArrow(scan, "file string, ids long, range long, ends array<long>")
+    return _ranges(files, size, id_bytes).mapInArrow(scan, "file string, ids long, range long, ends array<long>")
 
 
 def _carried(ranges: DataFrame, span: int) -> DataFrame:
@@ -123,14 +127,14 @@ def _carried(ranges: DataFrame, span: int) -> DataFrame:
         "file", "range", (F.col("n0") + F.col("n1")).alias("ended"), F.greatest("end0", "end1").alias("last"))
 
 
-def document_lengths(files: DataFrame, end_id: int, size: int = RANGE, span: int = SPAN) -> DataFrame:
+def document_lengths(files: DataFrame, end_id: int, size: int = RANGE, span: int = SPAN, id_bytes: int = 4) -> DataFrame:
     """(file, place, start, n_tokens, closed) of every document of (file, bytes).
 
     place counts the documents of a file from 0, start is the document's first id, n_tokens leaves the separator out. Ids
     after the last separator are a document that is not closed. Empty files have no documents; bytes after the last
     whole id are ignored.
     """
-    found = checkpointed(separators(files, end_id, size))
+    found = checkpointed(separators(files, end_id, size, id_bytes))
     carried = found.join(_carried(found, span), ["file", "range"])
     previous = F.concat(F.array("last"), F.col("ends"))
     each = carried.select("file", "ended", F.posexplode(F.arrays_zip(F.col("ends").alias("end"), F.slice(previous, F.lit(1), F.size("ends")).alias("previous"))).alias("k", "x"))
@@ -146,13 +150,14 @@ def document_lengths(files: DataFrame, end_id: int, size: int = RANGE, span: int
 
 def token_counts(
     docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", size: int = RANGE,
+    id_bytes: int = 4,
 ) -> DataFrame:
     """(id, n_tokens) of each document, counted in token files that are written for it.
 
     Ids may be NULL or repeated: each row is a document. A NULL or empty text has no tokens. Special tokens that a text
     spells out are ordinary text. An empty table gives no rows; further columns are ignored.
     """
-    written = write_token_files(docs, scratch_path(docs.sparkSession, "tokens"), path, end_id, id_col, text_col)
+    written = write_token_files(docs, scratch_path(docs.sparkSession, "tokens"), path, end_id, id_col, text_col, id_bytes)
     files = written.select("file", "bytes").distinct()
-    lengths = document_lengths(files, end_id, size)
+    lengths = document_lengths(files, end_id, size, id_bytes=id_bytes)
     return written.join(lengths, ["file", "place"]).select(F.col("id").alias(id_col), "n_tokens")

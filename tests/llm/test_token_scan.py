@@ -38,11 +38,12 @@ def test_bytes_after_the_last_id_are_ignored(spark, tmp_path):
     assert [(r["place"], r["n_tokens"], r["closed"]) for r in rows] == [(0, 1, True)]
 
 
-def test_counts_of_documents(spark):
+@pytest.mark.parametrize("id_bytes", [2, 4])
+def test_counts_of_documents(spark, id_bytes):
     own = Tokenizer.from_file(TOKENIZER)
     own.encode_special_tokens = True
     texts = {1: "hello world", 2: None, 3: "", 4: "a <|endoftext|> b", 5: "x " * 3000, 6: "ß é"}
-    rows = token_scan.token_counts(documents(spark, list(texts.items())).repartition(3), TOKENIZER, END_OF_TEXT, size=64).collect()
+    rows = token_scan.token_counts(documents(spark, list(texts.items())).repartition(3), TOKENIZER, END_OF_TEXT, size=64, id_bytes=id_bytes).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {d: len(own.encode(t or "", add_special_tokens=False).ids) for d, t in texts.items()}
 
 
