@@ -26,7 +26,7 @@ class WordTokenizer:
     fuller memory is dropped between blocks, which changes the time and not the ids. Parts are dearer to encode again.
     """
 
-    def __init__(self, path: str, literal: bool = False, most_words: int = 300_000, most_parts: int = 1_000_000):
+    def __init__(self, path: str, literal: bool = False, most_words: int = 600_000, most_parts: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,17 +50,19 @@ class WordTokenizer:
                 self.parts[part] = data[4 * (a + 1) : 4 * b]
 
     def _learn(self, words: set[str]) -> None:
-        cut, plain = {}, []
+        cut, plain = [], []
+        known = self.parts
         for word in words:
-            if _PLAIN(word) and "<|" not in word:
-                cut[word] = _PARTS.findall(word.lower())
+            if word.isascii() and word.isalpha():
+                cut.append((word, (word.lower(),)))
+            elif _PLAIN(word) and "<|" not in word:
+                cut.append((word, _PARTS.findall(word.lower())))
             else:
                 plain.append(word)
-        new = {p for parts in cut.values() for p in parts if p not in self.parts}
+        new = {p for _, parts in cut for p in parts}.difference(known)
         if new:
             self._learn_parts(list(new))
-        known = self.parts
-        for word, parts in cut.items():
+        for word, parts in cut:
             self.words[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
         if plain:
             for word, found in zip(plain, self.tokenizer.encode_batch(plain, add_special_tokens=False)):
@@ -72,16 +74,17 @@ class WordTokenizer:
             self.words = {}
         if len(self.parts) > self.most_parts:
             self.parts = {}
-        out = []
+        split = []
+        new: set[str] = set()
         for text in texts:
             odd = any(c in text for c in _ODD_GAPS)
             words = [w for w in _GAPS.split(text) if w] if odd else text.split()
-            new = {w for w in words if w not in self.words}
-            if new:
-                self._learn(new)
-            known = self.words
-            out.append(b"".join([known[w] for w in words]))
-        return out
+            new.update(set(words).difference(self.words))
+            split.append(words)
+        if new:
+            self._learn(new)
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
 
 _made: dict[tuple[str, bool], WordTokenizer] = {}
