@@ -22,8 +22,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.deduplicated(docs)
+    """One document of each group of near-duplicates: 80 % of the runs of five words in common."""
+    return near_dedup.deduplicated(docs, percent=80, bands=36, rows=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tallyloom.llm import mixing, quality
 from tallyloom.llm.queries import ORACLES, QUERIES, TOKENIZER
+from tests.llm.frames import documents
 from tests.llm.test_exact_dedup import brute as equal_texts
 from tests.llm.test_near_dedup import brute as near_texts
 from tests.oracle import check, connect
@@ -61,3 +62,14 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_near_copies_from_80_percent_are_dropped(spark, sf_dir):
+    rows = []
+    for i, n in enumerate([48, 49, 50, 55, 60, 61, 62, 63, 64, 70, 100]):
+        words = [f"t{i}w{k}" for k in range(n)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[: n // 2], "changed", *words[n // 2 + 1 :]]))]
+    _, groups = near_texts(rows, 80)
+    left = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), sf_dir)
+    assert {r["doc_id"] for r in left.collect()} == {d for d, g in groups.items() if d == g}
+    assert groups[1] == 1 and groups[3] == 2
