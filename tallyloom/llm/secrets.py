@@ -1,14 +1,15 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests on everything that looks encoded.
 
 Patterns (`BASE`) give the base spans. Besides, each run of 16 or more characters of the encoding alphabets is a
-candidate if an encoding fits it: hexadecimal, base 32, base 36 or base 64. Under the hypothesis that its characters are
+candidate if an encoding fits it: hexadecimal, base 32, base 36 or base 64, the first and third also in groups joined by
+'-'. A '=' within is no part of a run, as padding at the end it is. Under the hypothesis that its characters are
 drawn evenly and independently from that alphabet, three tests are made: chi-squared for evenness, the runs above and
 below the alphabet's middle, and the correlation of neighbours. The smallest p-value, times three, is the candidate's.
 
 Random strings have p-values that are spread evenly; other strings have small ones. So in each class of encoding and
 length, the p-values above 0.2 tell how many candidates are random (Storey's estimate), and a cut is chosen such that at
 most a share `fdr` of the candidates above it are not. Classes by length keep long strings, for which the tests are
-strong, from covering for short ones. The cuts come from counts over all documents: a table of at most 500 rows.
+strong, from covering for short ones. The cuts come from counts over all documents: a table of at most 600 rows.
 
 Everything is SQL functions: texts are read once, and only spans are kept.
 """
@@ -31,7 +32,9 @@ BASE = {
 LEAST_VALUE = 6
 KINDS = [*BASE, "random"]
 
-_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+# '=' ends a run or pads it: what follows NAME= is a run of its own.
+_RUN = (r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}(?:=+(?![A-Za-z0-9+/_=-]))?"
+        r"|(?=[A-Za-z0-9+/_=-]{16})[A-Za-z0-9+/_-]{1,15}=+(?![A-Za-z0-9+/_=-]))")
 #: Encoding: (alphabet, pattern of the whole string); the first that fits.
 ENCODINGS = {
     "hex": ("0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+|[0-9A-F]+)$"),
@@ -39,6 +42,9 @@ ENCODINGS = {
     "base36": ("0123456789abcdefghijklmnopqrstuvwxyz", r"^(?=.*[0-9])(?=.*[a-zA-Z])([0-9a-z]+|[0-9A-Z]+)$"),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
                r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9]|.*[a-z][A-Z])[A-Za-z0-9+/_-]+=*$"),
+    # groups joined by '-', as in a UUID, are classes of their own: words joined by '-' must not spoil the cuts of others
+    "hex_groups": ("0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+(-[0-9a-f]+)+|[0-9A-F]+(-[0-9A-F]+)+)$"),
+    "base36_groups": ("0123456789abcdefghijklmnopqrstuvwxyz", r"^(?=.*[0-9])(?=.*[a-zA-Z])([0-9a-z]+(-[0-9a-z]+)+|[0-9A-Z]+(-[0-9A-Z]+)+)$"),
 }
 #: Lengths at which a new class begins.
 BANDS = [16, 24, 32, 48, 96]
@@ -84,7 +90,7 @@ def encoding(token: Column) -> Column:
 def _p_value(token: Column, alphabet: str, fold: bool) -> Column:
     """Of the hypothesis that the token's characters are drawn evenly and independently."""
     k = len(alphabet)
-    token = F.rtrim(F.translate(token, "-_=", "+/ "))
+    token = F.translate(token, "-", "") if fold else F.rtrim(F.translate(token, "-_=", "+/ "))
     if fold:
         token = F.lower(token) if alphabet.islower() else F.upper(token)
     chars = F.split(token, "")
@@ -116,7 +122,7 @@ def battery(token: Column, name: Column) -> Column:
     """The p-value of a token under its encoding."""
     p = F.lit(None).cast("double")
     for key, (alphabet, _) in reversed(ENCODINGS.items()):
-        p = F.when(name == key, _p_value(token, alphabet, key in ("hex", "base36"))).otherwise(p)
+        p = F.when(name == key, _p_value(token, alphabet, key.startswith(("hex", "base36")))).otherwise(p)
     return p
 
 

@@ -69,3 +69,38 @@ def test_ids_that_are_null_or_repeated_and_empty_tables(spark):
     rows = secrets.scan(documents(spark, [(None, "token=abcdef"), (1, "a"), (1, "a")])).collect()
     assert sorted((r["doc_id"] or 0, len(r["spans"])) for r in rows) == [(0, 1), (1, 0), (1, 0)]
     assert secrets.scan(documents(spark, [])).count() == 0
+
+
+def test_values_after_names_and_keys_in_groups(spark):
+    random.seed(12)
+    rows, want = [], {}
+    for i in range(240):
+        value = base64.b64encode(random.randbytes(31 + i % 3)).decode()
+        groups = ["-".join("".join(random.choice(a) for _ in range(n)) for n in sizes) for a, sizes in (
+            ("0123456789abcdef", (8, 4, 4, 4, 12)), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", (5, 5, 5, 5, 5)))]
+        name, key = [("AWS_SECRET_ACCESS_KEY=", value), ("AccountKey=", value), ("https://a.b/c?sig=", value), ("id=", groups[0]),
+                     ("key ", groups[0]), ("KEY=", groups[1])][i % 6]
+        rows.append((i, f"{name}{key} end"))
+        want[i] = f"random:{len(name)}:{len(name) + len(key)}"
+    rows += [(1000, "NAME=value"), (1001, "a=b=c=d=e=f=g=h=i=j"), (1002, "==================")]
+    got = scanned(spark, rows)
+    for kind in range(6):
+        assert sum(got[d] == w for d, w in want.items() if d % 6 == kind) >= 34
+    assert all(got[1000 + i] == "" for i in range(3))
+
+
+def test_runs_with_padding_like_python(spark):
+    random.seed(13)
+    parts = ["a", "bC1", "0123456789", "ABCDEFGHIJKLMNOP", "=", "==", "-", "_", "/", "+", " ", "é"]
+    rows = list(enumerate("".join(random.choice(parts) for _ in range(random.randrange(0, 20))) for _ in range(800)))
+    df = documents(spark, rows).select("doc_id", secrets._spans(F.col("text"), secrets._RUN).alias("spans"))
+    got = {d: [(s["start"], s["end"]) for s in r["spans"]] for d, r in collected(df).items()}
+    for d, t in rows:
+        own = []
+        for m in re.finditer(r"[A-Za-z0-9+/_-]+", t):
+            padding = re.match("=*", t[m.end() :])[0]
+            after = t[m.end() + len(padding) : m.end() + len(padding) + 1]
+            end = m.end() if re.match("[A-Za-z0-9+/_-]", after) else m.end() + len(padding)
+            if end - m.start() >= 16:
+                own.append((m.start(), end))
+        assert got[d] == own, t
