@@ -3,7 +3,7 @@
 1. Lexicon. The words and stems whose presence in toxic and other documents differs most (by a likelihood ratio), one
    for each family of words with a common beginning. A document counts with one context of a term, the word before it,
    and equal contexts count once: copies of one toxic text must not turn all its words into terms.
-2. Matching. All words of a text run through the automaton of the lexicon (`lexicon.Matcher`); a term of five or more
+2. Matching. All words of a text, and all pieces between white space that hold digits or symbols, run through the automaton of the lexicon (`lexicon.Matcher`); a term of five or more
    letters may be misspelled by one edit. How much a misspelling of a term means is learned like the term itself.
 3. Context. A hit inside quotation marks, or after a word that reports speech or names the word as a word, counts less;
    a hit whose window holds further hits or addresses a reader counts more. A window's score joins those of its hits.
@@ -43,6 +43,7 @@ ADDRESS = frozenset("you your you're youre ya u tu te toi vous du dich dir ihr u
 QUOTES = "\"“”„«»"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def words_of(chunk: str) -> list[str]:
@@ -50,6 +51,22 @@ def words_of(chunk: str) -> list[str]:
     return _LETTERS.findall(chunk.lower())
 
 
+def whole_of(chunk: str) -> str | None:
+    """The piece itself without outer punctuation, lower-cased, if it holds more than letters."""
+    piece = _OUTER.sub("", chunk.lower())
+    return piece if piece and not _LETTERS.fullmatch(piece) else None
+
+
+def near_terms(own: Matcher, chunk: str) -> list[tuple[str, str, int]]:
+    """(form, term, edits) of the words of a piece; of the whole piece too unless one of them is a misspelling already,
+    so that a digit or symbol within a word is an edit."""
+    found = [(w, *m) for w in words_of(chunk) if (m := own.match(w))]
+    piece = whole_of(chunk)
+    if piece and not any(edits for _, _, edits in found) and (m := own.match(piece)) and m[1]:
+        found.append((piece, *m))
+    return found
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """terms: (probability that a document with it is toxic, the same for a misspelling, whether it is a stem)."""
@@ -117,9 +134,8 @@ def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[s
         for batch in batches:
             out = set()
             for text, label in zip(batch["text"], batch["label"]):
-                for word in {w for chunk in set(text.split()) for w in words_of(chunk)}:
-                    if (m := own.match(word)) and m[1] > 0:
-                        out.add((m[0], word, label))
+                for chunk in set(text.split()):
+                    out.update((term, form, label) for form, term, edits in near_terms(own, chunk) if edits)
             yield pd.DataFrame(list(out), columns=["term", "word", "toxic"])
 
     found = rows.mapInPandas(find, "term string, word string, toxic int").distinct().groupBy("term")
@@ -158,12 +174,11 @@ class Reader:
     def _judge(self, chunk: str) -> float:
         """The probability of the strongest term in a piece of text; 0 without one."""
         best = 0.0
-        for word in words_of(chunk):
-            if found := self.matcher.match(word):
-                right, misspelled, _ = self.lexicon.terms[found[0]]
-                p = misspelled if found[1] else right
-                if not found[1] or p >= IGNORED:
-                    best = max(best, p)
+        for _, term, edits in near_terms(self.matcher, chunk):
+            right, misspelled, _ = self.lexicon.terms[term]
+            p = misspelled if edits else right
+            if not edits or p >= IGNORED:
+                best = max(best, p)
         return best
 
     def features(self, text: str) -> tuple[float, ...]:

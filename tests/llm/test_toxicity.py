@@ -113,3 +113,11 @@ def test_scores_do_not_depend_on_held_out_labels(spark):
     flipped = [(d, 1 - m if zlib.crc32(str(d).encode()) % 3 == 1 else m) for d, m in marks]
     one, two = (collected(toxicity.scores(documents(spark, rows), spark.createDataFrame(m, "doc_id long, toxic int"))) for m in (marks, flipped))
     assert all(abs(one[d]["score"] - two[d]["score"]) < 1e-9 for d in one)
+
+
+def test_digits_and_symbols_within_words_are_edits():
+    reader = toxicity.Reader(toxicity.Lexicon({t: (0.9, 0.45, False) for t in ("idiot", "stupid", "clown")}))
+    for form in ("id1ot", "(Id!ot),", "st*pid", "cl_own", "st\u00b7upid"):
+        assert reader.features(f"he is {form} today")[5] == 1, form
+    for form in ("1d10t", "id-est", "st.paul", "42", "--", "cl_o_w_n"):
+        assert reader.features(f"he is {form} today")[5] == 0, form
