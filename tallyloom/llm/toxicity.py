@@ -4,7 +4,7 @@
    for each family of words with a common beginning. A document counts with one context of a term, the word before it,
    and equal contexts count once: copies of one toxic text must not turn all its words into terms.
 2. Matching. All words of a text, and all pieces between white space that hold digits or symbols, run through the automaton of the lexicon (`lexicon.Matcher`); a term of five or more
-   letters may be misspelled by one edit. How much a misspelling of a term means is learned like the term itself.
+   letters may be misspelled by one edit. A misspelling counts half of its term, more or less where labelled documents have it.
 3. Context. A hit inside quotation marks, or after a word that reports speech or names the word as a word, counts less;
    a hit whose window holds further hits or addresses a reader counts more. A window's score joins those of its hits.
 4. A logistic regression on window scores and the density of hits gives the score of a document.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ from tallyloom.llm.tables import columns_of, ordered, whole
 #: Labelled rows that the lexicon and the regression are fitted on at most, and terms kept at most.
 MAX_ROWS, MAX_TERMS = 20_000, 400
 #: Contexts in toxic documents that a term needs, the likelihood ratio (beyond what 10**6 candidates give by chance), and
-#: the probabilities under which a candidate is no term, and a misspelling is ignored.
+#: the probability under which a candidate is no term, and the share under which an ordinary word near a term is ignored.
 SUPPORT, RATIO, LEAST, IGNORED = 4, 30.0, 0.4, 0.35
 STEM = 4
 WINDOW = 8
@@ -69,9 +69,11 @@ def near_terms(own: Matcher, chunk: str) -> list[tuple[str, str, int]]:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """terms: (probability that a document with it is toxic, the same for a misspelling, whether it is a stem)."""
+    """terms: (probability that a document with it is toxic, the same for a misspelling, whether it is a stem); near: the
+    probability of each misspelling of which the labels say more."""
 
     terms: dict[str, tuple[float, float, bool]]
+    near: dict[str, float] = field(default_factory=dict)
 
 
 def _ratio(toxic: int, other: int, all_toxic: int, all_other: int) -> float:
@@ -126,21 +128,36 @@ def matcher(terms: dict[str, tuple]) -> Matcher:
     return Matcher({t: (1 if len(t) >= 5 else 0, x[-1]) for t, x in terms.items()})
 
 
-def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[str, tuple[int, int]]:
-    """(toxic, other): how many different misspellings of each term are in training documents of either label."""
+def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[str, tuple[str, int, int]]:
+    """{misspelling: (term, toxic, other)}: its contexts in training documents of either label, as for terms."""
 
     def find(batches):
         own = matcher(terms)
         for batch in batches:
             out = set()
             for text, label in zip(batch["text"], batch["label"]):
-                for chunk in set(text.split()):
-                    out.update((term, form, label) for form, term, edits in near_terms(own, chunk) if edits)
-            yield pd.DataFrame(list(out), columns=["term", "word", "toxic"])
-
-    found = rows.mapInPandas(find, "term string, word string, toxic int").distinct().groupBy("term")
+                contexts: dict[tuple[str, str], str] = {}
+                before = ""
+                for chunk in text.split():
+                    for form, term, edits in near_terms(own, chunk):
+                        if edits and contexts.get((term, form), "\uffff") > before:
+                            contexts[term, form] = before
+                    before = next(reversed(words_of(chunk)), before)
+                out.update((t, w, c, label) for (t, w), c in contexts.items())
+            yield pd.DataFrame(list(out), columns=["term", "word", "context", "toxic"])
+
+    found = rows.mapInPandas(find, "term string, word string, context string, toxic int").distinct().groupBy("term", "word")
     found = found.agg(F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
-    return {r["term"]: (r["toxic"], r["other"]) for r in found.collect()}
+    return {r["word"]: (r["term"], r["toxic"], r["other"]) for r in found.collect()}
+
+
+def learn_near(p: float, toxic: int, other: int) -> float:
+    """The probability of a misspelling of a term of probability p: half of it or more, unless SUPPORT contexts or more in
+    other documents show an ordinary word; 0 for one that is to be ignored."""
+    share = (toxic + 1.0) / (toxic + other + 2.0)
+    if other < SUPPORT:
+        return p * max(0.5, share)
+    return p * share if share >= IGNORED else 0.0
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
@@ -156,11 +173,8 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     top = counted.filter(F.col("toxic") >= SUPPORT).orderBy(F.desc(lift), "term", "stem").limit(20 * MAX_TERMS).toPandas()
     terms = learn_terms(top, n["toxic"], n["other"])
     seen = _misspelled(rows, terms) if terms else {}
-    out = {}
-    for term, (p, stem) in terms.items():
-        a, b = seen.get(term, (0, 0))
-        out[term] = (p, p * (a + 1.0) / (a + b + 2.0), stem)
-    return Lexicon(out)
+    near = {word: learn_near(terms[term][0], a, b) for word, (term, a, b) in seen.items()}
+    return Lexicon({t: (p, p / 2, stem) for t, (p, stem) in terms.items()}, near)
 
 
 class Reader:
@@ -174,11 +188,9 @@ class Reader:
     def _judge(self, chunk: str) -> float:
         """The probability of the strongest term in a piece of text; 0 without one."""
         best = 0.0
-        for _, term, edits in near_terms(self.matcher, chunk):
+        for form, term, edits in near_terms(self.matcher, chunk):
             right, misspelled, _ = self.lexicon.terms[term]
-            p = misspelled if edits else right
-            if not edits or p >= IGNORED:
-                best = max(best, p)
+            best = max(best, self.lexicon.near.get(form, misspelled) if edits else right)
         return best
 
     def features(self, text: str) -> tuple[float, ...]:
@@ -235,7 +247,7 @@ _readers: dict[int, tuple[Lexicon, Reader]] = {}
 
 
 def _features(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
-    key = hash(tuple(sorted(lexicon.terms.items())))
+    key = hash((tuple(sorted(lexicon.terms.items())), tuple(sorted(lexicon.near.items()))))
     if key not in _readers:
         _readers.clear()
         _readers[key] = (lexicon, Reader(lexicon))

@@ -121,3 +121,12 @@ def test_digits_and_symbols_within_words_are_edits():
         assert reader.features(f"he is {form} today")[5] == 1, form
     for form in ("1d10t", "id-est", "st.paul", "42", "--", "cl_o_w_n"):
         assert reader.features(f"he is {form} today")[5] == 0, form
+
+
+def test_a_clean_neighbour_does_not_switch_off_the_others(spark):
+    rows, marks = labelled(300)
+    clean = [f"{a} grobnit {b}" for a in "pqrstu" for b in "pq"] + ["p grobnil q"]
+    df = spark.createDataFrame([(t, m) for (_, t), (_, m) in zip(rows, marks)] + [(t, 0) for t in clean], "text string, label int")
+    reader = toxicity.Reader(toxicity.learn_lexicon(df))
+    assert reader.features("he is grobnit today")[5] == 0
+    assert reader.features("he is grobnok today")[0] == reader.features("he is grobnil today")[0] > 0.4
