@@ -1,7 +1,7 @@
 """Toxicity of documents: a learned lexicon, misspellings by Levenshtein automata, and scores of context windows.
 
-1. Lexicon. The words and stems whose presence in toxic and other documents differs most (by a likelihood ratio), one
-   for each family of words with a common beginning. A document counts with one context of a term, the word before it,
+1. Lexicon. The words of any length, and stems of four letters or more, whose presence in toxic and other documents
+   differs beyond chance (by a likelihood ratio); a stem stands for the words that it matches. A document counts with one context of a term, the word before it,
    and equal contexts count once: copies of one toxic text must not turn all its words into terms.
 2. Matching. All words of a text, and all pieces between white space that hold digits or symbols, run through the automaton of the lexicon (`lexicon.Matcher`); a term of five or more
    letters may be misspelled by one edit. A misspelling counts half of its term, more or less where labelled documents have it.
@@ -27,8 +27,8 @@ from tallyloom.llm.lexicon import Matcher
 from tallyloom.llm.logistic import Logistic, fit
 from tallyloom.llm.tables import columns_of, ordered, whole
 
-#: Labelled rows that the lexicon and the regression are fitted on at most, and terms kept at most.
-MAX_ROWS, MAX_TERMS = 20_000, 400
+#: Labelled rows that the lexicon and the regression are fitted on at most.
+MAX_ROWS = 20_000
 #: Contexts in toxic documents that a term needs, the likelihood ratio (beyond what 10**6 candidates give by chance), and
 #: the probability under which a candidate is no term, and the share under which an ordinary word near a term is ignored.
 SUPPORT, RATIO, LEAST, IGNORED = 4, 30.0, 0.4, 0.35
@@ -89,17 +89,34 @@ def _ratio(toxic: int, other: int, all_toxic: int, all_other: int) -> float:
         part(n, rate * m) + part(m - n, (1 - rate) * m) for n, m in ((min(toxic, all_toxic), all_toxic), (min(other, all_other), all_other)))
 
 
+def _confirmed(toxic: int, other: int, all_toxic: int, all_other: int) -> bool:
+    """Whether the labels confirm a term with so many contexts."""
+    return toxic >= max(SUPPORT, LEAST * (toxic + other)) and _ratio(toxic, other, all_toxic, all_other) >= RATIO
+
+
 def learn_terms(counts: pd.DataFrame, all_toxic: int, all_other: int) -> dict[str, tuple[float, bool]]:
-    """Terms of (term, stem, toxic, other), where the last two count contexts: the strongest, and none that begins with
-    another or the other way round. Of equal ones a word comes before a stem, and a longer stem before a shorter."""
+    """Terms of (term, stem, toxic, other), where the last two count contexts: all confirmed ones, the strongest first,
+    but those that a stem among them matches, and stems that nothing confirms beyond the terms that begin with them. Of
+    equal ones a word comes before a stem, and a longer stem before a shorter."""
     rows = [(_ratio(a, b, all_toxic, all_other), t, bool(s), a, b) for t, s, a, b in counts.itertuples(index=False)]
-    rows = sorted((r for r in rows if r[0] >= RATIO and r[3] >= max(SUPPORT, LEAST * (r[3] + r[4]))), key=lambda r: (-r[0], r[2], -len(r[1]), r[1]))
+    rows = sorted((r for r in rows if _confirmed(r[3], r[4], all_toxic, all_other)), key=lambda r: (-r[0], r[2], -len(r[1]), r[1]))
     terms: dict[str, tuple[float, bool]] = {}
+    own: dict[str, tuple[int, int]] = {}
+    # contexts of the terms kept so far, by what they begin with
+    below: dict[str, tuple[int, int]] = {}
     for _, term, stem, toxic, other in rows:
-        if len(terms) == MAX_TERMS:
-            break
-        if not any(term.startswith(t) or t.startswith(term) for t in terms):
-            terms[term] = ((toxic + 0.5) / (toxic + other + 1.0), stem)
+        if any(terms.get(term[:n], (0.0, False))[1] for n in range(1, len(term) + 1)):
+            continue
+        if stem:
+            a, b = below.get(term, (0, 0))
+            toxic, other = toxic - a, max(0, other - b)
+            if not _confirmed(toxic, other, all_toxic, all_other):
+                continue
+        for n in range(1, len(term) + 1):
+            a, b = below.get(term[:n], (0, 0))
+            below[term[:n]] = (a + toxic, b + other)
+        a, b = own[term] = tuple(map(sum, zip(own.get(term, (0, 0)), (toxic, other))))
+        terms[term] = ((a + 0.5) / (a + b + 1.0), stem)
     return terms
 
 
@@ -115,7 +132,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
                 for chunk in text.split():
                     for word in words_of(chunk):
                         for key in [(word, False), *((word[:n], True) for n in range(STEM, min(8, len(word) + 1)))]:
-                            if len(key[0]) >= STEM and contexts.get(key, "\uffff") > before:
+                            if contexts.get(key, "\uffff") > before:
                                 contexts[key] = before
                         before = word
                 out.update((t, stem, c, label) for (t, stem), c in contexts.items())
@@ -168,10 +185,14 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         return Lexicon({})
     counted = _candidates(rows).groupBy("term", "stem").agg(
         F.count_if(toxic).alias("toxic"), F.count_if(~toxic).alias("other"))
-    lift = F.col("toxic") / n["toxic"] - F.col("other") / n["other"]
-    # of the bounded sample's terms, those that can be among the strongest
-    top = counted.filter(F.col("toxic") >= SUPPORT).orderBy(F.desc(lift), "term", "stem").limit(20 * MAX_TERMS).toPandas()
-    terms = learn_terms(top, n["toxic"], n["other"])
+    all_toxic, all_other = n["toxic"], n["other"]
+
+    def confirmed(batches):
+        for batch in batches:
+            yield batch[[_confirmed(a, b, all_toxic, all_other) for a, b in zip(batch["toxic"], batch["other"])]]
+
+    top = counted.filter(F.col("toxic") >= SUPPORT).mapInPandas(confirmed, "term string, stem boolean, toxic long, other long")
+    terms = learn_terms(top.toPandas(), all_toxic, all_other)
     seen = _misspelled(rows, terms) if terms else {}
     near = {word: learn_near(terms[term][0], a, b) for word, (term, a, b) in seen.items()}
     return Lexicon({t: (p, p / 2, stem) for t, (p, stem) in terms.items()}, near)

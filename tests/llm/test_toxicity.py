@@ -130,3 +130,15 @@ def test_a_clean_neighbour_does_not_switch_off_the_others(spark):
     reader = toxicity.Reader(toxicity.learn_lexicon(df))
     assert reader.features("he is grobnit today")[5] == 0
     assert reader.features("he is grobnok today")[0] == reader.features("he is grobnil today")[0] > 0.4
+
+
+def test_short_terms_words_beside_stems_and_many_terms(spark):
+    insults = ["zog", "傻瓜", "scum", "scumbag"]
+    names = [a + b for a in "klmnopqrst" for b in "abcdef"]
+    rows = [(f"{a} {w} here", 1) for w in insults for a in names] + [(f"{a} fine {b}", 0) for a in names for b in names[:10]]
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int")).terms
+    assert {"zog", "傻瓜"} <= set(terms) and toxicity.Reader(toxicity.Lexicon(terms)).features("a scumbag here")[0] > 0.8
+    counts = [("scum", False, 90, 0), ("scumbag", False, 60, 0), ("scumb", True, 60, 0), ("clow", True, 80, 0), ("clown", False, 50, 0)]
+    counts += [(f"t{i}", False, 40, 0) for i in range(1000)]
+    terms = toxicity.learn_terms(toxicity.pd.DataFrame(counts, columns=["term", "stem", "toxic", "other"]), 5000, 5000)
+    assert set(terms) == {"scum", "scumbag", "clow", *(f"t{i}" for i in range(1000))}
