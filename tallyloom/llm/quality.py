@@ -154,6 +154,8 @@ def scores(
 ) -> DataFrame:
     """(id, evidence, host_rate, path_rate, score, accepted) of each document; accepted: score >= threshold.
 
+    `documents` has no url, so by default `source` stands for the host and `lang` for the path.
+
     NULL and empty texts are judged by the features of an empty text, NULL hosts and paths are sites of their own, ids
     may be NULL or repeated. Without labels of both kinds the evidence is zero. An empty table gives no rows; further
     columns are ignored.
