@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    exact_dedup, hamming_search, mixing, near_dedup, packing, quality, secrets, token_scan, toxicity, url_filter,
+    conversation_repair, exact_dedup, hamming_search, mixing, near_dedup, packing, quality, secrets, token_scan, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,9 @@ SELECT vec_id, rank, neighbor_id, distance FROM r WHERE rank <= 10
 def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return hamming_search.search(vectors, vectors.filter("vec_id % 20 = 0"), k=10, bits=64, segments=4)
+
+
+@_query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repaired(turns, conv_col="conv", gone="gone").withColumnRenamed("conv", "conv_id")
