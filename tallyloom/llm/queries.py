@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    conversation_repair, exact_dedup, hamming_search, mixing, near_dedup, packing, quality, secrets, token_scan, toxicity, url_filter,
+    conversation_repair, exact_dedup, hamming_search, mixing, near_dedup, packing, phrases, quality, secrets, substring_dedup,
+    token_scan, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +210,54 @@ def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
     return conversation_repair.repaired(turns, conv_col="conv", gone="gone").withColumnRenamed("conv", "conv_id")
+
+
+@_query("op13_substring_dedup", r"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM w WHERE len(w) >= 35)),
+d AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY h) AS c FROM s) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, i + o AS j FROM d, range(0, 35) r(o)),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM w) ANTI JOIN gone USING (rid, j) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (rid)
+""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_duplicates(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op11_phrase_collocations", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, range(1, 5) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS tail
+  FROM c, range(1, 4) t(j) WHERE j < k),
+s AS (
+  SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, (CAST(cut.a AS HUGEINT) * 2000000) // (CAST(x.a AS HUGEINT) + y.a) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = tail),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM s),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS a
+  FROM c, range(2, 4) t(m), range(1, 4) u(i) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+lone AS (
+  SELECT b.* FROM best b LEFT JOIN longer o USING (lang, phrase) WHERE place = 1 AND (o.a IS NULL OR 100 * o.a < 80 * b.a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lone)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
