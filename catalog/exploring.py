@@ -7,7 +7,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from catalog.registry import CLEANED, DIRTY, dirty, query, raw_admissions, table
-from tallyloom.operators import compare, profile
+from tallyloom.operators import changes, compare, profile
 from tallyloom.plans.cleaning import admissions_plan
 
 DIRTY_COLUMNS = ["unnamed_0", "age", "gender", "comorbidities", "length_of_stay", "medication_adherence",
@@ -319,3 +319,54 @@ SELECT metric, CAST(before AS BIGINT) AS before, CAST(after AS BIGINT) AS after,
 def compare_dataframes(spark, sf):
     raw = raw_admissions(spark, sf)
     return compare.compare_dataframes(raw, admissions_plan().clean_all(raw))
+
+
+# Two versions of orders: prices and priorities changed, rows gone, rows new, rows repeated.
+_VERSIONS = """
+WITH a AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+         CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 11 <> 0),
+after AS (
+  SELECT * FROM a UNION ALL SELECT * FROM a WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT o_orderkey + 100000000, o_custkey, o_orderpriority, o_orderstatus FROM a WHERE o_orderkey % 13 = 0),
+before AS (
+  SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM orders
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 4 = 0)
+"""
+
+
+@query("row_changes", sql=_VERSIONS + """,
+c AS (
+  SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, CAST(sum(b) AS BIGINT) AS before, CAST(sum(a) AS BIGINT) AS after
+  FROM (SELECT *, 1 AS b, 0 AS a FROM before UNION ALL SELECT *, 0, 1 FROM after) GROUP BY ALL)
+SELECT * FROM c WHERE before <> after
+""")
+def row_changes(spark, sf):
+    orders = table(spark, sf, "orders")
+    return changes.row_changes(_version(spark, orders, "before"), _version(spark, orders, "after"))
+
+
+def _version(spark, orders, name):
+    return spark.sql(_VERSIONS.replace("FROM orders", "FROM {orders}") + f"SELECT * FROM {name}", orders=orders)
+
+
+# A key has at most one differing row a side here, or copies of it, so pairs need no order of rows.
+@query("table_changes", sql=_VERSIONS + """,
+c AS (
+  SELECT o_orderkey AS k, o_custkey AS x, o_orderpriority AS y, o_orderstatus AS z, sum(b) AS before, sum(a) AS after
+  FROM (SELECT *, 1 AS b, 0 AS a FROM before UNION ALL SELECT *, 0, 1 FROM after) GROUP BY ALL),
+l AS (SELECT *, unnest(range(1, CAST(before - after AS BIGINT) + 1)) AS pair FROM c WHERE before > after),
+r AS (SELECT *, unnest(range(1, CAST(after - before AS BIGINT) + 1)) AS pair FROM c WHERE after > before),
+p AS (
+  SELECT coalesce(l.k, r.k) AS o_orderkey, coalesce(l.pair, r.pair) AS pair, l.k IS NULL AS new, r.k IS NULL AS gone,
+         l.x AS lx, r.x AS rx, l.y AS ly, r.y AS ry, l.z AS lz, r.z AS rz
+  FROM l FULL JOIN r ON l.k = r.k AND l.pair = r.pair)
+SELECT o_orderkey, CASE WHEN new THEN 'added' ELSE 'removed' END AS change, pair, CAST(NULL AS VARCHAR) AS "column",
+       CAST(NULL AS VARCHAR) AS before, CAST(NULL AS VARCHAR) AS after FROM p WHERE new OR gone
+UNION ALL SELECT o_orderkey, 'changed', pair, 'o_custkey', CAST(lx AS VARCHAR), CAST(rx AS VARCHAR) FROM p WHERE NOT (new OR gone) AND lx IS DISTINCT FROM rx
+UNION ALL SELECT o_orderkey, 'changed', pair, 'o_orderpriority', ly, ry FROM p WHERE NOT (new OR gone) AND ly IS DISTINCT FROM ry
+UNION ALL SELECT o_orderkey, 'changed', pair, 'o_orderstatus', lz, rz FROM p WHERE NOT (new OR gone) AND lz IS DISTINCT FROM rz
+""")
+def table_changes(spark, sf):
+    orders = table(spark, sf, "orders")
+    return changes.table_changes(_version(spark, orders, "before"), _version(spark, orders, "after"), ["o_orderkey"])
