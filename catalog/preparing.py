@@ -400,6 +400,22 @@ def impute_knn(spark, sf):
     return rounded(neighbors.KNNImputer(5).fit(rows, ["a", "b", "c"], "c_custkey").transform(rows), "a", "b", "c")
 
 
+@query("preprocess_routed_knn", sql=f"WITH g AS ({_GAPPED})," + ",".join(_knn_column(c) for c in "abc") + """,
+f AS (
+  SELECT g.c_custkey, """ + ", ".join(f"coalesce(g.{c}, n{c}.v, (SELECT avg({c}) FROM g)) AS {c}" for c in "abc") + """
+  FROM g LEFT JOIN na ON na.c_custkey = g.c_custkey LEFT JOIN nb ON nb.c_custkey = g.c_custkey LEFT JOIN nc ON nc.c_custkey = g.c_custkey)
+SELECT c_custkey, round((a - avg(a) OVER ()) / stddev_pop(a) OVER (), 6) + 0.0 AS a, round((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()), 6) AS b,
+       round(c, 6) AS c FROM f
+""")
+def preprocess_routed_knn(spark, sf):
+    """Three columns imputed together by their nearest rows, each with its own scaler."""
+    near = neighbors.KNNImputer(5)
+    spec = {"a": Numeric(near, StandardScale()), "b": Numeric(near, MinMaxScale()), "c": Numeric(near, NoScale())}
+    rows = _gapped(spark, sf)
+    out = Preprocessor(spec, key="c_custkey").fit(rows).transform(rows)
+    return rounded(out, "a", "b", "c").withColumn("a", F.col("a") + F.lit(0.0))
+
+
 @query("impute_iterative")
 def impute_iterative(spark, sf):
     """Bayesian ridge rounds have no SQL form; a unit test holds them against array arithmetic."""

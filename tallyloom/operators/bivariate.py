@@ -7,11 +7,12 @@ single result row comes to the driver for the p-value and goes back as a one-row
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from tallyloom.functions.columns import col, number, require, rows_from_aggregate
+from tallyloom.functions.columns import col, number, require
+from tallyloom.functions.gram import gram, of, pairs
 from tallyloom.functions.running import average_ranks, quantiles_by
 from tallyloom.functions.stats import correlation, divide
 from tallyloom.functions.tails import chi2_p_value, f_p_value
@@ -127,20 +128,14 @@ def density_grid(df: DataFrame, a: str, b: str, cells: int = 30) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairwise Pearson correlations in one aggregate, both triangles and the diagonal, long form."""
+    """All pairwise Pearson correlations over the rows that have both values, both triangles and the diagonal, long form.
+
+    The sums of all pairs come from one scan as matrices, so hundreds of columns are no longer a plan than two.
+    """
     require(df, *columns)
-    cells = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 correlation(number(a), number(b)).alias("r")).alias(f"s{i}")
-        for i, (a, b) in enumerate(combinations(columns, 2))
-    ]
-    upper = rows_from_aggregate(df.agg(*cells), [f"s{i}" for i in range(len(cells))])
-    mirrored = upper.select(F.explode(F.array(
-        F.struct("column_a", "column_b", "r"),
-        F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r"),
-    )).alias("c")).select("c.*")
-    ones = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "column_a string, column_b string, r double")
-    return mirrored.unionByName(ones)
+    r = gram(df, of(columns)).correlations()
+    np.fill_diagonal(r, 1.0)
+    return df.sparkSession.createDataFrame(pairs(columns, r), "column_a string, column_b string, r double")
 
 
 def numeric_by_category(df: DataFrame, num: str, cat: str) -> DataFrame:

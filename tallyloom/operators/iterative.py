@@ -1,7 +1,10 @@
 """Round-robin imputation: each column with gaps is predicted from the others, round after round.
 
-A fit needs only the matrix of products over the rows where the column is present, one aggregate
-whatever the row count.  The small regularised regression on it is solved on the driver.
+Rows that miss the same columns form a pattern. Whatever the rounds do, a filled cell stays an affine function of its
+row's observed cells, the same for all rows of a pattern. So the sums and products of each pattern's observed cells, from
+one scan, give the products of the filled columns in every round: the rounds touch no rows, and the small regularised
+regressions are solved on the driver. One more scan says how far the rounds move the cells, which decides where they stop.
+A transform replays the rounds on blocks of rows, in one pass.
 """
 
 from __future__ import annotations
@@ -10,10 +13,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.columns import col, number, require
-from tallyloom.session import checkpointed
+from tallyloom.functions.gram import cells, gram, of, rows_of, summed
+
+#: Combinations of missing columns whose moments the driver holds.
+MAX_PATTERNS = 20_000
 
 # Fixed values of the evidence maximisation.
 PRIOR = 1e-6
@@ -22,27 +30,14 @@ FIT_TOLERANCE = 1e-3
 
 
 def products(df: DataFrame, names: Sequence[str], where: Column | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-    """(n, means, centred product matrix) of columns without gaps, from one aggregate.
+    """(n, means, centred product matrix) of columns without gaps.
 
     Products are taken about a shift near the mean, so that large offsets do not cancel digits.
     """
-    rows = df if where is None else df.filter(where)
-    shift = rows.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(names)]).first()
-    shift = np.array([0.0 if v is None else v for v in shift])
-    x = [number(c) - F.lit(float(m)) for c, m in zip(names, shift)]
-    upper = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    row = rows.agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(len(names))],
-        *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in upper],
-    ).first()
-    n = float(row["n"])
-    if n == 0:
+    found = gram(df if where is None else df.filter(where), of(names))
+    if found.rows == 0:
         raise ValueError("no rows to fit on")
-    sums = np.array([row[f"s{i}"] for i in range(len(names))], dtype=float)
-    gram = np.zeros((len(names), len(names)))
-    for i, j in upper:
-        gram[i, j] = gram[j, i] = row[f"p{i}_{j}"]
-    return n, shift + sums / n, gram - np.outer(sums, sums) / n
+    return found.centred()
 
 
 def bayesian_ridge(n: float, gram: np.ndarray, xy: np.ndarray, yy: float) -> np.ndarray:
@@ -69,11 +64,60 @@ def bayesian_ridge(n: float, gram: np.ndarray, xy: np.ndarray, yy: float) -> np.
     return solve()
 
 
-def _prediction(names: Sequence[str], weights: Sequence[float], intercept: float) -> Column:
-    total = F.lit(float(intercept))
-    for name, weight in zip(names, weights):
-        total = total + F.lit(float(weight)) * F.col(name)
-    return total
+def _by_pattern(block: np.ndarray) -> dict[str, np.ndarray]:
+    """{pattern: rows, sums and products of its observed cells} of a block; a pattern is a text of 0 and 1."""
+    width = block.shape[1]
+    has = ~np.isnan(block)
+    packed = np.packbits(has, axis=1)
+    kinds, which = np.unique(packed, axis=0, return_inverse=True)
+    out = {}
+    for k in range(len(kinds)):
+        rows = block[which.ravel() == k]
+        seen = has[which.ravel() == k][0]
+        x = rows[:, seen]
+        sums, square = np.zeros(width), np.zeros((width, width))
+        sums[seen] = x.sum(axis=0)
+        square[np.ix_(seen, seen)] = x.T @ x
+        out["".join("1" if b else "0" for b in seen)] = np.concatenate([[float(len(rows))], sums, square.ravel()])
+    return out
+
+
+class _Pattern:
+    """The rows that miss the same columns: their moments, and the filled columns as affine functions of the cells."""
+
+    def __init__(self, seen: np.ndarray, n: float, sums: np.ndarray, square: np.ndarray):
+        width = len(seen)
+        self.seen, self.n, self.sums, self.square = seen, n, sums, square
+        self.map = np.zeros((width, width))
+        self.map[seen, seen] = 1.0  # gaps begin at the mean, which is 0 here
+        self.add = np.zeros(width)
+
+    def moments(self) -> tuple[float, np.ndarray, np.ndarray]:
+        """(rows, sums, products) of the filled columns."""
+        sums = self.map @ self.sums + self.n * self.add
+        cross = np.outer(self.map @ self.sums, self.add)
+        return self.n, sums, self.map @ self.square @ self.map.T + cross + cross.T + self.n * np.outer(self.add, self.add)
+
+    def fill(self, target: int, others: Sequence[int], weights: np.ndarray, intercept: float) -> None:
+        if not self.seen[target]:
+            self.map[target] = weights @ self.map[others]
+            self.add[target] = weights @ self.add[others] + intercept
+
+
+def filled(block: np.ndarray, rounds: Sequence[Sequence[tuple[int, Sequence[float], float]]], moved: np.ndarray | None = None) -> np.ndarray:
+    """A block of rows, taken from the means, with its gaps filled; `moved[r]` is raised to round r's largest change."""
+    has = ~np.isnan(block)
+    z = np.where(has, block, 0.0)
+    rest = [[i for i in range(block.shape[1]) if i != j] for j in range(block.shape[1])]
+    gaps = [np.flatnonzero(~has[:, j]) for j in range(block.shape[1])]
+    for r, steps in enumerate(rounds):
+        before = z.copy() if moved is not None else None
+        for target, weights, intercept in steps:
+            if len(gaps[target]):
+                z[gaps[target], target] = z[np.ix_(gaps[target], rest[target])] @ np.asarray(weights) + intercept
+        if moved is not None and len(z):
+            moved[r] = max(moved[r], float(np.abs(z - before).max()))
+    return z
 
 
 @dataclass(frozen=True)
@@ -88,82 +132,93 @@ class IterativeImputer:
     tol: float = 1e-3
 
     def fit(self, df: DataFrame, columns: Sequence[str]) -> FittedIterativeImputer:
-        return self._run(df, columns)[0]
-
-    def fit_transform(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        fitted, working = self._run(df, columns)
-        return fitted.finish(working, df.columns)
-
-    def _run(self, df: DataFrame, columns: Sequence[str]):
+        """Three jobs, however many rounds: means, moments of each pattern, and how far each round moves the cells."""
         require(df, *columns)
         columns = list(columns)
         stats = df.agg(*[
             F.struct(F.avg(number(c)).alias("mean"), F.count_if(col(c).isNull()).alias("gaps"),
                      F.max(F.abs(number(c))).alias("top")).alias(f"s{i}") for i, c in enumerate(columns)
         ]).first()
-        means = {c: stats[f"s{i}"]["mean"] for i, c in enumerate(columns)}
-        if any(m is None for m in means.values()):
-            raise ValueError(f"columns without any value: {[c for c, m in means.items() if m is None]}")
-        gaps = {c: stats[f"s{i}"]["gaps"] for i, c in enumerate(columns)}
+        means = [stats[f"s{i}"]["mean"] for i in range(len(columns))]
+        if any(m is None for m in means):
+            raise ValueError(f"columns without any value: {[c for c, m in zip(columns, means) if m is None]}")
         enough = self.tol * max(stats[f"s{i}"]["top"] for i in range(len(columns)))
-        fitted = FittedIterativeImputer(columns, means, [])
+        if len(columns) < 2 or not self.max_iter:
+            return FittedIterativeImputer(columns, means, [])
         # columns without gaps are fitted as well, for gaps in frames transformed later
-        order = sorted(columns, key=lambda c: gaps[c])
-        working = checkpointed(fitted.start(df))
-        for _ in range(self.max_iter if len(columns) > 1 else 0):
-            steps = []
-            held = {c: f"_was_{i}" for i, c in enumerate(columns)}
-            working = working.withColumns({h: F.col(fitted.slot(c)) for c, h in held.items()})
-            for target in order:
-                others = [c for c in columns if c != target]
-                slots = [fitted.slot(c) for c in [*others, target]]
-                n, mean, gram = products(working, slots, F.col(fitted.present(target)))
-                weights = bayesian_ridge(n, gram[:-1, :-1], gram[:-1, -1], float(gram[-1, -1]))
-                step = (target, weights.tolist(), float(mean[-1] - weights @ mean[:-1]))
-                steps.append(step)
-                working = fitted.apply(working, step)
-            fitted.rounds.append(steps)
-            change = F.greatest(*[F.abs(F.col(fitted.slot(c)) - F.col(h)) for c, h in held.items()], F.lit(0.0))
-            working = checkpointed(working)
-            moved = working.agg(F.max(change)).first()[0]
-            working = working.drop(*held.values())
-            if moved is None or moved < enough:
-                break
-        return fitted, working
+        order = sorted(range(len(columns)), key=lambda i: stats[f"s{i}"]["gaps"])
+        about = _about(columns, means)
+        patterns = _patterns(summed(df, about, _by_pattern), len(columns))
+        rounds = [self._round(patterns, order) for _ in range(self.max_iter)]
+        far = _moves(df, about, rounds)
+        calm = [i for i, m in enumerate(far) if m < enough]
+        return FittedIterativeImputer(columns, means, rounds[: calm[0] + 1] if calm else rounds)
+
+    def _round(self, patterns: list[_Pattern], order: Sequence[int]) -> list[tuple[int, list[float], float]]:
+        steps = []
+        for target in order:
+            others = [i for i in range(len(order)) if i != target]
+            held = [p.moments() for p in patterns if p.seen[target]]
+            n = sum(h[0] for h in held)
+            sums, square = sum(h[1] for h in held), sum(h[2] for h in held)
+            gram_ = square - np.outer(sums, sums) / n
+            weights = bayesian_ridge(n, gram_[np.ix_(others, others)], gram_[others, target], float(gram_[target, target]))
+            intercept = float(sums[target] / n - weights @ (sums[others] / n))
+            for p in patterns:
+                p.fill(target, others, weights, intercept)
+            steps.append((target, weights.tolist(), intercept))
+        return steps
 
+    def fit_transform(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return self.fit(df, columns).transform(df)
 
-@dataclass(frozen=True)
-class FittedIterativeImputer:
-    columns: list[str]
-    means: dict[str, float]
-    rounds: list[list[tuple[str, list[float], float]]]
 
-    def slot(self, column: str) -> str:
-        return f"_x{self.columns.index(column)}"
+def _about(columns: Sequence[str], means: Sequence[float]) -> list[Column]:
+    return [number(c) - F.lit(float(m)) for c, m in zip(columns, means)]
 
-    def present(self, column: str) -> str:
-        return f"_has{self.columns.index(column)}"
 
-    def start(self, df: DataFrame) -> DataFrame:
-        values = {self.slot(c): F.coalesce(number(c), F.lit(self.means[c])) for c in self.columns}
-        return df.withColumns({**values, **{self.present(c): col(c).isNotNull() for c in self.columns}})
+def _patterns(found: dict[str, np.ndarray], width: int) -> list[_Pattern]:
+    """Their number is bounded by 2**columns and by the rows; the driver holds columns² numbers for each."""
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"{len(found)} combinations of missing columns, more than {MAX_PATTERNS}")
+    return [
+        _Pattern(np.array([c == "1" for c in key]), float(v[0]), v[1 : 1 + width], v[1 + width :].reshape(width, width))
+        for key, v in sorted(found.items())]
 
-    def apply(self, working: DataFrame, step: tuple[str, list[float], float]) -> DataFrame:
-        target, weights, intercept = step
-        others = [self.slot(c) for c in self.columns if c != target]
-        guess = _prediction(others, weights, intercept)
-        return working.withColumn(
-            self.slot(target), F.when(F.col(self.present(target)), F.col(self.slot(target))).otherwise(guess))
 
-    def finish(self, working: DataFrame, names: Sequence[str]) -> DataFrame:
-        return working.select(*[F.col(self.slot(c)).alias(c) if c in self.columns else col(c) for c in names])
+def _moves(df: DataFrame, about: Sequence[Column], rounds: Sequence) -> list[float]:
+    """The largest change of any cell in each round."""
+    width = len(about)
+
+    def largest(batches):
+        moved = np.zeros(len(rounds))
+        for batch in batches:
+            filled(rows_of(batch, width), rounds, moved)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(rounds)), pa.int32()), pa.array(moved)], ["round", "moved"])
+
+    found = df.select(cells(about).alias("x")).mapInArrow(largest, "round int, moved double")
+    return [r["m"] for r in found.groupBy("round").agg(F.max("moved").alias("m")).orderBy("round").collect()]
+
+
+@dataclass(frozen=True)
+class FittedIterativeImputer:
+    """`rounds` hold for each round the steps (column, weights of the others, intercept) on values less their means."""
+
+    columns: list[str]
+    means: list[float]
+    rounds: list[list[tuple[int, list[float], float]]]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Replay the fitted rounds; each round's projections are cut off by a checkpoint."""
-        working = self.start(df)
-        for i, steps in enumerate(self.rounds):
-            for step in steps:
-                working = self.apply(working, step)
-            if i + 1 < len(self.rounds):
-                working = checkpointed(working)
-        return self.finish(working, df.columns)
+        """All rounds in one pass over blocks of rows; observed cells stay as they are."""
+        require(df, *self.columns)
+        rounds, width = self.rounds, len(self.columns)
+
+        @F.pandas_udf("array<double>")
+        def fill(x: pd.Series) -> pd.Series:
+            block = np.array(x.tolist(), dtype=float).reshape(-1, width)
+            return pd.Series(list(filled(block, rounds)))
+
+        values = fill(cells(_about(self.columns, self.means)))
+        with_values = df.withColumn("_filled", values) if rounds else df.withColumn("_filled", F.array(*[F.lit(0.0)] * width))
+        out = {c: F.coalesce(number(c), F.col("_filled")[i] + F.lit(float(m))) for i, (c, m) in enumerate(zip(self.columns, self.means))}
+        return with_values.withColumns(out).drop("_filled").select(*[col(c) for c in df.columns])

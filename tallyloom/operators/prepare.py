@@ -2,7 +2,9 @@
 
 All columns of a preprocessor are fitted together: one aggregate for the numbers, one quantile
 selection for the medians and one long frequency table for the categories.  What was fitted is
-kept as literals, so a transform is a single projection that also runs on a stream.
+kept as literals, so a transform is a single projection that also runs on a stream.  Ordinal codes and
+sparse vectors come from a table of sorted values instead, which is joined, and imputers that look at
+several columns (nearest neighbours, rounds of regressions) run before the projection.
 """
 
 from __future__ import annotations
@@ -11,12 +13,20 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder as SparseEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.ml.feature import OneHotEncoder as SparseEncoder
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyloom.functions.columns import col, number, require, unpivot
+from tallyloom.functions.dictionary import coded, dictionary, sizes
 from tallyloom.functions.selection import exact_quantiles
+from tallyloom.operators.iterative import IterativeImputer
 from tallyloom.operators.kmodes import KModesImputer
+from tallyloom.operators.neighbors import KNNImputer
+
+#: The widest one-hot encoding with a column for each category, and with one vector (Spark ML names its places).
+MAX_COLUMNS, MAX_VECTOR = 2000, 1_000_000
+#: Imputers that fill all columns that name an equal one together, from each other.
+JOINT = (KNNImputer, IterativeImputer)
 
 
 @dataclass(frozen=True)
@@ -60,7 +70,8 @@ class NoScale:
 class OneHot:
     """One 0/1 column per category seen at fit; an unseen one gives zeros.
 
-    With `sparse` the column becomes one vector `<name>_vec` instead, which suits columns of very many categories.
+    With `sparse` the column becomes one vector `<name>_vec` instead, which suits columns of very many categories. More
+    than `MAX_COLUMNS` categories raise, or `MAX_VECTOR` with `sparse`; ordinal codes have no such limit.
     """
 
     sparse: bool = False
@@ -89,14 +100,28 @@ class Categorical:
     encoder: object = OneHot()
 
 
+@dataclass
+class Codes:
+    """Codes of a column's values from a table of them; `vector` makes them sparse vectors."""
+
+    table: DataFrame
+    place: int
+    unknown: float | None
+    vector: object | None = None
+
+    def transform(self, df: DataFrame, name: str, imputed: Column) -> DataFrame:
+        df = coded(df, self.table, self.place, imputed, f"_index_{name}", F.lit(self.unknown).cast("double"))
+        return df if self.vector is None else self.vector.transform(df)
+
+
 @dataclass
 class FittedColumn:
-    """A treated column: its outputs, and the Spark ML stage that some of them need first."""
+    """A treated column: its outputs, and the codes that some of them need first."""
 
     name: str
     imputed: Column
     outputs: dict[str, Column] = field(default_factory=dict)
-    stage: object | None = None
+    codes: Codes | None = None
 
 
 def detect_types(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -110,11 +135,17 @@ class Preprocessor:
 
     Output order: custom numbers, default numbers, custom categories, default categories, the rest.
     `keep` names columns (keys, label, split) that are not treated whatever their type.
+
+    Columns whose imputers are an equal `KNNImputer` or `IterativeImputer` are imputed together, each from the others; one
+    that stands alone gets its mean. Nearest neighbours need `key`, a column that tells the rows apart.
     """
 
     def __init__(self, custom: Mapping[str, Numeric | Categorical] | None = None, numeric: Numeric = Numeric(),
-                 categorical: Categorical = Categorical(), keep: Sequence[str] = ()):
+                 categorical: Categorical = Categorical(), keep: Sequence[str] = (), key: str | None = None):
         self.custom, self.numeric, self.categorical, self.keep = dict(custom or {}), numeric, categorical, list(keep)
+        self.key = key
+        if key is not None and key not in self.keep:
+            self.keep.append(key)
 
     def _route(self, df: DataFrame) -> tuple[dict[str, Numeric], dict[str, Categorical]]:
         numbers, texts = detect_types(df)
@@ -131,11 +162,30 @@ class Preprocessor:
 
     def fit(self, df: DataFrame) -> FittedPreprocessor:
         numbers, texts = self._route(df)
+        fills = self._fit_joint(df, numbers)
+        for fill in fills:
+            df = fill.transform(df)
         stats = _column_stats(df, list(numbers), list(texts))
         fitted = _fit_numbers(df, numbers, stats) + _fit_texts(df, texts, stats)
         rest = [c for c in df.columns if c not in numbers and c not in texts]
         passed = [c for c in rest if c not in self.keep and isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))]
-        return FittedPreprocessor(fitted, rest, passed)
+        return FittedPreprocessor(fitted, rest, passed, fills)
+
+    def _fit_joint(self, df: DataFrame, numbers: Mapping[str, Numeric]) -> list:
+        """The fitted imputers that fill several columns at once, each for its columns."""
+        together: dict[object, list[str]] = {}
+        for name, spec in numbers.items():
+            if isinstance(spec.imputer, JOINT):
+                together.setdefault(spec.imputer, []).append(name)
+        out = []
+        for imputer, names in together.items():
+            if isinstance(imputer, KNNImputer):
+                if self.key is None:
+                    raise ValueError(f"nearest neighbours of {names} need the preprocessor's key")
+                out.append(imputer.fit(df, names, self.key))
+            else:
+                out.append(imputer.fit(df, names))
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         raise ValueError("not fitted: call fit and transform with what it returns")
@@ -147,8 +197,8 @@ class Preprocessor:
 class FittedPreprocessor:
     """`rest` are the columns that pass through; those of them in `passed`, numbers and booleans, are features too."""
 
-    def __init__(self, columns: list[FittedColumn], rest: list[str], passed: list[str]):
-        self.columns, self.rest, self.passed = columns, rest, passed
+    def __init__(self, columns: list[FittedColumn], rest: list[str], passed: list[str], fills: Sequence = ()):
+        self.columns, self.rest, self.passed, self.fills = columns, rest, passed, list(fills)
 
     @property
     def treated_names(self) -> list[str]:
@@ -164,9 +214,11 @@ class FittedPreprocessor:
 
     def transform(self, df: DataFrame) -> DataFrame:
         require(df, *[c.name for c in self.columns])
+        for fill in self.fills:
+            df = fill.transform(df)
         for c in self.columns:
-            if c.stage is not None:
-                df = c.stage.transform(df.withColumn(f"_imputed_{c.name}", c.imputed))
+            if c.codes is not None:
+                df = c.codes.transform(df, c.name, c.imputed)
         outputs = [expression.alias(name) for c in self.columns for name, expression in c.outputs.items()]
         return df.select(*outputs, *[col(c) for c in self.rest if c in df.columns])
 
@@ -197,7 +249,7 @@ def _fit_numbers(df: DataFrame, specs: Mapping[str, Numeric], stats: Mapping) ->
 
 
 def _number_fill(name: str, imputer, s, medians: Mapping, modes: Mapping) -> float | None:
-    if isinstance(imputer, Mean):
+    if isinstance(imputer, (Mean, *JOINT)):
         return s["mean"]
     if isinstance(imputer, Median):
         return medians[name][0]
@@ -248,27 +300,45 @@ def _most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | Non
     return {c: found.get(c) for c in columns}
 
 
-def _categories(df: DataFrame, columns: Sequence[str]) -> dict[str, set[str]]:
-    """All texts of each column: they become names of output columns, so the driver has to know them."""
-    found: dict[str, set[str]] = {c: set() for c in columns}
-    if columns:
-        for r in unpivot(df, columns, as_type="string").select("column", "value").distinct().collect():
-            found[r["column"]].add(r["value"])
-    return found
-
-
 def _fit_texts(df: DataFrame, specs: Mapping[str, Categorical], stats: Mapping) -> list[FittedColumn]:
     tops = _most_frequent(df, [c for c, s in specs.items() if isinstance(s.imputer, MostFrequent)])
-    named = _categories(df, [c for c, s in specs.items() if isinstance(s.encoder, OneHot) and not s.encoder.sparse])
+    filled = {c: _text_fill(df, c, s.imputer, tops.get(c)) for c, s in specs.items()}
+    # Codes number the values after imputation; named columns are those before it, with the fill.
+    wanted = {c: (col(c) if _is_named(s.encoder) else filled[c][0]) for c, s in specs.items() if s.encoder is not None}
+    table = dictionary(df, wanted) if wanted else None
+    widths = sizes(table) if wanted else {}
+    places = {c: i for i, c in enumerate(wanted)}
+    named = _named_values(table, specs, widths)
     out = []
     for name, spec in specs.items():
-        has_gaps = stats[name]["n"] < stats[name]["rows"]
-        imputed, fill_values = _text_fill(df, name, spec.imputer, tops.get(name))
-        seen = sorted(_categories_after(spec.imputer, named[name], fill_values, has_gaps)) if name in named else []
-        out.append(_encoded(df, name, spec.encoder, imputed, seen))
+        imputed, fill_values = filled[name]
+        if name in named:
+            has_gaps = stats[name]["n"] < stats[name]["rows"]
+            seen = sorted(_categories_after(spec.imputer, named[name], fill_values, has_gaps))
+            out.append(FittedColumn(name, imputed, {
+                f"{name}_{value}": F.coalesce((imputed == value).cast("double"), F.lit(0.0)) for value in seen
+            }))
+        else:
+            out.append(_encoded(name, spec.encoder, imputed, table, places.get(name), widths.get(name, 0)))
     return out
 
 
+def _is_named(encoder) -> bool:
+    return isinstance(encoder, OneHot) and not encoder.sparse
+
+
+def _named_values(table: DataFrame | None, specs: Mapping[str, Categorical], widths: Mapping[str, int]) -> dict[str, set[str]]:
+    """The texts that become names of output columns; the driver has to know them, so their number is bounded."""
+    named: dict[str, set[str]] = {c: set() for c, s in specs.items() if _is_named(s.encoder)}
+    for c in named:
+        if widths.get(c, 0) > MAX_COLUMNS:
+            raise ValueError(f"column {c!r} has {widths[c]} categories, more than {MAX_COLUMNS}: use OneHot(sparse=True) or Ordinal()")
+    if named and table is not None:
+        for r in table.filter(F.col("column").isin(list(named))).select("column", "value").collect():
+            named[r["column"]].add(r["value"])
+    return named
+
+
 def _categories_after(imputer, before: set[str], fill: list[str], has_gaps: bool) -> set[str]:
     """The categories of a column once it is imputed."""
     if isinstance(imputer, KModesImputer):
@@ -288,24 +358,17 @@ def _text_fill(df: DataFrame, name: str, imputer, top: str | None) -> tuple[Colu
     raise TypeError(f"unknown imputer for {name!r}: {imputer!r}")
 
 
-def _encoded(df: DataFrame, name: str, encoder, imputed: Column, seen: list[str]) -> FittedColumn:
+def _encoded(name: str, encoder, imputed: Column, table: DataFrame | None, place: int | None, width: int) -> FittedColumn:
     if encoder is None:
         return FittedColumn(name, imputed, {name: imputed})
-    if isinstance(encoder, OneHot) and not encoder.sparse:
-        return FittedColumn(name, imputed, {
-            f"{name}_{value}": F.coalesce((imputed == value).cast("double"), F.lit(0.0)) for value in seen
-        })
     if not isinstance(encoder, (OneHot, Ordinal)):
         raise TypeError(f"unknown encoder for {name!r}: {encoder!r}")
-    from pyspark.ml import PipelineModel
-
-    helper, place = f"_imputed_{name}", f"_index_{name}"
-    indexer = StringIndexer(inputCol=helper, outputCol=place, stringOrderType="alphabetAsc", handleInvalid="keep")
-    filled = df.withColumn(helper, imputed)
-    fitted = indexer.fit(filled)
+    index = f"_index_{name}"
     if isinstance(encoder, Ordinal):
-        code = F.when(col(place) < len(fitted.labels), col(place)).otherwise(F.lit(encoder.unknown).cast("double"))
-        return FittedColumn(name, imputed, {name: code}, fitted)
-    vectors = SparseEncoder(inputCol=place, outputCol=f"{name}_vec", dropLast=True)
-    vectors = vectors.fit(fitted.transform(filled.select(helper)))
-    return FittedColumn(name, imputed, {f"{name}_vec": col(f"{name}_vec")}, PipelineModel([fitted, vectors]))
+        return FittedColumn(name, imputed, {name: col(index)}, Codes(table, place, encoder.unknown))
+    if width > MAX_VECTOR:
+        raise ValueError(f"column {name!r} has {width} categories, more than {MAX_VECTOR}: use Ordinal()")
+    # The last place is dropped: a value that was not seen has it, and so is a vector of zeros.
+    widest = table.sparkSession.createDataFrame([(float(width),)], f"`{index}` double")
+    vectors = SparseEncoder(inputCol=index, outputCol=f"{name}_vec", dropLast=True).fit(widest)
+    return FittedColumn(name, imputed, {f"{name}_vec": col(f"{name}_vec")}, Codes(table, place, float(width), vectors))

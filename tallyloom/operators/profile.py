@@ -12,11 +12,13 @@ from itertools import combinations
 from operator import and_
 from statistics import NormalDist
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from tallyloom.functions.columns import (
     col, flat_columns, number, numeric_columns, require, rows_from_aggregate, stable_hash, text_columns, unpivot,
 )
+from tallyloom.functions.gram import gram
 from tallyloom.functions.running import quantiles_by
 from tallyloom.functions.selection import exact_quantiles
 from tallyloom.functions.stats import divide, missing, percent, sample_kurtosis, sample_skewness
@@ -316,22 +318,18 @@ def missing_by_range(df: DataFrame, key: str, bins: int = 50) -> DataFrame:
 def nullity_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of the missing indicators of all column pairs.
 
-    One aggregate counts gaps and common gaps, from which the correlation of two indicators follows.
-    Pairs with a column that is never or always missing are left out.
+    Rows that have both columns are counted for all pairs in one scan, from which the correlation of two indicators
+    follows. Pairs with a column that is never or always missing are left out.
     """
     columns = list(columns or df.columns)
-    gap = {c: col(c).isNull() for c in columns}
-    together = list(combinations(range(len(columns)), 2))
-    counts = df.agg(
-        F.count(F.lit(1)).cast("double").alias("n"), *[F.count_if(gap[c]).cast("double").alias(f"g{i}") for i, c in enumerate(columns)],
-        *[F.count_if(gap[columns[i]] & gap[columns[j]]).cast("double").alias(f"g{i}_{j}") for i, j in together])
-    n = F.col("n")
-    cells = []
-    for i, j in together:
-        a, b = F.col(f"g{i}"), F.col(f"g{j}")
-        r = divide(n * F.col(f"g{i}_{j}") - a * b, F.sqrt(a * (n - a)) * F.sqrt(b * (n - b)))
-        cells.append(F.struct(F.lit(columns[i]).alias("column_a"), F.lit(columns[j]).alias("column_b"), r.alias("r")))
-    return counts.select(F.inline(F.array(*cells))).filter(F.col("r").isNotNull())
+    counts = gram(df, [F.when(col(c).isNotNull(), 1.0) for c in columns], shift=False)
+    n, gaps = counts.rows, counts.rows - np.diag(counts.n)
+    both = n - np.diag(counts.n)[:, None] - np.diag(counts.n)[None, :] + counts.n
+    spread = np.sqrt(gaps * (n - gaps))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = (n * both - np.outer(gaps, gaps)) / np.outer(spread, spread)
+    rows = [(columns[i], columns[j], float(r[i, j])) for i, j in combinations(range(len(columns)), 2) if np.isfinite(r[i, j])]
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
 
 
 # profile ------------------------------------------------------------------------------------------------------------
