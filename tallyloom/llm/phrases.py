@@ -44,48 +44,71 @@ _GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTOR = seeds(1, 53)[0] | np.uint64(1)
 _LOCAL = 24
+#: Hashes that are worked on at a time, so that intermediate arrays stay small beside a shard's own.
+_SLICE = 1 << 19
 
 
 class _Shard:
-    """The words of some texts of one language: hashes, places, and whether a word follows the one before it in a piece."""
+    """The words of some texts of one language: hashes, places, and whether a word follows the one before it in a piece.
 
-    def __init__(self, lang: str, texts: list[bytes]):
-        self.salt = np.frombuffer(np.array([hash_text(lang)], dtype=np.uint64).tobytes(), dtype=np.uint64)[0]
-        self.text = b"\n".join(texts).translate(_LOWER)
-        hashes, starts, ends, pieces, at, breaks = [], [], [], [], 0, 0
+    The list of texts is emptied. `places` keeps where words begin and end, which only their texts need.
+    """
+
+    def __init__(self, lang: str, texts: list[bytes], places: bool = True):
+        self.salt = np.uint64(hash_text(lang))
+        joined = b"\n".join(texts)
+        texts.clear()
+        self.text = joined.translate(_LOWER)
+        del joined
+        hashes, starts, ends, follows, at, last = [], [], [], [], 0, -1
+        breaks = 0
+        kind = np.int64 if len(self.text) >> 31 else np.int32
         while at < len(self.text):
             gap = _GAP.search(self.text, at + wordstream.BLOCK)
             stop = gap.start() if gap else len(self.text)
             block = self.text[at:stop]
             start, end, own = wordstream.words(block, _GAPS)
-            broken = np.cumsum(_BREAKS[np.frombuffer(block, dtype=np.uint8)], dtype=np.int32)
-            hashes.append(own)
-            starts.append((start + at).astype(np.int64 if len(self.text) >> 31 else np.int32))
-            ends.append((end + at).astype(starts[-1].dtype))
-            pieces.append(broken[start] + np.int32(breaks))
+            broken = np.cumsum(_BREAKS[np.frombuffer(block, dtype=np.uint8)], dtype=np.int64)
+            if len(own):
+                piece = broken[start] + breaks
+                follows.append(np.diff(piece, prepend=last) == 0)
+                last = int(piece[-1])
+                hashes.append(own)
+                if places:
+                    starts.append((start + at).astype(kind))
+                    ends.append((end + at).astype(kind))
             breaks += int(broken[-1])
             at = stop
-        self.words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        self.start = np.concatenate(starts) if starts else np.empty(0, np.int32)
-        self.end = np.concatenate(ends) if ends else np.empty(0, np.int32)
-        piece = np.concatenate(pieces) if pieces else np.empty(0, np.int32)
-        self.joined = np.zeros(len(self.words), dtype=bool)
-        self.joined[1:] = piece[1:] == piece[:-1]
+        self.words = _joined(hashes, np.uint64)
+        self.start, self.end = _joined(starts, kind), _joined(ends, kind)
+        self.joined = _joined(follows, bool)
+        if not places:
+            self.text = b""
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
         """What the tables of all languages know a phrase by."""
         return mixed(grams ^ self.salt)
 
-    def grams(self, size: int, shorter: np.ndarray) -> np.ndarray:
-        """Hashes of the phrases of `size` words that begin at each word, from those of one word less."""
+    def longer(self, size: int, grams: np.ndarray) -> np.ndarray:
+        """Hashes of the phrases of `size` words that begin at each word, in place of those of one word less."""
         if size == 1:
-            return self.words
-        return mixed(shorter[: max(0, len(self.words) - size + 1)] * _FACTOR + self.words[size - 1 :])
+            return self.words.copy()
+        n = max(0, len(self.words) - size + 1)
+        for at in range(0, n, _SLICE):
+            end = min(n, at + _SLICE)
+            grams[at:end] = mixed(grams[at:end] * _FACTOR + self.words[at + size - 1 : end + size - 1])
+        return grams[:n]
 
     def phrase(self, first: int, size: int) -> str:
         return b" ".join(self.text[self.start[first] : self.end[first + size - 1]].split()).decode()
 
 
+def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
+    out = np.concatenate(parts) if parts else np.empty(0, kind)
+    parts.clear()
+    return out
+
+
 def hash_text(text: str) -> int:
     """A number for a language's name."""
     start, end, own = wordstream.words(b"x" + text.encode().hex().encode())
@@ -101,27 +124,35 @@ def _both(shorter: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct keys in order, their counts)."""
-    keys = np.sort(keys)
+    """(distinct keys in order, their counts); sorts the keys."""
+    keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
     return keys[first], np.diff(np.append(first, len(keys)))
 
 
 def _start_of_round(shard: _Shard, sizes: tuple[int, ...], known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, marks) of the phrases of one word less than the round's first size, marked where they are known."""
-    grams = shard.words
     if sizes[0] == 1:
-        return grams, np.ones(len(grams), dtype=bool)
-    marks = _held(known, shard.keys(grams))
-    for size in range(2, sizes[0]):
-        grams = shard.grams(size, grams)
+        return shard.words, np.ones(len(shard.words), dtype=bool)
+    grams = shard.longer(1, shard.words)
+    marks = np.ones(len(grams), dtype=bool)
+    for size in range(1, sizes[0]):
+        grams = shard.longer(size, grams) if size > 1 else grams
         marks = np.ones(len(grams), dtype=bool)
         for k in range(1, size):
             marks &= shard.joined[k : k + len(grams)]
-        marks[marks] = _held(known, shard.keys(grams[marks]))
+        if size == sizes[0] - 1:
+            _keep(marks, grams, lambda own: _held(known, shard.keys(own)))
     return grams, marks
 
 
+def _keep(marks: np.ndarray, grams: np.ndarray, test: Callable[[np.ndarray], np.ndarray]) -> None:
+    """Unmarks the phrases that fail a test."""
+    for at in range(0, len(marks), _SLICE):
+        own = marks[at : at + _SLICE]
+        own[own] = test(grams[at : at + _SLICE][own])
+
+
 def _held(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     if table is None:
         return np.ones(len(keys), dtype=bool)
@@ -135,8 +166,9 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
     totals: dict[str, int] = {}
     held_bytes = 0
     for batch in batches:
-        for lang, total, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            own = text.encode()
+        langs, sizes, texts = (batch.column(k) for k in range(3))
+        for lang, total, text in zip(langs.to_pylist(), sizes.to_pylist(), texts):
+            own = text.as_buffer().to_pybytes()
             held.setdefault(lang, []).append(own)
             totals[lang] = total
             held_bytes += len(own) + 1
@@ -163,11 +195,10 @@ def _mine(support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadca
             if least == 1:
                 yield _gains(lang, _unfiltered(lang), np.array([support]))
                 continue
-            shard = _Shard(lang, texts)
-            texts.clear()
+            shard = _Shard(lang, texts, places=False)
             grams, marks = _start_of_round(shard, sizes, table)
             for size in sizes:
-                grams = shard.grams(size, grams)
+                grams = shard.longer(size, grams)
                 marks = _both(marks, size, shard.joined)[: len(grams)]
                 distinct, counts = _counted(grams[marks])
                 often = counts >= least
@@ -175,7 +206,7 @@ def _mine(support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadca
                 yield _gains(lang, shard.keys(distinct), counts - least + 1)
                 local = np.zeros(1 << _LOCAL, dtype=bool)
                 local[(distinct & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)] = True
-                marks[marks] = local[(grams[marks] & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)]
+                _keep(marks, grams, lambda own: local[(own & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)])
 
     return mine
 
@@ -197,21 +228,20 @@ def _count(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None, ca
         table, wanted = known.value if known is not None else None, candidates.value
         for lang, _, texts in _shards(batches, shard_bytes):
             shard = _Shard(lang, texts)
-            texts.clear()
             everything = bool(_held(wanted, _unfiltered(lang))[0])
             if sizes[0] == 1:
                 yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
             grams, marks = _start_of_round(shard, sizes, table)
             for size in sizes:
-                grams = shard.grams(size, grams)
+                grams = shard.longer(size, grams)
                 marks = _both(marks, size, shard.joined)[: len(grams)]
                 if not everything:
-                    marks[marks] = _held(wanted, shard.keys(grams[marks]))
-                place = np.flatnonzero(marks)
-                own = grams[place]
-                distinct, counts = _counted(own)
+                    _keep(marks, grams, lambda own: _held(wanted, shard.keys(own)))
+                distinct, counts = _counted(grams[marks])
                 first = np.empty(len(distinct), dtype=np.int64)
-                first[np.searchsorted(distinct, own)] = place
+                for at in range(0, len(marks), _SLICE):
+                    place = np.flatnonzero(marks[at : at + _SLICE]) + at
+                    first[np.searchsorted(distinct, grams[place])] = place
                 for at in range(0, len(distinct), 20_000):
                     part = slice(at, at + 20_000)
                     yield _phrases(lang, size, [shard.phrase(i, size) for i in first[part].tolist()], counts[part])
@@ -255,11 +285,11 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for lang in set(langs):
             own = [t for x, t in zip(langs, texts) if x == lang]
-            shard = _Shard(lang, [t.encode() for t in own])
+            shard = _Shard(lang, [t.encode() for t in own], places=False)
             size = texts_size(own[0])
-            grams = shard.words
+            grams = shard.longer(1, shard.words)
             for k in range(2, size + 1):
-                grams = shard.grams(k, grams)
+                grams = shard.longer(k, grams)
             out.append(shard.keys(grams[: len(own) * size : size]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["key"])
 
