@@ -29,12 +29,19 @@ def test_words_encode_like_whole_texts(reference):
     random.seed(5)
     pieces = "a B é ß 's ' \" . , ! 7 ² _ - \t \n \x1c   ́ Σ İ ﬁ 日 😀 <|endoftext|> 't 're ll ʼ".split(" ") + [" ", "  "]
     texts = ODD + ["".join(random.choice(pieces) for _ in range(random.randrange(1, 30))) for _ in range(3000)]
-    small = WordTokenizer(TOKENIZER, most_words=50, most_parts=50)
+    small = WordTokenizer(TOKENIZER, most_parts=50)
     got = [b for k in range(0, len(texts), 40) for b in small.encode(texts[k : k + 40])]
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_parts_told_apart_by_a_special_token(reference, monkeypatch):
+    own = WordTokenizer(TOKENIZER)
+    own.ends[:] = False
+    for text in ODD + ["don't you're 12ab'll"]:
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
 def test_literal_special_tokens(reference):
     literal = Tokenizer.from_file(TOKENIZER)
     literal.encode_special_tokens = True
