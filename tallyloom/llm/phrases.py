@@ -1,9 +1,11 @@
 """Phrase collocations by SON partitioning: shards are mined completely, the union of their phrases is counted exactly.
 
-Texts are dealt to shards that fit a task. A shard that holds a share p of a language's bytes mines all phrases it holds
-ceil(p * support) times or more: a phrase that is rarer in every shard cannot reach `support` in all of them. The union of
-these phrases are the candidates, less those that cannot reach it even if every other shard held them just below its own
-threshold. A second pass over all shards counts the candidates exactly, by their text.
+Texts are dealt to shards that fit a task, of about one size. Each shard mines all phrases it holds as often as the support
+divided by the number of shards, or more: a phrase that is rarer in every shard cannot reach `support` in all of them. The
+union of these phrases are the candidates, less those that cannot reach it even if every other shard held them just below its
+own threshold. A second pass over all shards counts the candidates exactly, by their text. The thresholds that were used are
+added up: should they leave room for a phrase that every shard overlooked, because there were more shards than planned, all
+phrases of that language are counted.
 
 Both passes are run for words, for pairs, and for longer phrases, so that each round need only look at phrases whose parts
 were frequent in the one before. What a pass must know of earlier ones is a bit table of `BITS` bits, whatever the size of
@@ -29,8 +31,8 @@ from tallyloom.llm import wordstream
 from tallyloom.llm.shingles import mixed, seeds
 from tallyloom.llm.tables import columns_of, stored, whole
 
-#: Bytes of text in a shard; a task mines one shard at a time.
-SHARD = 48 << 20
+#: Bytes of text in a shard, from half to one and a half times as many; a task mines one shard at a time.
+SHARD = 40 << 20
 #: Bits of a table of phrases (16 MB), and of the part of it that one row carries.
 BITS, _CHUNK = 27, 15
 #: Lengths of the phrases that are mined in one round.
@@ -44,14 +46,17 @@ _GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTOR = seeds(1, 53)[0] | np.uint64(1)
 _LOCAL = 24
+_LOW = np.uint64((1 << _LOCAL) - 1)
 #: Hashes that are worked on at a time, so that intermediate arrays stay small beside a shard's own.
 _SLICE = 1 << 19
+#: Parts in which the phrases of a shard are sorted and counted, one after the other.
+_CLASSES = 4
 
 
 class _Shard:
     """The words of some texts of one language: hashes, places, and whether a word follows the one before it in a piece.
 
-    The list of texts is emptied. `places` keeps where words begin and end, which only their texts need.
+    The list of texts is emptied. `places` keeps where words begin, and the text, which only the phrases' texts need.
     """
 
     def __init__(self, lang: str, texts: list[bytes], places: bool = True):
@@ -60,14 +65,13 @@ class _Shard:
         texts.clear()
         self.text = joined.translate(_LOWER)
         del joined
-        hashes, starts, ends, follows, at, last = [], [], [], [], 0, -1
-        breaks = 0
+        hashes, starts, follows, at, last, breaks = [], [], [], 0, -1, 0
         kind = np.int64 if len(self.text) >> 31 else np.int32
         while at < len(self.text):
             gap = _GAP.search(self.text, at + wordstream.BLOCK)
             stop = gap.start() if gap else len(self.text)
             block = self.text[at:stop]
-            start, end, own = wordstream.words(block, _GAPS)
+            start, _, own = wordstream.words(block, _GAPS)
             broken = np.cumsum(_BREAKS[np.frombuffer(block, dtype=np.uint8)], dtype=np.int64)
             if len(own):
                 piece = broken[start] + breaks
@@ -76,11 +80,10 @@ class _Shard:
                 hashes.append(own)
                 if places:
                     starts.append((start + at).astype(kind))
-                    ends.append((end + at).astype(kind))
             breaks += int(broken[-1])
             at = stop
         self.words = _joined(hashes, np.uint64)
-        self.start, self.end = _joined(starts, kind), _joined(ends, kind)
+        self.start = _joined(starts, kind)
         self.joined = _joined(follows, bool)
         if not places:
             self.text = b""
@@ -89,18 +92,23 @@ class _Shard:
         """What the tables of all languages know a phrase by."""
         return mixed(grams ^ self.salt)
 
-    def longer(self, size: int, grams: np.ndarray) -> np.ndarray:
-        """Hashes of the phrases of `size` words that begin at each word, in place of those of one word less."""
-        if size == 1:
-            return self.words.copy()
+    def grams(self, size: int, at: int, end: int) -> np.ndarray:
+        """Hashes of the phrases of `size` words that begin at the words from `at` to `end`."""
+        out = self.words[at:end]
+        for k in range(1, size):
+            out = mixed(out * _FACTOR + self.words[at + k : end + k])
+        return out
+
+    def slices(self, size: int) -> Iterator[tuple[int, int]]:
+        """The places of phrases of `size` words, a slice at a time."""
         n = max(0, len(self.words) - size + 1)
         for at in range(0, n, _SLICE):
-            end = min(n, at + _SLICE)
-            grams[at:end] = mixed(grams[at:end] * _FACTOR + self.words[at + size - 1 : end + size - 1])
-        return grams[:n]
+            yield at, min(n, at + _SLICE)
 
     def phrase(self, first: int, size: int) -> str:
-        return b" ".join(self.text[self.start[first] : self.end[first + size - 1]].split()).decode()
+        last = int(self.start[first + size - 1])
+        gap = _GAP.search(self.text, last)
+        return b" ".join(self.text[self.start[first] : gap.start() if gap else len(self.text)].split()).decode()
 
 
 def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
@@ -123,34 +131,36 @@ def _both(shorter: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
     return marked & joined[1:] if size == 2 else marked
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct keys in order, their counts); sorts the keys."""
-    keys.sort()
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.diff(np.append(first, len(keys)))
+def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(class, distinct hashes in order, their counts) of the marked phrases, class by class."""
+    for c in range(_CLASSES):
+        parts = [np.empty(0, np.uint64)]
+        for at, end in shard.slices(size):
+            own = shard.grams(size, at, end)[marks[at:end]]
+            parts.append(own[own % np.uint64(_CLASSES) == c])
+        keys = np.concatenate(parts)
+        parts.clear()
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        yield c, keys[first], np.diff(np.append(first, len(keys)))
 
 
-def _start_of_round(shard: _Shard, sizes: tuple[int, ...], known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, marks) of the phrases of one word less than the round's first size, marked where they are known."""
-    if sizes[0] == 1:
-        return shard.words, np.ones(len(shard.words), dtype=bool)
-    grams = shard.longer(1, shard.words)
-    marks = np.ones(len(grams), dtype=bool)
-    for size in range(1, sizes[0]):
-        grams = shard.longer(size, grams) if size > 1 else grams
-        marks = np.ones(len(grams), dtype=bool)
-        for k in range(1, size):
-            marks &= shard.joined[k : k + len(grams)]
-        if size == sizes[0] - 1:
-            _keep(marks, grams, lambda own: _held(known, shard.keys(own)))
-    return grams, marks
+def _keep(shard: _Shard, size: int, marks: np.ndarray, test: Callable[[np.ndarray], np.ndarray]) -> None:
+    """Unmarks the phrases that fail a test."""
+    for at, end in shard.slices(size):
+        own = marks[at:end]
+        own[own] = test(shard.grams(size, at, end)[own])
 
 
-def _keep(marks: np.ndarray, grams: np.ndarray, test: Callable[[np.ndarray], np.ndarray]) -> None:
-    """Unmarks the phrases that fail a test."""
-    for at in range(0, len(marks), _SLICE):
-        own = marks[at : at + _SLICE]
-        own[own] = test(grams[at : at + _SLICE][own])
+def _start_of_round(shard: _Shard, sizes: tuple[int, ...], known: np.ndarray | None) -> np.ndarray:
+    """Marks of the phrases of one word less than the round's first size that are known."""
+    size = sizes[0] - 1
+    marks = np.ones(max(0, len(shard.words) - max(size, 1) + 1), dtype=bool)
+    for k in range(1, size):
+        marks &= shard.joined[k : k + len(marks)]
+    if size:
+        _keep(shard, size, marks, lambda own: _held(known, shard.keys(own)))
+    return marks
 
 
 def _held(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
@@ -160,53 +170,62 @@ def _held(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, int, list[bytes]]]:
-    """(language, all its bytes, texts) of each shard and language."""
-    held: dict[str, list[bytes]] = {}
-    totals: dict[str, int] = {}
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes]]]:
+    """(language, texts) of each shard and language. A task's texts are cut into shards of `size` bytes, and what is left
+    of them, half as much at least, is the last one."""
+    held: list[tuple[str, bytes]] = []
     held_bytes = 0
+
+    def cut(limit: int) -> Iterator[tuple[str, list[bytes]]]:
+        nonlocal held_bytes
+        by_lang: dict[str, list[bytes]] = {}
+        used = taken = 0
+        while taken < len(held) and used < limit:
+            lang, text = held[taken]
+            by_lang.setdefault(lang, []).append(text)
+            used += len(text)
+            taken += 1
+        del held[:taken]
+        held_bytes -= used
+        for lang in list(by_lang):
+            yield lang, by_lang.pop(lang)
+
     for batch in batches:
-        langs, sizes, texts = (batch.column(k) for k in range(3))
-        for lang, total, text in zip(langs.to_pylist(), sizes.to_pylist(), texts):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             own = text.as_buffer().to_pybytes()
-            held.setdefault(lang, []).append(own)
-            totals[lang] = total
-            held_bytes += len(own) + 1
-            if held_bytes >= size:
-                for lang in list(held):
-                    yield lang, totals[lang], held.pop(lang)
-                held_bytes = 0
-    for lang in list(held):
-        yield lang, totals[lang], held.pop(lang)
+            held.append((lang, own))
+            held_bytes += len(own)
+            if held_bytes >= size + size // 2:
+                yield from cut(size)
+    while held:
+        yield from cut(held_bytes)
 
 
-def local_support(support: int, own: int, total: int) -> int:
-    """The least count in a shard of `own` of all `total` bytes that a phrase of `support` must reach in one shard at least."""
-    return max(1, -(-support * own // total))
+def local_support(support: int, shards: int) -> int:
+    """The least count in one of so many shards that a phrase of `support` must reach in one of them at least."""
+    return (support - 1) // shards + 1
 
 
-def _mine(support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
+def _mine(least: int, support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
     """First pass: (lang, key, gain) of all phrases a shard holds often enough; a key of NULL carries the threshold less 1."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
-        for lang, total, texts in _shards(batches, shard_bytes):
-            least = local_support(support, sum(len(t) + 1 for t in texts), total)
+        for lang, texts in _shards(batches, shard_bytes):
             yield _gains(lang, None, np.array([least - 1]))
             if least == 1:
-                yield _gains(lang, _unfiltered(lang), np.array([support]))
                 continue
             shard = _Shard(lang, texts, places=False)
-            grams, marks = _start_of_round(shard, sizes, table)
+            marks = _start_of_round(shard, sizes, table)
             for size in sizes:
-                grams = shard.longer(size, grams)
-                marks = _both(marks, size, shard.joined)[: len(grams)]
-                distinct, counts = _counted(grams[marks])
-                often = counts >= least
-                distinct, counts = distinct[often], counts[often]
-                yield _gains(lang, shard.keys(distinct), counts - least + 1)
+                marks = _both(marks, size, shard.joined)
                 local = np.zeros(1 << _LOCAL, dtype=bool)
-                local[(distinct & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)] = True
-                _keep(marks, grams, lambda own: local[(own & np.uint64((1 << _LOCAL) - 1)).astype(np.int64)])
+                for _, distinct, counts in _counted(shard, size, marks):
+                    often = counts >= least
+                    distinct, gains = distinct[often], counts[often] - least + 1
+                    local[(distinct & _LOW).astype(np.int64)] = True
+                    for at in range(0, len(distinct), 20_000):
+                        yield _gains(lang, shard.keys(distinct[at : at + 20_000]), gains[at : at + 20_000])
+                _keep(shard, size, marks, lambda own: local[(own & _LOW).astype(np.int64)])
 
     return mine
 
@@ -216,6 +235,12 @@ def _unfiltered(lang: str) -> np.ndarray:
     return mixed(np.array([hash_text(lang) ^ 0x5555], dtype=np.uint64))
 
 
+def _unfiltered_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lang in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(_unfiltered(lang).view(np.int64))], ["key"])
+
+
 def _gains(lang: str, keys: np.ndarray | None, gains: np.ndarray) -> pa.RecordBatch:
     n = len(gains)
     own = pa.nulls(n, pa.int64()) if keys is None else pa.array(keys.view(np.int64))
@@ -226,25 +251,25 @@ def _count(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None, ca
     """Second pass: (lang, size, phrase, count) of all candidates in a shard; size 0 counts the words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, wanted = known.value if known is not None else None, candidates.value
-        for lang, _, texts in _shards(batches, shard_bytes):
+        for lang, texts in _shards(batches, shard_bytes):
             shard = _Shard(lang, texts)
             everything = bool(_held(wanted, _unfiltered(lang))[0])
             if sizes[0] == 1:
                 yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
-            grams, marks = _start_of_round(shard, sizes, table)
+            marks = _start_of_round(shard, sizes, table)
             for size in sizes:
-                grams = shard.longer(size, grams)
-                marks = _both(marks, size, shard.joined)[: len(grams)]
+                marks = _both(marks, size, shard.joined)
                 if not everything:
-                    _keep(marks, grams, lambda own: _held(wanted, shard.keys(own)))
-                distinct, counts = _counted(grams[marks])
-                first = np.empty(len(distinct), dtype=np.int64)
-                for at in range(0, len(marks), _SLICE):
-                    place = np.flatnonzero(marks[at : at + _SLICE]) + at
-                    first[np.searchsorted(distinct, grams[place])] = place
-                for at in range(0, len(distinct), 20_000):
-                    part = slice(at, at + 20_000)
-                    yield _phrases(lang, size, [shard.phrase(i, size) for i in first[part].tolist()], counts[part])
+                    _keep(shard, size, marks, lambda own: _held(wanted, shard.keys(own)))
+                for c, distinct, counts in _counted(shard, size, marks):
+                    first = np.empty(len(distinct), dtype=np.int64)
+                    for at, end in shard.slices(size):
+                        own = shard.grams(size, at, end)
+                        place = np.flatnonzero(marks[at:end] & (own % np.uint64(_CLASSES) == c))
+                        first[np.searchsorted(distinct, own[place])] = place + at
+                    for at in range(0, len(distinct), 20_000):
+                        part = slice(at, at + 20_000)
+                        yield _phrases(lang, size, [shard.phrase(i, size) for i in first[part].tolist()], counts[part])
 
     return count
 
@@ -287,10 +312,7 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = [t for x, t in zip(langs, texts) if x == lang]
             shard = _Shard(lang, [t.encode() for t in own], places=False)
             size = texts_size(own[0])
-            grams = shard.longer(1, shard.words)
-            for k in range(2, size + 1):
-                grams = shard.longer(k, grams)
-            out.append(shard.keys(grams[: len(own) * size : size]))
+            out.append(shard.keys(shard.grams(size, 0, len(shard.words) - size + 1)[::size]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["key"])
 
 
@@ -305,18 +327,22 @@ def frequent_phrases(
 
     The row of size 0 counts all words of a language. A NULL language is `und`.
     """
-    rows = columns_of(docs, lang=lang_col, text=text_col).select(F.coalesce("lang", F.lit("und")).alias("lang"), whole("text").alias("text"))
-    sizes = stored(rows.groupBy("lang").agg(F.sum(F.octet_length("text") + 1).alias("total")), "languages")
-    total = sizes.agg(F.sum("total")).first()[0] or 0
+    texts = columns_of(docs, lang=lang_col, text=text_col).select(F.coalesce("lang", F.lit("und")).alias("lang"), whole("text").alias("text"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # The scan's partitions are joined until one fills a shard; larger ones hold several.
-    texts = rows.join(sizes, "lang").select("lang", "total", "text").coalesce(max(1, -(-total // shard_bytes)))
+    shards = max(1, -(-total // shard_bytes))
+    texts = texts.coalesce(shards)
+    least = local_support(support, shards + shards // 2)
 
     found, known = [], None
     for round_ in ROUNDS:
-        gains = texts.mapInArrow(_mine(support, shard_bytes, round_, known), "lang string, key long, gain long")
+        gains = texts.mapInArrow(_mine(least, support, shard_bytes, round_, known), "lang string, key long, gain long")
         gains = stored(gains.groupBy("lang", "key").agg(F.sum("gain").alias("gain")), "gains")
         slack = gains.filter("key is null").select("lang", F.col("gain").alias("slack"))
-        wanted = gains.filter("key is not null").join(slack, "lang").filter(F.col("gain") + F.col("slack") >= support)
+        wanted = gains.filter("key is not null").join(slack, "lang").filter(F.col("gain") + F.col("slack") >= support).select("key")
+        # Shards that could all have overlooked a phrase, or have no threshold: everything is a candidate.
+        open_ = slack.filter((F.col("slack") >= support) | F.lit(least == 1)).select("lang").mapInArrow(_unfiltered_keys, "key long")
+        wanted = wanted.unionByName(open_)
         counts = texts.mapInArrow(
             _count(shard_bytes, round_, known, _bit_table(wanted)), "lang string, size tinyint, phrase string, count long")
         counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))

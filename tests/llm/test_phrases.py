@@ -65,14 +65,29 @@ def test_top_and_covered(spark):
     assert {tuple(r) for r in got} == brute([(r[3], r[1]) for r in rows], 4, covered=101, top=3)
 
 
-def test_a_shard_mines_all_that_is_frequent_in_it():
+def test_no_phrase_is_overlooked_by_all_shards():
     """SON: a phrase that reaches the support is found by some shard at its own threshold."""
-    random.seed(1)
-    for _ in range(300):
-        sizes = [random.randrange(1, 50) for _ in range(random.randrange(1, 9))]
-        support = random.randrange(1, 40)
-        below = [phrases.local_support(support, s, sum(sizes)) - 1 for s in sizes]
-        assert sum(below) < support
+    for support in range(1, 60):
+        for shards in range(1, 80):
+            assert shards * (phrases.local_support(support, shards) - 1) < support
+
+
+def test_more_shards_than_planned(spark, monkeypatch):
+    """Thresholds that are too high for the shards there are: all phrases are counted."""
+    monkeypatch.setattr(phrases, "local_support", lambda support, shards: support)
+    rows = corpus(5)
+    got = phrases.collocations(documents(spark, rows).repartition(3), support=5, shard_bytes=2000).collect()
+    assert {tuple(r) for r in got} == brute([(r[3], r[1]) for r in rows], 5)
+
+
+def test_shards_are_cut_by_bytes():
+    import pyarrow as pa
+
+    random.seed(3)
+    texts = ["x" * random.randrange(1, 400) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 500), pa.array(texts)], ["lang", "text"])
+    sizes = [sum(map(len, t)) for _, t in phrases._shards(iter([batch.slice(0, 200), batch.slice(200)]), 5000)]
+    assert sum(sizes) == sum(map(len, texts)) and min(sizes) >= 2500 - 400 and max(sizes) <= 7500 + 400
 
 
 def test_words_of_long_texts_do_not_depend_on_blocks(monkeypatch):
@@ -81,7 +96,7 @@ def test_words_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     whole = phrases._Shard("en", [text, b"", text[:50]])
     monkeypatch.setattr(wordstream, "BLOCK", 37)
     cut = phrases._Shard("en", [text, b"", text[:50]])
-    for name in ("words", "start", "end", "joined"):
+    for name in ("words", "start", "joined"):
         assert (getattr(whole, name) == getattr(cut, name)).all()
 
 
