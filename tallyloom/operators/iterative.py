@@ -4,7 +4,8 @@ Rows that miss the same columns form a pattern. Whatever the rounds do, a filled
 row's observed cells, the same for all rows of a pattern. So the sums and products of each pattern's observed cells, from
 one scan, give the products of the filled columns in every round: the rounds touch no rows, and the small regularised
 regressions are solved on the driver. One more scan says how far the rounds move the cells, which decides where they stop.
-A transform replays the rounds on blocks of rows, in one pass.
+Tables with more patterns than the driver holds are scanned for each step instead, with the same result. A transform
+replays the rounds on blocks of rows, in one pass.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyloom.functions.columns import col, number, require
 from tallyloom.functions.gram import cells, gram, of, rows_of, summed
 
-#: Combinations of missing columns whose moments the driver holds.
+#: Combinations of missing columns whose moments the driver holds; beyond them every step scans the rows.
 MAX_PATTERNS = 20_000
 
 # Fixed values of the evidence maximisation.
@@ -138,7 +139,7 @@ class IterativeImputer:
         stats = df.agg(*[
             F.struct(F.avg(number(c)).alias("mean"), F.count_if(col(c).isNull()).alias("gaps"),
                      F.max(F.abs(number(c))).alias("top")).alias(f"s{i}") for i, c in enumerate(columns)
-        ]).first()
+        ], F.approx_count_distinct(F.array(*[col(c).isNull() for c in columns]), 0.02).alias("patterns")).first()
         means = [stats[f"s{i}"]["mean"] for i in range(len(columns))]
         if any(m is None for m in means):
             raise ValueError(f"columns without any value: {[c for c, m in zip(columns, means) if m is None]}")
@@ -148,8 +149,11 @@ class IterativeImputer:
         # columns without gaps are fitted as well, for gaps in frames transformed later
         order = sorted(range(len(columns)), key=lambda i: stats[f"s{i}"]["gaps"])
         about = _about(columns, means)
-        patterns = _patterns(summed(df, about, _by_pattern), len(columns))
-        rounds = [self._round(patterns, order) for _ in range(self.max_iter)]
+        if stats["patterns"] <= MAX_PATTERNS:
+            patterns = _patterns(summed(df, about, _by_pattern), len(columns))
+            rounds = [self._round(patterns, order) for _ in range(self.max_iter)]
+        else:
+            rounds = self._rounds_by_scans(df, about, order)
         far = _moves(df, about, rounds)
         calm = [i for i, m in enumerate(far) if m < enough]
         return FittedIterativeImputer(columns, means, rounds[: calm[0] + 1] if calm else rounds)
@@ -157,30 +161,45 @@ class IterativeImputer:
     def _round(self, patterns: list[_Pattern], order: Sequence[int]) -> list[tuple[int, list[float], float]]:
         steps = []
         for target in order:
-            others = [i for i in range(len(order)) if i != target]
             held = [p.moments() for p in patterns if p.seen[target]]
-            n = sum(h[0] for h in held)
-            sums, square = sum(h[1] for h in held), sum(h[2] for h in held)
-            gram_ = square - np.outer(sums, sums) / n
-            weights = bayesian_ridge(n, gram_[np.ix_(others, others)], gram_[others, target], float(gram_[target, target]))
-            intercept = float(sums[target] / n - weights @ (sums[others] / n))
+            others, weights, intercept = _regression(target, sum(h[0] for h in held), sum(h[1] for h in held), sum(h[2] for h in held))
             for p in patterns:
                 p.fill(target, others, weights, intercept)
             steps.append((target, weights.tolist(), intercept))
         return steps
 
+    def _rounds_by_scans(self, df: DataFrame, about: Sequence[Column], order: Sequence[int]) -> list:
+        """The rounds from one scan for each step, which replays those before it."""
+        width, rounds = len(about), []
+        for _ in range(self.max_iter):
+            rounds.append([])
+            for target in order:
+                def moments(block: np.ndarray, target=target) -> dict[str, np.ndarray]:
+                    z = filled(block, rounds)[~np.isnan(block[:, target])]
+                    return {"": np.concatenate([[float(len(z))], z.sum(axis=0), (z.T @ z).ravel()])}
+
+                found = summed(df, about, moments)[""]
+                _, weights, intercept = _regression(target, found[0], found[1 : 1 + width], found[1 + width :].reshape(width, width))
+                rounds[-1].append((target, weights.tolist(), intercept))
+        return rounds
+
     def fit_transform(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return self.fit(df, columns).transform(df)
 
 
+def _regression(target: int, n: float, sums: np.ndarray, square: np.ndarray) -> tuple[list[int], np.ndarray, float]:
+    """(the other columns, their weights, intercept) from the moments of the rows that have the target."""
+    others = [i for i in range(len(sums)) if i != target]
+    centred = square - np.outer(sums, sums) / n
+    weights = bayesian_ridge(n, centred[np.ix_(others, others)], centred[others, target], float(centred[target, target]))
+    return others, weights, float(sums[target] / n - weights @ (sums[others] / n))
+
+
 def _about(columns: Sequence[str], means: Sequence[float]) -> list[Column]:
     return [number(c) - F.lit(float(m)) for c, m in zip(columns, means)]
 
 
 def _patterns(found: dict[str, np.ndarray], width: int) -> list[_Pattern]:
-    """Their number is bounded by 2**columns and by the rows; the driver holds columns² numbers for each."""
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"{len(found)} combinations of missing columns, more than {MAX_PATTERNS}")
     return [
         _Pattern(np.array([c == "1" for c in key]), float(v[0]), v[1 : 1 + width], v[1 + width :].reshape(width, width))
         for key, v in sorted(found.items())]

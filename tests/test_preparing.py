@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import clip, iterative, kmodes, neighbors, resample, split
+from tallyloom.operators import clip, iterative, kmodes, neighbors, prepare, resample, split
 from tallyloom.operators.prepare import (
     Categorical, Constant, Mean, Median, MinMaxScale, MostFrequent, NoScale, Numeric, OneHot, Ordinal, Preprocessor, StandardScale,
 )
@@ -80,6 +82,49 @@ def test_many_categories_need_no_limit(spark):
     assert len(Preprocessor(keep=["id"]).fit(df).feature_names) == 700
 
 
+def test_dictionary_ranks_every_value_over_many_ranges(spark):
+    from tallyloom.functions.dictionary import dictionary, sizes
+
+    random.seed(2)
+    texts = sorted({"".join(random.choice("abÄz日") for _ in range(random.randrange(4))) for _ in range(900)}, key=str.encode)
+    rows = [(i, t, "hot" if i % 3 else None) for i, t in enumerate(texts * 3)]
+    df = spark.createDataFrame(rows, "id long, a string, b string").repartition(11)
+    table = dictionary(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("string")})
+    got = {(r["column"], r["value"]): r["code"] for r in table.collect()}
+    assert got == {**{("a", t): i for i, t in enumerate(texts)}, ("b", "hot"): 0}
+    assert sizes(table) == {"a": len(texts), "b": 1}
+
+
+def test_dense_one_hot_has_a_width(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(12)], "id long, c string")
+    monkeypatch.setattr(prepare, "MAX_COLUMNS", 10)
+    with pytest.raises(ValueError, match="sparse=True"):
+        Preprocessor(keep=["id"]).fit(df)
+    monkeypatch.setattr(prepare, "MAX_VECTOR", 10)
+    with pytest.raises(ValueError, match="Ordinal"):
+        Preprocessor({"c": Categorical(MostFrequent(), OneHot(sparse=True))}, keep=["id"]).fit(df)
+    assert Preprocessor({"c": Categorical(MostFrequent(), Ordinal())}, keep=["id"]).fit(df).feature_names == ["c"]
+
+
+def test_imputers_of_several_columns_in_the_routing(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=300)
+    x = np.stack([base, 2 * base + 0.1 * rng.normal(size=300), rng.normal(size=300)], axis=1)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r], "k") for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, t string")
+    rounds = iterative.IterativeImputer(max_iter=3)
+    spec = {"a": Numeric(rounds, NoScale()), "b": Numeric(rounds, StandardScale()), "c": Numeric(neighbors.KNNImputer(4), NoScale())}
+    out = Preprocessor(spec, key="id").fit(df).transform(df)
+    want = iterative.IterativeImputer(max_iter=3).fit_transform(df, ["a", "b"]).toPandas().sort_values("id")
+    got = out.toPandas().sort_values("id")
+    assert np.allclose(got["a"], want["a"]) and np.allclose(got["b"], (want["b"] - want["b"].mean()) / want["b"].std(ddof=0))
+    # A column that is imputed alone has nothing to find neighbours by: its mean.
+    assert np.allclose(got["c"], np.where(np.isnan(x[:, 2]), np.nanmean(x[:, 2]), x[:, 2]))
+    with pytest.raises(ValueError, match="key"):
+        Preprocessor({"a": Numeric(neighbors.KNNImputer(2))}, keep=["id"]).fit(df)
+
+
 def test_numbers_and_booleans_that_pass_through_are_features(spark):
     df = spark.createDataFrame([(1, 2, True, 1.0, None)], "id long, n int, b boolean, x double, d date")
     fitted = Preprocessor(keep=["id"]).fit(df)
@@ -317,3 +362,32 @@ def test_iterative_imputer_equals_array_arithmetic(spark):
     again = iterative.IterativeImputer(max_iter=2).fit(df, ["a", "b", "c"]).transform(df)
     replay = np.array([[r["a"], r["b"], r["c"]] for r in again.orderBy("id").collect()])
     assert np.allclose(replay, rounds_by_hand(x, 2), atol=1e-6)
+
+
+def test_iterative_imputer_by_scans_gives_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(120, 4)) @ rng.normal(size=(4, 4))
+    x[rng.random(x.shape) < 0.25] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double").repartition(3)
+    by_patterns = iterative.IterativeImputer(max_iter=2).fit(df, list("abcd"))
+    monkeypatch.setattr(iterative, "MAX_PATTERNS", 3)
+    by_scans = iterative.IterativeImputer(max_iter=2).fit(df, list("abcd"))
+    for own, other in zip(by_patterns.rounds, by_scans.rounds):
+        for (i, w, c), (j, v, d) in zip(own, other):
+            assert i == j and np.allclose(w, v, atol=1e-8) and np.isclose(c, d, atol=1e-8)
+    assert np.allclose(np.array([r["x"] for r in by_scans.transform(df).orderBy("id").select(F.array(*"abcd").alias("x")).collect()]),
+                       rounds_by_hand(x, 2), atol=1e-6)
+
+
+def test_iterative_imputer_takes_three_jobs(spark):
+    df = spark.range(200).select(F.col("id"), *[F.when(F.col("id") % p != 0, F.sqrt(F.col("id") + p)).alias(f"c{p}") for p in (2, 3, 5, 7)])
+    spark.sparkContext.setJobGroup("fit", "fit")
+    fitted = iterative.IterativeImputer().fit(df, ["c2", "c3", "c5", "c7"])
+    stages = spark.sparkContext.statusTracker().getJobIdsForGroup("fit")
+    spark.sparkContext.setJobGroup("transform", "transform")
+    fitted.transform(df).collect()
+    assert len(fitted.rounds) > 0 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("transform")) <= 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Three actions; adaptive execution runs each exchange of an action as a job of its own.
+    assert len(stages) <= 8

@@ -126,3 +126,28 @@ def test_no_identifier_column(pairs):
 def test_rename_is_neither_dropped_nor_added():
     assert compare.column_changes(["Length of Stay", "Gone", "same"], ["length_of_stay", "same", "new"]) == (
         ["Gone"], ["new"], [("Length of Stay", "length_of_stay")])
+
+
+def test_correlations_and_nullity_of_two_hundred_columns(spark):
+    """Against numpy, with gaps, a constant column and large offsets; the plan does not grow with the pairs."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(150, 200)) + rng.normal(size=(150, 1)) + 1e6
+    x[:, 7] = 3.5
+    x[rng.random(x.shape) < 0.1] = np.nan
+    names = [f"c{i}" for i in range(200)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in bivariate.correlation_matrix(df, names).collect()}
+    gaps = {(r["column_a"], r["column_b"]): r["r"] for r in profile.nullity_correlation(df).collect()}
+    assert len(got) == 200 * 200
+    for i, j in [(0, 1), (3, 199), (50, 51), (120, 4)]:
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert got[f"c{i}", f"c{j}"] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+        i, j = min(i, j), max(i, j)
+        assert gaps[f"c{i}", f"c{j}"] == pytest.approx(np.corrcoef(np.isnan(x[:, i]), np.isnan(x[:, j]))[0, 1], abs=1e-12)
+    assert got["c7", "c7"] == 1.0 and got["c7", "c8"] is None
+
+
+def test_correlations_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert {r["r"] for r in bivariate.correlation_matrix(df, ["a", "b"]).collect()} == {None, 1.0}
+    assert profile.nullity_correlation(df).count() == 0
