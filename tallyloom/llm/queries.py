@@ -99,19 +99,28 @@ s AS (
   FROM u),
 found AS (SELECT doc_id, kind, hit, a, a + length(hit) AS z FROM s WHERE kind > 0 OR length(regexp_extract(hit, pattern, 2)) >= 6),
 base AS (SELECT doc_id, kind, a, z FROM found WHERE kind < 3),
+seg AS (
+  SELECT doc_id, a, z, hit, regexp_extract_all(hit, '[A-Za-z0-9+/_-]+=*') AS parts, length(regexp_extract(hit, '^=*')) AS lead FROM found WHERE kind = 3),
+part AS (SELECT *, unnest(range(1, len(parts) + 1)) AS j FROM seg WHERE len(parts) > 0),
+cut AS (
+  SELECT doc_id, a + lead + CAST(coalesce(list_sum(list_transform(parts[1:j - 1], lambda x: length(x))), 0) AS BIGINT) AS a,
+         CASE WHEN j < len(parts) THEN rtrim(parts[j], '=') ELSE parts[j] END AS hit FROM part),
+whole AS (SELECT doc_id, a, a + length(hit) AS z, hit FROM cut WHERE length(hit) >= 16),
 runs AS (
   SELECT f.doc_id, f.a, f.z, f.hit, CASE
     WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-fA-F]') THEN 'hex'
     WHEN regexp_matches(hit, '^[A-Z2-7]+=*$') AND regexp_matches(hit, '[2-7]') AND regexp_matches(hit, '[A-Z]') THEN 'base32'
     WHEN regexp_matches(hit, '^([0-9a-z]+|[0-9A-Z]+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-zA-Z]') THEN 'base36'
     WHEN regexp_matches(hit, '^[A-Za-z0-9+/_-]+=*$') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]')
-         AND (regexp_matches(hit, '[0-9]') OR regexp_matches(hit, '[a-z][A-Z]')) THEN 'base64' END AS encoding
-  FROM found f WHERE kind = 3
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = f.doc_id AND b.a < f.z AND f.a < b.z)),
+         AND (regexp_matches(hit, '[0-9]') OR regexp_matches(hit, '[a-z][A-Z]')) THEN 'base64'
+    WHEN regexp_matches(hit, '^([0-9a-f]+(-[0-9a-f]+)+|[0-9A-F]+(-[0-9A-F]+)+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-fA-F]') THEN 'hex_groups'
+    WHEN regexp_matches(hit, '^([0-9a-z]+(-[0-9a-z]+)+|[0-9A-Z]+(-[0-9A-Z]+)+)$') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[a-zA-Z]') THEN 'base36_groups'
+    END AS encoding
+  FROM whole f WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = f.doc_id AND b.a < f.z AND f.a < b.z)),
 cand AS (
-  SELECT doc_id, a, z, encoding, CASE encoding WHEN 'hex' THEN '0123456789abcdef' WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
-    WHEN 'base36' THEN '0123456789abcdefghijklmnopqrstuvwxyz' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS alphabet,
-    rtrim(translate(CASE WHEN encoding IN ('hex', 'base36') THEN lower(hit) ELSE hit END, '-_=', '+/ ')) AS token,
+  SELECT doc_id, a, z, encoding, CASE WHEN encoding LIKE 'hex%' THEN '0123456789abcdef' WHEN encoding = 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+    WHEN encoding LIKE 'base36%' THEN '0123456789abcdefghijklmnopqrstuvwxyz' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS alphabet,
+    CASE WHEN encoding LIKE 'hex%' OR encoding LIKE 'base36%' THEN lower(replace(hit, '-', '')) ELSE rtrim(translate(hit, '-_=', '+/ ')) END AS token,
     CASE WHEN z - a >= 96 THEN 4 WHEN z - a >= 48 THEN 3 WHEN z - a >= 32 THEN 2 WHEN z - a >= 24 THEN 1 ELSE 0 END AS band
   FROM runs WHERE encoding IS NOT NULL),
 c AS (SELECT *, CAST(length(alphabet) AS DOUBLE) AS k, CAST(length(token) AS DOUBLE) AS n FROM cand),

@@ -17,6 +17,7 @@ Everything is SQL functions: texts are read once, and only spans are kept.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +44,11 @@ ENCODINGS = {
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
                r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9]|.*[a-z][A-Z])[A-Za-z0-9+/_-]+=*$"),
     # groups joined by '-', as in a UUID, are classes of their own: words joined by '-' must not spoil the cuts of others
-    "hex_groups": ("0123456789abcdef", r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+(-[0-9a-f]+)+|[0-9A-F]+(-[0-9A-F]+)+)$"),
-    "base36_groups": ("0123456789abcdefghijklmnopqrstuvwxyz", r"^(?=.*[0-9])(?=.*[a-zA-Z])([0-9a-z]+(-[0-9a-z]+)+|[0-9A-Z]+(-[0-9A-Z]+)+)$"),
+    # (no repeated group in the pattern: Java's matcher would recurse once for each of a long string's groups)
+    "hex_groups": ("0123456789abcdef",
+                   r"^(?=.*[0-9])(?=.*[a-fA-F])(?=.*-)(?!.*--)([0-9a-f][0-9a-f-]*[0-9a-f]|[0-9A-F][0-9A-F-]*[0-9A-F])$"),
+    "base36_groups": ("0123456789abcdefghijklmnopqrstuvwxyz",
+                      r"^(?=.*[0-9])(?=.*[a-zA-Z])(?=.*-)(?!.*--)([0-9a-z][0-9a-z-]*[0-9a-z]|[0-9A-Z][0-9A-Z-]*[0-9A-Z])$"),
 }
 #: Lengths at which a new class begins.
 BANDS = [16, 24, 32, 48, 96]
@@ -87,35 +91,55 @@ def encoding(token: Column) -> Column:
     return name
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _p_value(token: Column, alphabet: str, fold: bool) -> Column:
-    """Of the hypothesis that the token's characters are drawn evenly and independently."""
-    k = len(alphabet)
+    """Of the hypothesis that the token's characters are drawn evenly and independently. One pass over the characters for
+    the runs and the correlation, and one for each letter of the alphabet."""
     token = F.translate(token, "-", "") if fold else F.rtrim(F.translate(token, "-_=", "+/ "))
     if fold:
         token = F.lower(token) if alphabet.islower() else F.upper(token)
-    chars = F.split(token, "")
-    size = F.size(chars).cast("double")
+    return _bound(token, lambda t: _bound(_moments(t, alphabet), lambda m: _least_p(m, len(alphabet))))
+
+
+def _moments(token: Column, alphabet: str) -> Column:
+    """Sums over the characters' places x in the alphabet: rows, x, x², neighbours' products, ends, upper half, turns."""
+    half = len(alphabet) / 2
+    zero = F.lit(0.0)
+    names = ("n", "x", "xx", "xy", "first", "last", "ones", "turns")
+
+    def add(m: Column, x: Column) -> Column:
+        after = m["n"] > 0
+        turned = after & ((x > half) != (m["last"] > half))
+        values = (
+            m["n"] + 1, m["x"] + x, m["xx"] + x * x, m["xy"] + x * m["last"], F.when(after, m["first"]).otherwise(x), x,
+            m["ones"] + F.when(x > half, 1.0).otherwise(0.0), m["turns"] + F.when(turned, 1.0).otherwise(0.0))
+        return F.struct(*[v.alias(n) for v, n in zip(values, names)])
+
+    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double"))
+    sums = F.aggregate(places, F.struct(*[zero.alias(n) for n in names]), add)
     squares = F.aggregate(
-        F.transform(F.array_distinct(chars), lambda c: size - F.char_length(F.replace(token, c, F.lit("")))),
-        F.lit(0.0), lambda s, n: s + n * n)
-    chi, free = k / size * squares - size, k - 1
-    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / free) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+        F.array(*[F.lit(c) for c in alphabet]), zero,
+        lambda s, c: s + F.pow((F.char_length(token) - F.char_length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0)))
+    return F.struct(sums.alias("m"), squares.alias("squares"))
 
-    places = F.transform(chars, lambda c: F.instr(F.lit(alphabet), c).cast("double"))
-    upper = F.transform(places, lambda x: (x > k / 2).cast("double"))
-    ones = F.aggregate(upper, F.lit(0.0), lambda s, x: s + x)
-    turns = F.aggregate(F.sequence(F.lit(1), F.size(chars) - 1), F.lit(0.0), lambda s, i: s + F.abs(upper[i] - upper[i - 1]))
-    expected = 2 * ones * (size - ones) / size
-    spread = F.sqrt(F.greatest(expected * (expected - 1) / (size - 1), F.lit(1e-9)))
-    z_runs = F.abs(turns - expected) / spread
 
-    mean = F.aggregate(places, F.lit(0.0), lambda s, x: s + x) / size
-    around = F.transform(places, lambda x: x - mean)
-    square = F.aggregate(around, F.lit(0.0), lambda s, x: s + x * x)
-    product = F.aggregate(F.sequence(F.lit(1), F.size(chars) - 1), F.lit(0.0), lambda s, i: s + around[i] * around[i - 1])
+def _least_p(moments: Column, k: int) -> Column:
+    m, squares = moments["m"], moments["squares"]
+    size, free = m["n"], k - 1
+    chi = k / size * squares - size
+    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / free) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    expected = 2 * m["ones"] * (size - m["ones"]) / size
+    spread = F.sqrt(F.greatest(expected * (expected - 1) / (size - 1), F.lit(1e-9)))
+    z_runs = F.abs(m["turns"] - expected) / spread
+    mean = m["x"] / size
+    square = m["xx"] - size * mean * mean
+    product = m["xy"] - mean * (2 * m["x"] - m["first"] - m["last"]) + (size - 1) * mean * mean
     z_serial = F.abs(product / F.greatest(square, F.lit(1e-9))) * F.sqrt(size)
-    least = F.least(_tail(z_chi), 2 * _tail(z_runs), 2 * _tail(z_serial))
-    return F.least(F.lit(1.0), 3 * least)
+    return F.least(F.lit(1.0), 3 * F.least(_tail(z_chi), 2 * _tail(z_runs), 2 * _tail(z_serial)))
 
 
 def battery(token: Column, name: Column) -> Column:

@@ -104,3 +104,45 @@ def test_runs_with_padding_like_python(spark):
             if end - m.start() >= 16:
                 own.append((m.start(), end))
         assert got[d] == own, t
+
+
+def test_long_candidates_take_time_in_proportion(spark):
+    """A base64 run of a megabyte, and 20,000 groups joined by '-', which broke the matcher and took days before."""
+    import time
+
+    random.seed(14)
+    blob = base64.b64encode(random.randbytes(750_000)).decode()
+    groups = "-".join("".join(random.choice("0123456789abcdef") for _ in range(4)) for _ in range(20_000))
+    keys = [base64.b64encode(random.randbytes(90)).decode() for _ in range(60)]
+    uuids = ["-".join("".join(random.choice("0123456789abcdef") for _ in range(24)) for _ in range(5)) for _ in range(60)]
+    rows = [(1, f"image {blob} end"), (2, f"id {groups} end")] + [(10 + i, f"k {k} u {u}") for i, (k, u) in enumerate(zip(keys, uuids))]
+    started = time.time()
+    got = scanned(spark, rows)
+    assert time.time() - started < 60
+    assert got[1] == f"random:6:{6 + len(blob)}" and got[2] == f"random:3:{3 + len(groups)}"
+
+
+def test_the_query_and_its_sql_on_real_configuration(spark, tmp_path):
+    """Values after names, padding, UUIDs and words in groups: runs that the given tables do not hold."""
+    from tallyloom.llm.queries import ORACLES, QUERIES
+    from tests.oracle import canonical, difference
+
+    import duckdb
+
+    random.seed(15)
+    texts = []
+    for i in range(400):
+        value = base64.b64encode(random.randbytes(24 + i % 20)).decode()
+        uuid = "-".join("".join(random.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12))
+        texts.append(random.choice([
+            f"AccountKey={value};Endpoint=x", f"?sig={value}&se=2024", f"id={uuid}", f"a=b={value}", "==" + value, f"{value}=", f"word-for-word-in-groups-{i}x",
+            f"password={value}", f"x=short=== {uuid.upper()}", "KEY=ABCD2345EFGH6723IJKL==", "https://a.b/some/long/path/without/secrets"]))
+    df = spark.createDataFrame(list(enumerate(texts)) + [(900, None), (901, "")], "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = con.execute(ORACLES["op1_secret_scan"])
+    wanted = canonical([d[0] for d in result.description], result.fetchall())
+    frame = QUERIES["op1_secret_scan"](spark, str(tmp_path))
+    assert difference(canonical(frame.columns, [tuple(r) for r in frame.collect()]), wanted) is None
+    assert sum("random" in r[-1][1] for r in wanted[1]) > 150
