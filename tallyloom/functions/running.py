@@ -1,13 +1,14 @@
 """Running totals over a whole column without putting the column into one task.
 
 The input holds one row per (group, value), so ties are collapsed before any
-shuffle.  Boundaries from a quantile sketch cut the value range into buckets of
-bounded size; each bucket is summed on its own and the few bucket totals are
+shuffle.  Boundaries from a quantile sketch cut the value range into as many buckets as
+keep each at about `BUCKET_ROWS` rows; each bucket is summed on its own and the few bucket totals are
 carried over.  A group that holds most of the rows is spread over all buckets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -16,33 +17,39 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.columns import col
 from tallyloom.functions.selection import TooManyGroups, exact_quantiles
+from tallyloom.session import checkpointed
 
+#: Rows of a bucket, and the most buckets there are.
+BUCKET_ROWS, MAX_BUCKETS = 50_000, 65_536
 
-def bucket_count(df: DataFrame) -> int:
-    wanted = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(max(wanted, 16), 1024)
 
+def bucket_count(rows: int) -> int:
+    """Buckets of about BUCKET_ROWS rows; beyond MAX_BUCKETS of them (3·10⁹ distinct values) they grow."""
+    return min(max(1, math.ceil(rows / BUCKET_ROWS)), MAX_BUCKETS)
 
-def with_bucket(df: DataFrame, value: str, sums: Sequence[str], buckets: int | None = None) -> DataFrame:
+
+def with_bucket(df: DataFrame, value: str, sums: Sequence[str], buckets: int) -> DataFrame:
     """Add `_bucket`, a number that grows with the value.
 
     The boundary query also reads the sums, so that its plan equals the plan of
-    the main branch and Spark reuses the shuffle instead of scanning twice.
+    the main branch and Spark reuses the shuffle instead of scanning twice.  A row
+    looks for its boundary among every root-th one and then between two of those.
     """
-    n = buckets or bucket_count(df)
-    probs = [i / n for i in range(1, n)]
+    if buckets == 1:
+        return df.withColumn("_bucket", F.lit(0))
+    probs = [i / buckets for i in range(1, buckets)]
     edges = df.agg(
         F.struct(
-            F.percentile_approx(col(value), probs, 20 * n).alias("at"),
+            F.array_distinct(F.percentile_approx(col(value), probs, 20 * buckets)).alias("at"),
             *[F.sum(col(s)).alias(f"t{i}") for i, s in enumerate(sums)],
         ).alias("edges")
-    ).scalar()
-    at = F.array_distinct(F.col("_edges")["at"])
-    return (
-        df.withColumn("_edges", edges)
-        .withColumn("_bucket", F.coalesce(F.size(F.filter(at, lambda e: e < col(value))), F.lit(0)))
-        .drop("_edges")
     )
+    root = max(1, math.isqrt(buckets))
+    every = F.filter(F.col("edges.at"), lambda e, i: i % root == root - 1)
+    edges = edges.select(F.struct(F.col("edges.at").alias("at"), every.alias("every")).alias("edges")).scalar()
+    below = F.size(F.filter(F.col("_edges")["every"], lambda e: e < col(value))) * root
+    within = F.size(F.filter(F.slice(F.col("_edges")["at"], below + 1, F.lit(root)), lambda e: e < col(value)))
+    return df.withColumn("_edges", edges).withColumn("_bucket", F.coalesce(below + within, F.lit(0))).drop("_edges")
 
 
 def running_totals(df: DataFrame, value: str, sums: Sequence[str], by: Sequence[str] = (), descending: bool = False,
@@ -50,8 +57,11 @@ def running_totals(df: DataFrame, value: str, sums: Sequence[str], by: Sequence[
     """Add `cum_<s>`, the inclusive running total in value order, for every s in `sums`.
 
     Each name in `following` also yields `next_<name>`, the value on the next row.
-    `df` must have one row per (by, value).
+    `df` must have one row per (by, value); it is written once, and its length decides on the buckets.
     """
+    if buckets is None:
+        df = checkpointed(df)
+        buckets = bucket_count(df.count())
     keys = [col(b) for b in by] or [F.lit(1)]
     order = [col(value).desc() if descending else col(value).asc()]
     ahead = F.col("_bucket").desc() if descending else F.col("_bucket").asc()

@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions.columns import col, number
-from tallyloom.functions.running import running_totals
+from tallyloom.functions.running import bucket_count, running_totals
 from tallyloom.functions.stats import divide, divide_or_zero
+from tallyloom.session import checkpointed
 
 # Fixed values of the threshold search.
 F1_GUARD = 1e-8
 DEFAULT_THRESHOLD = 0.5
-GRID_BUCKETS = 256
 
 
 def one_vs_rest(df: DataFrame, label: str, scores: Mapping[object, str], keep: Sequence[str] = ()) -> DataFrame:
@@ -155,14 +155,17 @@ def _curve_points(df: DataFrame, label: str, scores: Mapping[object, str], kind:
 
 
 def mean_curve(df: DataFrame, label: str, scores: Mapping[object, str], kind: str = "roc",
-               buckets: int = GRID_BUCKETS) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """(x, y): mean height of the class curves, interpolated linearly on all x of any class.
 
     The x of a curve are multiples of one over a class size, hence spread evenly: equal ranges of x
-    are the buckets.  Inside a bucket a window finds the neighbouring points, and the nearest points
+    are the buckets, as many as the number of points asks for.  Inside a bucket a window finds the neighbouring points, and the nearest points
     of other buckets come from one row per class and bucket.
     """
     points = _curve_points(df, label, scores, kind)
+    if buckets is None:
+        points = checkpointed(points)
+        buckets = bucket_count(points.count() * len(scores))
     bucket = F.least(F.floor(F.col("x") * buckets), F.lit(buckets - 1)).cast("int")
     every_class = F.array(*[F.lit(c) for c in scores])
     grid = points.select("x").distinct().select(F.explode(every_class).alias("class"), "x")
@@ -193,9 +196,13 @@ def mean_curve(df: DataFrame, label: str, scores: Mapping[object, str], kind: st
     return joined.groupBy("x").agg(F.avg(height).alias("y"))
 
 
-def curve_area(curve: DataFrame, x: str = "x", y: str = "y", buckets: int = GRID_BUCKETS) -> DataFrame:
+def curve_area(curve: DataFrame, x: str = "x", y: str = "y", buckets: int | None = None) -> DataFrame:
     """Area under (x, y) points with x in [0, 1] by trapezoids; the x are distinct and evenly spread."""
-    rows = curve.select(number(x).alias("x"), number(y).alias("y")).withColumn(
+    rows = curve.select(number(x).alias("x"), number(y).alias("y"))
+    if buckets is None:
+        rows = checkpointed(rows)
+        buckets = bucket_count(rows.count())
+    rows = rows.withColumn(
         "bucket", F.least(F.floor(F.col("x") * buckets), F.lit(buckets - 1)).cast("int"))
     point = F.struct("x", "y")
     inside = Window.partitionBy("bucket").orderBy("x")

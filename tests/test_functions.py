@@ -120,6 +120,31 @@ def test_running_totals(spark, descending, buckets):
     assert len(got) == 300
 
 
+@pytest.mark.parametrize("distinct", [1_000, 1_000_000])
+def test_the_largest_bucket_is_bounded(spark, distinct):
+    """Also where half of the values lie in a thousandth of their range."""
+    from tallyloom.functions import running
+
+    x = F.col("id").cast("double")
+    rows = spark.range(distinct).select(F.when(F.col("id") % 2 == 0, x).otherwise(x / 1000 + 0.25).alias("v"), F.lit(1).alias("s"))
+    cut = running.with_bucket(rows, "v", ["s"], running.bucket_count(distinct))
+    sizes = cut.groupBy("_bucket").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("_bucket").collect()
+    assert max(r["n"] for r in sizes) <= 1.5 * running.BUCKET_ROWS and sum(r["n"] for r in sizes) == distinct
+    assert all(a["high"] < b["low"] for a, b in zip(sizes, sizes[1:]))
+
+
+def test_many_buckets_grow_with_the_value(spark, monkeypatch):
+    from tallyloom.functions import running
+
+    monkeypatch.setattr(running, "BUCKET_ROWS", 7)
+    values = [float(v) for v in np.random.default_rng(1).permutation(2000)]
+    rows = spark.createDataFrame([(v, 1) for v in values], "v double, s long")
+    got = {r["v"]: r["cum_s"] for r in running_totals(rows, "v", ["s"]).collect()}
+    assert got == {v: int(v) + 1 for v in values}
+    cut = running.with_bucket(rows, "v", ["s"], running.bucket_count(2000))
+    assert cut.select("_bucket").distinct().count() > 200
+
+
 def test_average_ranks(spark):
     ranks = {r["v"]: r["avg_rank"] for r in average_ranks(_numbers(spark, [1, 1, 2, 5, 5, 5, None]), "v").collect()}
     assert ranks == {1.0: 1.5, 2.0: 3.0, 5.0: 5.0}
