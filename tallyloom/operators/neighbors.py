@@ -4,6 +4,10 @@ Equal points are one point with a few of its rows.  Distinct points are laid out
 from a bounded sample.  Each query first searches the cells around it, which bounds the distance of
 its neighbours, then only those other cells whose box lies within that bound.  A cell searched by
 many queries is searched by several tasks, each with a share of the queries.
+
+Points of a group that miss the same coordinates are a space. Only spaces of more than a cell have a tree, and there are
+few of those; the others are one cell each, numbered in a table, however many there are. The boxes of up to `MAX_BOXES` cells
+go to every task; those of more are a table too, whose blocks meet the queries of their group.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tallyloom.functions.cells import box_bounds, build_tree, distances, leaf_of
 from tallyloom.functions.columns import col, missing_names, number, require
+from tallyloom.functions.dictionary import coded, dictionary
 from tallyloom.session import checkpointed
 
 CELL_POINTS = 2048
@@ -25,7 +30,8 @@ MAX_CELLS = 8192
 SAMPLE_PER_CELL = 32
 QUERIES_PER_TASK = 4096
 BLOCK = 512
-MAX_SPACES = 4096
+MAX_BOXES = 50_000
+BLOCK_CELLS = 4096
 
 
 def point(features: Sequence[str]) -> Column:
@@ -38,144 +44,203 @@ def _pattern(vector: Column) -> Column:
     return F.array_join(F.transform(vector, lambda x: F.when(F.isnan(x), "0").otherwise("1")), "")
 
 
+def numbered(df: DataFrame, key: str, name: str = "_number") -> tuple[DataFrame, str]:
+    """The frame with a bigint for its key, and that column's name: the key itself if it is a whole number, else its rank."""
+    if isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return df, key
+    ranks = dictionary(df, {key: col(key)})
+    return coded(df, ranks, 0, col(key), name, F.lit(None).cast("double")).withColumn(name, F.col(name).cast("long")), name
+
+
 @dataclass
 class _Layout:
-    """Trees per (group, pattern), and the boxes of the cells that hold points."""
+    """Trees of the spaces that have one, how many cells those are, and all spaces with their first cell."""
 
     trees: dict[tuple[str, str], tuple[int, np.ndarray, np.ndarray]]
-    cells: np.ndarray | None = None
-    groups: np.ndarray | None = None
-    low: np.ndarray | None = None
-    high: np.ndarray | None = None
-    rows: np.ndarray | None = None
+    tree_cells: int
+    spaces: DataFrame
+    count: int
+
+    @property
+    def single(self) -> bool:
+        """One cell holds all points."""
+        return self.count == 1 and not self.trees
 
 
 def _plan_layout(points: DataFrame, cell_points: int) -> _Layout:
     """Cells per space in proportion to its points; trees from a hash sample of bounded size."""
-    spaces = points.groupBy("group", "pattern").agg(F.count(F.lit(1)).alias("n")).limit(MAX_SPACES + 1).collect()
-    if len(spaces) > MAX_SPACES:
-        raise ValueError(f"more than {MAX_SPACES} combinations of group and missing columns")
-    total = sum(s["n"] for s in spaces)
+    counted = points.groupBy("group", "pattern").agg(F.count(F.lit(1)).alias("n"))
+    counted = checkpointed(counted.withColumn("id", F.monotonically_increasing_id()))
+    whole = counted.agg(F.count(F.lit(1)).alias("spaces"), F.coalesce(F.sum("n"), F.lit(0)).alias("points")).first()
+    total = whole["points"]
     share = max(cell_points, math.ceil(total / MAX_CELLS))
-    depth = {(s["group"], s["pattern"]): max(0, math.ceil(math.log2(s["n"] / share))) for s in spaces}
+    large = counted.filter(F.col("n") > share).collect()  # fewer than MAX_CELLS
+    depth = {(s["group"], s["pattern"]): math.ceil(math.log2(s["n"] / share)) for s in large if "1" in s["pattern"]}
     cells = sum(2**d for d in depth.values())
     wanted = cells * SAMPLE_PER_CELL
     sampled: dict[tuple[str, str], list] = {}
-    if any(depth.values()):
+    if depth:
         span = 2**31
         edge = min(span, math.ceil(span * min(1.0, 1.5 * wanted / total)))
         picked = points.filter(F.pmod(F.xxhash64("vector"), F.lit(span)) < edge)
         for r in picked.select("group", "pattern", "vector").limit(2 * wanted).collect():
-            sampled.setdefault((r["group"], r["pattern"]), []).append(r["vector"])
+            if (r["group"], r["pattern"]) in depth:
+                sampled.setdefault((r["group"], r["pattern"]), []).append(r["vector"])
     trees, first = {}, 0
     for space, d in depth.items():
         present = [i for i, flag in enumerate(space[1]) if flag == "1"]
         rows = np.array(sampled.get(space, []), dtype=float).reshape(-1, len(space[1]))
-        if not present or len(rows) < 2:
-            d = 0
-        dims, cuts = build_tree(rows[:, present], d) if d else (np.zeros(0, dtype=np.int64), np.zeros(0))
-        trees[space] = (first, np.array(present, dtype=np.int64)[dims] if d else dims, cuts)
+        if len(rows) < 2:
+            continue
+        dims, cuts = build_tree(rows[:, present], d)
+        trees[space] = (first, np.array(present, dtype=np.int64)[dims], cuts)
         first += 2**d
-    return _Layout(trees)
-
-
-def _shared_boxes(df: DataFrame, layout: _Layout):
-    """Box arrays for the tasks, as plain arrays: a broadcast is unpickled before any code arrives."""
-    return df.sparkSession.sparkContext.broadcast((layout.cells, layout.groups, layout.rows, layout.low, layout.high))
+    return _Layout(trees, first, counted, whole["spaces"])
 
 
 def _with_cell(points: DataFrame, layout: _Layout) -> DataFrame:
-    if len(layout.trees) == 1 and all(len(dims) == 0 for _, dims, _ in layout.trees.values()):
-        return points.withColumn("cell", F.lit(0))
+    """Cells of trees are numbered first, then the spaces without one."""
+    if layout.single:
+        return points.withColumn("cell", F.lit(0).cast("long"))
+    own = layout.spaces.select("group", "pattern", (F.col("id") + layout.tree_cells).alias("cell"))
+    placed = points.join(own, ["group", "pattern"])
+    if not layout.trees:
+        return placed
     trees = points.sparkSession.sparkContext.broadcast(layout.trees)
 
-    @F.pandas_udf("int")
-    def place(vector: pd.Series, group: pd.Series, pattern: pd.Series) -> pd.Series:
-        out = np.zeros(len(vector), dtype=np.int32)
+    @F.pandas_udf("long")
+    def leaf(vector: pd.Series, group: pd.Series, pattern: pd.Series, cell: pd.Series) -> pd.Series:
+        out = cell.to_numpy().copy()
         rows = np.array(vector.tolist(), dtype=float)
         for space, at in pd.DataFrame({"g": group, "p": pattern}).groupby(["g", "p"]).indices.items():
-            first, dims, cuts = trees.value[tuple(space)]
-            out[at] = first + leaf_of(rows[at], dims, cuts)
+            if tuple(space) in trees.value:
+                first, dims, cuts = trees.value[tuple(space)]
+                out[at] = first + leaf_of(rows[at], dims, cuts)
         return pd.Series(out)
 
-    return points.withColumn("cell", place("vector", "group", "pattern"))
+    return placed.withColumn("cell", leaf("vector", "group", "pattern", "cell"))
 
 
-def _read_boxes(placed: DataFrame, layout: _Layout, width: int) -> None:
-    ends = [
-        e for i in range(width)
-        for e in (F.min(F.col("vector")[i]).alias(f"l{i}"), F.max(F.col("vector")[i]).alias(f"h{i}"))
-    ]
-    found = placed.groupBy("group", "cell").agg(F.sum(F.size("members")).alias("rows"), *ends).collect()
-    layout.cells = np.array([r["cell"] for r in found], dtype=np.int64)
-    layout.groups = np.array([r["group"] for r in found], dtype=object)
-    layout.rows = np.array([r["rows"] for r in found], dtype=np.int64)
-    layout.low = np.array([[r[f"l{i}"] for i in range(width)] for r in found], dtype=float).reshape(-1, width)
-    layout.high = np.array([[r[f"h{i}"] for i in range(width)] for r in found], dtype=float).reshape(-1, width)
+@dataclass
+class _Boxes:
+    """The cells that hold points: rows and box of each, as a table, and as arrays unless there are very many."""
+
+    table: DataFrame
+    arrays: object | None
+    blocks: DataFrame | None
+
+
+def _read_boxes(placed: DataFrame, width: int) -> _Boxes:
+    low = F.array(*[F.min(F.col("vector")[i]) for i in range(width)]).alias("low")
+    high = F.array(*[F.max(F.col("vector")[i]) for i in range(width)]).alias("high")
+    boxes = checkpointed(placed.groupBy("group", "cell").agg(F.sum(F.size("members")).alias("rows"), low, high))
+    if boxes.count() > MAX_BOXES:
+        blocks = boxes.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CELLS).cast("int").alias("blocks"))
+        return _Boxes(boxes, None, blocks)
+    found = boxes.collect()
+    arrays = (
+        np.array([r["cell"] for r in found], dtype=np.int64), np.array([r["group"] for r in found], dtype=object),
+        np.array([r["rows"] for r in found], dtype=np.int64), np.array([r["low"] for r in found], dtype=float).reshape(-1, width),
+        np.array([r["high"] for r in found], dtype=float).reshape(-1, width))
+    # plain arrays: a broadcast is unpickled before any code arrives
+    return _Boxes(boxes, placed.sparkSession.sparkContext.broadcast(arrays), None)
+
+
+def _nearest_cells(part: pd.DataFrame, cells, rows, low, high, wanted: int):
+    """The nearest cells of each query that together hold enough rows."""
+    vectors = np.array(part["vector"].tolist(), dtype=float)
+    for start in range(0, len(part), BLOCK):
+        bounds = box_bounds(vectors[start:start + BLOCK], low, high)
+        order = np.argsort(bounds, axis=1, kind="stable")
+        near = np.take_along_axis(bounds, order, 1)
+        held = np.cumsum(np.where(np.isinf(near), 0, rows[order]), axis=1)
+        needed = np.minimum((held < wanted).sum(axis=1) + 1, len(cells))
+        takes = (np.arange(len(cells))[None, :] < needed[:, None]) & ~np.isinf(near)
+        at, place = np.nonzero(takes)
+        ids = part["qid"].to_numpy()[start:start + BLOCK]
+        picked = order[at, place]
+        yield pd.DataFrame({
+            "qid": ids[at], "cell": cells[picked], "reach": np.full(len(at), np.inf),
+            "vector": [vectors[start + i] for i in at], "bound": near[at, place], "rows": rows[picked]})
+
+
+def _cells_in_reach(part: pd.DataFrame, cells, rows, low, high, wanted: int):
+    """Cells not searched yet whose box comes within reach of the query."""
+    vectors = np.array(part["vector"].tolist(), dtype=float)
+    reach, ids, done = part["reach"].to_numpy(), part["qid"].to_numpy(), part["done"].to_list()
+    for start in range(0, len(part), BLOCK):
+        bounds = box_bounds(vectors[start:start + BLOCK], low, high)
+        # the bound and the distance round differently: leave room for the last digits
+        within = (bounds * (1 - 1e-9) <= reach[start:start + BLOCK, None]) & ~np.isinf(bounds)
+        for i, tried in enumerate(done[start:start + BLOCK]):
+            within[i] &= ~np.isin(cells, tried)
+        at, place = np.nonzero(within)
+        yield pd.DataFrame({
+            "qid": ids[start:start + BLOCK][at], "cell": cells[place], "reach": reach[start:start + BLOCK][at],
+            "vector": [vectors[start + i] for i in at], "bound": bounds[at, place], "rows": rows[place]})
+
+
+_PROBE = "qid long, cell long, reach double, vector array<double>, bound double, rows long"
+
+
+def _probes(queries: DataFrame, boxes: _Boxes, pick, wanted: int) -> DataFrame:
+    """The cells that `pick` chooses for each query."""
+    if boxes.arrays is not None:
+        shared = boxes.arrays
+
+        def search(batches):
+            cells, groups, rows, low, high = shared.value
+            for batch in batches:
+                for group, part in batch.groupby("group", sort=False):
+                    mine = np.flatnonzero(groups == group)
+                    if len(mine):
+                        yield from pick(part, cells[mine], rows[mine], low[mine], high[mine], wanted)
+
+        return queries.mapInPandas(search, _PROBE)
+
+    # Each block of a group's cells meets the group's queries, in shares of QUERIES_PER_TASK.
+    shares = queries.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("shares"))
+    sizes = boxes.blocks.join(shares, "group")
+    asked = queries.join(sizes, "group").withColumns({
+        "share": F.pmod(F.xxhash64("qid"), F.col("shares")).cast("int"),
+        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    held = boxes.table.join(sizes, "group").withColumns({
+        "block": F.pmod(F.xxhash64("cell"), F.col("blocks")).cast("int"),
+        "share": F.explode(F.sequence(F.lit(0), F.col("shares") - 1))})
+
+    def meet(part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({c: [] for c in ("qid", "cell", "reach", "vector", "bound", "rows")})
+        if not len(part) or not len(own):
+            return empty
+        ends = [np.array(own[c].tolist(), dtype=float).reshape(len(own), -1) for c in ("low", "high")]
+        return pd.concat([empty, *pick(part, own["cell"].to_numpy(), own["rows"].to_numpy(), *ends, wanted)])
 
+    keys = ["group", "block", "share"]
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(meet, _PROBE)
 
-def _first_cells(queries: DataFrame, layout: _Layout, wanted: int) -> DataFrame:
-    """The nearest cells of each query that together hold enough rows."""
-    shared = _shared_boxes(queries, layout)
-
-    def search(batches):
-        all_cells, groups, rows, low, high = shared.value
-        for batch in batches:
-            for group, part in batch.groupby("group", sort=False):
-                mine = np.flatnonzero(groups == group)
-                vectors = np.array(part["vector"].tolist(), dtype=float)
-                for start in range(0, len(part), BLOCK):
-                    bounds = box_bounds(vectors[start:start + BLOCK], low[mine], high[mine])
-                    order = np.argsort(bounds, axis=1, kind="stable")
-                    held = np.cumsum(np.where(np.isinf(np.take_along_axis(bounds, order, 1)), 0, rows[mine][order]), axis=1)
-                    needed = np.minimum((held < wanted).sum(axis=1) + 1, len(mine))
-                    near = np.take_along_axis(bounds, order, 1)
-                    takes = (np.arange(len(mine))[None, :] < needed[:, None]) & ~np.isinf(near)
-                    at, place = np.nonzero(takes)
-                    ids = part["qid"].to_numpy()[start:start + BLOCK]
-                    yield pd.DataFrame({
-                        "qid": ids[at], "cell": all_cells[mine][order[at, place]], "reach": np.full(len(at), np.inf),
-                        "vector": [vectors[start + i] for i in at],
-                    })
-
-    return queries.select("qid", "group", "vector").mapInPandas(search, "qid long, cell int, reach double, vector array<double>")
-
-
-def _other_cells(queries: DataFrame, layout: _Layout) -> DataFrame:
+
+def _first_cells(queries: DataFrame, boxes: _Boxes, wanted: int) -> DataFrame:
+    """The nearest cells of each query that together hold enough rows; of several blocks, the nearest of all."""
+    found = _probes(queries.select("qid", "group", "vector"), boxes, _nearest_cells, wanted)
+    if boxes.arrays is None:
+        ahead = Window.partitionBy("qid").orderBy("bound", "cell").rowsBetween(Window.unboundedPreceding, -1)
+        found = found.withColumn("_ahead", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).filter(F.col("_ahead") < wanted)
+    return found.select("qid", "cell", "reach", "vector")
+
+
+def _other_cells(queries: DataFrame, boxes: _Boxes, wanted: int) -> DataFrame:
     """Cells not searched yet whose box comes within reach of the query."""
-    shared = _shared_boxes(queries, layout)
-
-    def search(batches):
-        all_cells, groups, rows, low, high = shared.value
-        for batch in batches:
-            for group, part in batch.groupby("group", sort=False):
-                mine = np.flatnonzero(groups == group)
-                vectors = np.array(part["vector"].tolist(), dtype=float)
-                reach, ids, done = part["reach"].to_numpy(), part["qid"].to_numpy(), part["done"].to_list()
-                for start in range(0, len(part), BLOCK):
-                    bounds = box_bounds(vectors[start:start + BLOCK], low[mine], high[mine])
-                    # the bound and the distance round differently: leave room for the last digits
-                    within = (bounds * (1 - 1e-9) <= reach[start:start + BLOCK, None]) & ~np.isinf(bounds)
-                    for i, cells in enumerate(done[start:start + BLOCK]):
-                        within[i] &= ~np.isin(all_cells[mine], cells)
-                    at, place = np.nonzero(within)
-                    yield pd.DataFrame({
-                        "qid": ids[start:start + BLOCK][at], "cell": all_cells[mine][place],
-                        "reach": reach[start:start + BLOCK][at], "vector": [vectors[start + i] for i in at],
-                    })
-
-    return queries.select("qid", "group", "vector", "reach", "done").mapInPandas(
-        search, "qid long, cell int, reach double, vector array<double>")
+    asked = queries.select("qid", "group", "vector", "reach", "done")
+    return _probes(asked, boxes, _cells_in_reach, wanted).select("qid", "cell", "reach", "vector")
 
 
 def _search(probes: DataFrame, placed: DataFrame, wanted: int, payload_type: T.DataType) -> DataFrame:
     """Nearest rows of each probed cell: (qid, cell, distance, key, payload), at most `wanted` per probe."""
     loads = probes.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("shares"))
-    loads = F.broadcast(loads)  # at most MAX_CELLS rows
     left = probes.join(loads, "cell").withColumn("share", F.pmod(F.xxhash64("qid"), F.col("shares")).cast("int"))
     right = placed.join(loads, "cell").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
     out = T.StructType([
-        T.StructField("qid", T.LongType()), T.StructField("cell", T.IntegerType()), T.StructField("distance", T.DoubleType()),
+        T.StructField("qid", T.LongType()), T.StructField("cell", T.LongType()), T.StructField("distance", T.DoubleType()),
         T.StructField("key", T.LongType()), T.StructField("payload", payload_type),
     ])
 
@@ -206,7 +271,7 @@ def _search(probes: DataFrame, placed: DataFrame, wanted: int, payload_type: T.D
                 found_m.append(best)
         chosen = np.concatenate(found_m).astype(np.int64)
         return pd.DataFrame({
-            "qid": np.concatenate(found_q).astype(np.int64), "cell": np.full(len(chosen), key[0], dtype=np.int32),
+            "qid": np.concatenate(found_q).astype(np.int64), "cell": np.full(len(chosen), key[0], dtype=np.int64),
             "distance": np.concatenate(found_d), "key": keys[chosen], "payload": [payloads[m] for m in chosen],
         })
 
@@ -222,7 +287,7 @@ def nearest_rows(queries: DataFrame, candidates: DataFrame, features: Sequence[s
 
     `neighbours` is sorted by distance, then key, and holds structs (distance, key, payload).  One
     row more than k lets a caller leave out the query row itself.  `key` must be a bigint that
-    identifies a candidate.
+    identifies a candidate; `numbered` gives one for a key of another type.
     """
     wanted = k + 1
     tag = col(group).cast("string") if group else F.lit("")
@@ -234,23 +299,19 @@ def nearest_rows(queries: DataFrame, candidates: DataFrame, features: Sequence[s
     points = ranked.groupBy("group", "vector").agg(F.sort_array(F.collect_list(F.struct("key", "payload"))).alias("members"))
     points = checkpointed(points.withColumn("pattern", _pattern(F.col("vector"))))
     layout = _plan_layout(points, cell_points)
-    several = sum(2 ** int(math.log2(len(d) + 1)) for _, d, _ in layout.trees.values()) > 1
+    several = not layout.single
     placed = checkpointed(_with_cell(points, layout)) if several else _with_cell(points, layout)
 
     asked = queries.select(tag.alias("group"), point(features).alias("vector")).distinct()
     asked = checkpointed(asked.withColumn("qid", F.monotonically_increasing_id()))
     best = F.slice(F.sort_array(F.collect_list(F.struct("distance", "key", "payload"))), 1, wanted).alias("neighbours")
-    if not layout.trees:
+    if not layout.count:
         none = F.array().cast(T.ArrayType(T.StructType([
             T.StructField("distance", T.DoubleType()), T.StructField("key", T.LongType()), T.StructField("payload", payload_type)])))
         return asked.select("group", "vector", none.alias("neighbours"))
-    _read_boxes(placed, layout, len(features))
-    if several or len(layout.trees) > 1:
-        probes = _first_cells(asked, layout, wanted)
-    else:
-        probes = asked.select("qid", F.lit(0).alias("cell"), F.lit(float("inf")).alias("reach"), "vector")
     if several:
-        probes = checkpointed(probes)
+        boxes = _read_boxes(placed, len(features))
+        probes = checkpointed(_first_cells(asked, boxes, wanted))
         first = checkpointed(_search(probes, placed, wanted, payload_type))
         tried = probes.groupBy("qid").agg(F.collect_list("cell").alias("done"))
         reached = first.groupBy("qid").agg(best).select(
@@ -258,9 +319,10 @@ def nearest_rows(queries: DataFrame, candidates: DataFrame, features: Sequence[s
             F.when(F.size("neighbours") >= wanted, F.element_at("neighbours", -1)["distance"]).alias("reach"))
         second = asked.join(tried, "qid").join(reached, F.col("qid") == F.col("_q"), "left").withColumn(
             "reach", F.coalesce("reach", F.lit(float("inf"))))
-        more = checkpointed(_other_cells(second, layout))
+        more = checkpointed(_other_cells(second, boxes, wanted))
         found = first.unionByName(_search(more, placed, wanted, payload_type))
     else:
+        probes = asked.select("qid", F.lit(0).cast("long").alias("cell"), F.lit(float("inf")).alias("reach"), "vector")
         found = _search(probes, placed, wanted, payload_type)
     merged = found.groupBy("qid").agg(best).withColumnRenamed("qid", "_q")
     return asked.join(merged, F.col("qid") == F.col("_q"), "left").select(
@@ -296,6 +358,7 @@ class KNNImputer:
 
     def fit(self, df: DataFrame, columns: Sequence[str], key: str) -> FittedKNNImputer:
         require(df, key, *columns)
+        df, key = numbered(df, key)
         means = df.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
         return FittedKNNImputer(self, df.select(col(key), *[col(c) for c in columns]), list(columns), key,
                                 {c: means[f"m{i}"] for i, c in enumerate(columns)})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.columns import col, number, require, stable_hash
 from tallyloom.functions.selection import select_ranks
-from tallyloom.operators.neighbors import CELL_POINTS, attach_neighbours, nearest_rows, others, point
+from tallyloom.operators.neighbors import CELL_POINTS, attach_neighbours, nearest_rows, numbered, others, point
 from tallyloom.operators.split import class_sizes, per_class
 from tallyloom.session import checkpointed
 
@@ -25,10 +25,10 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     """Grow every class to the size of the largest by points between a row and one of its neighbours.
 
     Returns (key, label, features…, synthetic, copy): the given rows, and the new ones under the key
-    of the row they start from.  Rows of a class give equal numbers of copies, up to one.
+    of the row they start from.  Rows of a class give equal numbers of copies, up to one.  A key of any type tells rows apart.
     """
     require(df, label, key, *features)
-    rows = df.select(col(key).cast("long").alias(key), col(label), *[number(f).alias(f) for f in features])
+    rows = df.select(col(key), col(label), *[number(f).alias(f) for f in features])
     sizes = class_sizes(df, label)
     largest = max(sizes.values())
     short = {cls: largest - n for cls, n in sizes.items() if n < largest}
@@ -49,8 +49,9 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     whole = per_class(df, label, {cls: need // sizes[cls] for cls, need in short.items()}, "bigint")
     copies = whole + F.coalesce((place <= cut).cast("long"), F.lit(0))
 
-    found = nearest_rows(base, base, features, key, point(features), k, group=label, cell_points=cell_points)
-    near = attach_neighbours(base, found, features, label).withColumn("_near", others("neighbours", key, k)).drop("neighbours")
+    base, own = numbered(base, key)
+    found = nearest_rows(base, base, features, own, point(features), k, group=label, cell_points=cell_points)
+    near = attach_neighbours(base, found, features, label).withColumn("_near", others("neighbours", own, k)).drop("neighbours")
     # a rare class may need very many copies of a row: runs of copies are spread over tasks first
     runs = near.withColumn("_copies", copies).filter("_copies > 0").withColumn(
         "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPIES_PER_ROW))))
@@ -78,26 +79,28 @@ def edited_nearest_neighbours(df: DataFrame, label: str, features: Sequence[str]
                               cell_points: int = CELL_POINTS) -> DataFrame:
     """Drop rows of the largest class whose label is not the most frequent one among their k neighbours.
 
-    `key` must be a bigint identifying a row.
+    `key` identifies a row.
     """
     require(df, label, key, *features)
+    names = df.columns
+    df, key = numbered(df, key)
     sizes = class_sizes(df, label)
     (majority,) = min(sizes, key=lambda cls: (-sizes[cls], cls[0]))
     suspects = df.filter(col(label) == F.lit(majority))
     found = nearest_rows(suspects, df, features, key, col(label), k, cell_points=cell_points)
     marked = attach_neighbours(suspects, found, features).withColumn("_near", others("neighbours", key, k))
     kept = marked.filter(_mode(F.transform("_near", lambda x: x["payload"])) == col(label)).drop("neighbours", "_near")
-    return df.filter(~col(label).eqNullSafe(F.lit(majority))).unionByName(kept)
+    return df.filter(~col(label).eqNullSafe(F.lit(majority))).unionByName(kept).select(*[col(c) for c in names])
 
 
 def smote_enn(df: DataFrame, label: str, features: Sequence[str], key: str, k: int = NEIGHBOURS, seed: int = 42,
               cell_points: int = CELL_POINTS) -> DataFrame:
     """Oversample, then clean the largest class of the result.
 
-    New rows have no key of their own: one is made from the key and the copy number by a hash.
+    New rows have no key of their own: the rank of key and copy number is one.
     """
-    grown = smote(df, label, features, key, k, seed, cell_points)
-    keyed = checkpointed(grown.withColumn("_id", F.xxhash64(col(key), F.col("copy"))))
+    grown = checkpointed(smote(df, label, features, key, k, seed, cell_points))
+    keyed = grown.withColumn("_id", F.concat_ws(":", col(key).cast("string"), F.col("copy").cast("string")))
     return edited_nearest_neighbours(keyed, label, features, "_id", k, cell_points).drop("_id")
 
 
