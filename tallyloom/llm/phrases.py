@@ -50,43 +50,40 @@ _LOW = np.uint64((1 << _LOCAL) - 1)
 #: Hashes that are worked on at a time, so that intermediate arrays stay small beside a shard's own.
 _SLICE = 1 << 19
 #: Parts in which the phrases of a shard are sorted and counted, one after the other.
-_CLASSES = 4
+_CLASSES = 8
 
 
 class _Shard:
     """The words of some texts of one language: hashes, places, and whether a word follows the one before it in a piece.
 
-    The list of texts is emptied. `places` keeps where words begin, and the text, which only the phrases' texts need.
+    The texts end in line feeds. `places` keeps where words begin, and the texts, which only the phrases' texts need.
     """
 
-    def __init__(self, lang: str, texts: list[bytes], places: bool = True):
+    def __init__(self, lang: str, text: bytes | bytearray, places: bool = True):
         self.salt = np.uint64(hash_text(lang))
-        joined = b"\n".join(texts)
-        texts.clear()
-        self.text = joined.translate(_LOWER)
-        del joined
-        hashes, starts, follows, at, last, breaks = [], [], [], 0, -1, 0
-        kind = np.int64 if len(self.text) >> 31 else np.int32
-        while at < len(self.text):
-            gap = _GAP.search(self.text, at + wordstream.BLOCK)
-            stop = gap.start() if gap else len(self.text)
-            block = self.text[at:stop]
+        # Room for all words there can be; only what is written takes memory.
+        most = len(text) // 2 + 1
+        words, joined = np.empty(most, dtype=np.uint64), np.empty(most, dtype=bool)
+        starts = np.empty(most if places else 0, dtype=np.int64 if len(text) >> 31 else np.int32)
+        n, at, last, breaks = 0, 0, -1, 0
+        while at < len(text):
+            gap = _GAP.search(text, at + wordstream.BLOCK)
+            stop = gap.start() if gap else len(text)
+            block = bytes(text[at:stop]).translate(_LOWER)
             start, _, own = wordstream.words(block, _GAPS)
-            broken = np.cumsum(_BREAKS[np.frombuffer(block, dtype=np.uint8)], dtype=np.int64)
+            broken = np.cumsum(_BREAKS[np.frombuffer(block, dtype=np.uint8)], dtype=np.int32)
             if len(own):
-                piece = broken[start] + breaks
-                follows.append(np.diff(piece, prepend=last) == 0)
+                piece = broken[start].astype(np.int64) + breaks
+                joined[n : n + len(own)] = np.diff(piece, prepend=last) == 0
                 last = int(piece[-1])
-                hashes.append(own)
+                words[n : n + len(own)] = own
                 if places:
-                    starts.append((start + at).astype(kind))
+                    starts[n : n + len(own)] = start + at
+                n += len(own)
             breaks += int(broken[-1])
             at = stop
-        self.words = _joined(hashes, np.uint64)
-        self.start = _joined(starts, kind)
-        self.joined = _joined(follows, bool)
-        if not places:
-            self.text = b""
+        self.words, self.joined, self.start = words[:n], joined[:n], starts[:n]
+        self.text = text if places else b""
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
         """What the tables of all languages know a phrase by."""
@@ -108,13 +105,8 @@ class _Shard:
     def phrase(self, first: int, size: int) -> str:
         last = int(self.start[first + size - 1])
         gap = _GAP.search(self.text, last)
-        return b" ".join(self.text[self.start[first] : gap.start() if gap else len(self.text)].split()).decode()
-
-
-def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
-    out = np.concatenate(parts) if parts else np.empty(0, kind)
-    parts.clear()
-    return out
+        own = bytes(self.text[self.start[first] : gap.start() if gap else len(self.text)])
+        return b" ".join(own.translate(_LOWER).split()).decode()
 
 
 def hash_text(text: str) -> int:
@@ -170,35 +162,32 @@ def _held(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes]]]:
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, bytearray]]:
     """(language, texts) of each shard and language. A task's texts are cut into shards of `size` bytes, and what is left
-    of them, half as much at least, is the last one."""
-    held: list[tuple[str, bytes]] = []
-    held_bytes = 0
-
-    def cut(limit: int) -> Iterator[tuple[str, list[bytes]]]:
-        nonlocal held_bytes
-        by_lang: dict[str, list[bytes]] = {}
-        used = taken = 0
-        while taken < len(held) and used < limit:
-            lang, text = held[taken]
-            by_lang.setdefault(lang, []).append(text)
-            used += len(text)
-            taken += 1
-        del held[:taken]
-        held_bytes -= used
-        for lang in list(by_lang):
-            yield lang, by_lang.pop(lang)
-
+    of them goes with the last one unless it is half as much."""
+    full: dict[str, bytearray] = {}
+    rest: dict[str, bytearray] = {}
+    held = more = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = text.as_buffer().to_pybytes()
-            held.append((lang, own))
-            held_bytes += len(own)
-            if held_bytes >= size + size // 2:
-                yield from cut(size)
-    while held:
-        yield from cut(held_bytes)
+            own = text.as_buffer()
+            into = full if held < size else rest
+            buffer = into.setdefault(lang, bytearray())
+            buffer += own
+            buffer += b"\n"
+            if into is full:
+                held += len(own) + 1
+            else:
+                more += len(own) + 1
+            if more >= size // 2:
+                for lang in list(full):
+                    yield lang, full.pop(lang)
+                full, rest, held, more = rest, {}, more, 0
+    for lang, buffer in rest.items():
+        full.setdefault(lang, bytearray()).extend(buffer)
+    rest.clear()
+    for lang in list(full):
+        yield lang, full.pop(lang)
 
 
 def local_support(support: int, shards: int) -> int:
@@ -210,11 +199,12 @@ def _mine(least: int, support: int, shard_bytes: int, sizes: tuple[int, ...], kn
     """First pass: (lang, key, gain) of all phrases a shard holds often enough; a key of NULL carries the threshold less 1."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
-        for lang, texts in _shards(batches, shard_bytes):
+        for lang, text in _shards(batches, shard_bytes):
             yield _gains(lang, None, np.array([least - 1]))
             if least == 1:
                 continue
-            shard = _Shard(lang, texts, places=False)
+            shard = _Shard(lang, text, places=False)
+            del text
             marks = _start_of_round(shard, sizes, table)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
@@ -251,8 +241,8 @@ def _count(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None, ca
     """Second pass: (lang, size, phrase, count) of all candidates in a shard; size 0 counts the words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, wanted = known.value if known is not None else None, candidates.value
-        for lang, texts in _shards(batches, shard_bytes):
-            shard = _Shard(lang, texts)
+        for lang, text in _shards(batches, shard_bytes):
+            shard = _Shard(lang, text)
             everything = bool(_held(wanted, _unfiltered(lang))[0])
             if sizes[0] == 1:
                 yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
@@ -310,7 +300,7 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for lang in set(langs):
             own = [t for x, t in zip(langs, texts) if x == lang]
-            shard = _Shard(lang, [t.encode() for t in own], places=False)
+            shard = _Shard(lang, "\n".join(own).encode(), places=False)
             size = texts_size(own[0])
             out.append(shard.keys(shard.grams(size, 0, len(shard.words) - size + 1)[::size]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["key"])
@@ -332,7 +322,7 @@ def frequent_phrases(
     # The scan's partitions are joined until one fills a shard; larger ones hold several.
     shards = max(1, -(-total // shard_bytes))
     texts = texts.coalesce(shards)
-    least = local_support(support, shards + shards // 2)
+    least = local_support(support, shards + shards // 4)
 
     found, known = [], None
     for round_ in ROUNDS:
