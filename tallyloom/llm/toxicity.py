@@ -15,6 +15,7 @@ Words of the texts are the only input of a score.
 from __future__ import annotations
 
 import math
+from collections import ChainMap
 import re
 from dataclasses import dataclass, field
 
@@ -198,8 +199,12 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon({t: (p, p / 2, stem) for t, (p, stem) in terms.items()}, near)
 
 
+#: Characters of the longest piece that a reader remembers: pieces of scripts without spaces are whole paragraphs.
+HELD = 64
+
+
 class Reader:
-    """Window scores of texts by a lexicon; words already judged are remembered, up to a bound."""
+    """Window scores of texts by a lexicon; pieces of up to `HELD` characters already judged are remembered, up to a bound."""
 
     def __init__(self, lexicon: Lexicon, remembered: int = 400_000):
         self.lexicon, self.matcher, self.remembered = lexicon, matcher(lexicon.terms), remembered
@@ -221,14 +226,17 @@ class Reader:
             self.known, self.hits = set(), {}
         chunks = text.split()
         own = set(chunks)
-        for chunk in own - self.known:
+        long: dict[str, float] = {}
+        new = own - self.known
+        for chunk in new:
             if score := self._judge(chunk):
-                self.hits[chunk] = score
-        self.known |= own
+                (self.hits if len(chunk) <= HELD else long)[chunk] = score
+        self.known.update(c for c in new if len(c) <= HELD)
         length = math.log1p(len(chunks))
-        if self.hits.keys().isdisjoint(own):
+        hits = ChainMap(long, self.hits) if long else self.hits
+        if hits.keys().isdisjoint(own):
             return 0.0, 0.0, 0.0, 0.0, length, 0.0
-        at = [(i, self.hits[c]) for i, c in enumerate(chunks) if c in self.hits]
+        at = [(i, hits[c]) for i, c in enumerate(chunks) if c in hits]
         quoted = self._quoted(chunks, at)
         scores = []
         for (i, score), inside in zip(at, quoted):
@@ -244,9 +252,9 @@ class Reader:
         for k, (i, _) in enumerate(at):
             while at[first][0] < i - WINDOW:
                 first += 1
-            best = max(best, 1 - math.prod(1 - min(0.99, s) for s in scores[first : k + 1][-16:]))
+            best = max(best, 1 - math.prod(1 - min(0.99, s) for s in scores[first : k + 1]))
         total = sum(scores)
-        joined = 1 - math.prod(1 - 0.5 * s for s in scores) if len(scores) < 200 else 1.0
+        joined = -math.expm1(sum(math.log1p(-0.5 * s) for s in scores))
         return best, joined, math.log1p(total), math.log1p(100 * total / len(chunks)), length, 1.0
 
     @staticmethod

@@ -142,3 +142,13 @@ def test_short_terms_words_beside_stems_and_many_terms(spark):
     counts += [(f"t{i}", False, 40, 0) for i in range(1000)]
     terms = toxicity.learn_terms(toxicity.pd.DataFrame(counts, columns=["term", "stem", "toxic", "other"]), 5000, 5000)
     assert set(terms) == {"scum", "scumbag", "clow", *(f"t{i}" for i in range(1000))}
+
+
+def test_many_weak_hits_and_long_pieces_have_no_switch():
+    lexicon = toxicity.Lexicon({"idiot": (0.02, 0.01, True)}, {})
+    joined = [toxicity.Reader(lexicon).features("idiot " * n)[1] for n in (198, 199, 200, 201)]
+    steps = [b - a for a, b in zip(joined, joined[1:])]
+    assert all(0 < s < 0.01 for s in steps)
+    reader = toxicity.Reader(lexicon)
+    unspaced = "日本" * 200 + "idiot" + "語" * 100
+    assert reader.features(unspaced) == reader.features(unspaced) and all(len(c) <= toxicity.HELD for c in reader.known)
