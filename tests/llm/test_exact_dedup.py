@@ -51,3 +51,31 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     assert exact_dedup.duplicates(docs).count() == 0
     assert exact_dedup.deduplicated(docs).count() == 0
+
+
+def test_merges_neither_shuffle_nor_sort_ranges_again(spark):
+    """A round is one exchange by range, one sort and one ordered pass."""
+    rows = exact_dedup.digest_rows(documents(spark, [(i, f"t{i % 7}") for i in range(50)]))
+    entries = exact_dedup.checkpointed(exact_dedup.merge_runs(rows).selectExpr("0L run", "*").selectExpr(
+        "run", "digest", "check", "size", "struct(0 as shorter, false as unnamed, keep as id) as best", "members"))
+    plan = exact_dedup._merged(entries, 2)._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("+- == Initial Plan ==")[-1]
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange hashpartitioning") == 0
+    assert plan.count("SortAggregate") == 2 and plan.count("+- Sort ") == 1
+
+
+def test_digests_of_different_texts_are_kept_apart_and_counted(spark):
+    merged = spark.createDataFrame([(b"a", 1, 3), (b"a", 2, 3), (b"b", 1, 1)], "digest binary, check long, size int")
+    assert exact_dedup.disagreements(merged) == 1
+
+
+def test_columns_with_any_names_stay(spark):
+    docs = documents(spark, [(1, "x y"), (2, "xy"), (2, "xy")]).selectExpr("*", "1 as _tl_text", "2 as copies", "3 as digest2")
+    out = exact_dedup.deduplicated(docs)
+    assert out.columns == docs.columns and out.count() == 1
+
+
+def test_long_texts(spark):
+    long = "ab c " * 400_000
+    got = collected(exact_dedup.duplicates(documents(spark, [(1, long), (2, long.replace(" ", "")), (3, long + "d")])))
+    assert [(got[d]["keep_id"], got[d]["group_size"]) for d in (1, 2, 3)] == [(1, 2), (1, 2), (3, 1)]
