@@ -195,3 +195,19 @@ def bivariate_effects(spark, sf):
     for part in out[1:]:
         result = result.unionByName(part)
     return result
+
+
+@query("analyse_pair", sql="""
+SELECT 'crosstab' AS "table", count(*) AS n FROM (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem)
+UNION ALL SELECT 'by_category', count(DISTINCT l_returnflag) FROM lineitem
+UNION ALL SELECT 'residuals', count(*) FROM lineitem
+""")
+def analyse_pair(spark, sf):
+    """The tables follow the types of the two columns: groups that occur, categories, and rows."""
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    texts = bivariate.analyse_pair(rows, "l_returnflag", "l_linestatus")["crosstab"]
+    mixed = bivariate.analyse_pair(rows, "l_quantity", "l_returnflag")["by_category"]
+    numbers = bivariate.analyse_pair(rows, "l_quantity", "l_extendedprice")["residuals"]
+    parts = [("crosstab", texts), ("by_category", mixed), ("residuals", numbers)]
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n") for name, df in parts]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

@@ -132,7 +132,7 @@ def search_with_resampling(spark, sf):
         parallelism=1))
 
 
-@query("save_model")
+@query("save_model", sql='SELECT count(*) AS equal, count(*) AS "rows", TRUE AS has_size FROM lineitem')
 def save_model(spark, sf):
     """Store a model, read it back, and count the rows both predict alike."""
     from pyspark.ml import PipelineModel
@@ -258,7 +258,7 @@ def learning_curve(spark, sf):
 def evaluate_models(spark, sf):
     """Two classifiers, trained and judged on train and test rows."""
     raw = dirty(spark, sf).withColumn("id", F.col("unnamed_0")).dropDuplicates(["id"])
-    settings = workflow.Settings("risk_category", "id", metric="f1", folds=2, stratify=True)
+    settings = workflow.Settings("risk_category", "id", metric="f1", folds=2, stratify=True, learning_sizes=())
     forest = models.Candidate("RandomForest", "classification", models.random_forest().build, {"n_estimators": [10], "max_depth": [4]})
     done = workflow.run(raw, settings, [models.logistic_regression(20), forest], admissions_plan(), Preprocessor(ROUTED))
     return rounded(done.metrics, "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
@@ -267,6 +267,82 @@ def evaluate_models(spark, sf):
 @query("evaluate_regressors")
 def evaluate_regressors(spark, sf):
     rows = _prices(spark, sf).drop("l_discount")
-    settings = workflow.Settings("l_extendedprice", "id", task="regression", metric="r2", folds=2)
+    settings = workflow.Settings("l_extendedprice", "id", task="regression", metric="r2", folds=2, learning_sizes=())
     done = workflow.run(rows, settings, [models.linear_regression()])
     return evaluation.summary(done.metrics, "regression")
+
+
+def _halves(spark, sf, label):
+    half = (F.col("l_linenumber") % 2).cast("double")
+    return table(spark, sf, "lineitem").select(item_id().alias("id"), half.alias("half"), F.expr(label).cast("double").alias(models.LABEL))
+
+
+_ONE_TREE = {"n_estimators": 1, "max_depth": 1, "min_samples_split": 2}
+
+
+@query("random_forest_of_one_tree", sql="""
+SELECT CAST(l_linenumber % 2 AS DOUBLE) AS half, CAST(7 + 5 * (l_linenumber % 2) AS DOUBLE) AS prediction, count(*) AS n FROM lineitem GROUP BY 1, 2
+""")
+def random_forest_of_one_tree(spark, sf):
+    """A tree of one split finds two groups that differ by nothing else, whatever rows it was drawn."""
+    rows = _halves(spark, sf, "7 + 5 * (l_linenumber % 2)")
+    model = models.fit_model(models.random_forest_regressor(), _ONE_TREE, rows, ["half"], 0)
+    out = models.scored(model, rows, ["half"]).groupBy("half").agg(F.avg("prediction").alias("prediction"), F.count(F.lit(1)).alias("n"))
+    return rounded(out, "prediction")
+
+
+@query("random_forest_classifier_of_one_tree", sql="""
+SELECT CAST(l_linenumber % 2 AS DOUBLE) AS half, CAST(1 - l_linenumber % 2 AS DOUBLE) AS probability, count(*) AS n FROM lineitem GROUP BY 1, 2
+""")
+def random_forest_classifier_of_one_tree(spark, sf):
+    """Its probabilities are the labels, where the label is one feature's opposite."""
+    rows = _halves(spark, sf, "l_linenumber % 2 = 0")
+    model = models.fit_model(models.random_forest(), _ONE_TREE, rows, ["half"], 0)
+    out = models.scored(model, rows, ["half"]).groupBy("half").agg(
+        F.avg(F.col("probability")[1]).alias("probability"), F.count(F.lit(1)).alias("n"))
+    return rounded(out, "probability")
+
+
+@query("tree_importance_of_one", sql="SELECT 'RandomForest' AS model, 'half' AS feature, CAST(1 AS DOUBLE) AS importance, count(*) > 0 AS read FROM lineitem")
+def tree_importance_of_one(spark, sf):
+    """All gain is that of the only feature; the table goes through the sink and back."""
+    rows = _halves(spark, sf, "l_quantity")
+    model = models.fit_model(models.random_forest_regressor(), _ONE_TREE, rows, ["half"], 0)
+    path = scratch_path(spark, "importances")
+    sinks.write_importances(importance.model_importances(spark, model, ["half"], "RandomForest"), path)
+    stored = spark.read.option("header", True).schema("model string, feature string, importance double").csv(path)
+    return stored.withColumn("read", F.lit(True))
+
+
+def _line(spark, sf):
+    """A label that is an exact line of one feature: every part of the rows gives the same fit."""
+    return _prices(spark, sf).select("id", "l_quantity", (2 * F.col("l_quantity") + 3).alias("y"))
+
+
+@query("search_of_a_line", sql="""
+SELECT kind, 'LinearRegression' AS model, CAST(4 AS BIGINT) AS choices, CAST(1 AS BIGINT) AS best, CAST(1 AS DOUBLE) AS score, count(*) > 0 AS read
+FROM lineitem, (VALUES ('grid'), ('random')) t(kind) GROUP BY kind
+""")
+def search_of_a_line(spark, sf):
+    """Both searches try all four choices; the held-out folds of an exact line score 1."""
+    parts = []
+    for kind in ("grid", "random"):
+        found = _report(spark, *search.train_all(
+            [models.linear_regression()], _line(spark, sf), "y", ["l_quantity"], "id", task="regression", metric="r2", search_type=kind,
+            folds=3, n_iter=4))
+        parts.append(found.groupBy("model").agg(
+            F.count(F.lit(1)).alias("choices"), F.count_if("is_best").alias("best"), F.round(F.max("cv_score"), 4).alias("score"),
+        ).withColumns({"kind": F.lit(kind), "read": F.lit(True)}))
+    return parts[0].unionByName(parts[1])
+
+
+@query("learning_curve_of_a_line", sql="""
+WITH n AS (SELECT count(*) AS n FROM lineitem), f AS (SELECT n - n // 3 - CASE WHEN i < n % 3 THEN 1 ELSE 0 END AS train FROM n, range(0, 3) t(i))
+SELECT size, CAST(min(greatest(CAST(floor(size * train) AS BIGINT), 1)) AS DOUBLE) AS "rows", CAST(1 AS DOUBLE) AS train_mean,
+       CAST(0 AS DOUBLE) AS train_std, CAST(1 AS DOUBLE) AS valid_mean, CAST(0 AS DOUBLE) AS valid_std
+FROM f, (VALUES (CAST(0.25 AS DOUBLE)), (CAST(0.5 AS DOUBLE)), (CAST(1 AS DOUBLE))) s(size) GROUP BY size
+""")
+def learning_curve_of_a_line(spark, sf):
+    """Sizes of the parts, and scores of 1 on all of them."""
+    out = learning.learning_curve(models.linear_regression(), {}, _line(spark, sf), "y", ["l_quantity"], "id", "r2", (0.25, 0.5, 1.0), 3)
+    return rounded(out, "train_mean", "train_std", "valid_mean", "valid_std", digits=4).withColumn("rows", F.col("rows").cast("double"))

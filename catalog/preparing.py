@@ -400,6 +400,18 @@ def impute_knn(spark, sf):
     return rounded(neighbors.KNNImputer(5).fit(rows, ["a", "b", "c"], "c_custkey").transform(rows), "a", "b", "c")
 
 
+@query("impute_iterative_cells", sql=f"WITH g AS ({_GAPPED})" + "\nUNION ALL ".join(
+    f" SELECT c_custkey, '{c}' AS \"column\", {c} AS observed, TRUE AS filled FROM g" for c in "abc"))
+def impute_iterative_cells(spark, sf):
+    """Observed cells stay as they are, and no gap is left."""
+    rows = _gapped(spark, sf)
+    out = iterative.IterativeImputer(max_iter=3).fit_transform(rows, ["a", "b", "c"])
+    both = rows.join(out.select("c_custkey", *[F.col(c).alias(f"new_{c}") for c in "abc"]), "c_custkey")
+    cells = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), F.col(f"new_{c}")).alias("observed"),
+                      F.col(f"new_{c}").isNotNull().alias("filled")) for c in "abc"]
+    return both.select("c_custkey", F.inline(F.array(*cells)))
+
+
 @query("preprocess_routed_knn", sql=f"WITH g AS ({_GAPPED})," + ",".join(_knn_column(c) for c in "abc") + """,
 f AS (
   SELECT g.c_custkey, """ + ", ".join(f"coalesce(g.{c}, n{c}.v, (SELECT avg({c}) FROM g)) AS {c}" for c in "abc") + """

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyloom.functions.columns import col
 from tallyloom.operators import curves, metrics
 from tallyloom.operators.importance import importances
-from tallyloom.operators.models import LABEL, classes_of, scored, with_code
+from tallyloom.operators.learning import SIZES, learning_curve
+from tallyloom.operators.models import LABEL, Candidate, classes_of, scored, with_code
 from tallyloom.operators.search import Trained, score_table
 from tallyloom.session import checkpointed
 from tallyloom.sources.sinks import metrics_summary, write_markdown
@@ -73,6 +74,19 @@ def classification_tables(table: DataFrame, classes: int) -> dict[str, DataFrame
     }
 
 
+def mean_areas(table: DataFrame, classes: int) -> DataFrame:
+    """(model, split, curve, area): area under the class curves averaged on all their x, for each model and split."""
+    found = []
+    scores = {float(i): f"_p{i}" for i in range(classes)}
+    wide = table.withColumns({name: F.col("probability")[int(i)] for i, name in scores.items()})
+    for r in sorted(table.select("model", "split").distinct().collect()):  # one row per model and split
+        own = wide.filter((F.col("model") == r["model"]) & (F.col("split") == r["split"]))
+        for kind in ("roc", "pr"):
+            area = curves.curve_area(curves.mean_curve(own, LABEL, scores, kind))
+            found.append(area.select(F.lit(r["model"]).alias("model"), F.lit(r["split"]).alias("split"), F.lit(kind).alias("curve"), "area"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def regression_tables(table: DataFrame, bins: int = 30) -> dict[str, DataFrame]:
     """Residuals of every row, and how many fall into equal bins between each model's smallest and largest one."""
     residuals = metrics.residual_diagnostics(table, LABEL, "prediction", ["model", "split"])
@@ -94,10 +108,13 @@ class Report:
 
 def report(trained: Sequence[Trained], rows: DataFrame, label: str, key: str, features: Sequence[str], task: str = "classification",
            minimum_precision: float | None = None, minimum_recall: float | None = None, repeats: int = 5,
-           summary_path: str | None = None) -> Report:
+           summary_path: str | None = None, candidates: Sequence[Candidate] = (), sizes: Sequence[float] = SIZES, folds: int = 5,
+           metric: str | None = None, seed: int = 42) -> Report:
     """Metrics, curves, confusion, calibration or residuals, and importances of all models; each model is scored once.
 
-    `summary_path` stores the summary as Markdown. Importances of models without weights come from shuffled test rows.
+    `summary_path` stores the summary as Markdown. Importances of models without weights come from shuffled test rows. The
+    `candidates` that models came from give their learning curves over train rows, with the parameters found; more than two
+    classes also give the areas under averaged curves.
     """
     classes = len(classes_of(rows, label)) if task == "classification" else 0
     parts, seconds = [], {}
@@ -112,11 +129,20 @@ def report(trained: Sequence[Trained], rows: DataFrame, label: str, key: str, fe
     else:
         tables = {"metrics": evaluate_classification(table, classes, minimum_precision, minimum_recall), **classification_tables(table, classes)}
         coded = with_code(rows, label, classes_of(rows, label))
-    metric = "r2" if task == "regression" else "accuracy"
+    if classes > 2:
+        tables["mean_areas"] = mean_areas(table, classes)
+    metric = metric or ("r2" if task == "regression" else "accuracy")
     test = coded.filter("split = 'test'")
     tables["importances"] = reduce(DataFrame.unionByName, [
         importances(rows.sparkSession, t.model, test, features, key, t.name,
                     lambda df, by: score_table(df, metric, by, max(2, classes)), repeats) for t in trained])
+    families = {c.name: c for c in candidates}
+    train = rows.filter("split = 'train'")
+    learned = [
+        learning_curve(families[t.name], t.best_params, train, label, features, key, metric, sizes, folds, seed).withColumn("model", F.lit(t.name))
+        for t in trained if t.name in families]
+    if learned:
+        tables["learning_curve"] = reduce(DataFrame.unionByName, learned)
     tables["summary"] = summary(tables["metrics"], task)
     if summary_path:
         write_markdown(tables["summary"], summary_path)

@@ -188,8 +188,11 @@ def test_learning_curve(labelled):
 
 
 def test_workflow(labelled):
-    settings = workflow.Settings("y", "id", folds=2, stratify=True)
+    settings = workflow.Settings("y", "id", folds=2, stratify=True, learning_sizes=(0.5, 1.0))
     done = workflow.run(labelled.drop("z"), settings, [models.logistic_regression(10)], preprocessor=Preprocessor())
+    assert set(done.report.tables) >= {"metrics", "roc_curve", "importances", "summary", "learning_curve"}
+    learned = done.report.tables["learning_curve"].orderBy("size").collect()
+    assert [(r["model"], r["size"]) for r in learned] == [("LogisticRegression", 0.5), ("LogisticRegression", 1.0)]
     got = {r["split"]: r for r in done.metrics.collect()}
     assert got["train"]["n"] == 240 and got["test"]["n"] == 60
     assert got["test"]["roc_auc"] > 0.9 and got["test"]["accuracy"] > 0.8
@@ -199,7 +202,7 @@ def test_workflow(labelled):
 
 
 def test_report_of_all_tables(labelled, tmp_path):
-    settings = workflow.Settings("y", "id", folds=2, stratify=True)
+    settings = workflow.Settings("y", "id", folds=2, stratify=True, learning_sizes=())
     done = workflow.run(labelled.drop("z"), settings, [models.logistic_regression(10)], preprocessor=Preprocessor())
     found = evaluation.report(
         done.trained, done.prepared, "y", "id", done.preprocessor.feature_names, summary_path=str(tmp_path / "summary"))
@@ -209,6 +212,24 @@ def test_report_of_all_tables(labelled, tmp_path):
     assert set(found.seconds) == {"LogisticRegression"} and list((tmp_path / "summary").glob("part-*"))
 
 
+def test_areas_of_averaged_curves(spark):
+    """Three classes, two models: the areas are those of the averaged curves of each model and split."""
+    from tallyloom.operators import curves
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        y = int(rng.integers(3))
+        p = rng.dirichlet([3.0 if c == y else 1.0 for c in range(3)])
+        rows.append(("m" if i % 2 else "n", "test" if i % 5 == 0 else "train", float(y), [float(v) for v in p]))
+    table = spark.createDataFrame(rows, f"model string, split string, {models.LABEL} double, probability array<double>")
+    got = {(r["model"], r["split"], r["curve"]): r["area"] for r in evaluation.mean_areas(table, 3).collect()}
+    assert len(got) == 8
+    own = table.filter("model = 'm' AND split = 'train'").withColumns({f"p{i}": F.col("probability")[i] for i in range(3)})
+    want = curves.curve_area(curves.mean_curve(own, models.LABEL, {float(i): f"p{i}" for i in range(3)}, "roc")).first()[0]
+    assert got["m", "train", "roc"] == pytest.approx(want) and 0.6 < want <= 1
+
+
 def test_importances_fall_back_to_permutation(labelled):
     class Twice:
         def transform(self, df):
