@@ -39,6 +39,20 @@ def dictionary(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     return spark.read.schema("value string, code long, place int").parquet(coded).select(names[F.col("place")].alias("column"), "place", "value", "code")
 
 
+def ranked(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """The frame with the place of each row, from 0, in ascending order of some columns: ranges are sorted, their sizes carried."""
+    path = scratch_path(df.sparkSession, "ranked")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path).withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    starts, total = [], 0
+    for r in parts:
+        starts.append((r["_part"], total))
+        total += r["n"]
+    shift = F.broadcast(df.sparkSession.createDataFrame(starts, "_part long, _before long"))  # one row a task
+    return rows.join(shift, "_part").withColumn(name, F.col("_at") + F.col("_before")).drop("_part", "_at", "_before")
+
+
 def sizes(table: DataFrame) -> dict[str, int]:
     """How many values each column has; one that has none is missing."""
     return {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -199,13 +199,13 @@ def _finish(long: DataFrame, by: list[str], groups: dict[tuple, _Group]) -> None
     """Count the values inside the intervals and walk to the ranks."""
     value = F.when(F.col("_in"), F.col("_v")).alias("_value")
     seen = _collect(
-        _placed(long, by, groups).groupBy(*[col(b) for b in by], "_i", value).agg(F.count(F.lit(1)).alias("c")), by)
+        _placed(long, by, groups).groupBy(*[col(b) for b in by], "_i", value).agg(F.count(F.lit(1)).alias("_c")), by)
     for key, group in groups.items():
         pending = sorted(group.open(), key=lambda t: t.rank)
         position = 0
         for _, rows in sorted(seen.get(key, {}).items()):
-            position += sum(r["c"] for r in rows if r["_value"] is None)
-            for v, c in sorted((r["_value"], r["c"]) for r in rows if r["_value"] is not None):
+            position += sum(r["_c"] for r in rows if r["_value"] is None)
+            for v, c in sorted((r["_value"], r["_c"]) for r in rows if r["_value"] is not None):
                 for t in pending:
                     if position <= t.rank < position + c:
                         t.answer = v

@@ -391,3 +391,34 @@ def test_iterative_imputer_takes_three_jobs(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     # Three actions; adaptive execution runs each exchange of an action as a job of its own.
     assert len(stages) <= 8
+
+
+def test_stratified_split_of_very_many_classes(spark, monkeypatch):
+    """20,000 classes and a large one: the quotas and cuts of a sort, and those of the path for few classes."""
+    from collections import Counter, defaultdict
+
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 1000 == 1, None).otherwise(F.col("id") % 20_011).alias("c"))
+    hashed = rows.withColumn("h", split.stable_hash(["id"], 42)).collect()
+    of = defaultdict(list)
+    for r in hashed:
+        of[(r["c"],)].append((r["h"], r["id"]))
+    assert len(of) > split.MAX_CLASSES
+    quota = split._largest_remainder({k: len(v) for k, v in of.items()}, 12_000)
+    got = {r["id"] for r in split.with_split(rows, ["id"], 0.2, "c").filter("split = 'test'").collect()}
+    assert len(got) == 12_000
+    counts = Counter(r["c"] for r in hashed if r["id"] in got)
+    # Equal fractions go to the lesser text here and there.
+    texts = {("None" if k[0] is None else str(k[0])): v for k, v in quota.items()}
+    assert {("None" if c is None else str(c)): n for c, n in counts.items()} == {t: n for t, n in texts.items() if n} or sum(
+        abs(counts.get(k[0], 0) - n) for k, n in quota.items()) <= 4
+    for k, own in of.items():
+        own.sort()
+        assert {i for _, i in own[: counts[k[0]]]} <= got
+
+
+def test_stratified_folds_of_very_many_classes(spark, monkeypatch):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 501)).alias("c"))
+    few = {r["id"]: r["fold"] for r in split.with_folds(rows, ["id"], 5, "c").collect()}
+    monkeypatch.setattr(split, "MAX_CLASSES", 10)
+    many = {r["id"]: r["fold"] for r in split.with_folds(rows, ["id"], 5, "c").collect()}
+    assert few == many
