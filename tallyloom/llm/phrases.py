@@ -195,12 +195,13 @@ def local_support(support: int, shards: int) -> int:
     return (support - 1) // shards + 1
 
 
-def _mine(least: int, support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
-    """First pass: (lang, key, gain) of all phrases a shard holds often enough; a key of NULL carries the threshold less 1."""
+def _mine(least: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
+    """First pass: (lang, chunk, slack, data): how far above the threshold less 1 a shard's phrases are, as parts of a table
+    of 2**BITS sums, which holds a phrase by its key; a row without a chunk carries the threshold less 1."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
         for lang, text in _shards(batches, shard_bytes):
-            yield _gains(lang, None, np.array([least - 1]))
+            yield _rows([(lang, None, least - 1, b"")])
             if least == 1:
                 continue
             shard = _Shard(lang, text, places=False)
@@ -209,17 +210,67 @@ def _mine(least: int, support: int, shard_bytes: int, sizes: tuple[int, ...], kn
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
                 local = np.zeros(1 << _LOCAL, dtype=bool)
+                keys, gains = [], []
                 for _, distinct, counts in _counted(shard, size, marks):
                     often = counts >= least
-                    distinct, gains = distinct[often], counts[often] - least + 1
-                    local[(distinct & _LOW).astype(np.int64)] = True
-                    for at in range(0, len(distinct), 20_000):
-                        yield _gains(lang, shard.keys(distinct[at : at + 20_000]), gains[at : at + 20_000])
+                    local[(distinct[often] & _LOW).astype(np.int64)] = True
+                    keys.append(shard.keys(distinct[often]))
+                    gains.append(counts[often] - least + 1)
+                yield _rows(_parts(lang, np.concatenate(keys), np.concatenate(gains)))
                 _keep(shard, size, marks, lambda own: local[(own & _LOW).astype(np.int64)])
 
     return mine
 
 
+def _parts(lang: str, keys: np.ndarray, gains: np.ndarray) -> list[tuple]:
+    """Rows of a sparse table: places within the chunk (2 bytes each), then gains (4 bytes each)."""
+    at = (keys & np.uint64((1 << BITS) - 1)).astype(np.int64)
+    order = np.argsort(at)
+    at, gains = at[order], np.minimum(gains[order], (1 << 32) - 1).astype("<u4")
+    chunks, places = at >> _CHUNK, (at & (1 << _CHUNK) - 1).astype("<u2")
+    cuts = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist() + [len(at)]
+    return [(lang, int(chunks[a]), None, places[a:b].tobytes() + gains[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)], ["lang", "chunk", "slack", "data"])
+
+
+def _union(support: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(chunk, bits) of rows (chunk, lang, slack, data) in this order: where a language's sum and slack reach the support."""
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bits, sums = None, None, None
+
+        def close() -> None:
+            if sums is not None:
+                np.logical_or(bits, (sums > 0) & (sums + now[2] >= support), out=bits)
+
+        for batch in batches:
+            for chunk, lang, slack, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if now is None or (chunk, lang) != now[:2]:
+                    close()
+                    if now is None or chunk != now[0]:
+                        if now is not None:
+                            yield _bits(now[0], bits)
+                        bits = np.zeros(1 << _CHUNK, dtype=bool)
+                    now, sums = (chunk, lang, slack), np.zeros(1 << _CHUNK, dtype=np.int64)
+                n = len(data) // 6
+                # A phrase has one place, but two may share it.
+                np.add.at(sums, np.frombuffer(data, "<u2", n), np.frombuffer(data, "<u4", n, 2 * n).astype(np.int64))
+        close()
+        if now is not None:
+            yield _bits(now[0], bits)
+
+    return union
+
+
+def _bits(chunk: int, bits: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([chunk], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["chunk", "bits"])
+
+
 def _unfiltered(lang: str) -> np.ndarray:
     """The key that says that all phrases of a language are candidates."""
     return mixed(np.array([hash_text(lang) ^ 0x5555], dtype=np.uint64))
@@ -231,12 +282,6 @@ def _unfiltered_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.array(_unfiltered(lang).view(np.int64))], ["key"])
 
 
-def _gains(lang: str, keys: np.ndarray | None, gains: np.ndarray) -> pa.RecordBatch:
-    n = len(gains)
-    own = pa.nulls(n, pa.int64()) if keys is None else pa.array(keys.view(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), own, pa.array(gains, pa.int64())], ["lang", "key", "gain"])
-
-
 def _count(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None, candidates: Broadcast) -> Callable:
     """Second pass: (lang, size, phrase, count) of all candidates in a shard; size 0 counts the words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,16 +326,21 @@ def _pack(batches: Iterator) -> Iterator:
         yield frame[["chunk"]].assign(bits=made)
 
 
-def _bit_table(keys: DataFrame) -> Broadcast:
-    """A table of 2**BITS bits with those of the keys set, for every task."""
+def _chunks(keys: DataFrame) -> DataFrame:
+    """(chunk, bits) of a table with the bits of the keys set."""
     low = F.col("key").bitwiseAND((1 << BITS) - 1)
     sets = keys.groupBy(F.shiftright(low, _CHUNK).cast("int").alias("chunk")).agg(
         F.collect_set(low.bitwiseAND((1 << _CHUNK) - 1).cast("int")).alias("bits"))
+    return sets.mapInPandas(_pack, "chunk int, bits binary")
+
+
+def _bit_table(chunks: DataFrame) -> Broadcast:
+    """The table of 2**BITS bits for every task, from its chunks; those that occur twice are joined."""
     table = np.zeros(1 << BITS - 3, dtype=np.uint8)
     step = 1 << _CHUNK - 3
-    for row in sets.mapInPandas(_pack, "chunk int, bits binary").toLocalIterator():
-        table[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(table)
+    for row in chunks.toLocalIterator():
+        table[row["chunk"] * step : (row["chunk"] + 1) * step] |= np.frombuffer(row["bits"], dtype=np.uint8)
+    return chunks.sparkSession.sparkContext.broadcast(table)
 
 
 def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,20 +376,22 @@ def frequent_phrases(
 
     found, known = [], None
     for round_ in ROUNDS:
-        gains = texts.mapInArrow(_mine(least, support, shard_bytes, round_, known), "lang string, key long, gain long")
-        gains = stored(gains.groupBy("lang", "key").agg(F.sum("gain").alias("gain")), "gains")
-        slack = gains.filter("key is null").select("lang", F.col("gain").alias("slack"))
-        wanted = gains.filter("key is not null").join(slack, "lang").filter(F.col("gain") + F.col("slack") >= support).select("key")
+        gains = stored(texts.mapInArrow(
+            _mine(least, shard_bytes, round_, known), "lang string, chunk int, slack long, data binary"), "gains")
+        slack = gains.filter("chunk is null").groupBy("lang").agg(F.sum("slack").alias("slack"))
+        sums = gains.filter("chunk is not null").select("lang", "chunk", "data").join(slack, "lang")
+        wanted = sums.select("chunk", "lang", "slack", "data").repartition("chunk").sortWithinPartitions("chunk", "lang").mapInArrow(
+            _union(support), "chunk int, bits binary")
         # Shards that could all have overlooked a phrase, or have no threshold: everything is a candidate.
         open_ = slack.filter((F.col("slack") >= support) | F.lit(least == 1)).select("lang").mapInArrow(_unfiltered_keys, "key long")
-        wanted = wanted.unionByName(open_)
+        wanted = wanted.unionByName(_chunks(open_))
         counts = texts.mapInArrow(
             _count(shard_bytes, round_, known, _bit_table(wanted)), "lang string, size tinyint, phrase string, count long")
         counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
         found.append(stored(counts.filter((F.col("count") >= support) | (F.col("size") == 0)), "frequent"))
         if round_ is not ROUNDS[-1]:
             last = found[-1].filter(F.col("size") == round_[-1])
-            known = _bit_table(last.select("lang", "phrase").mapInArrow(_keys_of, "key long"))
+            known = _bit_table(_chunks(last.select("lang", "phrase").mapInArrow(_keys_of, "key long")))
     out = found[0]
     for frame in found[1:]:
         out = out.unionByName(frame)
