@@ -200,13 +200,13 @@ def _probes(queries: DataFrame, boxes: _Boxes, pick, wanted: int) -> DataFrame:
 
     # Each block of a group's cells meets the group's queries, in shares of QUERIES_PER_TASK.
     shares = queries.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("shares"))
-    sizes = boxes.blocks.join(shares, "group")
-    asked = queries.join(sizes, "group").withColumns({
-        "share": F.pmod(F.xxhash64("qid"), F.col("shares")).cast("int"),
-        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
-    held = boxes.table.join(sizes, "group").withColumns({
-        "block": F.pmod(F.xxhash64("cell"), F.col("blocks")).cast("int"),
-        "share": F.explode(F.sequence(F.lit(0), F.col("shares") - 1))})
+    sizes = checkpointed(boxes.blocks.join(shares, "group"))
+    asked = queries.join(sizes.toDF("group", "_blocks", "_shares"), "group").withColumns({
+        "share": F.pmod(F.xxhash64("qid"), F.col("_shares")).cast("int"),
+        "block": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))}).drop("_blocks", "_shares")
+    held = boxes.table.join(sizes.toDF("group", "_b", "_s"), "group").withColumns({
+        "block": F.pmod(F.xxhash64("cell"), F.col("_b")).cast("int"),
+        "share": F.explode(F.sequence(F.lit(0), F.col("_s") - 1))}).drop("_b", "_s")
 
     def meet(part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({c: [] for c in ("qid", "cell", "reach", "vector", "bound", "rows")})

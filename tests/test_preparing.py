@@ -422,3 +422,47 @@ def test_stratified_folds_of_very_many_classes(spark, monkeypatch):
     monkeypatch.setattr(split, "MAX_CLASSES", 10)
     many = {r["id"]: r["fold"] for r in split.with_folds(rows, ["id"], 5, "c").collect()}
     assert few == many
+
+
+def knn_by_hand(x, k):
+    """Distances over shared columns, scaled; the mean of the k nearest donors, equal ones by row number."""
+    out = x.copy()
+    width = x.shape[1]
+    for i in range(len(x)):
+        for j in np.flatnonzero(np.isnan(x[i])):
+            shared = ~np.isnan(x[i]) & ~np.isnan(x)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                d = np.sqrt(np.where(shared, (x - x[i]) ** 2, 0).sum(1) * width / shared.sum(1))
+            donors = [r for r in np.lexsort((np.arange(len(x)), d)) if not np.isnan(x[r, j]) and np.isfinite(d[r]) and r != i][:k]
+            out[i, j] = x[donors, j].mean() if donors else np.nanmean(x[:, j])
+    return out
+
+
+@pytest.mark.parametrize("boxes, block", [(50_000, 4096), (3, 40)])
+def test_knn_imputer_with_many_gapped_columns(spark, monkeypatch, boxes, block):
+    """Twelve columns with free patterns make more spaces than were allowed once; boxes as arrays and as a table."""
+    monkeypatch.setattr(neighbors, "MAX_BOXES", boxes)
+    monkeypatch.setattr(neighbors, "BLOCK_CELLS", block)
+    rng = np.random.default_rng(21)
+    x = np.round(rng.normal(size=(250, 12)), 3)
+    x[rng.random(x.shape) < 0.3] = np.nan
+    columns = [f"c{i}" for i in range(12)]
+    rows = [(f"k{i:03d}", *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id string, " + ", ".join(f"{c} double" for c in columns))
+    spaces = {(j, tuple(np.isnan(r))) for r in x for j in np.flatnonzero(~np.isnan(r))}
+    out = neighbors.KNNImputer(3, cell_points=64).fit(df, columns, "id").transform(df).orderBy("id")
+    got = np.array([[r[c] for c in columns] for r in out.collect()])
+    assert len(spaces) > 1000 and np.allclose(got, knn_by_hand(x, 3))
+
+
+def test_resampling_with_text_keys(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i}", "a" if i < 60 else "b", float(rng.normal()), float(rng.normal())) for i in range(80)]
+    df = spark.createDataFrame(rows, "id string, y string, u double, v double")
+    grown = resample.smote(df, "y", ["u", "v"], "id")
+    assert {r["y"]: r["count"] for r in grown.groupBy("y").count().collect()} == {"a": 60, "b": 60}
+    assert grown.filter("NOT synthetic").count() == 80 and set(grown.select("id").distinct().toPandas()["id"]) <= {r[0] for r in rows}
+    cleaned = resample.edited_nearest_neighbours(df, "y", ["u", "v"], "id")
+    numbers = resample.edited_nearest_neighbours(df.withColumn("id", F.substring("id", 2, 9).cast("long")), "y", ["u", "v"], "id")
+    assert cleaned.columns == df.columns and 20 <= cleaned.count() <= 80 and numbers.count() > 20
+    assert resample.smote_enn(df, "y", ["u", "v"], "id").count() > 60
