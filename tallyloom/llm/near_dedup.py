@@ -24,12 +24,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.shingles import mixed, seeds, shingle_sets
-from tallyloom.llm.tables import checkpointed, columns_of, ordered, whole
+from tallyloom.llm.tables import byte_blocks, checkpointed, columns_of, ordered, whole
 
 WIDTH, BANDS, ROWS, PERCENT = 5, 36, 7, 85
 #: Buckets of up to so many nodes are compared pair by pair.
@@ -73,14 +74,19 @@ def band_keys(shingles: np.ndarray, bands: int, rows: int, salts: np.ndarray) ->
     return mixed((mixed(own) * factors).sum(axis=1, dtype=np.uint64) + seeds(bands, 43))
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch (id, text) in blocks of bounded bytes: hashing takes many times the memory of the texts."""
+    for a, b in byte_blocks(pc.binary_length(batch.column(1)).to_pylist(), _BATCH):
+        yield batch.slice(a, b - a)
+
+
 def shingle_rows(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """(id, n, low, high, bands) of (id, text): the size of the set, two sums that name it, its band keys."""
     salts = seeds(2 * bands * rows, 47)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(at, _BATCH)
+            for part in _blocks(batch):
                 sets = shingle_sets(part.column(1).cast(pa.binary()).to_pylist(), width)
                 low = np.array([mixed(x + _LOW).sum(dtype=np.uint64) for x in sets], dtype=np.uint64)
                 high = np.array([np.bitwise_xor.reduce(mixed(x ^ _HIGH)) if len(x) else 0 for x in sets], dtype=np.uint64)
@@ -98,8 +104,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(at, _BATCH)
+            for part in _blocks(batch):
                 sets = shingle_sets(part.column(1).cast(pa.binary()).to_pylist(), width)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(x) for x in sets], pa.int64()),

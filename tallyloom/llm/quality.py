@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.logistic import Logistic, fit
 from tallyloom.llm.shingles import seeds, words
-from tallyloom.llm.tables import checkpointed, columns_of, ordered, stored, whole
+from tallyloom.llm.tables import byte_blocks, checkpointed, columns_of, ordered, stored, whole
 
 #: Labelled rows that the classifier is fitted on at most.
 MAX_ROWS = 20_000
@@ -71,7 +71,7 @@ def features(texts: list[bytes]) -> np.ndarray:
 def _feature_rows(rows: DataFrame) -> DataFrame:
     @F.pandas_udf("array<double>")
     def make(text: pd.Series) -> pd.Series:
-        parts = [features([t.encode() for t in text[k : k + _BATCH]]) for k in range(0, len(text), _BATCH)]
+        parts = [features([t.encode() for t in text[a:b]]) for a, b in byte_blocks(list(map(len, text)), _BATCH)]
         return pd.Series([list(r) for p in parts for r in p])
 
     return rows.withColumn("x", make("text"))
@@ -97,7 +97,7 @@ def evidence(model: Logistic, text: Column) -> Column:
     @F.pandas_udf("double")
     def judge(text: pd.Series) -> pd.Series:
         texts = text.tolist()
-        parts = [model.log_odds(features([t.encode() for t in texts[k : k + _BATCH]])) for k in range(0, len(texts), _BATCH)]
+        parts = [model.log_odds(features([t.encode() for t in texts[a:b]])) for a, b in byte_blocks(list(map(len, texts)), _BATCH)]
         return pd.Series(np.concatenate(parts) - model.base if parts else [], dtype="float64")
 
     return judge(F.coalesce(text, F.lit("")))

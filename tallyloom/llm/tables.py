@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.session import checkpointed, scratch_path
 
-__all__ = ["checkpointed", "columns_of", "ordered", "scratch_path", "stored", "whole"]
+__all__ = ["byte_blocks", "checkpointed", "columns_of", "ordered", "scratch_path", "stored", "whole"]
 
 
 def whole(column: str) -> Column:
@@ -30,3 +32,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def byte_blocks(sizes: Sequence[int], rows: int, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(from, to) of blocks of up to `rows` texts and `most` bytes; a longer text is a block of its own."""
+    at = held = 0
+    for i, size in enumerate(sizes):
+        if i > at and (i - at >= rows or held + size > most):
+            yield at, i
+            at, held = i, 0
+        held += size
+    if at < len(sizes):
+        yield at, len(sizes)
