@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import ChainMap
+from collections.abc import Iterable, Iterator
 import re
 from dataclasses import dataclass, field
 
@@ -35,6 +36,8 @@ MAX_ROWS = 20_000
 SUPPORT, RATIO, LEAST, IGNORED = 4, 30.0, 0.4, 0.35
 STEM = 4
 WINDOW = 8
+#: Rows of learned contexts that a task holds before it hands them on; Spark joins equal ones of several frames.
+HELD_ROWS = 50_000
 #: Features of a text.
 WIDTH = 6
 
@@ -121,12 +124,23 @@ def learn_terms(counts: pd.DataFrame, all_toxic: int, all_other: int) -> dict[st
     return terms
 
 
+def _frames(found: Iterable[list[tuple]], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows found in each text, without copies among those that are held at a time."""
+    held: set[tuple] = set()
+    for rows in found:
+        for at in range(0, len(rows), HELD_ROWS):
+            held.update(rows[at : at + HELD_ROWS])
+            if len(held) >= HELD_ROWS:
+                yield pd.DataFrame(list(held), columns=columns)
+                held.clear()
+    yield pd.DataFrame(list(held), columns=columns)
+
+
 def _candidates(rows: DataFrame) -> DataFrame:
     """(term, stem, context, toxic) of the training rows (text, label): one context of each term of a row, each once."""
 
     def make(batches):
         for batch in batches:
-            out = set()
             for text, label in zip(batch["text"], batch["label"]):
                 contexts: dict[tuple[str, bool], str] = {}
                 before = ""
@@ -136,10 +150,12 @@ def _candidates(rows: DataFrame) -> DataFrame:
                             if contexts.get(key, "\uffff") > before:
                                 contexts[key] = before
                         before = word
-                out.update((t, stem, c, label) for (t, stem), c in contexts.items())
-            yield pd.DataFrame(list(out), columns=["term", "stem", "context", "toxic"])
+                yield [(t, stem, c, label) for (t, stem), c in contexts.items()]
 
-    return rows.mapInPandas(make, "term string, stem boolean, context string, toxic int").distinct()
+    def frames(batches):
+        return _frames(make(batches), ["term", "stem", "context", "toxic"])
+
+    return rows.mapInPandas(frames, "term string, stem boolean, context string, toxic int").distinct()
 
 
 def matcher(terms: dict[str, tuple]) -> Matcher:
@@ -152,7 +168,6 @@ def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[s
     def find(batches):
         own = matcher(terms)
         for batch in batches:
-            out = set()
             for text, label in zip(batch["text"], batch["label"]):
                 contexts: dict[tuple[str, str], str] = {}
                 before = ""
@@ -161,10 +176,12 @@ def _misspelled(rows: DataFrame, terms: dict[str, tuple[float, bool]]) -> dict[s
                         if edits and contexts.get((term, form), "\uffff") > before:
                             contexts[term, form] = before
                     before = next(reversed(words_of(chunk)), before)
-                out.update((t, w, c, label) for (t, w), c in contexts.items())
-            yield pd.DataFrame(list(out), columns=["term", "word", "context", "toxic"])
+                yield [(t, w, c, label) for (t, w), c in contexts.items()]
+
+    def frames(batches):
+        return _frames(find(batches), ["term", "word", "context", "toxic"])
 
-    found = rows.mapInPandas(find, "term string, word string, context string, toxic int").distinct().groupBy("term", "word")
+    found = rows.mapInPandas(frames, "term string, word string, context string, toxic int").distinct().groupBy("term", "word")
     found = found.agg(F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("other"))
     return {r["word"]: (r["term"], r["toxic"], r["other"]) for r in found.collect()}
 

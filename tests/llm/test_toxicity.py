@@ -152,3 +152,23 @@ def test_many_weak_hits_and_long_pieces_have_no_switch():
     reader = toxicity.Reader(lexicon)
     unspaced = "日本" * 200 + "idiot" + "語" * 100
     assert reader.features(unspaced) == reader.features(unspaced) and all(len(c) <= toxicity.HELD for c in reader.known)
+
+
+def test_tasks_hold_a_bounded_number_of_contexts(spark):
+    """However many texts a batch has, a frame holds few rows; the frames together are the contexts of all texts."""
+
+    class Rows:
+        def mapInPandas(self, make, schema):
+            self.make = make
+            return self
+
+        def distinct(self):
+            return self
+
+    rows = [(" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}word" for j in range(300)), i % 2) for i in range(200)]
+    batch = toxicity.pd.DataFrame(rows, columns=["text", "label"])
+    frames = list(toxicity._candidates(Rows()).make(iter([batch])))
+    got = {tuple(r) for f in frames for r in f.itertuples(index=False)}
+    assert max(map(len, frames)) <= 100_000 and sum(map(len, frames)) > 200_000
+    found = toxicity._candidates(spark.createDataFrame(rows, "text string, label int")).collect()
+    assert len(found) == len(got) and {tuple(r) for r in found} == got
