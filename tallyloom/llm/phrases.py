@@ -1,17 +1,13 @@
-"""Phrase collocations by SON partitioning: shards are mined completely, the union of their phrases is counted exactly.
+"""Phrase collocations by counts of shards: shards count all their phrases, and those frequent in total are counted by text.
 
-Texts are dealt to shards that fit a task, of about one size. Each shard mines all phrases it holds as often as the support
-divided by the number of shards, or more: a phrase that is rarer in every shard cannot reach `support` in all of them. The
-union of these phrases are the candidates, less those that cannot reach it even if every other shard held them just below its
-own threshold. A second pass over all shards counts the candidates exactly, by their text. The thresholds that were used are
-added up: should they leave room for a phrase that every shard overlooked, because there were more shards than planned, all
-phrases of that language are counted.
+Texts are dealt to shards that fit a task, of about one size. Each shard counts the phrases it holds and sends their hashes
+and counts, in order of the hash and packed by ranges of hashes; the shards' counts of a range are summed, and the phrases
+that reach `support` are the candidates. No shard leaves out what is rare in it, so what is sent grows with the text and not
+with the number of shards. A last pass over all shards counts the candidates exactly, by their text.
 
-Both passes are run for words, for pairs, and for longer phrases, so that each round need only look at phrases whose parts
+The first pass is run for words, for pairs, and for longer phrases, so that each round need only look at phrases whose parts
 were frequent in the one before. What a pass must know of earlier ones is a bit table of `BITS` bits, whatever the size of
-the data; its false hits are counted like candidates and fall below the support. Where shards are so many that a threshold
-is 1, a shard says nothing about its language, and all phrases of frequent parts are counted: the work stays in proportion
-to the text, and the results are the same.
+the data; its false hits are counted like candidates and fall below the support.
 
 Words within a shard are told apart by 64-bit hashes; between shards phrases are compared by their text.
 """
@@ -33,8 +29,10 @@ from tallyloom.llm.tables import columns_of, stored, whole
 
 #: Bytes of text in a shard, from half to one and a half times as many; a task mines one shard at a time.
 SHARD = 40 << 20
-#: Bits of a table of phrases (16 MB), and of the part of it that one row carries.
-BITS, _CHUNK = 27, 15
+#: Bits of a table of phrases (16 MB), and of the number of one of its parts. A row carries phrases of one part.
+BITS, PARTS = 27, 10
+#: Bytes of a phrase's hash that are sent beside its part; what they confuse is counted like candidates.
+SENT = 5
 #: Lengths of the phrases that are mined in one round.
 ROUNDS = ((1,), (2,), (3, 4))
 
@@ -45,22 +43,20 @@ _GAPS[[9, 32]] = True
 _GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTOR = seeds(1, 53)[0] | np.uint64(1)
-_LOCAL = 24
-_LOW = np.uint64((1 << _LOCAL) - 1)
 #: Hashes that are worked on at a time, so that intermediate arrays stay small beside a shard's own.
 _SLICE = 1 << 19
-#: Parts in which the phrases of a shard are sorted and counted, one after the other.
-_CLASSES = 8
+#: Bits of the classes, of adjoining hashes, in which the phrases of a shard are sorted and counted, one after the other.
+_CLASS = 3
 
 
 class _Shard:
-    """The words of some texts of one language: hashes, places, and whether a word follows the one before it in a piece.
+    """The words of some texts of one language: hashes that other languages don't share, places, and whether a word follows the one before it in a piece.
 
     The texts end in line feeds. `places` keeps where words begin, and the texts, which only the phrases' texts need.
     """
 
     def __init__(self, lang: str, text: bytes | bytearray, places: bool = True):
-        self.salt = np.uint64(hash_text(lang))
+        salt = np.uint64(hash_text(lang))
         # Room for all words there can be; only what is written takes memory.
         most = len(text) // 2 + 1
         words, joined = np.empty(most, dtype=np.uint64), np.empty(most, dtype=bool)
@@ -76,7 +72,7 @@ class _Shard:
                 piece = broken[start].astype(np.int64) + breaks
                 joined[n : n + len(own)] = np.diff(piece, prepend=last) == 0
                 last = int(piece[-1])
-                words[n : n + len(own)] = own
+                words[n : n + len(own)] = own ^ salt
                 if places:
                     starts[n : n + len(own)] = start + at
                 n += len(own)
@@ -85,10 +81,6 @@ class _Shard:
         self.words, self.joined, self.start = words[:n], joined[:n], starts[:n]
         self.text = text if places else b""
 
-    def keys(self, grams: np.ndarray) -> np.ndarray:
-        """What the tables of all languages know a phrase by."""
-        return mixed(grams ^ self.salt)
-
     def grams(self, size: int, at: int, end: int) -> np.ndarray:
         """Hashes of the phrases of `size` words that begin at the words from `at` to `end`."""
         out = self.words[at:end]
@@ -123,13 +115,17 @@ def _both(shorter: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
     return marked & joined[1:] if size == 2 else marked
 
 
+def _class(hashes: np.ndarray, c: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - _CLASS) == c
+
+
 def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(class, distinct hashes in order, their counts) of the marked phrases, class by class."""
-    for c in range(_CLASSES):
+    for c in range(1 << _CLASS):
         parts = [np.empty(0, np.uint64)]
         for at, end in shard.slices(size):
             own = shard.grams(size, at, end)[marks[at:end]]
-            parts.append(own[own % np.uint64(_CLASSES) == c])
+            parts.append(own[_class(own, c)])
         keys = np.concatenate(parts)
         parts.clear()
         keys.sort()
@@ -151,14 +147,14 @@ def _start_of_round(shard: _Shard, sizes: tuple[int, ...], known: np.ndarray | N
     for k in range(1, size):
         marks &= shard.joined[k : k + len(marks)]
     if size:
-        _keep(shard, size, marks, lambda own: _held(known, shard.keys(own)))
+        _keep(shard, size, marks, lambda own: _held(known, own))
     return marks
 
 
 def _held(table: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     if table is None:
         return np.ones(len(keys), dtype=bool)
-    at = keys & np.uint64((1 << BITS) - 1)
+    at = keys >> np.uint64(64 - BITS)
     return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
@@ -195,67 +191,69 @@ def local_support(support: int, shards: int) -> int:
     return (support - 1) // shards + 1
 
 
-def _mine(least: int, support: int, shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
-    """First pass: (lang, key, gain) of all phrases a shard holds often enough; a key of NULL carries the threshold less 1."""
+def _mine(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
+    """First pass: (part, hashes, counts) of all phrases in a shard whose parts are known."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
         for lang, text in _shards(batches, shard_bytes):
-            yield _gains(lang, None, np.array([least - 1]))
-            if least == 1:
-                continue
             shard = _Shard(lang, text, places=False)
             del text
             marks = _start_of_round(shard, sizes, table)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
-                local = np.zeros(1 << _LOCAL, dtype=bool)
                 for _, distinct, counts in _counted(shard, size, marks):
-                    often = counts >= least
-                    distinct, gains = distinct[often], counts[often] - least + 1
-                    local[(distinct & _LOW).astype(np.int64)] = True
-                    for at in range(0, len(distinct), 20_000):
-                        yield _gains(lang, shard.keys(distinct[at : at + 20_000]), gains[at : at + 20_000])
-                _keep(shard, size, marks, lambda own: local[(own & _LOW).astype(np.int64)])
+                    yield _packed(distinct, counts)
 
     return mine
 
 
-def _unfiltered(lang: str) -> np.ndarray:
-    """The key that says that all phrases of a language are candidates."""
-    return mixed(np.array([hash_text(lang) ^ 0x5555], dtype=np.uint64))
-
-
-def _unfiltered_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lang in batch.column(0).to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(_unfiltered(lang).view(np.int64))], ["key"])
-
-
-def _gains(lang: str, keys: np.ndarray | None, gains: np.ndarray) -> pa.RecordBatch:
-    n = len(gains)
-    own = pa.nulls(n, pa.int64()) if keys is None else pa.array(keys.view(np.int64))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), own, pa.array(gains, pa.int64())], ["lang", "key", "gain"])
-
-
-def _count(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None, candidates: Broadcast) -> Callable:
+def _packed(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A row for each part, of hashes in order: `SENT` bytes of each after the part's bits, and 4 bytes of each count."""
+    part = (hashes >> np.uint64(64 - PARTS)).astype(np.int32)
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=np.int32(-1))), len(part)).tolist()
+    sent = np.ascontiguousarray((hashes >> np.uint64(64 - PARTS - 8 * SENT)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT])
+    most = np.minimum(counts, (1 << 32) - 1).astype("<u4")
+    rows = [(int(part[a]), sent[a:b].tobytes(), most[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 3, kinds)], ["part", "hashes", "counts"])
+
+
+def _summed(support: int) -> Callable[[pa.Table], pa.Table]:
+    """(part, bits): the bits of the table that stand for the phrases of a part whose counts add up to the support."""
+    def summed(rows: pa.Table) -> pa.Table:
+        sent = np.frombuffer(b"".join(rows["hashes"].to_pylist()), dtype=np.uint8).reshape(-1, SENT)
+        hashes = np.zeros((len(sent), 8), dtype=np.uint8)
+        hashes[:, :SENT] = sent
+        hashes = hashes.reshape(-1).view("<u8")
+        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), dtype="<u4")
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        often = hashes[first[np.add.reduceat(counts, first, dtype=np.int64) >= support]]
+        bits = np.zeros(1 << BITS - PARTS, dtype=np.uint8)
+        bits[(often >> np.uint64(PARTS + 8 * SENT - BITS)).astype(np.int64)] = 1
+        made = [np.packbits(bits, bitorder="little").tobytes()] if len(often) else []
+        return pa.table({"part": rows["part"][: len(made)].cast(pa.int32()), "bits": pa.array(made, pa.binary())})
+
+    return summed
+
+
+def _count(shard_bytes: int, sizes: tuple[int, ...], candidates: Broadcast) -> Callable:
     """Second pass: (lang, size, phrase, count) of all candidates in a shard; size 0 counts the words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, wanted = known.value if known is not None else None, candidates.value
+        wanted = candidates.value
         for lang, text in _shards(batches, shard_bytes):
             shard = _Shard(lang, text)
-            everything = bool(_held(wanted, _unfiltered(lang))[0])
-            if sizes[0] == 1:
-                yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
-            marks = _start_of_round(shard, sizes, table)
+            yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
+            marks = _start_of_round(shard, sizes, None)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
-                if not everything:
-                    _keep(shard, size, marks, lambda own: _held(wanted, shard.keys(own)))
+                _keep(shard, size, marks, lambda own: _held(wanted, own))
                 for c, distinct, counts in _counted(shard, size, marks):
                     first = np.empty(len(distinct), dtype=np.int64)
                     for at, end in shard.slices(size):
                         own = shard.grams(size, at, end)
-                        place = np.flatnonzero(marks[at:end] & (own % np.uint64(_CLASSES) == c))
+                        place = np.flatnonzero(marks[at:end] & _class(own, c))
                         first[np.searchsorted(distinct, own[place])] = place + at
                     for at in range(0, len(distinct), 20_000):
                         part = slice(at, at + 20_000)
@@ -271,45 +269,6 @@ def _phrases(lang: str, size: int, texts: list[str], counts: np.ndarray) -> pa.R
         ["lang", "size", "phrase", "count"])
 
 
-def _pack(batches: Iterator) -> Iterator:
-    for frame in batches:
-        made = []
-        for bits in frame["bits"]:
-            row = np.zeros(1 << _CHUNK, dtype=np.uint8)
-            row[np.asarray(bits)] = 1
-            made.append(np.packbits(row, bitorder="little").tobytes())
-        yield frame[["chunk"]].assign(bits=made)
-
-
-def _bit_table(keys: DataFrame) -> Broadcast:
-    """A table of 2**BITS bits with those of the keys set, for every task."""
-    low = F.col("key").bitwiseAND((1 << BITS) - 1)
-    sets = keys.groupBy(F.shiftright(low, _CHUNK).cast("int").alias("chunk")).agg(
-        F.collect_set(low.bitwiseAND((1 << _CHUNK) - 1).cast("int")).alias("bits"))
-    table = np.zeros(1 << BITS - 3, dtype=np.uint8)
-    step = 1 << _CHUNK - 3
-    for row in sets.mapInPandas(_pack, "chunk int, bits binary").toLocalIterator():
-        table[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(table)
-
-
-def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys of frequent phrases, computed as the shards compute them."""
-    for batch in batches:
-        langs, texts = (batch.column(k).to_pylist() for k in range(2))
-        out = []
-        for lang in set(langs):
-            own = [t for x, t in zip(langs, texts) if x == lang]
-            shard = _Shard(lang, "\n".join(own).encode(), places=False)
-            size = texts_size(own[0])
-            out.append(shard.keys(shard.grams(size, 0, len(shard.words) - size + 1)[::size]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["key"])
-
-
-def texts_size(phrase: str) -> int:
-    return phrase.count(" ") + 1
-
-
 def frequent_phrases(
     docs: DataFrame, support: int = 30, lang_col: str = "lang", text_col: str = "text", shard_bytes: int = SHARD,
 ) -> DataFrame:
@@ -322,28 +281,18 @@ def frequent_phrases(
     # The scan's partitions are joined until one fills a shard; larger ones hold several.
     shards = max(1, -(-total // shard_bytes))
     texts = texts.coalesce(shards)
-    least = local_support(support, shards + shards // 4)
-
-    found, known = [], None
+    table = np.zeros(1 << BITS - 3, dtype=np.uint8)
+    step = 1 << BITS - PARTS - 3
+    known = None
     for round_ in ROUNDS:
-        gains = texts.mapInArrow(_mine(least, support, shard_bytes, round_, known), "lang string, key long, gain long")
-        gains = stored(gains.groupBy("lang", "key").agg(F.sum("gain").alias("gain")), "gains")
-        slack = gains.filter("key is null").select("lang", F.col("gain").alias("slack"))
-        wanted = gains.filter("key is not null").join(slack, "lang").filter(F.col("gain") + F.col("slack") >= support).select("key")
-        # Shards that could all have overlooked a phrase, or have no threshold: everything is a candidate.
-        open_ = slack.filter((F.col("slack") >= support) | F.lit(least == 1)).select("lang").mapInArrow(_unfiltered_keys, "key long")
-        wanted = wanted.unionByName(open_)
-        counts = texts.mapInArrow(
-            _count(shard_bytes, round_, known, _bit_table(wanted)), "lang string, size tinyint, phrase string, count long")
-        counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
-        found.append(stored(counts.filter((F.col("count") >= support) | (F.col("size") == 0)), "frequent"))
-        if round_ is not ROUNDS[-1]:
-            last = found[-1].filter(F.col("size") == round_[-1])
-            known = _bit_table(last.select("lang", "phrase").mapInArrow(_keys_of, "key long"))
-    out = found[0]
-    for frame in found[1:]:
-        out = out.unionByName(frame)
-    return out
+        sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, hashes binary, counts binary")
+        for row in sent.groupBy("part").applyInArrow(_summed(support), "part int, bits binary").collect():
+            table[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row["bits"], dtype=np.uint8)
+        known = docs.sparkSession.sparkContext.broadcast(table.copy())
+    sizes = tuple(size for round_ in ROUNDS for size in round_)
+    counts = texts.mapInArrow(_count(shard_bytes, sizes, known), "lang string, size tinyint, phrase string, count long")
+    counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
+    return stored(counts.filter((F.col("count") >= support) | (F.col("size") == 0)), "frequent")
 
 
 def collocations(

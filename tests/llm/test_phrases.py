@@ -102,3 +102,29 @@ def test_words_of_long_texts_do_not_depend_on_blocks(monkeypatch):
 
 def test_empty_table(spark):
     assert phrases.collocations(documents(spark, [])).count() == 0
+
+
+def test_what_shards_send_grows_with_the_text(spark, monkeypatch):
+    """Five times the text makes five times the shards; none of them sends more for there being others."""
+    sent = []
+    own = phrases._mine
+
+    def watched(*args):
+        mine, made = own(*args), sent[-1]
+
+        def run(batches):
+            for batch in mine(batches):
+                made.add(batch.nbytes)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(phrases, "_mine", watched)
+    for n in (20, 100):
+        random.seed(6)
+        rows = [(i, " ".join(random.choice(["aaa", "bbb", "ccc", "ddd"]) for _ in range(100)), "s", "en") for i in range(n)]
+        sent.append(spark.sparkContext.accumulator(0))
+        got = phrases.frequent_phrases(documents(spark, rows).repartition(10), support=30, shard_bytes=4000).collect()
+        counts = Counter(" ".join(w[i : i + k]) for _, t, _, _ in rows for w in [t.split()] for k in range(1, 5) for i in range(len(w) - k + 1))
+        assert {r["phrase"]: r["count"] for r in got if r["size"]} == {p: c for p, c in counts.items() if c >= 30}
+    assert 0 < sent[1].value <= 7 * sent[0].value
