@@ -1,15 +1,19 @@
-"""Phrase collocations by counts of shards: shards count all their phrases, and those frequent in total are counted by text.
+"""Phrase collocations by counts of shards: shards count all their phrases, and one of few sends the text of a frequent one.
 
 Texts are dealt to shards that fit a task, of about one size. Each shard counts the phrases it holds and sends their hashes
 and counts, in order of the hash and packed by ranges of hashes; the shards' counts of a range are summed, and the phrases
-that reach `support` are the candidates. No shard leaves out what is rare in it, so what is sent grows with the text and not
-with the number of shards. A last pass over all shards counts the candidates exactly, by their text.
+that reach `support` are kept. No shard leaves out what is rare in it, so what is sent grows with the text and not with the
+number of shards.
 
-The first pass is run for words, for pairs, and for longer phrases, so that each round need only look at phrases whose parts
-were frequent in the one before. What a pass must know of earlier ones is a bit table of `BITS` bits, whatever the size of
-the data; its false hits are counted like candidates and fall below the support.
+This is done for words, for pairs, and for longer phrases, so that each round need only look at phrases whose parts were
+frequent in the one before. What a pass must know of earlier ones is a bit table of `BITS` bits, whatever the size of the
+data; its false hits are counted like others and fall below the support.
 
-Words within a shard are told apart by 64-bit hashes; between shards phrases are compared by their text.
+A shard sends with each phrase a byte for the words around one of its occurrences. The sum of a frequent phrase keeps one of
+these bytes, and a last pass sends the texts of phrases that stand among such words: an occurrence does so for certain, and
+few others do. It depends on the text alone, however texts are dealt to shards in that pass.
+
+Phrases are told apart by 64-bit hashes, which differ between languages.
 """
 
 from __future__ import annotations
@@ -31,8 +35,6 @@ from tallyloom.llm.tables import columns_of, stored, whole
 SHARD = 40 << 20
 #: Bits of a table of phrases (16 MB), and of the number of one of its parts. A row carries phrases of one part.
 BITS, PARTS = 27, 10
-#: Bytes of a phrase's hash that are sent beside its part; what they confuse is counted like candidates.
-SENT = 5
 #: Lengths of the phrases that are mined in one round.
 ROUNDS = ((1,), (2,), (3, 4))
 
@@ -88,6 +90,13 @@ class _Shard:
             out = mixed(out * _FACTOR + self.words[at + k : end + k])
         return out
 
+    def around(self, size: int, at: int, end: int) -> np.ndarray:
+        """A byte for the words before and after these phrases in their piece."""
+        before = self.words[max(0, at - 1) : end - 1] if at else np.append(np.uint64(0), self.words[: end - 1])
+        after = self.words[at + size : end + size] * self.joined[at + size : end + size]
+        after = np.append(after, np.zeros(end - at - len(after), dtype=np.uint64))
+        return (mixed(before * self.joined[at:end] * _FACTOR + after) >> np.uint64(56)).astype(np.uint8)
+
     def slices(self, size: int) -> Iterator[tuple[int, int]]:
         """The places of phrases of `size` words, a slice at a time."""
         n = max(0, len(self.words) - size + 1)
@@ -115,22 +124,24 @@ def _both(shorter: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
     return marked & joined[1:] if size == 2 else marked
 
 
-def _class(hashes: np.ndarray, c: int) -> np.ndarray:
-    return hashes >> np.uint64(64 - _CLASS) == c
-
-
-def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(class, distinct hashes in order, their counts) of the marked phrases, class by class."""
+def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(distinct hashes in order, their counts, the words around one occurrence) of the marked phrases, class by class."""
+    around = np.concatenate([np.empty(0, np.uint8), *(shard.around(size, at, end) for at, end in shard.slices(size))])
     for c in range(1 << _CLASS):
-        parts = [np.empty(0, np.uint64)]
+        parts, beside = [np.empty(0, np.uint64)], [np.empty(0, np.uint8)]
         for at, end in shard.slices(size):
-            own = shard.grams(size, at, end)[marks[at:end]]
-            parts.append(own[_class(own, c)])
-        keys = np.concatenate(parts)
+            own = shard.grams(size, at, end)
+            mine = marks[at:end] & (own >> np.uint64(64 - _CLASS) == c)
+            parts.append(own[mine])
+            beside.append(around[at:end][mine])
+        hashes = np.concatenate(parts)
         parts.clear()
-        keys.sort()
+        keys = np.sort(hashes)
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        yield c, keys[first], np.diff(np.append(first, len(keys)))
+        distinct = keys[first]
+        one = np.empty(len(distinct), dtype=np.uint8)
+        one[np.searchsorted(distinct, hashes)] = np.concatenate(beside)
+        yield distinct, np.diff(np.append(first, len(keys))), one
 
 
 def _keep(shard: _Shard, size: int, marks: np.ndarray, test: Callable[[np.ndarray], np.ndarray]) -> None:
@@ -187,12 +198,13 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
 
 
 def local_support(support: int, shards: int) -> int:
-    """The least count in one of so many shards that a phrase of `support` must reach in one of them at least."""
+    """The least count in one of so many shards that a phrase of `support` must reach in one of them at least; no query
+    cuts by it."""
     return (support - 1) // shards + 1
 
 
 def _mine(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
-    """First pass: (part, hashes, counts) of all phrases in a shard whose parts are known."""
+    """(part, hashes, counts, around) of all phrases in a shard whose parts are known."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
         for lang, text in _shards(batches, shard_bytes):
@@ -201,72 +213,103 @@ def _mine(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) ->
             marks = _start_of_round(shard, sizes, table)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
-                for _, distinct, counts in _counted(shard, size, marks):
-                    yield _packed(distinct, counts)
+                for own in _counted(shard, size, marks):
+                    yield _packed(*own)
 
     return mine
 
 
-def _packed(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    """A row for each part, of hashes in order: `SENT` bytes of each after the part's bits, and 4 bytes of each count."""
+def _packed(hashes: np.ndarray, counts: np.ndarray, around: np.ndarray) -> pa.RecordBatch:
+    """A row for each part, of hashes in order: 7 bytes of each, as the part has the rest, 4 of each count and 1 for the words around."""
     part = (hashes >> np.uint64(64 - PARTS)).astype(np.int32)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=np.int32(-1))), len(part)).tolist()
-    sent = np.ascontiguousarray((hashes >> np.uint64(64 - PARTS - 8 * SENT)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT])
+    low = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
     most = np.minimum(counts, (1 << 32) - 1).astype("<u4")
-    rows = [(int(part[a]), sent[a:b].tobytes(), most[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-    kinds = (pa.int32(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 3, kinds)], ["part", "hashes", "counts"])
+    rows = [(int(part[a]), low[a:b].tobytes(), most[a:b].tobytes(), around[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)], ["part", "hashes", "counts", "around"])
+
+
+def _choices(hashes: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Numbers of phrases among certain words, in the part of the phrase."""
+    low = np.uint64((1 << 64 - PARTS) - 1)
+    return hashes & ~low | mixed(hashes * _FACTOR + around) & low
+
+
+def _bits(keys: np.ndarray) -> bytes:
+    """The bits of the table that stand for keys of one part."""
+    bits = np.zeros(1 << BITS - PARTS, dtype=np.uint8)
+    bits[(keys >> np.uint64(64 - BITS)).astype(np.int64) & (1 << BITS - PARTS) - 1] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+_SUMS = "part int, known binary, chosen binary, key long, count long"
 
 
 def _summed(support: int) -> Callable[[pa.Table], pa.Table]:
-    """(part, bits): the bits of the table that stand for the phrases of a part whose counts add up to the support."""
+    """Rows `_SUMS` of a part: (key, count) of the phrases whose counts add up to the support, and one row of table bits for them and for
+    the words around one occurrence of each."""
     def summed(rows: pa.Table) -> pa.Table:
-        sent = np.frombuffer(b"".join(rows["hashes"].to_pylist()), dtype=np.uint8).reshape(-1, SENT)
-        hashes = np.zeros((len(sent), 8), dtype=np.uint8)
-        hashes[:, :SENT] = sent
-        hashes = hashes.reshape(-1).view("<u8")
-        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), dtype="<u4")
+        part = rows["part"][0].as_py()
+        low, counts, around = (np.frombuffer(b"".join(rows[c].to_pylist()), dtype=k) for c, k in (("hashes", "u1"), ("counts", "<u4"), ("around", "u1")))
+        hashes = np.zeros((len(counts), 8), dtype=np.uint8)
+        hashes[:, :7] = low.reshape(-1, 7)
+        top = np.uint64(part << 64 - PARTS)
+        hashes = hashes.reshape(-1).view("<u8").astype(np.uint64) | top
         order = np.argsort(hashes, kind="stable")
-        hashes, counts = hashes[order], counts[order]
+        hashes = hashes[order]
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        often = hashes[first[np.add.reduceat(counts, first, dtype=np.int64) >= support]]
-        bits = np.zeros(1 << BITS - PARTS, dtype=np.uint8)
-        bits[(often >> np.uint64(PARTS + 8 * SENT - BITS)).astype(np.int64)] = 1
-        made = [np.packbits(bits, bitorder="little").tobytes()] if len(often) else []
-        return pa.table({"part": rows["part"][: len(made)].cast(pa.int32()), "bits": pa.array(made, pa.binary())})
+        sums = np.add.reduceat(counts[order], first, dtype=np.int64)
+        often = sums >= support
+        keys, sums, one = hashes[first][often], sums[often], around[order][first][often]
+        n = len(keys)
+        more = 1 if n else 0
+        return pa.table({
+            "part": pa.array([part] * (n + more), pa.int32()),
+            "known": pa.array([None] * n + [_bits(keys)] * more, pa.binary()),
+            "chosen": pa.array([None] * n + [_bits(_choices(keys, one))] * more, pa.binary()),
+            "key": pa.array(keys.view(np.int64).tolist() + [None] * more, pa.int64()),
+            "count": pa.array(sums.tolist() + [None] * more, pa.int64()),
+        })
 
     return summed
 
 
-def _count(shard_bytes: int, sizes: tuple[int, ...], candidates: Broadcast) -> Callable:
-    """Second pass: (lang, size, phrase, count) of all candidates in a shard; size 0 counts the words."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = candidates.value
+def _name(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast, chosen: Broadcast) -> Callable:
+    """Last pass: (lang, size, key, phrase, count) of the phrases in a shard that stand among the words that were kept; size 0
+    counts the words."""
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, choice = known.value, chosen.value
         for lang, text in _shards(batches, shard_bytes):
             shard = _Shard(lang, text)
-            yield _phrases(lang, 0, [""], np.array([len(shard.words)]))
+            yield _phrases(lang, 0, np.zeros(1, np.uint64), [""], [len(shard.words)])
             marks = _start_of_round(shard, sizes, None)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
-                _keep(shard, size, marks, lambda own: _held(wanted, own))
-                for c, distinct, counts in _counted(shard, size, marks):
-                    first = np.empty(len(distinct), dtype=np.int64)
-                    for at, end in shard.slices(size):
-                        own = shard.grams(size, at, end)
-                        place = np.flatnonzero(marks[at:end] & _class(own, c))
-                        first[np.searchsorted(distinct, own[place])] = place + at
-                    for at in range(0, len(distinct), 20_000):
-                        part = slice(at, at + 20_000)
-                        yield _phrases(lang, size, [shard.phrase(i, size) for i in first[part].tolist()], counts[part])
-
-    return count
-
-
-def _phrases(lang: str, size: int, texts: list[str], counts: np.ndarray) -> pa.RecordBatch:
+                keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                for at, end in shard.slices(size):
+                    own = shard.grams(size, at, end)
+                    part = marks[at:end]
+                    part[part] = _held(table, own[part])
+                    place = np.flatnonzero(part)
+                    place = place[_held(choice, _choices(own[place], shard.around(size, at, end)[place]))]
+                    keys.append(own[place])
+                    places.append(place + at)
+                distinct, first = np.unique(np.concatenate(keys), return_index=True)
+                first = np.concatenate(places)[first]
+                for at in range(0, len(distinct), 20_000):
+                    part = slice(at, at + 20_000)
+                    yield _phrases(lang, size, distinct[part], [shard.phrase(i, size) for i in first[part].tolist()], [None] * len(first[part]))
+
+    return name
+
+
+def _phrases(lang: str, size: int, keys: np.ndarray, texts: list[str], counts: list[int | None]) -> pa.RecordBatch:
     n = len(texts)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int8()), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
-        ["lang", "size", "phrase", "count"])
+        [pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int8()), pa.array(keys.view(np.int64)), pa.array(texts, pa.string()),
+         pa.array(counts, pa.int64())], ["lang", "size", "key", "phrase", "count"])
 
 
 def frequent_phrases(
@@ -281,18 +324,27 @@ def frequent_phrases(
     # The scan's partitions are joined until one fills a shard; larger ones hold several.
     shards = max(1, -(-total // shard_bytes))
     texts = texts.coalesce(shards)
-    table = np.zeros(1 << BITS - 3, dtype=np.uint8)
+    tables = {name: np.zeros(1 << BITS - 3, dtype=np.uint8) for name in ("known", "chosen")}
     step = 1 << BITS - PARTS - 3
-    known = None
+    context = docs.sparkSession.sparkContext
+    found, known = [], None
     for round_ in ROUNDS:
-        sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, hashes binary, counts binary")
-        for row in sent.groupBy("part").applyInArrow(_summed(support), "part int, bits binary").collect():
-            table[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row["bits"], dtype=np.uint8)
-        known = docs.sparkSession.sparkContext.broadcast(table.copy())
+        sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, hashes binary, counts binary, around binary")
+        found.append(stored(sent.groupBy("part").applyInArrow(_summed(support), _SUMS), "frequent"))
+        for row in found[-1].filter("key is null").select("part", "known", "chosen").collect():
+            for name, table in tables.items():
+                table[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row[name], dtype=np.uint8)
+        known = context.broadcast(tables["known"].copy())
     sizes = tuple(size for round_ in ROUNDS for size in round_)
-    counts = texts.mapInArrow(_count(shard_bytes, sizes, known), "lang string, size tinyint, phrase string, count long")
-    counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
-    return stored(counts.filter((F.col("count") >= support) | (F.col("size") == 0)), "frequent")
+    named = texts.mapInArrow(
+        _name(shard_bytes, sizes, known, context.broadcast(tables["chosen"])), "lang string, size tinyint, key long, phrase string, count long")
+    named = stored(named, "named")
+    sums = found[0]
+    for frame in found[1:]:
+        sums = sums.unionByName(frame)
+    out = named.filter("size > 0").drop("count").dropDuplicates(["key"]).join(sums.filter("key is not null").select("key", "count"), "key")
+    words = named.filter("size = 0").groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
+    return stored(out.select("lang", "size", "phrase", "count").unionByName(words), "phrases")
 
 
 def collocations(
