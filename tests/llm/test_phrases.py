@@ -128,3 +128,29 @@ def test_what_shards_send_grows_with_the_text(spark, monkeypatch):
         counts = Counter(" ".join(w[i : i + k]) for _, t, _, _ in rows for w in [t.split()] for k in range(1, 5) for i in range(len(w) - k + 1))
         assert {r["phrase"]: r["count"] for r in got if r["size"]} == {p: c for p, c in counts.items() if c >= 30}
     assert 0 < sent[1].value <= 7 * sent[0].value
+
+
+def test_few_shards_send_the_text_of_a_phrase(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    own = phrases._name
+
+    def watched(*args):
+        name = own(*args)
+
+        def run(batches):
+            for batch in name(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(phrases, "_name", watched)
+    random.seed(7)
+    kinds = [a + b + "x" for a in "abcde" for b in "pqrstu"]
+    rows = [(i, " ".join(random.choice(kinds) for _ in range(100)), "s", "en") for i in range(200)]
+    got = phrases.frequent_phrases(documents(spark, rows).repartition(20), support=10, shard_bytes=4000).collect()
+    counts = Counter(" ".join(w[i : i + k]) for _, t, _, _ in rows for w in [t.split()] for k in range(1, 5) for i in range(len(w) - k + 1))
+    want = {p: c for p, c in counts.items() if c >= 10}
+    assert {r["phrase"]: r["count"] for r in got if r["size"]} == want
+    # About 13 of 20 shards hold each of them.
+    assert len(want) <= made.value <= 2 * len(want)
