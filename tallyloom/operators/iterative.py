@@ -216,7 +216,7 @@ def _moves(df: DataFrame, about: Sequence[Column], rounds: Sequence) -> list[flo
         yield pa.RecordBatch.from_arrays([pa.array(range(len(rounds)), pa.int32()), pa.array(moved)], ["round", "moved"])
 
     found = df.select(cells(about).alias("x")).mapInArrow(largest, "round int, moved double")
-    return [r["m"] for r in found.groupBy("round").agg(F.max("moved").alias("m")).orderBy("round").collect()]
+    return [m for _, m in sorted(found.groupBy("round").agg(F.max("moved")).collect())]
 
 
 @dataclass(frozen=True)
