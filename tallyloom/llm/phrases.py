@@ -1,4 +1,4 @@
-"""Phrase collocations by counts of shards: shards count all their phrases, and one of few sends the text of a frequent one.
+"""Phrase collocations by counts of shards: shards count all their phrases, and one of them sends the text of a frequent one.
 
 Texts are dealt to shards that fit a task, of about one size. Each shard counts the phrases it holds and sends their hashes
 and counts, in order of the hash and packed by ranges of hashes; the shards' counts of a range are summed, and the phrases
@@ -9,9 +9,10 @@ This is done for words, for pairs, and for longer phrases, so that each round ne
 frequent in the one before. What a pass must know of earlier ones is a bit table of `BITS` bits, whatever the size of the
 data; its false hits are counted like others and fall below the support.
 
-A shard sends with each phrase a byte for the words around one of its occurrences. The sum of a frequent phrase keeps one of
-these bytes, and a last pass sends the texts of phrases that stand among such words: an occurrence does so for certain, and
-few others do. It depends on the text alone, however texts are dealt to shards in that pass.
+The sum of a frequent phrase chooses one of the shards that hold it, and a last pass sends the phrase's text from there, so
+that texts of phrases grow with their number and not with the shards that hold them. Two bit tables tell a shard what it was
+chosen for; it sends what both hold by chance as well. Where that pass finds texts dealt to other shards than before, a shard
+may not hold what it was chosen for; phrases that are left without a text are then sent by all shards that hold them.
 
 Phrases are told apart by 64-bit hashes, which differ between languages.
 """
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,13 +91,6 @@ class _Shard:
             out = mixed(out * _FACTOR + self.words[at + k : end + k])
         return out
 
-    def around(self, size: int, at: int, end: int) -> np.ndarray:
-        """A byte for the words before and after these phrases in their piece."""
-        before = self.words[max(0, at - 1) : end - 1] if at else np.append(np.uint64(0), self.words[: end - 1])
-        after = self.words[at + size : end + size] * self.joined[at + size : end + size]
-        after = np.append(after, np.zeros(end - at - len(after), dtype=np.uint64))
-        return (mixed(before * self.joined[at:end] * _FACTOR + after) >> np.uint64(56)).astype(np.uint8)
-
     def slices(self, size: int) -> Iterator[tuple[int, int]]:
         """The places of phrases of `size` words, a slice at a time."""
         n = max(0, len(self.words) - size + 1)
@@ -124,24 +118,18 @@ def _both(shorter: np.ndarray, size: int, joined: np.ndarray) -> np.ndarray:
     return marked & joined[1:] if size == 2 else marked
 
 
-def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(distinct hashes in order, their counts, the words around one occurrence) of the marked phrases, class by class."""
-    around = np.concatenate([np.empty(0, np.uint8), *(shard.around(size, at, end) for at, end in shard.slices(size))])
+def _counted(shard: _Shard, size: int, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct hashes in order, their counts) of the marked phrases, class by class."""
     for c in range(1 << _CLASS):
-        parts, beside = [np.empty(0, np.uint64)], [np.empty(0, np.uint8)]
+        parts = [np.empty(0, np.uint64)]
         for at, end in shard.slices(size):
             own = shard.grams(size, at, end)
-            mine = marks[at:end] & (own >> np.uint64(64 - _CLASS) == c)
-            parts.append(own[mine])
-            beside.append(around[at:end][mine])
-        hashes = np.concatenate(parts)
+            parts.append(own[marks[at:end] & (own >> np.uint64(64 - _CLASS) == c)])
+        keys = np.concatenate(parts)
         parts.clear()
-        keys = np.sort(hashes)
+        keys.sort()
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        distinct = keys[first]
-        one = np.empty(len(distinct), dtype=np.uint8)
-        one[np.searchsorted(distinct, hashes)] = np.concatenate(beside)
-        yield distinct, np.diff(np.append(first, len(keys))), one
+        yield keys[first], np.diff(np.append(first, len(keys)))
 
 
 def _keep(shard: _Shard, size: int, marks: np.ndarray, test: Callable[[np.ndarray], np.ndarray]) -> None:
@@ -197,6 +185,13 @@ def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
         yield lang, full.pop(lang)
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, str, bytearray]]:
+    """The shards with their numbers, which are the same in each pass that deals texts to tasks in the same way."""
+    task = TaskContext.get().partitionId() << 32
+    for i, (lang, text) in enumerate(_shards(batches, size)):
+        yield task | i, lang, text
+
+
 def local_support(support: int, shards: int) -> int:
     """The least count in one of so many shards that a phrase of `support` must reach in one of them at least; no query
     cuts by it."""
@@ -204,37 +199,37 @@ def local_support(support: int, shards: int) -> int:
 
 
 def _mine(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast | None) -> Callable:
-    """(part, hashes, counts, around) of all phrases in a shard whose parts are known."""
+    """(part, shard, hashes, counts) of all phrases in a shard whose parts are known."""
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.value if known is not None else None
-        for lang, text in _shards(batches, shard_bytes):
+        for number, lang, text in _numbered(batches, shard_bytes):
             shard = _Shard(lang, text, places=False)
             del text
             marks = _start_of_round(shard, sizes, table)
             for size in sizes:
                 marks = _both(marks, size, shard.joined)
                 for own in _counted(shard, size, marks):
-                    yield _packed(*own)
+                    yield _packed(number, *own)
 
     return mine
 
 
-def _packed(hashes: np.ndarray, counts: np.ndarray, around: np.ndarray) -> pa.RecordBatch:
-    """A row for each part, of hashes in order: 7 bytes of each, as the part has the rest, 4 of each count and 1 for the words around."""
+def _packed(shard: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A row for each part, of hashes in order: 7 bytes of each, as the part has the rest, and 4 of each count."""
     part = (hashes >> np.uint64(64 - PARTS)).astype(np.int32)
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=np.int32(-1))), len(part)).tolist()
     low = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
     most = np.minimum(counts, (1 << 32) - 1).astype("<u4")
-    rows = [(int(part[a]), low[a:b].tobytes(), most[a:b].tobytes(), around[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    rows = [(int(part[a]), shard, low[a:b].tobytes(), most[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)], ["part", "hashes", "counts", "around"])
+        [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)], ["part", "shard", "hashes", "counts"])
 
 
-def _choices(hashes: np.ndarray, around: np.ndarray) -> np.ndarray:
-    """Numbers of phrases among certain words, in the part of the phrase."""
+def _choices(hashes: np.ndarray, shards: np.ndarray | np.uint64, seed: int) -> np.ndarray:
+    """Numbers of phrases in certain shards, in the part of the phrase; another number for each seed."""
     low = np.uint64((1 << 64 - PARTS) - 1)
-    return hashes & ~low | mixed(hashes * _FACTOR + around) & low
+    return hashes & ~low | mixed((hashes + np.uint64(seed)) * _FACTOR + shards) & low
 
 
 def _bits(keys: np.ndarray) -> bytes:
@@ -244,15 +239,19 @@ def _bits(keys: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-_SUMS = "part int, known binary, chosen binary, key long, count long"
+#: Columns of table bits: phrases that are known, and twice those that a shard was chosen for.
+_TABLES = ("known", "chosen", "again")
+_SUMS = "part int, known binary, chosen binary, again binary, key long, count long"
 
 
 def _summed(support: int) -> Callable[[pa.Table], pa.Table]:
     """Rows `_SUMS` of a part: (key, count) of the phrases whose counts add up to the support, and one row of table bits for them and for
-    the words around one occurrence of each."""
+    one shard of each."""
     def summed(rows: pa.Table) -> pa.Table:
         part = rows["part"][0].as_py()
-        low, counts, around = (np.frombuffer(b"".join(rows[c].to_pylist()), dtype=k) for c, k in (("hashes", "u1"), ("counts", "<u4"), ("around", "u1")))
+        low, counts = (np.frombuffer(b"".join(rows[c].to_pylist()), dtype=k) for c, k in (("hashes", "u1"), ("counts", "<u4")))
+        held = np.array([len(c) // 4 for c in rows["counts"].to_pylist()])
+        shards = rows["shard"].to_numpy().astype(np.uint64)
         hashes = np.zeros((len(counts), 8), dtype=np.uint8)
         hashes[:, :7] = low.reshape(-1, 7)
         top = np.uint64(part << 64 - PARTS)
@@ -262,13 +261,18 @@ def _summed(support: int) -> Callable[[pa.Table], pa.Table]:
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         sums = np.add.reduceat(counts[order], first, dtype=np.int64)
         often = sums >= support
-        keys, sums, one = hashes[first][often], sums[often], around[order][first][often]
+        keys, sums = hashes[first][often], sums[often]
+        # One of the places of each phrase, as its hash has it, so that shards are chosen about equally often.
+        several = np.diff(np.append(first, len(hashes)))[often].astype(np.uint64)
+        place = order[first[often] + (mixed(keys) % several).astype(np.int64)]
+        one = shards[np.searchsorted(np.cumsum(held), place, side="right")]
         n = len(keys)
         more = 1 if n else 0
         return pa.table({
             "part": pa.array([part] * (n + more), pa.int32()),
             "known": pa.array([None] * n + [_bits(keys)] * more, pa.binary()),
-            "chosen": pa.array([None] * n + [_bits(_choices(keys, one))] * more, pa.binary()),
+            "chosen": pa.array([None] * n + [_bits(_choices(keys, one, 0))] * more, pa.binary()),
+            "again": pa.array([None] * n + [_bits(_choices(keys, one, 1))] * more, pa.binary()),
             "key": pa.array(keys.view(np.int64).tolist() + [None] * more, pa.int64()),
             "count": pa.array(sums.tolist() + [None] * more, pa.int64()),
         })
@@ -276,12 +280,18 @@ def _summed(support: int) -> Callable[[pa.Table], pa.Table]:
     return summed
 
 
-def _name(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast, chosen: Broadcast) -> Callable:
-    """Last pass: (lang, size, key, phrase, count) of the phrases in a shard that stand among the words that were kept; size 0
-    counts the words."""
+def _without_text(rows: pa.Table) -> pa.Table:
+    """(part, known) of the phrases of a part."""
+    part = rows["part"][0].as_py()
+    return pa.table({"part": pa.array([part], pa.int32()), "known": pa.array([_bits(rows["key"].to_numpy().view(np.uint64))], pa.binary())})
+
+
+def _name(shard_bytes: int, sizes: tuple[int, ...], chosen: tuple[Broadcast, ...], known: Broadcast | None = None) -> Callable:
+    """Last pass: (lang, size, key, phrase, count) of the phrases that a shard was chosen for and that are known; size 0 counts the words."""
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, choice = known.value, chosen.value
-        for lang, text in _shards(batches, shard_bytes):
+        table = known.value if known is not None else None
+        choices = [choice.value for choice in chosen]
+        for number, lang, text in _numbered(batches, shard_bytes):
             shard = _Shard(lang, text)
             yield _phrases(lang, 0, np.zeros(1, np.uint64), [""], [len(shard.words)])
             marks = _start_of_round(shard, sizes, None)
@@ -289,13 +299,13 @@ def _name(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast, chosen: Br
                 marks = _both(marks, size, shard.joined)
                 keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
                 for at, end in shard.slices(size):
-                    own = shard.grams(size, at, end)
-                    part = marks[at:end]
-                    part[part] = _held(table, own[part])
-                    place = np.flatnonzero(part)
-                    place = place[_held(choice, _choices(own[place], shard.around(size, at, end)[place]))]
-                    keys.append(own[place])
-                    places.append(place + at)
+                    place = np.flatnonzero(marks[at:end])
+                    own = shard.grams(size, at, end)[place]
+                    mine = _held(table, own)
+                    for seed, choice in enumerate(choices):
+                        mine[mine] = _held(choice, _choices(own[mine], np.uint64(number), seed))
+                    keys.append(own[mine])
+                    places.append(place[mine] + at)
                 distinct, first = np.unique(np.concatenate(keys), return_index=True)
                 first = np.concatenate(places)[first]
                 for at in range(0, len(distinct), 20_000):
@@ -324,29 +334,45 @@ def frequent_phrases(
     # The scan's partitions are joined until one fills a shard; larger ones hold several.
     shards = max(1, -(-total // shard_bytes))
     texts = texts.coalesce(shards)
-    tables = {name: np.zeros(1 << BITS - 3, dtype=np.uint8) for name in ("known", "chosen")}
-    step = 1 << BITS - PARTS - 3
     context = docs.sparkSession.sparkContext
-    found, known = [], None
+    tables = {name: np.zeros(1 << BITS - 3, dtype=np.uint8) for name in _TABLES}
+    found: list[DataFrame] = []
     for round_ in ROUNDS:
-        sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, hashes binary, counts binary, around binary")
+        known = context.broadcast(tables["known"].copy()) if found else None
+        sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, shard long, hashes binary, counts binary")
         found.append(stored(sent.groupBy("part").applyInArrow(_summed(support), _SUMS), "frequent"))
-        for row in found[-1].filter("key is null").select("part", "known", "chosen").collect():
-            for name, table in tables.items():
-                table[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row[name], dtype=np.uint8)
-        known = context.broadcast(tables["known"].copy())
+        _fill(tables, found[-1].filter("key is null"))
     sizes = tuple(size for round_ in ROUNDS for size in round_)
-    named = texts.mapInArrow(
-        _name(shard_bytes, sizes, known, context.broadcast(tables["chosen"])), "lang string, size tinyint, key long, phrase string, count long")
-    named = stored(named, "named")
+    named_as = "lang string, size tinyint, key long, phrase string, count long"
+    chosen = tuple(context.broadcast(tables[name]) for name in _TABLES[1:])
+    named = stored(texts.mapInArrow(_name(shard_bytes, sizes, chosen), named_as), "named")
     sums = found[0]
     for frame in found[1:]:
         sums = sums.unionByName(frame)
-    out = named.filter("size > 0").drop("count").dropDuplicates(["key"]).join(sums.filter("key is not null").select("key", "count"), "key")
+    sums = sums.filter("key is not null").select("part", "key", "count")
+
+    def with_texts(sums: DataFrame, named: DataFrame) -> DataFrame:
+        return stored(sums.join(named.filter("size > 0").drop("count").dropDuplicates(["key"]), "key", "left"), "phrases")
+
+    out = with_texts(sums, named)
+    rest = out.filter("phrase is null").select("part", "key", "count")
+    if not rest.isEmpty():
+        missing = {"known": np.zeros(1 << BITS - 3, dtype=np.uint8)}
+        _fill(missing, rest.groupBy("part").applyInArrow(_without_text, "part int, known binary"))
+        again = texts.mapInArrow(_name(shard_bytes, sizes, (), context.broadcast(missing["known"])), named_as)
+        out = out.filter("phrase is not null").unionByName(with_texts(rest, again))
     words = named.filter("size = 0").groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
     return stored(out.select("lang", "size", "phrase", "count").unionByName(words), "phrases")
 
 
+def _fill(tables: dict[str, np.ndarray], rows: DataFrame) -> None:
+    """Sets the bits of rows (part, and the tables' names) in whole tables."""
+    step = 1 << BITS - PARTS - 3
+    for row in rows.select("part", *tables).collect():
+        for name, table in tables.items():
+            table[row["part"] * step : (row["part"] + 1) * step] |= np.frombuffer(row[name], dtype=np.uint8)
+
+
 def collocations(
     docs: DataFrame, support: int = 30, covered: int = 80, top: int = 2000, lang_col: str = "lang", text_col: str = "text",
     shard_bytes: int = SHARD,

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import phrases, wordstream
 from tests.llm.frames import documents
@@ -154,3 +155,37 @@ def test_few_shards_send_the_text_of_a_phrase(spark, monkeypatch):
     assert {r["phrase"]: r["count"] for r in got if r["size"]} == want
     # About 13 of 20 shards hold each of them.
     assert len(want) <= made.value <= 2 * len(want)
+
+
+def test_one_shard_sends_the_text_of_a_phrase_that_always_stands_alike(spark, monkeypatch):
+    """Copies stand in all shards, among the same words: twice the shards don't send their phrases twice as often."""
+    made = []
+    own = phrases._name
+
+    def watched(*args):
+        name, rows = own(*args), made[-1]
+
+        def run(batches):
+            for batch in name(batches):
+                rows.add(batch.num_rows)
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(phrases, "_name", watched)
+    text = " ".join(f"w{i}" for i in range(500))
+    for tasks in (10, 20):
+        rows = [(i, text, "s", "en") for i in range(2 * tasks)]
+        made.append(spark.sparkContext.accumulator(0))
+        got = phrases.frequent_phrases(documents(spark, rows).repartition(tasks, "doc_id"), support=10, shard_bytes=1000).collect()
+        assert len(got) == 500 + 499 + 498 + 497 + 1
+        assert made[-1].value <= 1.1 * len(got)
+
+
+def test_texts_dealt_anew_in_each_pass(spark):
+    """A shard that doesn't hold what it was chosen for: the phrase's text comes from another."""
+    anywhere = F.udf(lambda _: random.randrange(1 << 30), "int").asNondeterministic()
+    rows = corpus(9)
+    docs = documents(spark, rows).withColumn("to", anywhere("doc_id")).repartition(12, "to").drop("to")
+    got = phrases.collocations(docs, support=5, shard_bytes=300).collect()
+    assert {tuple(r) for r in got} == brute([(r[3], r[1]) for r in rows], 5)
