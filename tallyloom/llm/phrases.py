@@ -11,8 +11,9 @@ data; its false hits are counted like others and fall below the support.
 
 The sum of a frequent phrase chooses one of the shards that hold it, and a last pass sends the phrase's text from there, so
 that texts of phrases grow with their number and not with the shards that hold them. Two bit tables tell a shard what it was
-chosen for; it sends what both hold by chance as well. Where that pass finds texts dealt to other shards than before, a shard
-may not hold what it was chosen for; phrases that are left without a text are then sent by all shards that hold them.
+chosen for; of known phrases with known parts, it sends what both hold by chance as well. Where that pass finds texts dealt to
+other shards than before, a shard may not hold what it was chosen for; phrases that are left without a text are then sent by
+all shards that hold them.
 
 Phrases are told apart by 64-bit hashes, which differ between languages.
 """
@@ -286,22 +287,24 @@ def _without_text(rows: pa.Table) -> pa.Table:
     return pa.table({"part": pa.array([part], pa.int32()), "known": pa.array([_bits(rows["key"].to_numpy().view(np.uint64))], pa.binary())})
 
 
-def _name(shard_bytes: int, sizes: tuple[int, ...], chosen: tuple[Broadcast, ...], known: Broadcast | None = None) -> Callable:
-    """Last pass: (lang, size, key, phrase, count) of the phrases that a shard was chosen for and that are known; size 0 counts the words."""
+def _name(shard_bytes: int, sizes: tuple[int, ...], known: Broadcast, chosen: tuple[Broadcast, ...], missing: Broadcast | None = None) -> Callable:
+    """Last pass: (lang, size, key, phrase, count) of the known phrases that a shard was chosen for, or that are missing; size 0 counts the words."""
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = known.value if known is not None else None
-        choices = [choice.value for choice in chosen]
+        table, choices = known.value, [choice.value for choice in chosen]
+        wanted = missing.value if missing is not None else None
         for number, lang, text in _numbered(batches, shard_bytes):
             shard = _Shard(lang, text)
             yield _phrases(lang, 0, np.zeros(1, np.uint64), [""], [len(shard.words)])
             marks = _start_of_round(shard, sizes, None)
             for size in sizes:
+                # The parts of a frequent phrase are frequent: few false hits are left for longer ones.
                 marks = _both(marks, size, shard.joined)
+                _keep(shard, size, marks, lambda own: _held(table, own))
                 keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
                 for at, end in shard.slices(size):
                     place = np.flatnonzero(marks[at:end])
                     own = shard.grams(size, at, end)[place]
-                    mine = _held(table, own)
+                    mine = _held(wanted, own)
                     for seed, choice in enumerate(choices):
                         mine[mine] = _held(choice, _choices(own[mine], np.uint64(number), seed))
                     keys.append(own[mine])
@@ -336,16 +339,16 @@ def frequent_phrases(
     texts = texts.coalesce(shards)
     context = docs.sparkSession.sparkContext
     tables = {name: np.zeros(1 << BITS - 3, dtype=np.uint8) for name in _TABLES}
-    found: list[DataFrame] = []
+    found, known = [], None
     for round_ in ROUNDS:
-        known = context.broadcast(tables["known"].copy()) if found else None
         sent = texts.mapInArrow(_mine(shard_bytes, round_, known), "part int, shard long, hashes binary, counts binary")
         found.append(stored(sent.groupBy("part").applyInArrow(_summed(support), _SUMS), "frequent"))
         _fill(tables, found[-1].filter("key is null"))
+        known = context.broadcast(tables["known"].copy())
     sizes = tuple(size for round_ in ROUNDS for size in round_)
     named_as = "lang string, size tinyint, key long, phrase string, count long"
     chosen = tuple(context.broadcast(tables[name]) for name in _TABLES[1:])
-    named = stored(texts.mapInArrow(_name(shard_bytes, sizes, chosen), named_as), "named")
+    named = stored(texts.mapInArrow(_name(shard_bytes, sizes, known, chosen), named_as), "named")
     sums = found[0]
     for frame in found[1:]:
         sums = sums.unionByName(frame)
@@ -359,7 +362,7 @@ def frequent_phrases(
     if not rest.isEmpty():
         missing = {"known": np.zeros(1 << BITS - 3, dtype=np.uint8)}
         _fill(missing, rest.groupBy("part").applyInArrow(_without_text, "part int, known binary"))
-        again = texts.mapInArrow(_name(shard_bytes, sizes, (), context.broadcast(missing["known"])), named_as)
+        again = texts.mapInArrow(_name(shard_bytes, sizes, known, (), context.broadcast(missing["known"])), named_as)
         out = out.filter("phrase is not null").unionByName(with_texts(rest, again))
     words = named.filter("size = 0").groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
     return stored(out.select("lang", "size", "phrase", "count").unionByName(words), "phrases")
